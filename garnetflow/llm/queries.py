@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprint, html_extract, packing, token_binary, toxicity, warc
+from . import decontaminate, fingerprint, html_extract, jaccard_join, packing, token_binary, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(_table(spark, sf_dir, "pages"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents")).drop("row")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_binary.token_files(_table(spark, sf_dir, "documents"))
 
@@ -40,7 +44,7 @@ def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_toxicity, op3_warc, op4_packing, op5_html_text, op8_token_files, op9_fingerprint)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_toxicity, op3_warc, op4_packing, op5_html_text, op6_jaccard_join, op8_token_files, op9_fingerprint)}
 
 _WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -59,6 +63,16 @@ items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op6_jaccard_join": r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS MATERIALIZED (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+e AS MATERIALIZED (SELECT x, y FROM l UNION SELECT y, x FROM l),
+r AS (SELECT doc_id AS node, doc_id AS reached FROM documents UNION SELECT r.node, e.y FROM r JOIN e ON r.reached = e.x)
+SELECT documents.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id
+FROM documents LEFT JOIN n USING (doc_id) JOIN (SELECT node, min(reached) AS component_id FROM r GROUP BY node) m ON m.node = documents.doc_id""",
     "op3_warc": """
 WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
 f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
