@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprint, html_extract, jaccard_join, packing, token_binary, toxicity, warc
+from . import decontaminate, fingerprint, html_extract, jaccard_join, packing, suffix_dedup, token_binary, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,7 +44,11 @@ def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_toxicity, op3_warc, op4_packing, op5_html_text, op6_jaccard_join, op8_token_files, op9_fingerprint)}
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_toxicity, op3_warc, op4_packing, op5_html_text, op6_jaccard_join, op8_token_files, op9_fingerprint, op10_suffix_dedup)}
 
 _WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
