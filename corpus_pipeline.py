@@ -1,20 +1,48 @@
-"""The corpus pipeline: documents to packed training sequences."""
+"""The corpus pipeline: documents to packed training sequences, in five stages."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from garnetflow.llm import packing
+from garnetflow.llm import decontaminate, jaccard_join, packing, suffix_dedup, toxicity
 from garnetflow.llm.common import written
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model, trained on the labels of the documents, does not reject."""
+    return toxicity.reject(docs, toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one with the smallest doc_id."""
+    return jaccard_join.keep_one(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that occur again; n_chars follows."""
+    return suffix_dedup.remove_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of a benchmark item."""
+    return decontaminate.remove_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into sequences."""
+    """What is left, packed into sequences."""
     return packing.pack_documents(docs)
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("jaccard_join", drop_near_copies),
+    ("suffix_dedup", cut_repeats),
+    ("decontamination", drop_leaks),
+    ("packing", pack),
+]
 
+#: The stages learn a model and run a tokenizer, which SQL cannot express; tests/llm hold them against brute force.
 ORACLE_SQL = None
 
 
