@@ -1 +1 @@
-"""See the package docstring."""
+"""DataFrame operators, a module for each family."""

@@ -1,4 +1,6 @@
 """Queries by name, and the SQL that checks each."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from . import counts, graph, scoring, words  # noqa: F401  they register their queries
+from .registry import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
