@@ -1 +1 @@
-"""See the package docstring."""
+"""Scans of landed files and of artifacts, and what writes them."""

@@ -1 +1,56 @@
-"""See the package docstring."""
+"""Incremental work: feed folders as streams, and exports that resume."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from ..operators.collect import training_data
+from ..operators.relabel import unprocessed
+from ..sources import artifacts, schemas
+
+
+def feed_stream(spark: SparkSession, folder: str, files_per_trigger: int = 16) -> DataFrame:
+    """A row (cve) for each vulnerability of the 2.0 feed files that arrive in a folder."""
+    rows = spark.readStream.option("multiLine", True).option("maxFilesPerTrigger", files_per_trigger).schema(schemas.NVD_FEED).json(folder)
+    return rows.select(F.explode("vulnerabilities").alias("v")).select("v.cve")
+
+
+def ingest(spark: SparkSession, folder: str, out: str, checkpoint: str) -> StreamingQuery:
+    """Appends the training rows of new feed files, each cve_id once; stops when all files are read.
+
+    A batch drops ids that the table has already, so a batch that is repeated after a failure adds nothing.
+    """
+
+    def add(batch: DataFrame, _: int) -> None:
+        rows = training_data(batch).dropDuplicates(["cve_id"])
+        have = artifacts.optional(spark, out, schemas.TRAINING, lambda s, p: s.read.schema(schemas.TRAINING).parquet(p))
+        rows.join(have.select("cve_id"), "cve_id", "left_anti").write.mode("append").parquet(out)
+
+    return feed_stream(spark, folder).writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def export_embeddings(rows: DataFrame, out: str, embed: Callable[[DataFrame], DataFrame], batch: int = 100_000) -> int:
+    """Appends embeddings of rows (id, type, text, metadata) that `out` has not; returns how many were due.
+
+    The output is its own progress: ids that are in it are done. embed takes and returns a frame and adds
+    the column embedding; text that is longer than a service takes is cut by embed, not here.
+    """
+    spark = rows.sparkSession
+    done = artifacts.optional(spark, out, schemas.EMBEDDINGS, lambda s, p: s.read.schema(schemas.EMBEDDINGS).parquet(p))
+    todo = unprocessed(rows, done)
+    n = todo.count()
+    parts = -(-n // batch)
+    for k in range(parts):
+        part = todo.where(F.pmod(F.xxhash64("id"), F.lit(parts)) == k)
+        embed(part).select("id", "type", "text", "embedding", "metadata").write.mode("append").parquet(out)
+    return n
+
+
+def event_windows(events: DataFrame, late: str = "10 minutes", width: str = "5 minutes") -> DataFrame:
+    """Counts and sums of events(ts, event_type, value) in windows of event time, late events up to `late`."""
+    rows = events.withWatermark("ts", late).groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    return rows.select(F.col("window.start").alias("start"), "event_type", "n", "total")
