@@ -48,7 +48,7 @@ def taxonomy(learned_rows: DataFrame, df: DataFrame, n: int, manual: list = fixe
     """vector, pattern_id, keywords, specificity, support, boost: manual patterns come first, and all boosts are computed."""
     spark = learned_rows.sparkSession
     own = spark.createDataFrame([(v, k, s, c, i) for i, (v, k, s, c) in enumerate(manual)], "vector string, keywords array<string>, specificity double, support long, place long")
-    rest = learned_rows.select("vector", F.array("term").alias("keywords"), "specificity", F.col("df").alias("support"), (F.col("rank") + len(manual)).alias("place"))
+    rest = learned_rows.select("vector", F.array("term").alias("keywords"), "specificity", F.col("tf").alias("support"), (F.col("rank") + len(manual)).alias("place"))
     rows = own.unionByName(rest)
     first = rows.withColumn("term", F.col("keywords")[0]).join(df, "term", "left")
     known = F.coalesce("df", F.lit(0))

@@ -132,16 +132,16 @@ def tfidf_terms(spark, sf_dir):
     return rows.where("tf >= 3").select("vector", "term", "tf", "df", *[F.round(c, 6).alias(c) for c in ("idf", "tfidf", "specificity")])
 
 
-@query(f"WITH {SQL_TERMS} SELECT vector, rank, term, tf, df AS support, round(specificity, 6) AS specificity FROM tl")
+@query(f"WITH {SQL_TERMS} SELECT vector, rank, term, df, tf AS support, round(specificity, 6) AS specificity FROM tl")
 def pattern_taxonomy(spark, sf_dir):
     rows, _ = ranked_scores(spark, sf_dir)
-    return patterns.learned(rows).select("vector", "rank", "term", "tf", F.col("df").alias("support"), F.round("specificity", 6).alias("specificity"))
+    return patterns.learned(rows).select("vector", "rank", "term", "df", F.col("tf").alias("support"), F.round("specificity", 6).alias("specificity"))
 
 
 #: tx: vector, pattern_id, keywords, boost, after SQL_TERMS.
 SQL_TAXONOMY = (
     "tm(vector, keywords, specificity, support, place) AS (VALUES " + ", ".join(f"('{v}', [{sql_list(k)}], {s!r}::DOUBLE, {c}, {i})" for i, (v, k, s, c) in enumerate(fixed.MANUAL_PATTERNS)) + f"""),
-tp AS (SELECT * FROM tm UNION ALL SELECT vector, [term], specificity, df, rank + {len(fixed.MANUAL_PATTERNS)} FROM tl),
+tp AS (SELECT * FROM tm UNION ALL SELECT vector, [term], specificity, tf, rank + {len(fixed.MANUAL_PATTERNS)} FROM tl),
 tx AS MATERIALIZED (SELECT vector, row_number() OVER (PARTITION BY vector ORDER BY place) AS pattern_id, keywords, specificity, support,
 least(greatest(CASE WHEN specificity >= 0.9 THEN 5.0 WHEN specificity >= 0.8 THEN 3.0 WHEN specificity >= 0.7 THEN 2.0 WHEN specificity >= 0.6 THEN 1.0 ELSE 0.1 END
 * least(0.5 + ln(n / (coalesce(df, 0) + 1.0)) / 16, 1.5) * least(1 + ln(support + 1.0) / 20, 1.2), 0.1), 5.0) AS boost FROM tp LEFT JOIN tdf ON term = keywords[1], tn)"""
