@@ -4,7 +4,7 @@ A scan of the tags yields blocks of text with their link characters and surround
 themselves as something else (navigation, page header and footer, aside, form, script, or a class, id or role
 from NOT_MAIN) give no block. Where a page marks its article, only that part is considered. The first pass
 decides blocks by length, link density and stop-word density; the second gives blocks that are too
-short to tell the label of their nearest decided neighbours, the article's own side winning where both agree.
+short to tell the label of their nearest decided neighbours, those in their own container first.
 
 Cases: null html counts as empty; a page without main text gives an empty text; unclosed tags end with their
 parents; repeated pages each give a row; other columns are ignored; an empty table gives no row.
@@ -30,6 +30,7 @@ RAW = "script|style|noscript|template|textarea|title|iframe|svg|math|xmp|noembed
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = set("nav footer aside form button select option datalist dialog menu object canvas audio video map applet fieldset label head".split())
 BLOCKS = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead title tr ul".split())
+CONTAINERS = set("article aside body center dd div footer form header main nav section table td th".split())
 SELF_CLOSING = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 NOT_MAIN = set(
     "ad ads adv advert adverts advertisement advertising adsense adbox banner billboard sponsor sponsored sponsors promo promos promotion promoted outbrain taboola "
@@ -63,6 +64,7 @@ _space = re.compile(r"\s+")
 class Block:
     own: bool  # within the article that the page marks
     heading: bool = False
+    container: int = 0
     parts: list[str] = field(default_factory=list)
     links: list[str] = field(default_factory=list)
     text: str = ""
@@ -94,6 +96,7 @@ def blocks_of(html: str) -> list[Block]:
     """The page's blocks outside what says of itself that it isn't main text."""
     out, stack, at = [], [], 0  # stack: name, skipped, article
     skipped = article = linked = 0
+    places, seen = [0], 0  # the containers that are open, and how many there have been
     block = Block(False)
 
     def close() -> None:
@@ -105,9 +108,11 @@ def blocks_of(html: str) -> list[Block]:
 
     def pop(k: int) -> None:
         nonlocal skipped, article
-        for _, s, a in stack[k:]:
+        for n, s, a in stack[k:]:
             skipped -= s
             article -= a
+            if n in CONTAINERS:
+                places.pop()
         del stack[k:]
 
     breaks = 0
@@ -115,6 +120,8 @@ def blocks_of(html: str) -> list[Block]:
         if m.start() > at and not skipped:
             piece = html[at : m.start()]
             block.parts.append(piece)
+            if not piece.isspace():
+                block.container = places[-1]
             if linked:
                 block.links.append(piece)
             if breaks and not piece.isspace():
@@ -158,6 +165,9 @@ def blocks_of(html: str) -> list[Block]:
         skip = not skipped and _not_main(name, m[5], article > 0 or main)
         if name in BLOCKS or skip or skipped or main:
             stack.append((name, int(skip), int(main and not skip and not skipped)))
+            if name in CONTAINERS:
+                seen += 1
+                places.append(seen)
             skipped += skip
             article += main and not skip and not skipped
         block.own = article > 0
@@ -174,10 +184,10 @@ def first_pass(block: Block) -> str:
     links = len(_space.sub(" ", "".join(block.links)).strip())
     if links > LINKED * n and (links > 0.8 * n or n < LONG):
         return "bad"
+    if block.own and (not links or n >= SHORT):
+        return "good"
     if n < SHORT or block.heading:
         return "unsure"
-    if block.own:
-        return "good"
     words = _word.findall(text.lower())
     stopped = sum(w in STOP_WORDS for w in words) / max(1, len(words))
     if stopped >= STOPPED or len(words) < n / 30:  # writing without spaces has no stop words to count
@@ -186,27 +196,25 @@ def first_pass(block: Block) -> str:
 
 
 def second_pass(blocks: list[Block]) -> None:
-    """Blocks that are unsure take the label of their neighbours; where these differ, the nearer one's."""
-    labels = [b.label for b in blocks]
-    n = len(labels)
-    left: list[tuple[str, int]] = []
-    for k in range(n):
-        left.append((labels[k], k) if labels[k] != "unsure" else left[-1] if left else ("", -1))
-    right: list[tuple[str, int]] = [("", n)] * n
-    for k in range(n - 1, -1, -1):
-        right[k] = (labels[k], k) if labels[k] != "unsure" else right[k + 1] if k + 1 < n else ("", n)
-    for k, b in enumerate(blocks):
-        if b.label != "unsure":
-            continue
-        (before, i), (after, j) = left[k], right[k]
-        if before == after or not before or not after:
-            b.label = before or after or ("good" if b.own else "bad")
-        elif b.heading:
-            b.label = after  # a heading goes with what it heads
-        elif k - i == j - k:
-            b.label = "good" if b.own else "bad"
-        else:
-            b.label = before if k - i < j - k else after
+    """Blocks that are unsure take the label of the nearest decided block, those of their own container first.
+
+    A heading takes the label of what follows it in its container; of two that are equally near the good one wins
+    for blocks without links.
+    """
+    found: list[list[tuple[int, int, str]]] = [[] for _ in blocks]  # outside, distance, label
+    for order in (range(len(blocks)), range(len(blocks) - 1, -1, -1)):
+        last: tuple[int, str] | None = None
+        within: dict[int, tuple[int, str]] = {}
+        for k in order:
+            b = blocks[k]
+            if b.label != "unsure":
+                last = within[b.container] = (k, b.label)
+            elif near := within.get(b.container) or last:
+                ahead = b.heading and near[0] > k and near == within.get(b.container)
+                found[k].append((int(near != within.get(b.container)), 0 if ahead else abs(near[0] - k), near[1]))
+    for b, near in zip(blocks, found, strict=True):
+        if b.label == "unsure":
+            b.label = min(near, key=lambda x: (x[0], x[1], (x[2] == "good") == bool(b.links)))[2] if near else "good" if b.own else "bad"
 
 
 def main_text(html: str) -> str:
