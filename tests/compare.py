@@ -5,6 +5,7 @@ from __future__ import annotations
 from pathlib import Path
 
 import duckdb
+import numpy as np
 import pandas as pd
 
 
@@ -15,10 +16,17 @@ def tables(folder: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+def cell(v):
+    """A value without its type's spelling: a whole number in a column with nulls comes as a float from one side."""
+    if v is None or v is pd.NA or v != v:
+        return None
+    if isinstance(v, float | np.floating):
+        return int(v) if v == int(v) else round(float(v), 6)
+    return int(v) if isinstance(v, int | np.integer) and not isinstance(v, bool) else str(v)
+
+
 def plain(df: pd.DataFrame) -> list[tuple]:
-    df = df[sorted(df.columns)]
-    cell = lambda v: None if v is None or v is pd.NA or v != v else round(float(v), 6) if isinstance(v, float) else str(v)
-    return sorted((tuple(map(cell, r)) for r in df.astype(object).itertuples(index=False, name=None)), key=repr)
+    return sorted((tuple(map(cell, r)) for r in df[sorted(df.columns)].astype(object).itertuples(index=False, name=None)), key=repr)
 
 
 def assert_same(spark_rows: pd.DataFrame, sql_rows: pd.DataFrame) -> None:
