@@ -115,6 +115,24 @@ def day_of(stamp: Column) -> Column:
     return F.when(stamp.rlike(r"(Z|[+-]\d{2}:\d{2})$"), F.substring(stamp, 1, 10)).otherwise(stamp)
 
 
+def cut_bytes(text: Column, most: int = 30_000) -> Column:
+    """The text, trimmed, down to whole characters within `most` bytes; null if nothing is left.
+
+    No character is cut in two, so the result can be up to three bytes shorter than the limit.
+    """
+    data = F.encode(trimmed(text), "UTF-8")
+    head = F.substring(data, 1, most)
+    # a cut inside a character leaves a start byte without all its followers
+    tail = F.regexp_extract(F.hex(F.substring(data, most - 2, 3)), "((?:C[0-9A-F]|D[0-9A-F])|E[0-9A-F](?:[89AB][0-9A-F])?|F[0-7](?:[89AB][0-9A-F]){0,2})$", 1)
+    whole = F.when(F.octet_length(data) <= most, data).otherwise(F.substring(head, F.lit(1), F.lit(most) - (F.length(tail) / 2).cast("int")))
+    return F.nullif(F.decode(whole, "UTF-8"), F.lit(""))
+
+
+def titled(name: Column, description: Column) -> Column:
+    """name: description, whichever there is."""
+    return F.concat_ws(": ", F.nullif(name, F.lit("")), F.nullif(description, F.lit("")))
+
+
 def escaped(text: Column) -> Column:
     """Text that is safe between and within HTML tags."""
     for raw, safe in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#39;")):

@@ -10,7 +10,7 @@ from ..operators import bayes, classify, hierarchy, linking, patterns, relabel,
 from .counts import SQL_TAXONOMY, SQL_TERMS, full_taxonomy, records, sql_model, sql_scores
 from .graph import items, node_vectors
 from .registry import SQL_CWES, SQL_NODE_VECTOR, query, sql_any, sql_list, sql_words, table
-from .words import SQL_LINKS, SQL_MISMATCH, SQL_SAID, capec_links, said
+from .words import _SQL_SIGNIFICANT, SQL_LINKS, SQL_MISMATCH, SQL_SAID, capec_links, said
 
 # --- relevance of weaknesses ---
 
@@ -288,6 +288,54 @@ def granular(spark, sf_dir):
     return retrieval.granular(rows, subtypes).withColumn("confidence", F.round("confidence", 6))
 
 
+_SQL_NAMES = "(['query name alpha', 'of the tion', 'enthe with'])[CAST(item_id % 3 AS INTEGER) + 1]"
+
+
+@query(
+    f"""WITH {_SQL_BAGS}, aq AS MATERIALIZED (SELECT item_id, term, count(*) AS qtf FROM (SELECT item_id, unnest(list_concat(w, list_concat(x, x))) AS term FROM (SELECT item_id, {sql_words('retrieval')} AS w, list_distinct({sql_words('retrieval', _SQL_NAMES)}) AS x FROM benchmark)) GROUP BY ALL),
+sc AS (SELECT item_id, doc_id, sum(ln((n - df + 0.5) / (df + 0.5) + 1) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * len / avgdl)) * qtf) AS score FROM rt JOIN rdf USING (term) JOIN aq USING (term), rn GROUP BY ALL)
+SELECT item_id, doc_id, round(score, 6) AS score, round(least(2 * score, 100.0), 6) AS normal FROM sc QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY round(score, 6) DESC, doc_id) <= 3"""
+)
+def bm25_augmented(spark, sf_dir):
+    names = F.array(*map(F.lit, ["query name alpha", "of the tion", "enthe with"]))[(F.col("item_id") % 3).cast("int")]
+    queries = table(spark, sf_dir, "benchmark", "item_id", "text").select(F.col("item_id").alias("id"), retrieval.augmented(tokenize("text", "retrieval"), tokenize(names, "retrieval")).alias("words"))
+    rows = retrieval.bm25(_bag(spark, sf_dir, "documents", "doc_id"), queries)
+    rows = rows.select(F.col("query").alias("item_id"), F.col("id").alias("doc_id"), F.round("score", 6).alias("score"), F.round("normal", 6).alias("normal"))
+    return classify.first_by(rows, "item_id", 3, F.desc("score"), "doc_id").drop("rank")
+
+
+@query(
+    f"""WITH cand AS MATERIALIZED ({_SQL_CAND}), {sql_model('report')}, {sql_scores(_SQL_SOME)}, p AS (SELECT doc_id, label, exp(score - max(score) OVER (PARTITION BY doc_id)) AS e FROM s),
+r AS (SELECT doc_id, label, e / sum(e) OVER (PARTITION BY doc_id) AS probability FROM p)
+SELECT doc_id, label, round(probability, 6) AS probability FROM r WHERE probability >= 1e-4 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY probability DESC, label) <= 5"""
+)
+def report_detect(spark, sf_dir):
+    docs = records(spark, sf_dir, "report").persist()
+    rows = bayes.posterior(docs, bayes.train(docs.drop("text")), candidates(spark, sf_dir)).where(F.col("probability") >= classify.FLOOR)
+    return classify.first_by(rows, "id", 5, F.desc("probability"), "label").select(F.col("id").alias("doc_id"), "label", F.round("probability", 6).alias("probability"))
+
+
+_VECTOR_SETS = [["sql_injection", "xss"], ["path_traversal"], ["buffer_overflow", "rce", "dos"]]
+_SQL_WHOLE = "(lower(name) || ' ' || lower(description))"
+_SQL_RULE = (
+    "CASE WHEN capec IN ('66', '88') THEN 50.0 ELSE 0 END + "
+    + " + ".join(f"CASE WHEN list_contains(vectors, '{v}') AND {sql_any(_SQL_WHOLE, w)} THEN 20 ELSE 0 END" for v, w in fixed.VECTOR_KEYWORDS.items())
+    + f" + 2 * len(list_filter({_SQL_SIGNIFICANT.replace('text', 'said', 1)}, lambda w: strlen(w) > 4 AND contains({_SQL_WHOLE}, w)))"
+    + " + CASE WHEN doc_id % 3 = 0 THEN 5 WHEN doc_id % 3 = 1 THEN 2 ELSE 0 END + CASE severity WHEN 'Very High' THEN 5 WHEN 'High' THEN 3 ELSE 0 END - "
+    + " - ".join(f"CASE WHEN NOT list_contains(vectors, '{v}') AND {sql_any(_SQL_WHOLE, w)} THEN 100 ELSE 0 END" for v, w in fixed.SPECIFIC_PATTERNS.items())
+)
+
+
+@query(f"SELECT doc_id, capec, round({_SQL_RULE}, 6) AS score FROM (SELECT *, ([{', '.join('[' + sql_list(v) + ']' for v in _VECTOR_SETS)}])[CAST(doc_id % 3 AS INTEGER) + 1] AS vectors FROM {SQL_LINKS})")
+def report_rules(spark, sf_dir):
+    vectors = F.array(*[F.array(*map(F.lit, v)) for v in _VECTOR_SETS])[(F.col("doc_id") % 3).cast("int")]
+    techniques = F.when(F.col("capec").isin("66", "88"), F.array(F.lit("T1190"))).otherwise(F.array().cast("array<string>"))
+    likelihood = F.when(F.col("doc_id") % 3 == 0, "High").when(F.col("doc_id") % 3 == 1, "Medium")
+    score = retrieval.rule_score(F.col("said"), F.col("name"), F.col("description"), techniques, vectors, likelihood, F.col("severity"))
+    # the first score of the cascade that there is; here the rules are all there is
+    return capec_links(spark, sf_dir).select("doc_id", "capec", F.round(retrieval.cascade(F.lit(None).cast("double"), score), 6).alias("score"))
+
+
 # --- relabelling ---
 
 

@@ -168,3 +168,8 @@ def vector_names(spark, sf_dir):
 
     rows = spark.createDataFrame(fixed.CWE_VECTORS, "cwe string, vectors array<string>").select(F.explode("vectors").alias("vector")).distinct()
     return named(rows)
+
+
+@query("SELECT p_partkey, p_name || ': ' || p_type AS text FROM part")
+def embedding_text(spark, sf_dir):
+    return table(spark, sf_dir, "part", "p_partkey", "p_name", "p_type").select("p_partkey", tx.cut_bytes(tx.titled(F.col("p_name"), F.col("p_type"))).alias("text"))

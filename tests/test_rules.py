@@ -205,3 +205,11 @@ def test_empty_tables(spark, model):
     assert bayes.posterior(none, model).count() == 0
     assert retrieval.bm25(none, none).count() == 0
     assert hierarchy.ancestors(spark.createDataFrame([], "item string, node string"), spark.createDataFrame([], "child string, parent string")).count() == 0
+
+
+@pytest.mark.parametrize("most", range(4, 14))
+def test_cut_in_bytes(spark, most):
+    for text in ("aé漢\U0001f600b漢é", "abcdefghijklmnop", "éééééééé", "漢漢漢漢漢", "\U0001f600" * 4):
+        want = text.encode()[:most].decode("utf-8", "ignore")
+        assert one(spark, tx.cut_bytes(F.lit(f" {text}\n"), most)) == want
+    assert one(spark, tx.cut_bytes(F.lit(" \n"), most)) is None
