@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from helpers import SPACED, edge_table, empty_table, lower, prose
 
+from garnetflow.llm import components as graph
 from garnetflow.llm import jaccard_join as op
 from garnetflow.llm.components import components
 
@@ -84,7 +85,9 @@ def test_divide_skip_finds_all():
         assert sorted(lists.search(q).tolist()) == want
 
 
-def test_components(spark):
+@pytest.mark.parametrize("local", [1_000_000, 3])
+def test_components(spark, monkeypatch, local):
+    monkeypatch.setattr(graph, "LOCAL", local)  # one task at the end, or stars all the way
     edges = [(1, 2), (2, 3), (9, 3), (5, 6), (7, 7), (10, 11), (11, 12), (12, 13), (13, 14), (14, 15), (None, 4)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
     assert got == {1: 1, 2: 1, 3: 1, 9: 1, 5: 5, 6: 5} | dict.fromkeys(range(10, 16), 10)
