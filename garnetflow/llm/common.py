@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -13,6 +14,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 
+BATCH_BYTES = 8 << 20
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a folder of our own where that is unset."""
     sc = spark.sparkContext
@@ -51,7 +56,7 @@ def texts_of(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that each holds about `limit` bytes of a string column, one row at least."""
     for batch in batches:
         if batch.num_rows == 0:
@@ -67,6 +72,30 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20)
             at = to
 
 
+def tidy(function):
+    """A function for mapInArrow whose batches are bounded and whose worker gives memory back after a task.
+
+    Spark fills batches by rows; BATCH_BYTES also bounds their bytes, since texts may be very long. Workers
+    serve task after task, and their allocators would else keep what the largest needed.
+    """
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        give_back()
+
+    return run
+
+
+def give_back() -> None:
+    """Memory that the allocators hold and nobody uses goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def fs_of(uri: str):
     """pyarrow's file system and path of a URI, for executors that write files in the shared folder."""
     from pyarrow import fs

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, written
+from .common import slices, tidy, written
 
 N = 10
 #: Windows in a broadcast block: about 60 MB in a worker.
@@ -112,7 +112,7 @@ def windows_of(benchmark: DataFrame, n: int = N, item_id: str = "item_id", text:
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), (pa.int32(), pa.int64(), pa.binary(), pa.string()), strict=True)], list(out))
 
     rows = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("item"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "n_words int, hash long, words binary, item string").distinct()
+    return rows.mapInArrow(tidy(run), "n_words int, hash long, words binary, item string").distinct()
 
 
 class Block:
@@ -202,9 +202,9 @@ def _scan(docs: DataFrame, benchmark: DataFrame, emit: str, n: int, most: int, d
                         yield kept.set_column(names.index(text), batch.schema.field(text), pa.array(texts, batch.schema.field(text).type))
 
         if not last:
-            docs = written(docs.mapInArrow(run, carried), f"hits-{k}")
+            docs = written(docs.mapInArrow(tidy(run), carried), f"hits-{k}")
         else:
-            docs = docs.mapInArrow(run, report if emit == "report" else schema)
+            docs = docs.mapInArrow(tidy(run), report if emit == "report" else schema)
     return docs
 
 

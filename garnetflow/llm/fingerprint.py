@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 BUCKETS = 256
 SPANS = ((4, 9), (7, 13))
 LIMIT = 1.5 * BUCKETS
@@ -89,7 +91,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     tails = rows.drop("bucket").join(F.broadcast(ends), F.col("doc_id").eqNullSafe(F.col("end_id")) & (F.col("tie") == F.col("end_tie")))
     both = rows.withColumn("tail", F.lit(False)).unionByName(tails.select("doc_id", "text", "tie", "bucket", F.lit(True).alias("tail")))
     both = both.repartition(n, "bucket").sortWithinPartitions("bucket", "tail", F.desc_nulls_last("doc_id"), F.desc("tie"))
-    return both.select("bucket", "tail", "doc_id", "text").mapInArrow(_run, SCHEMA)
+    return both.select("bucket", "tail", "doc_id", "text").mapInArrow(tidy(_run), SCHEMA)
 
 
 def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

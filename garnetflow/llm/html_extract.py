@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, texts_of
+from .common import slices, texts_of, tidy
 
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
@@ -236,4 +236,4 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], [c.split()[0] for c in SCHEMA.split(", ")])
 
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.col(html).alias("html"))
-    return rows.mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(tidy(run), SCHEMA)

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, texts_of
+from .common import slices, texts_of, tidy
 from .subwords import words
 
 LONGEST = 2048
@@ -157,4 +157,4 @@ def pack_documents(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", end_i
         if found:
             yield out(found)
 
-    return rows.mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(tidy(run), SCHEMA)

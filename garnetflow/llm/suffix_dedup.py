@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, texts_of, written
+from .common import slices, texts_of, tidy, written
 from .decontaminate import _B, _buffer, _C, _runs
 from .jaccard_join import _gathered, _mix, _packed, _parts
 
@@ -126,9 +126,9 @@ def _settle(rows: DataFrame, length: int, anchor: int) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)], ["row", "spans", "runs"])
 
-    marks = rows.select("row", "text").mapInArrow(emit, "part int, mark binary, run binary, row binary, lo binary, hi binary").repartition(parts, "part")
-    found = marks.mapInArrow(sort, "part int, row binary, lo binary, hi binary, state binary").repartition(parts, "part")
-    return found.mapInArrow(gather, "row long, spans binary, runs binary")
+    marks = rows.select("row", "text").mapInArrow(tidy(emit), "part int, mark binary, run binary, row binary, lo binary, hi binary").repartition(parts, "part")
+    found = marks.mapInArrow(tidy(sort), "part int, row binary, lo binary, hi binary, state binary").repartition(parts, "part")
+    return found.mapInArrow(tidy(gather), "row long, spans binary, runs binary")
 
 
 def _names(data: bytes, h: int, length: int) -> np.ndarray:
@@ -174,9 +174,9 @@ def _double(runs: DataFrame, first: int, length: int) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary()), strict=True)], ["seg", "alive"])
 
-    names = runs.select("seg", "data", "alive").mapInArrow(emit, "part int, names binary, ids binary, places binary").repartition(parts, "part")
-    again = names.mapInArrow(rank, "part int, ids binary, places binary").repartition(parts, "part")
-    return again.mapInArrow(gather, "seg long, alive binary")
+    names = runs.select("seg", "data", "alive").mapInArrow(tidy(emit), "part int, names binary, ids binary, places binary").repartition(parts, "part")
+    again = names.mapInArrow(tidy(rank), "part int, ids binary, places binary").repartition(parts, "part")
+    return again.mapInArrow(tidy(gather), "seg long, alive binary")
 
 
 def repeated_spans(rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
@@ -197,7 +197,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
 
     going = found.where(F.length("runs") > 0).select("row", "runs")
     runs = rows.select("row", "text").join(going, "row").select("row", "text", "runs")
-    runs = written(runs.mapInArrow(lay, "seg long, row long, lo long, data binary, alive binary"), "runs")
+    runs = written(runs.mapInArrow(tidy(lay), "seg long, row long, lo long, data binary, alive binary"), "runs")
     h = first = -(-length // 8)
     while h < length:
         h = min(2 * h, length)
@@ -219,9 +219,9 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
             out = [np.stack(merged(*np.concatenate(s, axis=1))).tobytes() for s in by_row.values()]
             yield pa.RecordBatch.from_arrays([pa.array(by_row, pa.int64()), pa.array(out, pa.binary())], ["row", "spans"])
 
-    last = runs.select("row", "lo", "alive").mapInArrow(spans, "row long, spans binary")
+    last = runs.select("row", "lo", "alive").mapInArrow(tidy(spans), "row long, spans binary")
     both = found.where(F.length("spans") > 0).select("row", "spans").union(last)
-    return both.repartition(parts, "row").mapInArrow(join, "row long, spans binary")
+    return both.repartition(parts, "row").mapInArrow(tidy(join), "row long, spans binary")
 
 
 def _with_spans(docs: DataFrame, key: str, doc_id: str, text: str, length: int, anchor: int) -> DataFrame:
@@ -248,7 +248,7 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
                 out.append((d, len(data), sum(hi - lo for lo, hi in spans), len(spans), kept.hexdigest()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (*[pa.int64()] * 4, pa.string()), strict=True)], [c.split()[0] for c in SCHEMA.split(", ")])
 
-    return _with_spans(rows, "key", "doc_id", "text", length, anchor).select("doc_id", "text", "keys").mapInArrow(run, SCHEMA)
+    return _with_spans(rows, "key", "doc_id", "text", length, anchor).select("doc_id", "text", "keys").mapInArrow(tidy(run), SCHEMA)
 
 
 def without(text: str, spans: list[list[int]]) -> str:
@@ -279,4 +279,4 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             yield kept.set_column(k, batch.schema.field(text), pa.array(texts, batch.schema.field(text).type))
 
     rows = _with_spans(docs, key, doc_id, text, length, anchor).select(*docs.columns, key + "s")
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)

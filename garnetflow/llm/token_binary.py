@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fs_of, scratch_path, texts_of, written
+from .common import fs_of, scratch_path, texts_of, tidy, written
 from .subwords import words
 
 MAGIC = b"GS8B0001"
@@ -202,7 +202,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int | None
             fs.move(f"{root}/_{part}", f"{root}/{part}")
             yield pa.RecordBatch.from_pydict({"part": [part], "first_id": [first], "n_docs": [n_docs], "n_tokens": [n_tokens]})
 
-    return written(rows.mapInArrow(write, MANIFEST), "manifest")
+    return written(rows.mapInArrow(tidy(write), MANIFEST), "manifest")
 
 
 def read_tokens(manifest: DataFrame, path: str) -> DataFrame:
@@ -229,7 +229,7 @@ def read_tokens(manifest: DataFrame, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     todo = spark.createDataFrame(rows, "part string, start long").repartition(len(rows))
-    return todo.mapInArrow(read, schema)
+    return todo.mapInArrow(tidy(read), schema)
 
 
 def token_files(docs: DataFrame, path: str | None = None) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, tidy
 from .decontaminate import Words, _B, _buffer, _runs
 
 BITS = 20
@@ -183,7 +183,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS, doc_id: st
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([p[a:b].astype("<i4").tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())], ["doc_id", "toxic", "places"])
 
     found = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")
-    found = found.mapInArrow(run, "doc_id long, toxic int, places binary")
+    found = found.mapInArrow(tidy(run), "doc_id long, toxic int, places binary")
     # repeated rows of a document would lift the bound: the first of equal ids is taken
     found = found.groupBy("doc_id", "toxic").agg(F.min("places").alias("places")).toArrow().sort_by("doc_id")
     return fit([np.frombuffer(b, "<i4") for b in found["places"].to_pylist()], (np.asarray(found["toxic"]) > 0).astype(float))
@@ -201,7 +201,7 @@ def _scored(docs: DataFrame, model: Model, text: str, keep: bool, schema) -> Dat
             else:
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], [c.split()[0] for c in SCHEMA.split(", ")])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
