@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, written
+from .common import slices, tidy, written
 from .components import components
 from .decontaminate import _B, _buffer, _C, _runs
 
@@ -128,7 +128,7 @@ def sets_of(docs: DataFrame, doc_id: str, text: str, with_sets: bool) -> DataFra
             out = [batch.column(0), batch.column(1), pa.array(np.diff(cuts), pa.int64()), pa.array([hashlib.blake2b(x, digest_size=16).digest() for x in blobs], pa.binary())]
             yield pa.RecordBatch.from_arrays(out + [pa.array(blobs, pa.binary())] * with_sets, [c.split()[0] for c in schema.split(", ")])
 
-    return _rows(docs, doc_id, text).mapInArrow(run, schema)
+    return _rows(docs, doc_id, text).mapInArrow(tidy(run), schema)
 
 
 def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -141,7 +141,7 @@ def linked_at_all(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     parts = _parts(docs)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 16 << 20):
+        for batch in slices(batches, "text"):
             hashes, cuts = shingle_sets(batch.column(1))
             rows, s = np.asarray(batch.column(0)), np.diff(cuts)
             take = np.minimum(s, s - needed(s) + np.maximum(1, s // 10))
@@ -187,9 +187,9 @@ def linked_at_all(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(rows[total >= least[first]], pa.int64())], ["row"])
 
     rows = _rows(docs, doc_id, text).select("row", "text")
-    lists = rows.mapInArrow(emit, "part int, hashes binary, rows binary, sizes binary, least binary").repartition(parts, "part")
-    counts = lists.mapInArrow(count, "part int, rows binary, n binary, least binary").repartition(parts, "part")
-    return counts.mapInArrow(judge, "row long")
+    lists = rows.mapInArrow(tidy(emit), "part int, hashes binary, rows binary, sizes binary, least binary").repartition(parts, "part")
+    counts = lists.mapInArrow(tidy(count), "part int, rows binary, n binary, least binary").repartition(parts, "part")
+    return counts.mapInArrow(tidy(judge), "row long")
 
 
 def chains(sets: DataFrame) -> DataFrame:
@@ -197,7 +197,7 @@ def chains(sets: DataFrame) -> DataFrame:
     parts = _parts(sets)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "hashes", 16 << 20):
+        for batch in slices(batches, "hashes"):
             rows, blobs = np.asarray(batch.column(0)), batch.column(1).to_pylist()
             s = np.array([len(b) // 8 for b in blobs])
             hashes = np.frombuffer(b"".join(blobs), "<u8")
@@ -227,10 +227,10 @@ def chains(sets: DataFrame) -> DataFrame:
         pairs = np.unique(np.stack([rows[same], rows[same + 1]], axis=1), axis=0) if len(same) else np.empty((0, 2), np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], ["a", "b"])
 
-    lists = sets.select("row", "hashes").mapInArrow(emit, "part int, hashes binary, rows binary, n binary").repartition(parts, "part")
-    seen = lists.mapInArrow(frequent, "part int, rows binary, hashes binary, seen binary, n binary").repartition(parts, "part")
-    first = seen.mapInArrow(rare, "part int, hashes binary, rows binary").repartition(parts, "part")
-    return first.mapInArrow(chain, "a long, b long")
+    lists = sets.select("row", "hashes").mapInArrow(tidy(emit), "part int, hashes binary, rows binary, n binary").repartition(parts, "part")
+    seen = lists.mapInArrow(tidy(frequent), "part int, rows binary, hashes binary, seen binary, n binary").repartition(parts, "part")
+    first = seen.mapInArrow(tidy(rare), "part int, hashes binary, rows binary").repartition(parts, "part")
+    return first.mapInArrow(tidy(chain), "a long, b long")
 
 
 class Lists:
@@ -275,7 +275,7 @@ class Lists:
 def links(sets: DataFrame, blocks: DataFrame) -> DataFrame:
     """a, b: links within blocks; of sets that several links join, a spanning part for each pair of chunks."""
     sized = sets.select("row", "n").join(blocks.select(F.col("node").alias("row"), F.col("component").alias("block")), "row")
-    sized = written(sized.withColumn("range", F.floor(F.log2("n") * 4).cast("int")), "sized")
+    sized = sized.withColumn("range", F.floor(F.log2("n") * 4).cast("int"))
     cuts = sized.groupBy("block", "range").agg(F.ceil(F.greatest(F.count("*") / CHUNK_SETS, F.sum("n") / CHUNK_SHINGLES)).alias("cuts"))
     placed = sized.join(cuts, ["block", "range"])
     placed = placed.select("row", "n", "block", F.struct("range", F.pmod(F.xxhash64("row"), F.col("cuts")).alias("k")).alias("chunk"))
@@ -283,8 +283,8 @@ def links(sets: DataFrame, blocks: DataFrame) -> DataFrame:
     chunks = placed.groupBy("block", "chunk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     left, right = chunks.select("block", F.col("chunk").alias("x"), F.col("hi").alias("xhi")), chunks.select("block", F.col("chunk").alias("y"), F.col("lo").alias("ylo"))
     pairs = left.join(right, "block").where((F.col("x") <= F.col("y")) & (F.col("ylo") * PERCENT <= F.col("xhi") * 100))
-    pairs = written(pairs.select("block", "x", "y", F.xxhash64("block", "x", "y").alias("task")), "tasks")
-    sides = pairs.select("block", F.col("x").alias("chunk"), "task", F.lit(False).alias("index")).union(pairs.select("block", F.col("y"), "task", F.lit(True)))
+    ends = F.explode(F.array(F.struct(F.col("x").alias("chunk"), F.lit(False).alias("index")), F.struct(F.col("y").alias("chunk"), F.lit(True).alias("index"))))
+    sides = pairs.select("block", F.xxhash64("block", "x", "y").alias("task"), ends.alias("e")).select("block", "task", "e.chunk", "e.index")
     dealt = placed.join(sides, ["block", "chunk"]).select("row", "task", "index").join(sets.select("row", "hashes"), "row")
     dealt = dealt.select("task", "index", "row", "hashes").repartition(_parts(sets), "task").sortWithinPartitions("task", F.desc("index"), "row")
 
@@ -305,7 +305,7 @@ def links(sets: DataFrame, blocks: DataFrame) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*sorted(out), strict=True)], ["a", "b"])
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(tidy(run), "a long, b long")
 
 
 def _spanning(lists: Lists, query: np.ndarray) -> list[int]:
@@ -323,8 +323,9 @@ def _spanning(lists: Lists, query: np.ndarray) -> list[int]:
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """row, doc_id, n_shingles and component_id of each document."""
     rows = written(sets_of(docs, doc_id, text, False), "rows")
-    some = written(linked_at_all(docs, doc_id, text).distinct(), "some")
-    left = _rows(docs, doc_id, text).join(some, "row", "left_semi").select("doc_id", "text")
+    some = written(linked_at_all(docs, doc_id, text), "some")
+    # always a sort-merge join: the ids that are left grow with the documents
+    left = _rows(docs, doc_id, text).join(some.hint("merge"), "row", "left_semi").select("doc_id", "text")
     sets = sets_of(left, "doc_id", "text", True).where("n > 0").groupBy("digest").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("hashes").alias("hashes"))
     sets = written(sets, "sets")
     found = written(links(sets, components(chains(sets), "a", "b")), "links")
@@ -332,7 +333,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     # a class of equal sets goes where its set goes
     classes = written(sets.select("digest", "row").join(joined, "row", "left").select("digest", F.coalesce("component", "row").alias("component")), "classes")
     placed = rows.join(classes, "digest", "left").withColumn("component", F.when(F.col("n") > 0, F.coalesce("component", "row")).otherwise(F.col("row")))
-    least = placed.groupBy("component").agg(F.min("doc_id").alias("least"), F.count("*").alias("m")).where("m > 1")
+    least = placed.groupBy("component").agg(F.min("doc_id").alias("least"), F.count("*").alias("m")).where("m > 1").drop("m")
+    least = written(least, "least")  # a table, so that the join below can split a large component
     out = placed.join(least, "component", "left")
     return out.select("row", "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("least", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
