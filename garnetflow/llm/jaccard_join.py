@@ -13,12 +13,14 @@ PERCENT * united, so a set of s shingles shares T = ceil(PERCENT / 100 * s) at l
    short ones merged, and sets that occur often enough are looked up in the long lists by binary search.
 4. Components of the links, and of equal sets, by stars over tables of edges.
 
-Lists travel packed, one row for many entries, so neither a frequent shingle nor a large group makes a heavy
-task; no step writes the pairs within a list or group.
+Lists travel packed, one row for many entries, and what a slice or task can tell by itself (hashes that several of
+its texts share, sets that share a needed shingle) is counted or chained there, with one entry for each shingle
+sent on; no step writes the pairs within a list or group.
 
 Cases: null and empty texts have no set and no link; fewer than five words make one shingle; each row gives one
 row, repeated doc_ids too (they link if their texts do, and share the id); a null doc_id is its own
-component unless linked; empty tables give no row; other columns pass through keep_one() as they are.
+component unless linked; empty tables give no row; other columns pass through keep_one() as they are, which
+leaves all of several rows that have both doc_id and text in common.
 """
 
 from __future__ import annotations
@@ -83,8 +85,11 @@ def needed(s: np.ndarray | int):
     return -(-PERCENT * s // 100)
 
 
-def _packed(keys: np.ndarray, parts: int, **columns: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Entries as rows of a part number and packed columns; a row for each part that has entries."""
+def _packed(keys: np.ndarray, parts: int, done: bool | None = None, absent: tuple[str, ...] = (), **columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Entries as rows of a part number and packed columns; a row for each part that has entries.
+
+    With `done`, rows also say whether their entries are settled, and columns that these lack are null.
+    """
     if not len(keys):
         return
     part = (keys % np.uint64(parts)).astype(np.int64)
@@ -95,6 +100,9 @@ def _packed(keys: np.ndarray, parts: int, **columns: np.ndarray) -> Iterator[pa.
     for name, values in columns.items():
         values = values[order]
         out[name] = pa.array([values[cuts[k] : cuts[k + 1]].tobytes() for k in used], pa.binary())
+    out |= {name: pa.nulls(len(used), pa.binary()) for name in absent}
+    if done is not None:
+        out["done"] = pa.array([done] * len(used))
     yield pa.RecordBatch.from_pydict(out)
 
 
@@ -147,48 +155,57 @@ def linked_at_all(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             take = np.minimum(s, s - needed(s) + np.maximum(1, s // 10))
             keep = np.flatnonzero(np.arange(len(hashes)) - np.repeat(cuts[:-1], s) < np.repeat(take, s))
             of, hashes = np.repeat(np.arange(len(s)), s)[keep], hashes[keep]
+            least = np.maximum(1, needed(s) // 10).astype(np.uint32)
+            # hashes that several texts of the slice have are counted here; one entry of each hash goes on, marked if it is counted
+            _, one, at, times = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+            n = np.bincount(of[times[at] > 1], minlength=len(s)).astype(np.int32)
+            some = np.flatnonzero(n)
+            yield from _packed(_mix(rows[some]), parts, done=True, absent=("hashes", "counted"), rows=rows[some], sizes=n[some], least=least[some])
+            of, hashes, counted = of[one], hashes[one], (times > 1).astype(np.uint8)
             # in each part: 32 bits of each hash (an equal one by chance only keeps a document in), and each document's id, number of entries and least overlap
             part = (hashes % np.uint64(parts)).astype(np.int64)
             order = np.lexsort((of, part))
-            of, part, hashes = of[order], part[order], (hashes[order] // np.uint64(parts)).astype(np.uint32)
+            of, part, hashes, counted = of[order], part[order], (hashes[order] // np.uint64(parts)).astype(np.uint32), counted[order]
             runs = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (part[1:] != part[:-1])])) if len(of) else np.empty(0, np.int64)
-            sizes = np.diff(np.append(runs, len(of))).astype(np.uint32)
+            sizes = np.diff(np.append(runs, len(of))).astype(np.int32)
             docs_at, parts_at = of[runs], part[runs]
-            least = np.maximum(1, needed(s) // 10).astype(np.uint32)[docs_at]
-            out: dict[str, list] = {"part": [], "hashes": [], "rows": [], "sizes": [], "least": []}
+            out: dict[str, list] = {"part": [], "rows": [], "sizes": [], "least": [], "hashes": [], "counted": []}
             for k in np.unique(parts_at).tolist():
                 a, b = np.searchsorted(parts_at, [k, k + 1])
                 c, d = np.searchsorted(part, [k, k + 1])
-                for name, value in zip(out, (k, hashes[c:d].tobytes(), rows[docs_at[a:b]].tobytes(), sizes[a:b].tobytes(), least[a:b].tobytes()), strict=True):
+                for name, value in zip(out, (k, rows[docs_at[a:b]].tobytes(), sizes[a:b].tobytes(), least[docs_at[a:b]].tobytes(), hashes[c:d].tobytes(), counted[c:d].tobytes()), strict=True):
                     out[name].append(value)
             if out["part"]:
-                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int32() if n == "part" else pa.binary()) for n, v in out.items()], list(out))
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int32() if m == "part" else pa.binary()) for m, v in out.items()] + [pa.array([False] * len(out["part"]))], [*out, "done"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_part: dict[int, list[list[bytes]]] = {}
         for batch in batches:
-            for k, *blobs in zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True):
+            for k, *blobs in zip(*(batch.column(c).to_pylist() for c in range(6)), strict=True):
                 by_part.setdefault(k, []).append(blobs)
         for found in by_part.values():
-            hashes, rows, sizes, least = (np.frombuffer(b"".join(f[c] for f in found), kind) for c, kind in enumerate(("<u4", "<i8", "<u4", "<u4")))
+            rows, sizes, least, hashes, counted = (np.frombuffer(b"".join(f[c] for f in found), kind) for c, kind in enumerate(("<i8", "<i4", "<u4", "<u4", "<u1")))
             order = np.argsort(hashes, kind="stable")
             same = hashes[order[1:]] == hashes[order[:-1]]
             shared = np.zeros(len(hashes), np.int32)
             shared[order[1:][same]] = 1
             shared[order[:-1][same]] = 1
+            shared[counted > 0] = 0
             n = np.add.reduceat(shared, np.cumsum(sizes.astype(np.int64)) - sizes).astype(np.int32)
             keep = n > 0
-            yield from _packed(_mix(rows[keep]), parts, rows=rows[keep], n=n[keep], least=least[keep].astype(np.int32))
+            yield from _packed(_mix(rows[keep]), parts, rows=rows[keep], sizes=n[keep], least=least[keep])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, n, least = _gathered(batches, "<i8", "<i4", "<i4")
+        rows, n, least = _gathered(batches, "<i8", "<i4", "<u4")
         rows, first, at = np.unique(rows, return_index=True, return_inverse=True)
         total = np.bincount(at, n, len(rows))
         yield pa.RecordBatch.from_arrays([pa.array(rows[total >= least[first]], pa.int64())], ["row"])
 
     rows = _rows(docs, doc_id, text).select("row", "text")
-    lists = rows.mapInArrow(tidy(emit), "part int, hashes binary, rows binary, sizes binary, least binary").repartition(parts, "part")
-    counts = lists.mapInArrow(tidy(count), "part int, rows binary, n binary, least binary").repartition(parts, "part")
+    columns = "part int, rows binary, sizes binary, least binary"
+    lists = written(rows.mapInArrow(tidy(emit), f"{columns}, hashes binary, counted binary, done boolean"), "lists")
+    counts = lists.where("not done").drop("done").repartition(parts, "part").mapInArrow(tidy(count), columns)
+    counts = lists.where("done").select("part", "rows", "sizes", "least").union(counts).repartition(parts, "part")
     return counts.mapInArrow(tidy(judge), "row long")
 
 
@@ -217,20 +234,35 @@ def chains(sets: DataFrame) -> DataFrame:
         _, first, shared = np.unique(rows, return_index=True, return_counts=True)
         at = np.arange(len(rows)) - np.repeat(first, shared) + np.repeat(n[first] - shared, shared)  # shingles of its own come first
         keep = at <= n - needed(n)
-        yield from _packed(hashes[keep], parts, hashes=hashes[keep], rows=rows[keep])
+        hashes, rows = hashes[keep], rows[keep]
+        # sets of this task that share a shingle are chained here, and one of them goes on for each shingle
+        a, b, one = _chained(hashes, rows)
+        yield from _packed(_mix(a), parts, done=True, rows=a, hashes=b)
+        yield from _packed(hashes[one], parts, done=False, rows=rows[one], hashes=hashes[one])
 
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, rows = _gathered(batches, "<u8", "<i8")
-        order = np.lexsort((rows, hashes))
-        hashes, rows = hashes[order], rows[order]
-        same = np.flatnonzero(hashes[1:] == hashes[:-1])
-        pairs = np.unique(np.stack([rows[same], rows[same + 1]], axis=1), axis=0) if len(same) else np.empty((0, 2), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], ["a", "b"])
+        rows, hashes = _gathered(batches, "<i8", "<u8")
+        a, b, _ = _chained(hashes, rows)
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b = _gathered(batches, "<i8", "<i8")
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     lists = sets.select("row", "hashes").mapInArrow(tidy(emit), "part int, hashes binary, rows binary, n binary").repartition(parts, "part")
     seen = lists.mapInArrow(tidy(frequent), "part int, rows binary, hashes binary, seen binary, n binary").repartition(parts, "part")
-    first = seen.mapInArrow(tidy(rare), "part int, hashes binary, rows binary").repartition(parts, "part")
-    return first.mapInArrow(tidy(chain), "a long, b long")
+    first = written(seen.mapInArrow(tidy(rare), "part int, rows binary, hashes binary, done boolean"), "first")
+    across = first.where("not done").drop("done").repartition(parts, "part").mapInArrow(tidy(chain), "a long, b long")
+    return across.union(first.where("done").drop("done").mapInArrow(tidy(spread), "a long, b long"))
+
+
+def _chained(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows that follow each other among those with the same hash, and the place of the first of each hash."""
+    order = np.lexsort((rows, hashes))
+    same = hashes[order[1:]] == hashes[order[:-1]]
+    pairs = np.unique(np.stack([rows[order[:-1]][same], rows[order[1:]][same]]), axis=1).astype(np.int64)
+    one = np.concatenate([order[:1], order[1:][~same]])
+    return pairs[0], pairs[1], one
 
 
 class Lists:
