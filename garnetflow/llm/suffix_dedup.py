@@ -11,8 +11,10 @@ prefix doubling goes on over their starts: the name of a string of 2h bytes is m
 bytes at the start and at offset h; the names are sorted, and starts whose name is unique drop out, until the
 strings reach LENGTH. The last step overlaps its halves if LENGTH is no doubling of the first length.
 
-Names travel packed, one row for many entries, so a string that a third of all documents share makes no
-heavy row; names are never sent to the driver.
+Names travel packed, one row for many entries. What a slice of the input knows by itself (equal runs, several
+kinds of run at a mark, equal names) is settled before anything moves, and of each mark or name a slice sends on
+one or two entries: a string that a third of all documents share costs its sorting task two entries for each
+slice, not one for each document. Names are never sent to the driver.
 
 Cases: null counts as empty text; texts shorter than LENGTH lose nothing; equal rows are occurrences of each other; matches
 never cross documents; a null doc_id is a value like any other; an empty table gives no row; other
@@ -97,24 +99,18 @@ def _settle(rows: DataFrame, length: int, anchor: int) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 4 << 20):
             r = runs_of(*_buffer(batch.column(1)), length, anchor)
-            yield from _packed(r["mark"], parts, mark=r["mark"], run=r["run"], row=np.asarray(batch.column(0))[r["doc"]], lo=r["lo"], hi=r["hi"])
+            row = np.asarray(batch.column(0))[r["doc"]]
+            mark, run, row, lo, hi, settled, on, place = _kinds(r["mark"], r["run"], row, r["lo"], r["hi"])
+            # what the slice knows by itself is settled here; of each mark two kinds at most go on to be sorted
+            yield from _packed(_mix(row[settled | on]), parts, row=row[settled | on], lo=lo[settled | on], hi=hi[settled | on], state=_state(settled, on), absent=("mark", "run"), done=True)
+            send = place < 2
+            yield from _packed(mark[send], parts, row=row[send], lo=lo[send], hi=hi[send], state=_state(settled, on, send), mark=mark[send], run=run[send], done=False)
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mark, run, row, lo, hi = _gathered(batches, "<u8", "<u8", "<i8", "<i8", "<i8")
-        order = np.lexsort((run, mark))
-        mark, run, row, lo, hi = mark[order], run[order], row[order], lo[order], hi[order]
-        n = len(mark)
-        if not n:
-            return
-        new_mark = np.concatenate([[True], mark[1:] != mark[:-1]])
-        new_run = new_mark | np.concatenate([[True], run[1:] != run[:-1]])
-        of_mark, of_run = np.cumsum(new_mark) - 1, np.cumsum(new_run) - 1
-        copies = np.bincount(of_run)[of_run]
-        kinds = np.bincount(of_mark[new_run])[of_mark]
-        settled = copies > 1
-        on = (kinds > 1) & new_run  # one of each kind of run, where a mark has several
-        keep = settled | on
-        yield from _packed(_mix(row[keep]), parts, row=row[keep], lo=lo[keep], hi=hi[keep], state=(settled + 2 * on)[keep].astype(np.int32))
+        row, lo, hi, state, mark, run = _gathered(batches, "<i8", "<i8", "<i8", "<i4", "<u8", "<u8")
+        mark, run, row, lo, hi, settled, on, _, state = _kinds(mark, run, row, lo, hi, state)
+        new = (_state(settled, on, slice(None)) | state) != state
+        yield from _packed(_mix(row[new]), parts, row=row[new], lo=lo[new], hi=hi[new], state=_state(settled, on, new))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, lo, hi, state = _gathered(batches, "<i8", "<i8", "<i8", "<i4")
@@ -126,11 +122,36 @@ def _settle(rows: DataFrame, length: int, anchor: int) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)], ["row", "spans", "runs"])
 
-    marks = rows.select("row", "text").mapInArrow(tidy(emit), "part int, mark binary, run binary, row binary, lo binary, hi binary").repartition(parts, "part")
-    found = marks.mapInArrow(tidy(sort), "part int, row binary, lo binary, hi binary, state binary").repartition(parts, "part")
+    columns = "part int, row binary, lo binary, hi binary, state binary"
+    marks = written(rows.select("row", "text").mapInArrow(tidy(emit), f"{columns}, mark binary, run binary, done boolean"), "marks")
+    sorted_ = marks.where("not done").drop("done").repartition(parts, "part").mapInArrow(tidy(sort), columns)
+    found = marks.where("done").select("part", "row", "lo", "hi", "state").union(sorted_).repartition(parts, "part")
     return found.mapInArrow(tidy(gather), "row long, spans binary, runs binary")
 
 
+def _kinds(mark: np.ndarray, run: np.ndarray, row: np.ndarray, *columns: np.ndarray) -> tuple:
+    """The columns ordered by mark and run; which runs have copies, which are the first of a kind whose mark has
+    several, and the place of the kind among those of its mark (beyond 1 for copies)."""
+    order = np.lexsort((run, mark))
+    mark, run, row, *columns = (c[order] for c in (mark, run, row, *columns))
+    n = len(mark)
+    new_mark, new_run = np.ones(n, bool), np.ones(n, bool)
+    new_mark[1:] = mark[1:] != mark[:-1]
+    new_run[1:] = new_mark[1:] | (run[1:] != run[:-1])
+    of_mark, of_run = np.cumsum(new_mark) - 1, np.cumsum(new_run) - 1
+    first = of_run[new_mark]
+    settled = np.bincount(of_run)[of_run] > 1 if n else np.zeros(0, bool)
+    on = new_run & (np.bincount(of_mark[new_run])[of_mark] > 1 if n else np.zeros(0, bool))
+    place = np.where(new_run, of_run - (first[of_mark] if n else 0), 2)
+    return mark, run, row, *columns[:2], settled, on, place, *columns[2:]
+
+
+def _state(settled: np.ndarray, on: np.ndarray, which=None) -> np.ndarray:
+    """1 for settled runs, 2 for those that go on, 3 for both."""
+    which = settled | on if which is None else which
+    return (settled + 2 * on)[which].astype(np.int32)
+
+
 def _names(data: bytes, h: int, length: int) -> np.ndarray:
     """The names of all strings of `length` bytes, doubled from those of h bytes."""
     values = np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)
@@ -156,16 +177,15 @@ def _double(runs: DataFrame, first: int, length: int) -> DataFrame:
                 ids.append(np.full(len(at), seg, np.int64))
                 places.append(at)
             if names:
-                names = np.concatenate(names)
-                yield from _packed(names, parts, names=names, ids=np.concatenate(ids), places=np.concatenate(places))
+                names, ids, places = np.concatenate(names), np.concatenate(ids), np.concatenate(places)
+                again, one = _again(names)
+                # names that occur again in the slice are known to; one of each goes on to be sorted
+                yield from _packed(_mix(ids[again]), parts, ids=ids[again], places=places[again], absent=("names",), done=True)
+                yield from _packed(names[one], parts, ids=ids[one], places=places[one], names=names[one], done=False)
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, ids, places = _gathered(batches, "<u8", "<i8", "<i4")
-        order = np.argsort(names, kind="stable")
-        same = names[order[1:]] == names[order[:-1]]
-        again = np.zeros(len(names), bool)
-        again[order[1:][same]] = True
-        again[order[:-1][same]] = True
+        ids, places, names = _gathered(batches, "<i8", "<i4", "<u8")
+        again, _ = _again(names)
         yield from _packed(_mix(ids[again]), parts, ids=ids[again], places=places[again])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,11 +194,19 @@ def _double(runs: DataFrame, first: int, length: int) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary()), strict=True)], ["seg", "alive"])
 
-    names = runs.select("seg", "data", "alive").mapInArrow(tidy(emit), "part int, names binary, ids binary, places binary").repartition(parts, "part")
-    again = names.mapInArrow(tidy(rank), "part int, ids binary, places binary").repartition(parts, "part")
+    columns = "part int, ids binary, places binary"
+    names = written(runs.select("seg", "data", "alive").mapInArrow(tidy(emit), f"{columns}, names binary, done boolean"), "names")
+    ranked = names.where("not done").drop("done").repartition(parts, "part").mapInArrow(tidy(rank), columns)
+    again = names.where("done").select("part", "ids", "places").union(ranked).repartition(parts, "part")
     return again.mapInArrow(tidy(gather), "seg long, alive binary")
 
 
+def _again(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which names occur again, and the place of the first of each."""
+    _, first, of, n = np.unique(names, return_index=True, return_inverse=True, return_counts=True)
+    return n[of] > 1, first
+
+
 def repeated_spans(rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
     """row and its spans (first bytes, then ends) of what repeats, for documents that have any. rows: row, text."""
     parts = _parts(rows)
@@ -196,7 +224,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], list(out))
 
     going = found.where(F.length("runs") > 0).select("row", "runs")
-    runs = rows.select("row", "text").join(going, "row").select("row", "text", "runs")
+    runs = rows.select("row", "text").join(going.hint("merge"), "row").select("row", "text", "runs")
     runs = written(runs.mapInArrow(tidy(lay), "seg long, row long, lo long, data binary, alive binary"), "runs")
     h = first = -(-length // 8)
     while h < length:
@@ -228,7 +256,7 @@ def _with_spans(docs: DataFrame, key: str, doc_id: str, text: str, length: int,
     """docs with `key` and the spans in `key`s; the text stays as it is."""
     marked = docs.withColumn(key, F.xxhash64(F.col(doc_id), F.col(text)))
     spans = written(repeated_spans(marked.select(F.col(key).alias("row"), F.col(text).alias("text")).dropna(), length, anchor), "spans")
-    return marked.join(spans.select(F.col("row").alias(key), F.col("spans").alias(key + "s")), key, "left")
+    return marked.join(spans.select(F.col("row").alias(key), F.col("spans").alias(key + "s")).hint("merge"), key, "left")
 
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
