@@ -7,6 +7,7 @@ import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -57,7 +58,7 @@ def texts_of(column: pa.Array) -> list[str]:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each holds about `limit` bytes of a string column, one row at least."""
+    """The batches cut so that each holds about `limit` bytes of a string or binary column, one row at least."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -72,6 +73,14 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20)
             at = to
 
 
+def importable(spark: SparkSession) -> None:
+    """Workers find this package where the driver found it, from whatever folder the driver was started."""
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = env.get("PYTHONPATH", "").split(":")
+    if root not in paths:
+        env["PYTHONPATH"] = ":".join([root, *filter(None, paths)])
+
+
 def tidy(function):
     """A function for mapInArrow whose batches are bounded and whose worker gives memory back after a task.
 
@@ -80,6 +89,7 @@ def tidy(function):
     """
     spark = SparkSession.getActiveSession()
     if spark is not None:
+        importable(spark)
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, IsNull, LessThan, LessThanOrEqual, Not, StringContains, StringEndsWith, StringStartsWith, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from .common import fs_of, scratch_path
+from .common import fs_of, importable, scratch_path
 
 READ_SCHEMA = "record_id string, record_type string, target_uri string, date string, page_id long, refers_to long, payload_digest string, payload_bytes long, http_status int, payload binary, file string, offset long"
 WRITE_SCHEMA = "page_id long, url string, payload binary, payload_digest string, payload_bytes long, record_type string, refers_to long"
@@ -391,6 +391,7 @@ def records_of(pages: DataFrame, least: int = LEAST_REVISIT, page_id: str = "pag
 
 
 def register(spark: SparkSession) -> None:
+    importable(spark)
     spark.dataSource.register(WarcDataSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
