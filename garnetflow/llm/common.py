@@ -57,7 +57,7 @@ def texts_of(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that each holds about `limit` bytes of a string or binary column, one row at least."""
     for batch in batches:
         if batch.num_rows == 0:

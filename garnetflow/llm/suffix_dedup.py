@@ -97,7 +97,7 @@ def _settle(rows: DataFrame, length: int, anchor: int) -> DataFrame:
     parts = _parts(rows)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text"):
             r = runs_of(*_buffer(batch.column(1)), length, anchor)
             row = np.asarray(batch.column(0))[r["doc"]]
             mark, run, row, lo, hi, settled, on, place = _kinds(r["mark"], r["run"], row, r["lo"], r["hi"])
@@ -169,7 +169,7 @@ def _double(runs: DataFrame, first: int, length: int) -> DataFrame:
     parts = _parts(runs)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "data", 2 << 20):
+        for batch in slices(batches, "data"):
             names, ids, places = [], [], []
             for seg, data, alive in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 at = np.frombuffer(alive, "<i4")
