@@ -20,7 +20,7 @@ sent on; no step writes the pairs within a list or group.
 Cases: null and empty texts have no set and no link; fewer than five words make one shingle; each row gives one
 row, repeated doc_ids too (they link if their texts do, and share the id); a null doc_id is its own
 component unless linked; empty tables give no row; other columns pass through keep_one() as they are, which
-leaves all of several rows that have both doc_id and text in common.
+leaves one row of each component, whether ids are null, repeated or equal rows; rows without words all stay.
 """
 
 from __future__ import annotations
@@ -352,8 +352,8 @@ def _spanning(lists: Lists, query: np.ndarray) -> list[int]:
     return kept
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """row, doc_id, n_shingles and component_id of each document."""
+def _placed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """row, doc_id, n and component (the least row of its sets) of each document."""
     rows = written(sets_of(docs, doc_id, text, False), "rows")
     some = written(linked_at_all(docs, doc_id, text), "some")
     # always a sort-merge join: the ids that are left grow with the documents
@@ -364,7 +364,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     joined = components(found, "a", "b").select(F.col("node").alias("row"), "component")
     # a class of equal sets goes where its set goes
     classes = written(sets.select("digest", "row").join(joined, "row", "left").select("digest", F.coalesce("component", "row").alias("component")), "classes")
-    placed = rows.join(classes, "digest", "left").withColumn("component", F.when(F.col("n") > 0, F.coalesce("component", "row")).otherwise(F.col("row")))
+    return rows.join(classes, "digest", "left").withColumn("component", F.when(F.col("n") > 0, F.coalesce("component", "row")).otherwise(F.col("row")))
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """row, doc_id, n_shingles and component_id of each document."""
+    placed = _placed(docs, doc_id, text)
     least = placed.groupBy("component").agg(F.min("doc_id").alias("least"), F.count("*").alias("m")).where("m > 1").drop("m")
     least = written(least, "least")  # a table, so that the join below can split a large component
     out = placed.join(least, "component", "left")
@@ -372,8 +377,21 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with one document of each component: the one with the smallest doc_id."""
+    """docs with one row of each component: the one with the smallest doc_id, null ids last.
+
+    Of different texts under that id the one with the least hash stays, of equal rows the one whose columns have it.
+    """
     spare = "row_" + "_" * max(len(c) for c in docs.columns)
     marked = docs.withColumn(spare, F.xxhash64(F.col(doc_id).cast("long"), F.col(text)))
-    away = near_duplicates(docs, doc_id, text).where("component_id <> doc_id").select(F.col("row").alias(spare)).distinct()
-    return marked.join(away, spare, "left_anti").drop(spare)
+    placed = _placed(docs, doc_id, text).where("n > 0").select("row", "doc_id", "component")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "row"))["row"]
+    best = written(placed.groupBy("component").agg(best.alias("best"), F.count("*").alias("m")).where("m > 1").drop("m"), "best")
+    fate = placed.join(best, "component").groupBy("row", (F.col("row") != F.col("best")).alias("gone")).agg(F.count("*").alias("m"))
+    fate = written(fate.where("gone or m > 1").select(F.col("row").alias(spare), "gone"), "fate")
+    out = marked.join(fate, spare, "left_anti").drop(spare)
+    twice = fate.where("not gone")
+    if twice.isEmpty():
+        return out
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    one = marked.join(twice, spare, "left_semi").groupBy(spare).agg(F.min_by(whole, F.xxhash64(F.to_json(whole))).alias(spare + "d"))
+    return out.union(one.select(f"{spare}d.*"))

@@ -106,3 +106,21 @@ def test_keep_one_and_edges(spark):
     got = op.near_duplicates(edge).collect()
     assert len(got) == edge.count() and {(r["doc_id"], r["n_shingles"]) for r in got} >= {(1, 0), (2, 0), (3, 1), (4, 0), (5, 1), (None, 3)}
     assert op.near_duplicates(empty_table(spark)).count() == 0
+
+
+def test_keep_one_leaves_one_row_of_each_component(spark):
+    a, b, c, d = (prose(k, 200) for k in (901, 902, 903, 904))
+    near = a + " end"
+    rows = [(None, a, "null"), (5, a, "copy"), (7, near, "near"), (None, b, "null 1"), (None, b, "null 2"), (8, c, "x"), (8, c, "x"), (8, c, "y"), (9, d, "one"), (9, d + " more", "two"), (9, b + d, "alone"), (3, None, "empty"), (3, None, "empty"), (None, " ", "blank")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = op.keep_one(df.repartition(3))
+    assert kept.columns == df.columns
+    got = [tuple(r) for r in kept.collect()]
+    assert [r for r in got if r[1] in (a, near)] == [(5, a, "copy")]
+    assert len([r for r in got if r[1] == b]) == 1 and len([r for r in got if r[1] == c]) == 1
+    assert len([r for r in got if r[1] in (d, d + " more")]) == 1 and (9, b + d, "alone") in got
+    assert len(got) == 8 and got.count((3, None, "empty")) == 2 and (None, " ", "blank") in got
+    again = [tuple(r) for r in op.keep_one(df.repartition(2, "lang")).collect()]
+    assert sorted(got, key=str) == sorted(again, key=str)
+    equal = spark.createDataFrame([(1, a)] * 50, "doc_id long, text string")
+    assert [tuple(r) for r in op.keep_one(equal.repartition(4)).collect()] == [(1, a)]
