@@ -53,7 +53,7 @@ STOP_WORDS = set(
 )
 SHORT, LONG, LINKED, STOPPED = 70, 200, 0.33, 0.08
 
-_tag = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<({RAW})\b((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S | re.I)
+_tag = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?:svg|math)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>|<({RAW})(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S | re.I)
 _attribute = re.compile(r"(class|id|role|itemtype|hidden|aria-label|style)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\s(hidden)(?=[\s/>]|\Z)", re.I)
 _part = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _word = re.compile(r"\w+")

@@ -72,3 +72,14 @@ def test_rows(spark):
     assert len(got) == 4 and all(r["n_chars"] == len(r["text"]) for r in got)
     assert sorted(r["n_chars"] for r in got)[0] == 0 and max(r["n_chars"] for r in got) == 399_999
     assert op.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("inner", ["<svg-icon name=x></svg-icon>", "<title-bar>", "<style-guide a='1'>", "<template-x></template-x>", "<svg viewBox='0 0 1 1' />", "<svg/>", '<math xmlns="a>b"/>', "<svg\n/>", "<SVG/>"])
+def test_names_that_only_begin_like_raw_ones_and_empty_ones(inner):
+    assert op.main_text(f"<article><p>one</p>{inner}<p>two</p></article><p>outside") == "one\ntwo"
+    assert op.main_text(f"<article><p>one</p>{inner}<p>two</p><svg><text>no</text></svg><p>three</p></article>") == "one\ntwo\nthree"
+
+
+@pytest.mark.parametrize("inner", ["<svg><text>no</text></svg>", "<svg a=1>no<g/></svg >", "<math>no</math>", "<script>no</script>", "<style\n>no</style>", "<script src=x />no</script>"])
+def test_raw_elements_still_go(inner):
+    assert op.main_text(f"<article><p>one</p>{inner}<p>two</p></article>") == "one\ntwo"
