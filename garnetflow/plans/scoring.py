@@ -247,6 +247,19 @@ def jaccard(spark, sf_dir):
     return rows.select("item_id", "doc_id", F.round(retrieval.severe(retrieval.jaccard(F.col("q"), F.col("d")), severity), 6).alias("jaccard"), F.round(retrieval.jaccard_repeats(F.col("q"), F.col("d")), 6).alias("jaccard_repeats"))
 
 
+@query(
+    f"""WITH jd AS MATERIALIZED (SELECT doc_id, {sql_words('ranking')} AS w FROM documents), jq AS MATERIALIZED (SELECT item_id, {sql_words('ranking')} AS w FROM benchmark),
+j AS (SELECT item_id, doc_id, len(list_intersect(jq.w, jd.w)) AS i, len(list_distinct(jq.w)) AS nq, len(list_distinct(jd.w)) AS nd, len(list_filter(jd.w, lambda x: list_contains(jq.w, x))) AS o FROM jq, jd)
+SELECT item_id, doc_id, round(i / (nq + nd - i) * CASE WHEN doc_id % 2 = 0 THEN 1.2 ELSE 1 END, 6) AS jaccard, round(o / (nq + nd - o + 1), 6) AS jaccard_repeats FROM j WHERE i > 0"""
+)
+def jaccard_whole(spark, sf_dir):
+    """All items against all documents, where `jaccard` and its SQL take the pairs whose ids agree modulo 40."""
+    rows = retrieval.jaccard_search(_bag(spark, sf_dir, "documents", "doc_id", "ranking"), _bag(spark, sf_dir, "benchmark", "item_id", "ranking"))
+    rows = rows.select(F.col("query").alias("item_id"), F.col("id").alias("doc_id"), "jaccard", "jaccard_repeats")
+    severity = F.when(F.col("doc_id") % 2 == 0, "High").otherwise("Low")
+    return rows.select("item_id", "doc_id", F.round(retrieval.severe(F.col("jaccard"), severity), 6).alias("jaccard"), F.round("jaccard_repeats", 6).alias("jaccard_repeats"))
+
+
 _SQL_KEYWORDS = " UNION ALL ".join(f"SELECT doc_id, '{v}' AS vector, 90 AS c FROM sd WHERE {sql_any('lower(said)', w)}" for v, w in fixed.VECTOR_KEYWORDS.items())
 _SQL_REGEX = " UNION ALL ".join(f"SELECT doc_id, '{v}', 80 FROM sd WHERE " + " OR ".join(f"regexp_matches(said, '(?i){p}')" for p in ps) for v, ps in fixed.VECTOR_PATTERNS.items())
 _SQL_BY_CWE = " UNION ALL ".join(f"SELECT doc_id, '{v}', 100 FROM sd WHERE doc_id % 100 = {c}" for c, vs in fixed.REPORT_CWE_VECTORS if int(c) < 100 for v in vs)

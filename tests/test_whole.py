@@ -1,0 +1,34 @@
+"""Queries that take all rows or pairs, where those of the shorter name take the part that their SQL names."""
+
+from __future__ import annotations
+
+from compare import cell
+
+from garnetflow.operators import retrieval
+from garnetflow.plans import QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+def rows_of(spark, name):
+    return {tuple(map(cell, r)) for r in QUERIES[name](spark, SF).collect()}
+
+
+def test_jaccard_search_scores_every_pair(spark):
+    docs = [(k, "a b c d".split()[: 1 + k % 4] + ["x"] * (k % 3)) for k in range(50)] + [(7, ["a", "q"]), (8, []), (None, ["b"])]
+    items = [(3, ["a", "a", "x"]), (4, ["q"]), (5, []), (100, ["b", "c"])]
+    make = lambda rows: spark.createDataFrame(rows, "id long, words array<string>").repartition(3)
+    got = [tuple(map(cell, r)) for r in retrieval.jaccard_search(make(docs), make(items)).collect()]
+    want = []
+    for q, a in items:
+        for d, b in docs:
+            o, both, n = sum(w in a for w in b), len({*a} & {*b}), len({*a}) + len({*b})
+            if both:
+                want.append((q, d, both / (n - both), None if n - o + 1 == 0 else o / (n - o + 1)))
+    assert sorted(got, key=repr) == sorted((tuple(map(cell, r)) for r in want), key=repr)
+
+
+def test_jaccard_whole_has_the_pairs_of_jaccard_and_others(spark):
+    whole = rows_of(spark, "jaccard_whole")
+    assert {r for r in rows_of(spark, "jaccard") if r[2] or r[3]} < whole
+    assert any(i % 40 != d % 40 for i, d, *_ in whole)
