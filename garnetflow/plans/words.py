@@ -88,6 +88,14 @@ def all_pattern(spark, sf_dir):
     return docs.join(F.broadcast(types), "k").where(tx.all_of(F.col("low"), F.col("keywords"))).select("doc_id", "p_type")
 
 
+@query("SELECT doc_id, p_type FROM documents JOIN (SELECT DISTINCT p_type FROM part) ON contains(lower(text), lower(left(p_type, 2))) AND contains(lower(text), lower(right(p_type, 1)))")
+def all_pattern_whole(spark, sf_dir):
+    """All patterns on every document, where `all_pattern` and its SQL take those of its residue modulo 6."""
+    types = table(spark, sf_dir, "part", "p_type").distinct().select("p_type", F.array(F.lower(F.substring("p_type", 1, 2)), F.lower(F.expr("right(p_type, 1)"))).alias("keywords"))
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.lower("text").alias("low"))
+    return docs.crossJoin(F.broadcast(types)).where(tx.all_of(F.col("low"), F.col("keywords"))).select("doc_id", "p_type")
+
+
 _LAYERS = ["er.*(?:th|an)", r"(?:en|es)\s+de", "ch(?:er|en)"]
 
 

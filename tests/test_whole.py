@@ -32,3 +32,8 @@ def test_jaccard_whole_has_the_pairs_of_jaccard_and_others(spark):
     whole = rows_of(spark, "jaccard_whole")
     assert {r for r in rows_of(spark, "jaccard") if r[2] or r[3]} < whole
     assert any(i % 40 != d % 40 for i, d, *_ in whole)
+
+
+def test_all_pattern_whole_tries_every_pattern(spark):
+    whole = rows_of(spark, "all_pattern_whole")
+    assert rows_of(spark, "all_pattern") < whole and any(d % 6 != ord(t[0]) % 6 for d, t in whole)
