@@ -234,6 +234,14 @@ def embedding_cosine(spark, sf_dir):
     return rows.join(queries, "label").select("query", "vec_id", F.round(retrieval.dense_cosine(F.col("q"), F.col("embedding")), 6).alias("cosine"))
 
 
+@query(f"SELECT a.vec_id AS query, b.vec_id, round({_SQL_COS}, 6) AS cosine FROM embeddings a JOIN embeddings b ON a.vec_id % 100 = 0")
+def embedding_cosine_whole(spark, sf_dir):
+    """The queries against all vectors, where `embedding_cosine` and its SQL take those of the same label."""
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding").withColumn("n", retrieval.dense_norm(F.col("embedding")))
+    queries = F.broadcast(rows.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query"), F.col("embedding").alias("q"), F.col("n").alias("qn")))
+    return rows.crossJoin(queries).select("query", "vec_id", F.round(retrieval.dense_cosine(F.col("q"), F.col("embedding"), F.col("qn") * F.col("n")), 6).alias("cosine"))
+
+
 _SQL_JAC = f"""jd AS MATERIALIZED (SELECT doc_id, doc_id % 40 AS k, {sql_words('ranking')} AS w FROM documents), jq AS MATERIALIZED (SELECT item_id, item_id % 40 AS k, {sql_words('ranking')} AS w FROM benchmark),
 j AS (SELECT item_id, doc_id, len(list_intersect(jq.w, jd.w)) AS i, len(list_distinct(jq.w)) AS nq, len(list_distinct(jd.w)) AS nd, len(list_filter(jd.w, lambda x: list_contains(jq.w, x))) AS o FROM jq JOIN jd USING (k))"""
 

@@ -37,3 +37,10 @@ def test_jaccard_whole_has_the_pairs_of_jaccard_and_others(spark):
 def test_all_pattern_whole_tries_every_pattern(spark):
     whole = rows_of(spark, "all_pattern_whole")
     assert rows_of(spark, "all_pattern") < whole and any(d % 6 != ord(t[0]) % 6 for d, t in whole)
+
+
+def test_embedding_cosine_whole_scores_every_vector(spark):
+    whole = rows_of(spark, "embedding_cosine_whole")
+    ids = {r[0] for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id").collect()}
+    assert {(q, v) for q, v, _ in whole} == {(q, v) for q in ids if q % 100 == 0 for v in ids}
+    assert rows_of(spark, "embedding_cosine") < whole
