@@ -37,6 +37,13 @@ def description_parts(spark, sf_dir):
     return rows.select("page_id", F.md5(tx.described(F.col("url"), F.substring("html", 1, 300))).alias("text_md5"))
 
 
+@query(f"SELECT page_id, md5(array_to_string(list_filter([{_SQL_CLEAN.format('url')}, {_SQL_CLEAN.format('html')}], lambda x: x <> ''), ' ')) AS text_md5 FROM pages")
+def description_parts_whole(spark, sf_dir):
+    """Whole pages, where `description_parts` and its SQL take the first 300 characters."""
+    rows = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return rows.select("page_id", F.md5(tx.described(F.col("url"), F.col("html"))).alias("text_md5"))
+
+
 @query("SELECT p_partkey, substr(p_brand, 7) AS brand_id FROM part WHERE starts_with(p_brand, 'Brand#')")
 def strip_prefix(spark, sf_dir):
     rows = table(spark, sf_dir, "part", "p_partkey", "p_brand").withColumn("ids", tx.stripped_ids(F.array("p_brand"), "Brand#"))
@@ -163,6 +170,12 @@ def escape_html(spark, sf_dir):
     return table(spark, sf_dir, "pages", "page_id", "url", "html").select("page_id", F.md5(tx.escaped(F.concat("url", F.substring("html", 1, 200)))).alias("escaped_md5"))
 
 
+@query("SELECT page_id, md5(replace(replace(replace(replace(replace(url || html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''''', '&#39;')) AS escaped_md5 FROM pages")
+def escape_html_whole(spark, sf_dir):
+    """Whole pages, where `escape_html` and its SQL take the first 200 characters."""
+    return table(spark, sf_dir, "pages", "page_id", "url", "html").select("page_id", F.md5(tx.escaped(F.concat("url", "html"))).alias("escaped_md5"))
+
+
 @query("SELECT s_suppkey, 'CVE-' || s_suppkey AS cve, list_aggregate([CAST(s_nationkey AS VARCHAR), 'X' || s_suppkey], 'string_agg', ',') AS cwes FROM supplier")
 def id_normalise(spark, sf_dir):
     rows = table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")

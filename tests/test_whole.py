@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from compare import cell
 
 from garnetflow.operators import retrieval
@@ -44,3 +46,12 @@ def test_embedding_cosine_whole_scores_every_vector(spark):
     ids = {r[0] for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id").collect()}
     assert {(q, v) for q, v, _ in whole} == {(q, v) for q in ids if q % 100 == 0 for v in ids}
     assert rows_of(spark, "embedding_cosine") < whole
+
+
+def test_whole_pages_count(spark, tmp_path):
+    rows = [(k, "u", "x" * 400 + end) for k, end in enumerate(["", "<b>&", " <i>y</i>  z"])]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    md5 = lambda text: hashlib.md5(text.encode()).hexdigest()
+    got = {name: dict(map(tuple, QUERIES[name](spark, str(tmp_path)).collect())) for name in ("description_parts_whole", "escape_html_whole")}
+    assert got["description_parts_whole"] == {k: md5("u " + "x" * 400 + end) for k, end in enumerate(["", "&", " y z"])}
+    assert got["escape_html_whole"] == {k: md5("u" + "x" * 400 + end) for k, end in enumerate(["", "&lt;b&gt;&amp;", " &lt;i&gt;y&lt;/i&gt;  z"])}
