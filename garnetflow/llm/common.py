@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import ctypes
 import tempfile
 import uuid
@@ -20,17 +21,19 @@ _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a folder of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or on one machine a folder of our own where that is unset."""
     sc = spark.sparkContext
     told = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("garnetflow.shared.dir", None)
     if not told:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir names no folder that all machines share")
         told = "file://" + tempfile.mkdtemp(prefix="garnetflow-")
         spark.conf.set("garnetflow.shared.dir", told)
     return told.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder; what is written there goes when the driver ends."""
+    """A new path in the shared folder; what is written there goes when the driver ends, or before by discard()."""
     path = f"{shared_dir(spark)}/garnetflow-{uuid.uuid4().hex}/{name}"
     atexit.register(_remove, spark, path.rpartition("/")[0])
     return path
@@ -44,12 +47,38 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting of the session for a while; what the caller had comes back."""
+    was = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, was)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: it cuts the lineage and outlives lost executors."""
+    """df as a Parquet table in the shared folder: it cuts the lineage and outlives lost executors.
+
+    Nothing reads the shuffle files of the plan again, so they go as soon as the table is written.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that written() gave, once all that is made of them is written itself."""
+    for table in tables:
+        _remove(table.sparkSession, table.scratch.rpartition("/")[0])
 
 
 def texts_of(column: pa.Array) -> list[str]:

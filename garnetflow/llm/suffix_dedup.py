@@ -1,20 +1,22 @@
-"""Exact substring deduplication by distributed prefix doubling on sampled positions.
+"""Exact substring deduplication by distributed prefix doubling over sampled positions.
 
-A byte goes if a string of LENGTH bytes that covers it starts anywhere else too. Ranking every position is
-not needed to find these strings: in each string of LENGTH bytes the least hash of its ANCHOR-byte pieces
-marks one place, and equal strings mark the same place. So positions stand in runs of starts that share a mark,
-about two runs for each LENGTH bytes.
+A byte goes if a string of LENGTH bytes that covers it starts anywhere else too. Ranking every position of a corpus
+would cost many times its size, so positions are sampled by content: a position is a cut if the hash of
+its ANCHOR bytes is the least of any `window` consecutive positions. A start's head is the least of the window at
+the start, so equal strings have the same cuts at the same places from their head on, and each start belongs to one cut.
 
-Round 0 sorts the marks by the rank (a 64-bit name) of their ANCHOR bytes; unique ones drop out, and runs that
-are equal over their whole length are settled. The bytes of the runs that are left are laid down once, and
-prefix doubling goes on over their starts: the name of a string of 2h bytes is made of the pair of names of h
-bytes at the start and at offset h; the names are sorted, and starts whose name is unique drop out, until the
-strings reach LENGTH. The last step overlaps its halves if LENGTH is no doubling of the first length.
+Prefix doubling runs over the cuts, one row for each. Round 0 ranks the piece from a cut to the next; round h
+joins the rank at cut i with the rank at cut i + h, sorts the pairs, ranks them anew and carries the ranks on. Cuts
+whose pair is unique drop out. A cut stops when its ranks span its core, the n pieces that all strings with this head
+contain; if n is no power of two, the last step overlaps its halves (the ranks at i and i + n - h).
 
-Names travel packed, one row for many entries. What a slice of the input knows by itself (equal runs, several
-kinds of run at a mark, equal names) is settled before anything moves, and of each mark or name a slice sends on
-one or two entries: a string that a third of all documents share costs its sorting task two entries for each
-slice, not one for each document. Names are never sent to the driver.
+What is left are cuts whose core occurs again. A string is then its core's rank with the bytes before and after the core:
+the starts of a cut are settled together if the whole span of their strings is equal to another's, and one
+by one in the kinds of span that differ under one core.
+
+The method per key: pairs are counted by partial aggregation before they move, and the ranks come back by joins whose
+skewed partitions Spark splits, so a passage that a third of all documents share makes no heavy task. Pieces and
+the bytes beside a core are compared by 64-bit hashes; results are exact up to collisions of these.
 
 Cases: null counts as empty text; texts shorter than LENGTH lose nothing; equal rows are occurrences of each other; matches
 never cross documents; a null doc_id is a value like any other; an empty table gives no row; other
@@ -31,13 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, texts_of, tidy, written
+from .common import discard, slices, texts_of, tidy, written
 from .decontaminate import _B, _buffer, _C, _runs
-from .jaccard_join import _gathered, _mix, _packed, _parts
 
 LENGTH = 400
-ANCHOR = 48
+ANCHOR = 24
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+CUTS = "row long, k int, name long, n int, top int, head int, tail int, lo int, hi int, edge long"
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -45,43 +47,70 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def runs_of(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int) -> dict[str, np.ndarray]:
-    """The runs of starts of all texts of a buffer: text, first and last start, name of the mark, name of the run."""
-    wide = length - anchor + 1  # pieces in a string
-    values = data.astype(np.uint64) + np.uint64(1)
-    none = {k: np.empty(0, np.int64) for k in ("doc", "lo", "hi")} | {"mark": np.empty(0, np.uint64), "run": np.empty(0, np.uint64)}
+def _window(length: int) -> int:
+    return max(1, length // 6)
+
+
+def _named(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit names of strings of a buffer."""
+    return _mixed(_runs(values, _B, starts, ends) + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def cuts_of(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int) -> dict[str, np.ndarray]:
+    """The cuts of all texts of a buffer that have a piece: text, number within it, name of the piece, pieces of the core (0
+    without starts), the most of any core of the text, and from the text's begin the core, the first and last start; the name of what lies
+    beside the core in the span of the starts."""
+    window = _window(length)
+    wide = window + anchor - 1
+    kinds = {"doc": np.int64, "k": np.int32, "name": np.uint64, "n": np.int32, "top": np.int32, "head": np.int32, "tail": np.int32, "lo": np.int32, "hi": np.int32, "edge": np.uint64}
+    none = {k: np.empty(0, t) for k, t in kinds.items()}
     if len(data) < length:
         return none
+    values = data.astype(np.uint64) + np.uint64(1)
     at = np.arange(len(data) - anchor + 1)
-    pieces = _mixed(_runs(values, _B, at, at + anchor))
-    least = (pieces & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)
+    least = (_mixed(_runs(values, _B, at, at + anchor)) & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)
     have = 1
-    while have < wide:  # least[i]: of the pieces from i on, `have` many
-        step = min(have, wide - have)
+    while have < window:  # least[i]: of the positions from i on, `have` many
+        step = min(have, window - have)
         least = np.minimum(least[:-step], least[step:])
         have += step
-    starts = np.arange(len(least))
-    doc = np.searchsorted(offsets, starts, side="right") - 1
-    inside = starts + length <= offsets[doc + 1]
-    starts, doc, mark = starts[inside], doc[inside], (least[inside] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    if not len(starts):
+    mark = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    begin = np.arange(len(mark))
+    doc = np.searchsorted(offsets, begin, side="right") - 1
+    long = (offsets[1:] - offsets[:-1]) >= length
+    inside = (begin + wide <= offsets[doc + 1]) & long[doc]
+    begin, doc, mark = begin[inside], doc[inside], mark[inside]
+    if not len(begin):
         return none
-    cut = np.flatnonzero(np.concatenate([[True], (mark[1:] != mark[:-1]) | (doc[1:] != doc[:-1])]))
-    lo, hi, doc, mark = starts[cut], starts[np.append(cut[1:], len(starts)) - 1], doc[cut], mark[cut]
-    run = _runs(values, _B, lo, hi + length) + (mark - lo).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (hi - lo).astype(np.uint64)
-    return {"doc": doc, "lo": lo - offsets[doc], "hi": hi - offsets[doc], "mark": pieces[mark], "run": _mixed(run)}
-
-
-def _by_row(rows: np.ndarray, order_by: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
-    """For each row id its columns, ordered."""
-    if not len(rows):
-        return
-    order = np.lexsort((order_by, rows))
-    rows, columns = rows[order], [c[order] for c in columns]
-    ids, first = np.unique(rows, return_index=True)
-    ends = np.append(first[1:], len(rows))
-    for row, a, b in zip(ids.tolist(), first.tolist(), ends.tolist(), strict=True):
-        yield row, *(c[a:b] for c in columns)
+    new = np.flatnonzero(np.concatenate([[True], (mark[1:] != mark[:-1]) | (doc[1:] != doc[:-1])]))
+    cut, doc, lo = mark[new], doc[new], begin[new]
+    first = np.searchsorted(doc, doc)  # of the text's cuts
+    hi = np.minimum(begin[np.append(new[1:], len(begin)) - 1], offsets[doc + 1] - length)
+    starts = lo <= hi
+    # the core ends with the cut that the window at cut + reach has, whatever start of the cut a string has
+    reach = length - 2 * window - anchor + 2
+    ends = np.full(len(cut), -1, np.int64)
+    of_begin = np.cumsum(np.concatenate([[0], (np.diff(mark) != 0) | (np.diff(begin) != 1)]))  # each window's cut
+    where = np.searchsorted(begin, cut[starts] + reach)
+    ends[starts] = of_begin[where]
+    n = np.where(starts, ends - np.arange(len(cut)), 0)
+    last = np.append(doc[1:] != doc[:-1], True)  # the last cut of a text begins no piece
+    after = np.append(cut[1:], 0)
+    name = _named(values, cut, np.where(last, cut, after) + anchor)
+    tail = np.where(starts, cut[np.maximum(ends, 0)] + anchor, 0)
+    edge = np.zeros(len(cut), np.uint64)
+    s = np.flatnonzero(starts)
+    edge[s] = _beside(values, lo[s], cut[s], tail[s], hi[s] + length) + (hi[s] - lo[s]).astype(np.uint64)
+    docs, firsts = np.unique(doc, return_index=True)
+    top = np.maximum.reduceat(n, firsts)[np.searchsorted(docs, doc)]
+    base = offsets[doc]
+    out = {"doc": doc, "k": np.arange(len(cut)) - first, "name": name, "n": n, "top": top, "head": cut - base, "tail": np.where(starts, tail - base, 0), "lo": lo - base, "hi": hi - base, "edge": edge}
+    return {k: v[~last].astype(kinds[k]) for k, v in out.items()}
+
+
+def _beside(values: np.ndarray, lo: np.ndarray, head: np.ndarray, tail: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Names of the bytes from lo to head with those from tail to hi."""
+    return _mixed(_named(values, lo, head) * np.uint64(0x9E3779B97F4A7C15) + _named(values, tail, hi))
 
 
 def merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -92,171 +121,111 @@ def merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lo[new], hi[np.append(np.flatnonzero(new)[1:], len(hi)) - 1]
 
 
-def _settle(rows: DataFrame, length: int, anchor: int) -> DataFrame:
-    """Round 0: for each document the spans that are settled and the runs that go on."""
-    parts = _parts(rows)
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(rows: DataFrame, length: int, anchor: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            r = runs_of(*_buffer(batch.column(1)), length, anchor)
-            row = np.asarray(batch.column(0))[r["doc"]]
-            mark, run, row, lo, hi, settled, on, place = _kinds(r["mark"], r["run"], row, r["lo"], r["hi"])
-            # what the slice knows by itself is settled here; of each mark two kinds at most go on to be sorted
-            yield from _packed(_mix(row[settled | on]), parts, row=row[settled | on], lo=lo[settled | on], hi=hi[settled | on], state=_state(settled, on), absent=("mark", "run"), done=True)
-            send = place < 2
-            yield from _packed(mark[send], parts, row=row[send], lo=lo[send], hi=hi[send], state=_state(settled, on, send), mark=mark[send], run=run[send], done=False)
-
-    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row, lo, hi, state, mark, run = _gathered(batches, "<i8", "<i8", "<i8", "<i4", "<u8", "<u8")
-        mark, run, row, lo, hi, settled, on, _, state = _kinds(mark, run, row, lo, hi, state)
-        new = (_state(settled, on, slice(None)) | state) != state
-        yield from _packed(_mix(row[new]), parts, row=row[new], lo=lo[new], hi=hi[new], state=_state(settled, on, new))
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row, lo, hi, state = _gathered(batches, "<i8", "<i8", "<i8", "<i4")
-        out: list[tuple] = []
-        for r, a, b, s in _by_row(row, lo, lo, hi, state):
-            done, on = s & 1 > 0, s & 2 > 0
-            spans = np.stack(merged(a[done], b[done] + length)) if done.any() else np.empty((2, 0), np.int64)
-            out.append((r, spans.tobytes(), np.unique(np.stack([a[on], b[on]]), axis=1).tobytes()))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)], ["row", "spans", "runs"])
-
-    columns = "part int, row binary, lo binary, hi binary, state binary"
-    marks = written(rows.select("row", "text").mapInArrow(tidy(emit), f"{columns}, mark binary, run binary, done boolean"), "marks")
-    sorted_ = marks.where("not done").drop("done").repartition(parts, "part").mapInArrow(tidy(sort), columns)
-    found = marks.where("done").select("part", "row", "lo", "hi", "state").union(sorted_).repartition(parts, "part")
-    return found.mapInArrow(tidy(gather), "row long, spans binary, runs binary")
-
-
-def _kinds(mark: np.ndarray, run: np.ndarray, row: np.ndarray, *columns: np.ndarray) -> tuple:
-    """The columns ordered by mark and run; which runs have copies, which are the first of a kind whose mark has
-    several, and the place of the kind among those of its mark (beyond 1 for copies)."""
-    order = np.lexsort((run, mark))
-    mark, run, row, *columns = (c[order] for c in (mark, run, row, *columns))
-    n = len(mark)
-    new_mark, new_run = np.ones(n, bool), np.ones(n, bool)
-    new_mark[1:] = mark[1:] != mark[:-1]
-    new_run[1:] = new_mark[1:] | (run[1:] != run[:-1])
-    of_mark, of_run = np.cumsum(new_mark) - 1, np.cumsum(new_run) - 1
-    first = of_run[new_mark]
-    settled = np.bincount(of_run)[of_run] > 1 if n else np.zeros(0, bool)
-    on = new_run & (np.bincount(of_mark[new_run])[of_mark] > 1 if n else np.zeros(0, bool))
-    place = np.where(new_run, of_run - (first[of_mark] if n else 0), 2)
-    return mark, run, row, *columns[:2], settled, on, place, *columns[2:]
-
-
-def _state(settled: np.ndarray, on: np.ndarray, which=None) -> np.ndarray:
-    """1 for settled runs, 2 for those that go on, 3 for both."""
-    which = settled | on if which is None else which
-    return (settled + 2 * on)[which].astype(np.int32)
-
-
-def _names(data: bytes, h: int, length: int) -> np.ndarray:
-    """The names of all strings of `length` bytes, doubled from those of h bytes."""
-    values = np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)
-    at = np.arange(len(values) - h + 1)
-    names = _mixed(_runs(values, _B, at, at + h))
-    while h < length:
-        step = min(h, length - h)
-        names = _mixed(names[: len(names) - step] * np.uint64(0x9E3779B97F4A7C15) + names[step:])
-        h += step
-    return names
-
-
-def _double(runs: DataFrame, first: int, length: int) -> DataFrame:
-    """One round: the starts of each run whose string of `length` bytes has a name that occurs again."""
-    parts = _parts(runs)
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "data"):
-            names, ids, places = [], [], []
-            for seg, data, alive in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                at = np.frombuffer(alive, "<i4")
-                names.append(_names(data, first, length)[at])
-                ids.append(np.full(len(at), seg, np.int64))
-                places.append(at)
-            if names:
-                names, ids, places = np.concatenate(names), np.concatenate(ids), np.concatenate(places)
-                again, one = _again(names)
-                # names that occur again in the slice are known to; one of each goes on to be sorted
-                yield from _packed(_mix(ids[again]), parts, ids=ids[again], places=places[again], absent=("names",), done=True)
-                yield from _packed(names[one], parts, ids=ids[one], places=places[one], names=names[one], done=False)
-
-    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, places, names = _gathered(batches, "<i8", "<i4", "<u8")
-        again, _ = _again(names)
-        yield from _packed(_mix(ids[again]), parts, ids=ids[again], places=places[again])
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, places = _gathered(batches, "<i8", "<i4")
-        out = [(seg, np.unique(at).astype("<i4").tobytes()) for seg, at in _by_row(ids, places, places)]
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary()), strict=True)], ["seg", "alive"])
-
-    columns = "part int, ids binary, places binary"
-    names = written(runs.select("seg", "data", "alive").mapInArrow(tidy(emit), f"{columns}, names binary, done boolean"), "names")
-    ranked = names.where("not done").drop("done").repartition(parts, "part").mapInArrow(tidy(rank), columns)
-    again = names.where("done").select("part", "ids", "places").union(ranked).repartition(parts, "part")
-    return again.mapInArrow(tidy(gather), "seg long, alive binary")
-
-
-def _again(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which names occur again, and the place of the first of each."""
-    _, first, of, n = np.unique(names, return_index=True, return_inverse=True, return_counts=True)
-    return n[of] > 1, first
+            c = cuts_of(*_buffer(batch.column(1)), length, anchor)
+            row = np.asarray(batch.column(0))[c.pop("doc")]
+            columns = [row, *(v.view(np.int64) if v.dtype == np.uint64 else v for v in c.values())]
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns], [f.split()[0] for f in CUTS.split(", ")])
+
+    return rows.select("row", "text").mapInArrow(tidy(run), CUTS)
+
+
+def reranked(pairs: DataFrame) -> DataFrame:
+    """The rows of `pairs` whose (kind, r1, r2) occurs again, with its rank in the sorted order of these."""
+    key = ["kind", "r1", "r2"]
+    again = pairs.groupBy(*key).agg(F.count("*").alias("times")).where("times > 1")
+    ranks = again.orderBy(*key).select(*key, F.monotonically_increasing_id().alias("rank"))
+    return pairs.join(ranks, key).select("row", "k", "n", "top", "kind", "rank")
+
+
+def _asked(live: DataFrame, h: int) -> DataFrame:
+    """Round h: for each cut the rank of its h pieces with that at k + h, and of cores of h to 2h - 1 pieces with that of the last h."""
+    on = F.when(F.col("top") >= 2 * h, F.struct(F.lit(0).alias("kind"), (F.col("k") + h).alias("at")))
+    end = F.when((F.col("n") >= h) & (F.col("n") < 2 * h), F.struct(F.col("n").alias("kind"), (F.col("k") + F.col("n") - h).alias("at")))
+    asks = live.select("row", "k", "n", "top", "rank", F.explode(F.filter(F.array(on, end), lambda x: x.isNotNull())).alias("a"))
+    asks = asks.select("row", "k", "n", "top", F.col("rank").alias("r1"), "a.kind", "a.at")
+    told = live.groupBy("row", F.col("k").alias("at")).agg(F.max("rank").alias("r2"))  # equal rows have equal ranks
+    return asks.join(told, ["row", "at"]).select("row", "k", "n", "top", "kind", "r1", "r2")
+
+
+def cores(cuts: DataFrame) -> DataFrame:
+    """row, k and the rank of each cut whose core occurs again, by prefix doubling. cuts: row, k, name, n, top."""
+    pairs = cuts.select("row", "k", "n", "top", F.lit(0).alias("kind"), F.col("name").alias("r1"), F.lit(0).cast("long").alias("r2"))
+    live = written(reranked(pairs), "ranks-1")
+    h, tables, found = 1, [live], []
+    while True:
+        most = live.agg(F.max("top")).first()[0]
+        if most is None or most < h:
+            break
+        ranked = written(reranked(_asked(live, h)), f"ranks-{2 * h}")
+        found.append(ranked.where("kind > 0").select("row", "k", "rank"))
+        tables.append(ranked)
+        live = ranked.where("kind = 0")
+        h *= 2
+    out = found[0] if found else live.select("row", "k", "rank").limit(0)
+    for f in found[1:]:
+        out = out.union(f)
+    out = written(out.groupBy("row", "k").agg(F.max("rank").alias("rank")), "cores")
+    discard(*tables)
+    return out
 
 
 def repeated_spans(rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
-    """row and its spans (first bytes, then ends) of what repeats, for documents that have any. rows: row, text."""
-    parts = _parts(rows)
-    found = written(_settle(rows, length, anchor), "settled")
-
-    def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            out: dict[str, list] = {"seg": [], "row": [], "lo": [], "data": [], "alive": []}
-            for row, text, runs in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                data = text.encode()
-                for lo, hi in np.frombuffer(runs, "<i8").reshape(2, -1).T.tolist():
-                    seg = int.from_bytes(hashlib.blake2b(f"{row} {lo}".encode(), digest_size=8).digest(), "little", signed=True)
-                    for name, value in zip(out, (seg, row, lo, data[lo : hi + length], np.arange(hi - lo + 1, dtype="<i4").tobytes()), strict=True):
-                        out[name].append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], list(out))
-
-    going = found.where(F.length("runs") > 0).select("row", "runs")
-    runs = rows.select("row", "text").join(going.hint("merge"), "row").select("row", "text", "runs")
-    runs = written(runs.mapInArrow(tidy(lay), "seg long, row long, lo long, data binary, alive binary"), "runs")
-    h = first = -(-length // 8)
-    while h < length:
-        h = min(2 * h, length)
-        alive = written(_double(runs, first, h), f"alive-{h}")
-        runs = runs.drop("alive").join(alive, "seg")
-
-    def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row, lo = np.asarray(batch.column(0)), np.asarray(batch.column(1))
-            out = [np.stack(merged(s := a + np.frombuffer(b, "<i4"), s + length)).tobytes() for a, b in zip(lo, batch.column(2).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(out, pa.binary())], ["row", "spans"])
-
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_row: dict[int, list[np.ndarray]] = {}
-        for batch in batches:
-            for row, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                by_row.setdefault(row, []).append(np.frombuffer(s, "<i8").reshape(2, -1))
-        if by_row:
-            out = [np.stack(merged(*np.concatenate(s, axis=1))).tobytes() for s in by_row.values()]
-            yield pa.RecordBatch.from_arrays([pa.array(by_row, pa.int64()), pa.array(out, pa.binary())], ["row", "spans"])
-
-    last = runs.select("row", "lo", "alive").mapInArrow(tidy(spans), "row long, spans binary")
-    both = found.where(F.length("spans") > 0).select("row", "spans").union(last)
-    return both.repartition(parts, "row").mapInArrow(tidy(join), "row long, spans binary")
+    """row and its spans (los and his, not merged) of what repeats, for documents that have any. rows: row, text."""
+    if length - 2 * _window(length) - anchor + 2 < 1 or anchor < 1:
+        raise ValueError(f"strings of {length} bytes have no core for anchors of {anchor}")
+    cuts = written(_cut(rows, length, anchor), "cuts")
+    core = cores(cuts)
+    heads = cuts.where("n > 0").drop("name", "top").join(core, ["row", "k"]).drop("k")
+    heads = written(heads, "heads")
+    discard(cuts, core)
+    # spans of one kind are equal; of each kind the first stands for all
+    kinds = heads.groupBy("n", "rank", "edge").agg(F.count("*").alias("times"), *(F.first(c).alias(c) for c in ("row", "head", "tail", "lo", "hi")))
+    kinds = written(kinds, "kinds")
+    settled = heads.join(kinds.where("times > 1").select("n", "rank", "edge"), ["n", "rank", "edge"]).select("row", "lo", (F.col("hi") + length).alias("hi"))
+    settled = written(settled, "settled")
+    discard(heads)
+    several = kinds.groupBy("n", "rank").agg(F.count("*").alias("kinds")).where("kinds > 1").drop("kinds")
+    apart = kinds.join(several, ["n", "rank"]).groupBy("row").agg(F.collect_list(F.struct("rank", "n", "head", "tail", "lo", "hi")).alias("heads"))
+
+    def starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 1 << 18):
+            data, offsets = _buffer(batch.column(1))
+            heads = batch.column(2)
+            flat, per = heads.flatten(), np.diff(np.asarray(heads.offsets))
+            doc = np.repeat(np.arange(batch.num_rows), per)
+            rank, n, head, tail, lo, hi = (np.asarray(flat.field(k)) for k in range(6))
+            many = (hi - lo + 1).astype(np.int64)
+            of = np.repeat(np.arange(len(doc)), many)
+            at = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many) + lo[of]
+            base = offsets[doc[of]]
+            name = _beside(data.astype(np.uint64) + np.uint64(1), base + at, base + head[of], base + tail[of], base + at + length)
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (rank[of], n[of], name.view(np.int64), np.asarray(batch.column(0))[doc[of]], at.astype(np.int32))], ["rank", "n", "name", "row", "at"])
+
+    texts = rows.select("row", "text").join(apart.hint("merge"), "row").select("row", "text", "heads")
+    each = written(texts.mapInArrow(tidy(starts), "rank long, n int, name long, row long, at int"), "starts")
+    discard(kinds)
+    key = ["rank", "n", "name"]
+    again = each.groupBy(*key).agg(F.count("*").alias("times")).where("times > 1").drop("times")
+    single = each.join(again, key).select("row", F.col("at").alias("lo"), (F.col("at") + length).alias("hi"))
+    spans = written(settled.union(single).groupBy("row").agg(F.collect_list("lo").alias("los"), F.collect_list("hi").alias("his")), "spans")
+    discard(settled, each)
+    return spans
 
 
 def _with_spans(docs: DataFrame, key: str, doc_id: str, text: str, length: int, anchor: int) -> DataFrame:
-    """docs with `key` and the spans in `key`s; the text stays as it is."""
+    """docs with `key` and the spans in `key`l and `key`h; the text stays as it is."""
     marked = docs.withColumn(key, F.xxhash64(F.col(doc_id), F.col(text)))
-    spans = written(repeated_spans(marked.select(F.col(key).alias("row"), F.col(text).alias("text")).dropna(), length, anchor), "spans")
-    return marked.join(spans.select(F.col("row").alias(key), F.col("spans").alias(key + "s")).hint("merge"), key, "left")
+    spans = repeated_spans(marked.select(F.col(key).alias("row"), F.col(text).alias("text")).dropna(), length, anchor)
+    return marked.join(spans.select(F.col("row").alias(key), F.col("los").alias(key + "l"), F.col("his").alias(key + "h")).hint("merge"), key, "left")
+
+
+def _spans(batch: pa.RecordBatch, at: int) -> Iterator[list[list[int]]]:
+    """The merged spans of each row; columns `at` and at + 1 hold los and his."""
+    for lo, hi in zip(batch.column(at), batch.column(at + 1), strict=True):
+        yield np.stack(merged(np.asarray(lo.values), np.asarray(hi.values))).T.tolist() if lo.is_valid and len(lo.values) else []
 
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
@@ -266,9 +235,8 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             out = []
-            for d, t, s in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+            for d, t, spans in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), _spans(batch, 2), strict=True):
                 data, at, kept = t.encode(), 0, hashlib.sha256()
-                spans = np.frombuffer(s or b"", "<i8").reshape(2, -1).T.tolist()
                 for lo, hi in spans:
                     kept.update(data[at:lo])
                     at = hi
@@ -276,7 +244,7 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
                 out.append((d, len(data), sum(hi - lo for lo, hi in spans), len(spans), kept.hexdigest()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (*[pa.int64()] * 4, pa.string()), strict=True)], [c.split()[0] for c in SCHEMA.split(", ")])
 
-    return _with_spans(rows, "key", "doc_id", "text", length, anchor).select("doc_id", "text", "keys").mapInArrow(tidy(run), SCHEMA)
+    return _with_spans(rows, "key", "doc_id", "text", length, anchor).select("doc_id", "text", "keyl", "keyh").mapInArrow(tidy(run), SCHEMA)
 
 
 def without(text: str, spans: list[list[int]]) -> str:
@@ -301,10 +269,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
             names = batch.schema.names
-            k = names.index(text)
-            texts = [without(t, np.frombuffer(s, "<i8").reshape(2, -1).T.tolist()) if s else t for t, s in zip(batch.column(k).to_pylist(), batch.column(len(names) - 1).to_pylist(), strict=True)]
-            kept = pa.RecordBatch.from_arrays(batch.columns[:-1], names[:-1])
+            k, own = names.index(text), len(names) - 2
+            texts = [without(t, s) if s else t for t, s in zip(batch.column(k).to_pylist(), _spans(batch, own), strict=True)]
+            kept = pa.RecordBatch.from_arrays(batch.columns[:own], names[:own])
             yield kept.set_column(k, batch.schema.field(text), pa.array(texts, batch.schema.field(text).type))
 
-    rows = _with_spans(docs, key, doc_id, text, length, anchor).select(*docs.columns, key + "s")
+    rows = _with_spans(docs, key, doc_id, text, length, anchor).select(*docs.columns, key + "l", key + "h")
     return rows.mapInArrow(tidy(run), schema)
