@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from garnetflow.llm import decontaminate, jaccard_join, packing, suffix_dedup, toxicity
 from garnetflow.llm.common import written
 
+#: Bytes of a passage that repeats: 51 words of prose take more in the languages of the corpus.
+PASSAGE = 240
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, trained on the labels of the documents, does not reject."""
@@ -20,8 +23,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that occur again; n_chars follows."""
-    return suffix_dedup.remove_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
+    """Texts without the passages of PASSAGE bytes or more that occur again, so those of over 50 words; n_chars follows."""
+    return suffix_dedup.remove_repeats(docs, length=PASSAGE).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
