@@ -42,10 +42,10 @@ def test_stages(spark):
     now = step["suffix_dedup"](spark, now, SF)
     kept = {r["doc_id"]: r for r in now.collect()}
     order = sorted(rows)
-    for d, (n, gone, _, _) in zip(order, repeats([rows[d] for d in order], 400), strict=True):
+    for d, (n, gone, _, _) in zip(order, repeats([rows[d] for d in order], corpus_pipeline.PASSAGE), strict=True):
         left = len(kept[d]["text"].encode())
-        assert n - gone <= left <= n - gone + 8 * (gone > 0) + 64 * (gone > 400) and kept[d]["n_chars"] == len(kept[d]["text"])
-    assert suffix_dedup.LENGTH == 400
+        assert n - gone <= left <= n - gone + 8 * (gone > 0) + 64 * (gone > corpus_pipeline.PASSAGE) and kept[d]["n_chars"] == len(kept[d]["text"])
+    assert suffix_dedup.LENGTH == 400 and corpus_pipeline.PASSAGE < 51 * 5
 
     rows = {d: r["text"] for d, r in kept.items()}
     bench = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
