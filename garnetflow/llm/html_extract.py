@@ -1,10 +1,12 @@
 """Main text of web pages by two passes over their blocks.
 
-A scan of the tags yields blocks of text with their link characters and surroundings. Parts that name
-themselves as something else (navigation, page header and footer, aside, form, script, or a class, id or role
-from NOT_MAIN) give no block. Where a page marks its article, only that part is considered. The first pass
-decides blocks by length, link density and stop-word density; the second gives blocks that are too
-short to tell the label of their nearest decided neighbours, those in their own container first.
+A scan of the tags yields every block of text outside scripts, styles, forms and hidden parts, with its link characters, the
+containers around it, and what names say: that it lies in a marked article, outside the article of a page that
+marks one, or in a part that names itself as something else (navigation, page header and footer, aside, or a class, id
+or role from NOT_MAIN). The first pass scores blocks by link density, stop-word density and length; names only shift the
+score. Blocks that stay between the thresholds are unsure, and the second pass gives them the label of the nearest block that
+its words have decided: in their own container, else in the smallest container around it that has one; with none but the
+page itself around, text on both sides must be good. Link lists and parts that name themselves tell nothing of their neighbours.
 
 Cases: null html counts as empty; a page without main text gives an empty text; unclosed tags end with their
 parents; repeated pages each give a row; other columns are ignored; an empty table gives no row.
@@ -28,7 +30,8 @@ SCHEMA = "page_id long, url string, text string, n_chars long"
 # What HTML says of its elements.
 RAW = "script|style|noscript|template|textarea|title|iframe|svg|math|xmp|noembed|noframes"
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = set("nav footer aside form button select option datalist dialog menu object canvas audio video map applet fieldset label head".split())
+SKIPPED = set("form button select option datalist object canvas audio video map applet fieldset label head".split())
+NAMED = set("nav footer aside dialog menu".split())
 BLOCKS = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead title tr ul".split())
 CONTAINERS = set("article aside body center dd div footer form header main nav section table td th".split())
 SELF_CLOSING = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
@@ -51,7 +54,8 @@ STOP_WORDS = set(
     "el los las y del una unos por con para su sus al lo como más pero o este esta estos entre cuando muy sin sobre también me hay donde quien desde todo nos "
     "il gli di che è non per una sono con del della da dei nel alla o e i os um uma não com em na no se het een van niet zijn op te dat voor met".split()
 )
-SHORT, LONG, LINKED, STOPPED = 70, 200, 0.33, 0.08
+#: Characters, shares of characters and of words; how many containers around a block the second pass looks at.
+SHORT, LONG, LINKED, STOPPED, AROUND = 70, 200, 0.33, 0.08, 8
 
 _tag = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?:svg|math)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>|<({RAW})(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S | re.I)
 _attribute = re.compile(r"(class|id|role|itemtype|hidden|aria-label|style)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\s(hidden)(?=[\s/>]|\Z)", re.I)
@@ -62,54 +66,59 @@ _space = re.compile(r"\s+")
 
 @dataclass
 class Block:
-    own: bool  # within the article that the page marks
+    own: bool = False  # within an article that the page marks
+    other: bool = False  # within a part that names itself as something else
     heading: bool = False
-    container: int = 0
+    path: tuple[int, ...] = (0,)  # the containers around it, the page first
     parts: list[str] = field(default_factory=list)
     links: list[str] = field(default_factory=list)
     text: str = ""
+    score: int = 0
     label: str = ""
+    rule: str = ""  # what decided: links, names, words, neighbours, article
 
 
-def _not_main(name: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element says of itself that it isn't main text."""
-    if name in SKIPPED or name == "header" and not in_article:
-        return True
+def _says(name: str, attributes: str, in_article: bool) -> str:
+    """What an element says of itself: "skip" for hidden parts and controls, "other" for what isn't main text, or nothing."""
+    if name in SKIPPED:
+        return "skip"
+    said = "other" if name in NAMED or name == "header" and not in_article else ""
     for m in _attribute.finditer(attributes) if "=" in attributes or "hidden" in attributes else ():
         if m[5]:
-            return True
+            return "skip"
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if key == "hidden" or key == "style" and re.search(r"display\s*:\s*none", value):
-            return True
+            return "skip"
         if key == "role" and value.strip().lower() in ROLES or key == "itemtype" and value.lower().endswith("/comment"):
-            return True
+            said = "other"
         if key in ("class", "id") and name not in ("html", "body", "main"):
             for one in value.split():
                 parts = {p.lower() for p in _part.findall(one)}
                 found = parts & NOT_MAIN
                 if found and not (found <= {"header", "page", "legal"} and parts & OWN) and not (name == "article" and not found & {"comment", "comments", "reply", "ad", "ads", "advert", "related", "sponsored", "promo"}):
-                    return True
-    return False
+                    said = "other"
+    return said
 
 
 def blocks_of(html: str) -> list[Block]:
-    """The page's blocks outside what says of itself that it isn't main text."""
-    out, stack, at = [], [], 0  # stack: name, skipped, article
-    skipped = article = linked = 0
+    """The page's blocks outside scripts, styles, forms and hidden parts."""
+    out, stack, at = [], [], 0  # stack: name, skipped, other, article
+    skipped = other = article = linked = 0
     places, seen = [0], 0  # the containers that are open, and how many there have been
-    block = Block(False)
+    block = Block()
 
     def close() -> None:
         nonlocal block
         block.text = _space.sub(" ", unescape("".join(block.parts))).strip()
         if block.text:
             out.append(block)
-        block = Block(article > 0)
+        block = Block(article > 0, other > 0)
 
     def pop(k: int) -> None:
-        nonlocal skipped, article
-        for n, s, a in stack[k:]:
+        nonlocal skipped, other, article
+        for n, s, o, a in stack[k:]:
             skipped -= s
+            other -= o
             article -= a
             if n in CONTAINERS:
                 places.pop()
@@ -120,11 +129,10 @@ def blocks_of(html: str) -> list[Block]:
         if m.start() > at and not skipped:
             piece = html[at : m.start()]
             block.parts.append(piece)
-            if not piece.isspace():
-                block.container = places[-1]
             if linked:
                 block.links.append(piece)
-            if breaks and not piece.isspace():
+            if not piece.isspace():
+                block.path = tuple(places[-AROUND:])
                 breaks = 0
         at = m.end()
         if m[4] is None:
@@ -153,78 +161,127 @@ def blocks_of(html: str) -> list[Block]:
         if end:
             k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
             if k is not None:
+                if stack[k][2] and not skipped and name not in BLOCKS:
+                    close()  # an inline part that names itself ends
                 pop(k)
-                block.own = article > 0
+                block.own, block.other = article > 0, other > 0
             continue
-        if name in ("article", "main") and skipped and not _not_main(name, m[5], True):
+        main = name in ("article", "main")
+        says = _says(name, m[5], article > 0 or main)
+        if main and (skipped or other) and not says:
             # an article within navigation, a page header or footer that nothing has closed
-            k = next((k for k, x in enumerate(stack) if x[1]), 0)
+            k = next((k for k, x in enumerate(stack) if x[1] or x[2]), 0)
             if stack[k][0] in ("nav", "header", "footer", "form", "menu"):
                 pop(k)
-        main = name in ("article", "main")
-        skip = not skipped and _not_main(name, m[5], article > 0 or main)
-        if name in BLOCKS or skip or skipped or main:
-            stack.append((name, int(skip), int(main and not skip and not skipped)))
-            if name in CONTAINERS:
+        if says == "other" and not skipped and name not in BLOCKS:
+            close()  # an inline part that names itself is a block of its own
+        if name in BLOCKS or says or skipped or main:
+            stack.append((name, int(says == "skip"), int(says == "other"), int(main and not says and not skipped and not other)))
+            if name in CONTAINERS and name != "body":
                 seen += 1
-                places.append(seen)
-            skipped += skip
-            article += main and not skip and not skipped
-        block.own = article > 0
+            if name in CONTAINERS:
+                places.append(seen if name != "body" else 0)
+            _, s, o, a = stack[-1]
+            skipped, other, article = skipped + s, other + o, article + a
+        block.own, block.other = article > 0, other > 0
         block.heading = name in ("h1", "h2", "h3", "h4", "h5", "h6") or block.heading
     if not skipped:
-        block.parts.append(html[at:] if "<" not in html[at:] else html[at:].split("<", 1)[0])
+        rest = html[at:].split("<", 1)[0]
+        if rest and not rest.isspace():
+            block.path = tuple(places[-AROUND:])
+        block.parts.append(rest)
     close()
     return out
 
 
-def first_pass(block: Block) -> str:
-    """good, bad, or unsure for blocks that are too short to tell."""
-    text, n = block.text, len(block.text)
-    links = len(_space.sub(" ", "".join(block.links)).strip())
+def _links(block: Block) -> int:
+    return len(_space.sub(" ", "".join(block.links)).strip())
+
+
+def first_pass(block: Block, marked: bool) -> None:
+    """Scores a block and labels it good from 2, bad to -2, else unsure. marked: the page marks an article."""
+    text, n, links = block.text, len(block.text), _links(block)
     if links > LINKED * n and (links > 0.8 * n or n < LONG):
-        return "bad"
-    if block.own and (not links or n >= SHORT):
-        return "good"
-    if n < SHORT or block.heading:
-        return "unsure"
-    words = _word.findall(text.lower())
-    stopped = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-    if stopped >= STOPPED or len(words) < n / 30:  # writing without spaces has no stop words to count
-        return "good" if n >= LONG or text[-1:] in ".!?。！？…\"”»" else "unsure"
-    return "bad" if n < LONG else "unsure"
+        words = -3
+    elif n < SHORT or block.heading:
+        words = 0
+    else:
+        found = _word.findall(text.lower())
+        stopped = sum(w in STOP_WORDS for w in found) / max(1, len(found))
+        if stopped >= STOPPED or len(found) < n / 30:  # writing without spaces has no stop words to count
+            words = 2 if n >= LONG else 1
+        else:
+            words = -1
+    named = -3 if block.other else 1 if block.own else -1 if marked else 0
+    block.score = max(-3, min(3, words)) + named
+    block.label = "good" if block.score >= 2 else "bad" if block.score <= -2 else "unsure"
+    if block.label != "unsure":
+        block.rule = "links" if words == -3 else "names" if block.other else "words"
 
 
 def second_pass(blocks: list[Block]) -> None:
-    """Blocks that are unsure take the label of the nearest decided block, those of their own container first.
+    """Blocks that are unsure take the label of the nearest block that its words have decided, those of their own container first.
 
-    A heading takes the label of what follows it in its container; of two that are equally near the good one wins
-    for blocks without links.
+    A heading takes the label of what follows it; of two that are equally near the good one wins. Without a decided
+    block in the containers around it a block is good if the nearest on both sides of the page are, or if it lies in the
+    marked article and has no links.
     """
-    found: list[list[tuple[int, int, str]]] = [[] for _ in blocks]  # outside, distance, label
+    if not any(b.label == "good" for b in blocks):
+        # no long block of prose: the container with the most text that may be some stands for it
+        may = max((b.score for b in blocks if b.label == "unsure" and not b.heading), default=0)
+        most: dict[tuple[int, ...], int] = {}
+        for b in blocks:
+            if b.label == "unsure" and b.score == may and not _links(b):
+                most[b.path] = most.get(b.path, 0) + len(b.text)
+        best = max(most, key=lambda p: most[p], default=None)
+        for b in blocks:
+            if b.path == best and b.label == "unsure" and b.score == may and not _links(b):
+                b.label, b.rule = "good", "words"
+    near: list[list[dict[tuple[int, bool], tuple[int, str]]]] = [[] for _ in blocks]
     for order in (range(len(blocks)), range(len(blocks) - 1, -1, -1)):
-        last: tuple[int, str] | None = None
-        within: dict[int, tuple[int, str]] = {}
+        last: dict[tuple[int, bool], tuple[int, str]] = {}  # by container, and whether as its own block
         for k in order:
             b = blocks[k]
+            if b.label == "unsure":
+                near[k].append({key: last[key] for key in _scopes(b) if key in last})
+            elif b.rule == "words":
+                for key in _scopes(b):
+                    last[key] = k, b.label
+    for k, (b, sides) in enumerate(zip(blocks, near, strict=True)):
+        if b.label != "unsure":
+            continue
+        b.rule = "neighbours"
+        for key in _scopes(b):
+            found = [side[key] for side in sides if key in side]
+            if key == (0, False):
+                if b.score >= 0 and len(found) == 2 and found[0][1] == found[1][1] == "good":
+                    b.label = "good"
+            elif found:
+                ahead = sides[1].get(key)
+                b.label = ahead[1] if b.heading and ahead else min(found, key=lambda x: (abs(x[0] - k), x[1] == "bad"))[1]
             if b.label != "unsure":
-                last = within[b.container] = (k, b.label)
-            elif near := within.get(b.container) or last:
-                ahead = b.heading and near[0] > k and near == within.get(b.container)
-                found[k].append((int(near != within.get(b.container)), 0 if ahead else abs(near[0] - k), near[1]))
-    for b, near in zip(blocks, found, strict=True):
-        if b.label == "unsure":
-            b.label = min(near, key=lambda x: (x[0], x[1], (x[2] == "good") == bool(b.links)))[2] if near else "good" if b.own else "bad"
+                break
+        else:
+            b.label, b.rule = ("good", "article") if b.own and not _links(b) else ("bad", "neighbours")
 
 
-def main_text(html: str) -> str:
+def _scopes(b: Block) -> list[tuple[int, bool]]:
+    """Where to look for neighbours: among the blocks of its own container, then in each container around it, last in the page."""
+    return [(b.path[-1], True), *((c, False) for c in reversed(b.path) if c), (0, False)]
+
+
+def labelled(html: str) -> list[Block]:
+    """All blocks of a page with their labels and the rules that gave them."""
     blocks = blocks_of(html)
-    if any(b.own for b in blocks):
-        blocks = [b for b in blocks if b.own]
+    marked = any(b.own for b in blocks)
     for b in blocks:
-        b.label = first_pass(b)
+        first_pass(b, marked)
     second_pass(blocks)
-    return "\n".join(b.text for b in blocks if b.label == "good")
+    return blocks
+
+
+def main_text(html: str) -> str:
+    return "\n".join(b.text for b in labelled(html) if b.label == "good")
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
