@@ -81,12 +81,6 @@ e AS MATERIALIZED (SELECT x, y FROM l UNION SELECT y, x FROM l),
 r AS (SELECT doc_id AS node, doc_id AS reached FROM documents UNION SELECT r.node, e.y FROM r JOIN e ON r.reached = e.x)
 SELECT documents.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id
 FROM documents LEFT JOIN n USING (doc_id) JOIN (SELECT node, min(reached) AS component_id FROM r GROUP BY node) m ON m.node = documents.doc_id""",
-    "op7_token_rollup": r"""
-WITH d AS (SELECT doc_id, source, lang, coalesce(text, '') AS t FROM documents),
-f AS (SELECT source, lang, t FROM d QUALIFY row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, source, lang) = 1)
-SELECT source, lang, 'words-1' AS tokenizer, count(*) AS n_docs, CAST(sum(len(regexp_extract_all(t, '[^\x20\x09-\x0D]+'))) AS BIGINT) AS n_tokens FROM f GROUP BY source, lang
-UNION ALL
-SELECT source, lang, 'bytes-1', count(*), CAST(sum(strlen(regexp_replace(regexp_replace(t, '[\x20\x09-\x0D]+', ' ', 'g'), '^ | $', '', 'g'))) AS BIGINT) FROM f GROUP BY source, lang""",
     "op3_warc": """
 WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
 f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)

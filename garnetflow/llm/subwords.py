@@ -29,7 +29,7 @@ _shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 #: Byte-level vocabularies write bytes that do not print as the characters from U+0100 on.
 BYTE_TO_CHAR = {b: b for b in _shown} | {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in set(_shown))}
 
-_open: dict[str, "Words"] = {}
+_open: dict[tuple[str, int], "Words"] = {}
 
 
 class Words:
@@ -79,8 +79,8 @@ class _Known(dict):
         return ids
 
 
-def words(name: str) -> Words:
+def words(name: str, most: int = 900_000) -> Words:
     """The worker's encoder for a vocabulary; kept while the worker lives."""
-    if name not in _open:
-        _open[name] = Words(name)
-    return _open[name]
+    if (name, most) not in _open:
+        _open[name, most] = Words(name, most)
+    return _open[name, most]

@@ -113,8 +113,72 @@ def test_rollup(spark, tmp_path):
         rollup.commit("../x", docs)
 
 
+def test_batches_that_come_during_a_compaction(spark, tmp_path, monkeypatch):
+    """A batch committed between the listing and the sum counts once; so do batches of a compaction that broke off."""
+    rollup = token_rollup.Rollup(spark, str(tmp_path / "r"))
+    docs = spark.createDataFrame([("a", "en", 5)], "source string, lang string, n long")
+    add = lambda name: rollup.commit(name, token_rollup.signed(docs, "v1", "n", 1))
+    total = lambda: [tuple(r)[3:] for r in rollup.totals().collect()]
+    assert add("1")
+    sums = rollup.totals
+    with monkeypatch.context() as m:
+        m.setattr(rollup, "totals", lambda listed: (add("2"), sums(listed))[1])
+        rollup.compact()
+    assert total() == [(2, 10)] and not add("1") and not add("2")
+    rollup.compact()
+    assert total() == [(2, 10)] and not add("2") and add("3")
+    with monkeypatch.context() as m:  # the driver dies after the base is published
+        m.setattr(rollup, "_publish", lambda rows, name, put=rollup._publish: put(rows, name) and False)
+        rollup.compact()
+    assert total() == [(3, 15)] and not add("3")
+    rollup.compact()
+    assert total() == [(3, 15)]
+
+
+def test_two_writers_of_a_batch(spark, tmp_path):
+    docs = spark.createDataFrame([("a", "en", 5)], "source string, lang string, n long")
+    one, two = (token_rollup.Rollup(spark, str(tmp_path / "r")) for _ in range(2))
+    delta = token_rollup.summed(token_rollup.signed(docs, "v1", "n", 1))
+    assert one._publish(delta, "batch-1") and not two._publish(delta, "batch-1")  # both had found the id free
+    assert [tuple(r)[3:] for r in two.totals().collect()] == [(1, 5)]
+
+
+def test_rollup_counts_as_the_library_does(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = {(r["source"], r["lang"], r["tokenizer"]): (r["n_docs"], r["n_tokens"]) for r in token_rollup.maintained(docs).collect()}
+    first: dict[str, tuple] = {}
+    for r in sorted(docs.collect(), key=lambda r: r["doc_id"]):
+        first.setdefault(r["text"] or "", (r["source"], r["lang"]))
+    want: dict[tuple, list[int]] = {}
+    for name, w in ENCODERS.items():
+        version = name.removesuffix(".json")
+        for text, key in first.items():
+            n = want.setdefault((*key, version), [0, 0])
+            n[0] += 1
+            n[1] += len(w.tokenizer.encode(text, add_special_tokens=False).ids) + (version == "byte_bpe_50k")
+    assert got == {k: tuple(v) for k, v in want.items()}
+
+
+def test_sums_match_sql(spark, tmp_path):
+    """The additive part: signed batches against one sum by SQL."""
+    import duckdb
+
+    events = duckdb.sql("SELECT 's' || (event_id % 5) AS source, 'l' || (event_id % 3) AS lang, event_id % 97 AS n, event_id % 89 AS m, event_id % 4 AS part FROM '/root/testdata/sf0.001/events.parquet'").df()
+    rollup = token_rollup.Rollup(spark, str(tmp_path / "r"))
+    for part in range(4):
+        rows = spark.createDataFrame(events[events["part"] == part])
+        assert rollup.commit(f"in-{part}", token_rollup.signed(rows, "v", "n", 1))
+        assert rollup.commit(f"change-{part}", token_rollup.revised(rows.where("n > 50"), "v", "n", "m"))
+        if part == 1:
+            rollup.compact()
+    assert rollup.commit("out", token_rollup.signed(spark.createDataFrame(events[events["part"] == 2]).where("n <= 50"), "v", "n", -1))
+    want = duckdb.sql("SELECT source, lang, 'v' AS tokenizer, count(*) AS n_docs, sum(CASE WHEN n > 50 THEN m ELSE n END)::BIGINT AS n_tokens FROM events WHERE NOT (part = 2 AND n <= 50) GROUP BY source, lang").fetchall()
+    assert sorted(map(tuple, rollup.totals().collect())) == sorted(want)
+
+
 def test_rollup_edges(spark):
     assert token_rollup.maintained(empty_table(spark)).count() == 0
     rows = {r["tokenizer"]: (r["n_docs"], r["n_tokens"]) for r in token_rollup.maintained(edge_table(spark)).collect()}
     texts = {t or "" for _, t in EDGES}
-    assert rows == {"words-1": (len(texts), sum(len(t.split()) for t in texts)), "bytes-1": (len(texts), sum(len(" ".join(t.split()).encode()) for t in texts))}
+    count = lambda name: sum(len(ENCODERS[name].tokenizer.encode(t, add_special_tokens=False).ids) for t in texts)
+    assert rows == {"byte_bpe_50k": (len(texts), count("byte_bpe_50k.json") + len(texts)), "word_bpe_49k": (len(texts), count("word_bpe_49k.json"))}
