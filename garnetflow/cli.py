@@ -75,8 +75,11 @@ def _model(store: Store) -> bayes.Model:
 def _best(store: Store, rows: DataFrame, commands: bool = True, n: int = 2) -> DataFrame:
     """item, cwe: the n most relevant weaknesses of each record, in order of score and place."""
     nodes = store.read("hierarchy").select(F.col("id").alias("cwe"), "name", F.size("attack_vectors").alias("vectors"))
-    pairs = rows.select(F.col("id").alias("item"), "text", F.posexplode("cwes").alias("pos", "cwe")).join(nodes, "cwe", "left")
-    pairs = pairs.withColumn("score", classify.relevance(F.col("text"), F.col("cwe"), F.col("name"), F.coalesce("vectors", F.lit(0)), commands))
+    own = rows.select(F.col("id").alias("item"), F.posexplode("cwes").alias("pos", "cwe")).join(nodes, "cwe", "left")
+    own = own.groupBy("item").agg(F.collect_list(F.struct("pos", "cwe", "name", F.coalesce("vectors", F.lit(0)).alias("vectors"))).alias("own"))
+    docs = rows.select(F.col("id").alias("item"), F.lower("text").alias("low")).join(own, "item")
+    pairs = classify.weighed(docs, F.col("own")).drop("own")
+    pairs = pairs.withColumn("score", classify.relevance(*map(F.col, ("cwe", "name", "vectors", "hits", "flags")), commands))
     return classify.first_by(pairs, "item", n, F.desc("score"), "pos").select("item", "cwe", "rank")
 
 
@@ -111,8 +114,9 @@ def linked(store: Store, rows: DataFrame, found: DataFrame) -> tuple[DataFrame,
     chosen = linking.first_matching(parts.select("item", "pos", "cwe", "vector", "best"), mapping)
     capec = store.read("capec").select(F.col("id").alias("capec"), "name", "description", "severity")
     pairs = linking.patterns_of(chosen, store.read("cwe_to_capec")).join(capec, "capec").join(rows.select(F.col("id").alias("item"), "text"), "item").join(top, "item")
-    pairs = linking.keep_related(pairs, linking.mismatched(*map(F.col, ("text", "name", "description"))), "item")
-    ranked = linking.ranked(pairs, store.read("taxonomy")).persist()
+    pairs = linking.judged(pairs.withColumn("low", F.lower("text")).drop("text"))
+    pairs = linking.keep_related(pairs, F.col("mismatch"), "item").drop("mismatch")
+    ranked = linking.ranked(pairs, store.read("taxonomy"))
     techniques = linking.techniques_of(ranked.select("item", "capec"), store.read("capec_to_attack"), store.read("techniques").select(F.col("ext_id").alias("technique")))
     return ranked, techniques
 

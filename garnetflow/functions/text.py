@@ -6,7 +6,7 @@ they are beyond it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import fixed
@@ -75,12 +75,22 @@ def first_in_language(descriptions: Column, lang: str = "en") -> Column:
     return F.get(F.filter(descriptions, lambda d: d["lang"] == lang)["value"], F.lit(0))
 
 
+def first_of(rows: DataFrame, key: str, lang_column: str, lang: str, order: str, value: str) -> DataFrame:
+    """key and value: the first of each key's rows in a language, without gathering its rows."""
+    return rows.where(F.col(lang_column) == lang).groupBy(key).agg(F.min_by(value, order).alias("value"))
+
+
 def weakness_ids(weaknesses: Column) -> Column:
     """Numbers of CWE ids, in order and with repeats; other values fall away."""
     values = F.flatten(F.transform(weaknesses, lambda w: w["description"]["value"]))
     return stripped_ids(values, "CWE-")
 
 
+def id_set(ids: Column) -> Column:
+    """Each id once, in the order of strings."""
+    return F.array_sort(F.array_distinct(ids))
+
+
 def stripped_ids(values: Column, prefix: str) -> Column:
     """Of the values that begin with the prefix, what follows it."""
     return F.transform(F.filter(values, lambda v: v.startswith(prefix)), lambda v: F.substring(v, len(prefix) + 1, 1 << 20))

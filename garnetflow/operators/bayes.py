@@ -7,24 +7,28 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Labels come from a catalogue; more than this many is an error, not a plan.
-MOST_LABELS = 10_000
+#: Occurrences in a label from which a word counts as one of its top words.
+LEAST_COUNT = 3
+#: Words up to which the vocabulary goes to every task; a larger one is joined by word.
+BROADCAST_WORDS = 500_000
 
 
 @dataclass
 class Model:
-    """counts(label, word, cnt); labels(label, docs, total, prior); numbers of words and documents."""
+    """counts(label, word, cnt); labels(label, docs, total, prior); numbers of words and documents. `release` drops what is kept of it."""
 
     counts: DataFrame
     labels: DataFrame
     vocabulary: int
     documents: int
 
-    def label_rows(self) -> list:
-        rows = self.labels.orderBy("label").limit(MOST_LABELS + 1).collect()
-        if len(rows) > MOST_LABELS:
-            raise ValueError(f"more than {MOST_LABELS} labels")
-        return rows
+    def by_word(self) -> DataFrame:
+        """word and its counts by label: one row for each word, sent to every task while the vocabulary is small."""
+        rows = self.counts.groupBy("word").agg(F.collect_list(F.struct("label", "cnt")).alias("of"))
+        return F.broadcast(rows) if self.vocabulary <= BROADCAST_WORDS else rows
+
+    def release(self) -> None:
+        self.counts.unpersist()
 
 
 def word_counts(tokens: DataFrame) -> DataFrame:
@@ -48,10 +52,15 @@ def likelihood(model: Model) -> DataFrame:
     return rows.select("label", "word", "cnt", ((F.col("cnt") + 1) / (F.col("total") + F.lit(model.vocabulary))).alias("likelihood"))
 
 
-def top_words(model: Model, n: int = 15) -> DataFrame:
-    """The n likeliest words of each label; within a label likelihood rises with the count."""
+def total_words(model: Model) -> DataFrame:
+    """One row: the words of all labels together, and the labels that have any."""
+    return model.labels.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("total_words"), F.count(F.when(F.col("total") > 0, 1)).alias("labels"))
+
+
+def top_words(model: Model, n: int = 15, least: int = LEAST_COUNT) -> DataFrame:
+    """The n likeliest words of each label among those that occur `least` times in it; within a label likelihood rises with the count."""
     order = Window.partitionBy("label").orderBy(F.desc("cnt"), "word")
-    return model.counts.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= n)
+    return model.counts.where(F.col("cnt") >= least).withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= n)
 
 
 def log_scores(docs: DataFrame, model: Model, candidates: DataFrame | None = None) -> DataFrame:
@@ -59,23 +68,24 @@ def log_scores(docs: DataFrame, model: Model, candidates: DataFrame | None = Non
 
     docs: id, words. candidates(item, vector) limits the labels of each document; documents without any get
     all labels. A word's share is ln(cnt + 1) where the label has it, so the join is on words that
-    occur, and the smoothing term needs only the number of known words.
+    occur, and the smoothing term needs only the number of known words, which the same pass counts under no label.
     """
-    words = docs.select("id", F.explode("words").alias("word")).groupBy("id", "word").agg(F.count("*").alias("tf"))
-    known = words.join(model.counts.select("word").distinct(), "word")
-    length = known.groupBy("id").agg(F.sum("tf").alias("known"))
-    hits = known.join(model.counts, "word").groupBy("id", "label").agg(F.sum(F.col("tf") * F.ln(F.col("cnt") + 1.0)).alias("hit"))
-    labels = model.label_rows()
-    table = F.array(*[F.struct(F.lit(r["label"]).alias("label"), F.lit(r["prior"]).alias("prior"), F.lit(float(r["total"] + model.vocabulary)).alias("mass")) for r in labels]) if labels else None
-    if table is None:
-        return docs.select("id", F.lit(None).cast("string").alias("label"), F.lit(0.0).alias("score")).limit(0)
-    every = docs.select("id").distinct().join(length, "id", "left").select("id", F.coalesce("known", F.lit(0)).alias("known"), F.explode(table).alias("l")).select("id", "known", "l.*")
+    words = docs.select("id", F.explode("words").alias("word")).join(model.by_word(), "word")
+    each = words.select("id", F.explode(F.concat(F.col("of"), F.array(F.struct(F.lit(None).cast("string").alias("label"), F.lit(0).cast("long").alias("cnt"))))).alias("l"))
+    sums = each.groupBy("id", "l.label").agg(F.sum(F.ln(F.col("l.cnt") + 1.0)).alias("hit"), F.count("*").alias("n"))
+    found = sums.groupBy("id").agg(F.max(F.when(F.col("label").isNull(), F.col("n"))).alias("known"), F.map_from_entries(F.collect_list(F.when(F.col("label").isNotNull(), F.struct("label", "hit")))).alias("hits"))
+    every = docs.select("id").distinct().join(found, "id", "left")
+    mass = F.struct("label", "prior", (F.col("total") + F.lit(float(model.vocabulary))).alias("mass"))
     if candidates is not None:
-        wanted = candidates.select(F.col("item").alias("id"), F.col("vector").alias("label"), F.lit(True).alias("wanted"))
-        some = wanted.select("id").distinct().withColumn("some", F.lit(True))
-        every = every.join(wanted, ["id", "label"], "left").join(some, "id", "left").where("some is null or wanted").drop("wanted", "some")
-    every = every.join(hits, ["id", "label"], "left")
-    return every.select("id", "label", (F.ln("prior") + F.coalesce("hit", F.lit(0.0)) - F.col("known") * F.ln("mass")).alias("score"))
+        wanted = candidates.groupBy(F.col("item").alias("id")).agg(F.collect_set("vector").alias("wanted"))
+        every = every.join(wanted, "id", "left")
+    # the catalogue of labels is one row with a list: no row is made that a candidate list rules out
+    table = model.labels.agg(F.collect_list(mass).alias("labels"))
+    every = every.join(F.broadcast(table))
+    labels = F.col("labels") if candidates is None else F.when(F.col("wanted").isNull(), F.col("labels")).otherwise(F.filter("labels", lambda l: F.array_contains("wanted", l["label"])))
+    every = every.select("id", F.coalesce("known", F.lit(0)).alias("known"), "hits", F.explode(labels).alias("l")).select("id", "known", "hits", "l.*")
+    hit = F.coalesce(F.element_at("hits", F.col("label")), F.lit(0.0))
+    return every.select("id", "label", (F.ln("prior") + hit - F.col("known") * F.ln("mass")).alias("score"))
 
 
 def softmax(scores: DataFrame, by: str = "id") -> DataFrame:

@@ -14,23 +14,41 @@ from . import bayes, patterns
 FLOOR = 1e-4
 
 
-def relevance(text: Column, cwe: Column, name: Column, vectors: Column, commands: bool = True) -> Column:
+def triggers(low: Column) -> Column:
+    """For each trigger rule whether the lower-case text sets it off: one pass over the text serves all weaknesses."""
+    return F.array(*[reduce(lambda a, b: a & b, [any_of(low, s) for s in sets]) for sets, _ in fixed.CWE_TRIGGERS])
+
+
+def name_hits(low: Column, name: Column) -> Column:
+    """How many of a weakness's name words the lower-case text holds."""
+    return F.aggregate(tokenize(name, "cwe_name"), F.lit(0), lambda a, k: a + F.contains(low, k).cast("int"))
+
+
+def relevance(cwe: Column, name: Column, vectors: Column, hits: Column, flags: Column, commands: bool = True) -> Column:
     """How well a weakness fits a description: name words, priority, triggers, penalties, mapped vectors; 0 at least.
 
-    commands=False leaves out the trigger of command and shell words, as relabelling does. A null name
-    means an unknown weakness and scores 0.
+    hits and flags come from name_hits() and triggers(), so no text is needed here. commands=False leaves out the
+    trigger of command and shell words, as relabelling does. A null name means an unknown weakness and scores 0.
     """
-    low = F.lower(text)
-    words = F.aggregate(tokenize(name, "cwe_name"), F.lit(0), lambda a, k: a + F.contains(low, k).cast("int")) * 10
     of = lambda table: reduce(lambda c, kv: c.when(cwe == kv[0], kv[1]), table.items(), F.when(F.lit(False), 0)).otherwise(0)
-    score = words + of(fixed.CWE_PRIORITY) - of(fixed.CWE_PENALTY) + vectors * 5
-    for k, (sets, bonus) in enumerate(fixed.CWE_TRIGGERS):
+    score = hits * 10 + of(fixed.CWE_PRIORITY) - of(fixed.CWE_PENALTY) + vectors * 5
+    for k, (_, bonus) in enumerate(fixed.CWE_TRIGGERS):
         if commands or k != fixed.COMMAND_TRIGGER:
-            said = reduce(lambda a, b: a & b, [any_of(low, s) for s in sets])
-            score = score + F.when(said, of(bonus)).otherwise(0)
+            score = score + F.when(F.get(flags, F.lit(k)), of(bonus)).otherwise(0)
     return F.when(name.isNull(), 0).otherwise(F.greatest(score, F.lit(0))).cast("long")
 
 
+def weighed(docs: DataFrame, weaknesses: Column) -> DataFrame:
+    """docs without `low`, a row for each of its weaknesses, with flags and hits. The text is read once and not copied.
+
+    docs: low and others; weaknesses: array of structs of pos, cwe, name and vectors.
+    """
+    rest = [F.col(c) for c in docs.columns if c != "low"]
+    fields = ("pos", "cwe", "name", "vectors")
+    found = F.transform(weaknesses, lambda w: F.struct(*[w[f].alias(f) for f in fields], name_hits(F.col("low"), w["name"]).alias("hits")))
+    return docs.select(*rest, triggers(F.col("low")).alias("flags"), found.alias("_found")).select(*rest, "flags", F.inline("_found"))
+
+
 def first_by(rows: DataFrame, by: str, n: int, *order) -> DataFrame:
     """The first n rows of each key."""
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(*order)).cast("long")).where(F.col("rank") <= n)
@@ -63,12 +81,15 @@ def hybrid(docs: DataFrame, model: bayes.Model, candidates: DataFrame, cwes: Dat
     included); taxonomy as patterns.taxonomy gives it; lists: vector, cwe.
     """
     scores = bayes.log_scores(docs, model, candidates).select(F.col("id").alias("item"), F.col("label").alias("vector"), "score")
-    counts = frequency_matches(scores.select("item", "vector"), cwes, lists)
-    size = cwes.groupBy("item").agg(F.count("*").alias("n_cwes"))
-    rows = eliminated(scores.join(counts, ["item", "vector"]), guarded)
+    own = cwes.groupBy("item").agg(F.collect_list("cwe").alias("own"))
+    listed = lists.groupBy("vector").agg(F.collect_set("cwe").alias("listed"))
+    rows = scores.join(own, "item", "left").join(listed, "vector", "left")
+    counted = F.size(F.filter(F.coalesce("own", F.array()), lambda c: F.array_contains("listed", c))).cast("long")
+    rows = rows.select("item", "vector", "score", F.when(F.col("listed").isNotNull(), counted).alias("matches"), F.when(F.col("own").isNotNull(), F.size("own")).alias("n_cwes"))
+    rows = eliminated(rows, guarded)
     boosted = patterns.boosts(patterns.matches(docs, candidates, taxonomy))
     marked = candidates.select("item", "vector", F.lit(True).alias("candidate"))
-    rows = rows.join(boosted, ["item", "vector"], "left").join(size, "item", "left").join(marked, ["item", "vector"], "left")
+    rows = rows.join(boosted, ["item", "vector"], "left").join(marked, ["item", "vector"], "left")
     frequent = F.coalesce(F.when(F.col("matches") > 0, F.col("matches") / F.least("n_cwes", F.lit(5)) * 20.0), F.lit(0.0))
     rows = rows.withColumn("score", F.col("score") + F.coalesce("boost", F.lit(0.0)) + frequent)
     layers = F.array(F.when(F.col("candidate"), "CWE Hierarchy"), F.lit("Naive Bayes"), F.when(F.col("boost").isNotNull(), "Pattern Matching"), F.when(F.col("matches") > 0, "CWE Frequency"))

@@ -21,9 +21,9 @@ def patterns_of(items: DataFrame, edges: DataFrame) -> DataFrame:
     return items.withColumn("key", bare(F.col("cwe"))).join(e, "key").drop("key")
 
 
-def mismatched(text: Column, name: Column, description: Column) -> Column:
-    """Whether an attack pattern speaks of a protocol that the text has no word for."""
-    low, n, d = F.lower(text), F.lower(name), F.lower(F.coalesce(description, F.lit("")))
+def mismatched(low: Column, name: Column, description: Column) -> Column:
+    """Whether an attack pattern speaks of a protocol that the lower-case text has no word for."""
+    n, d = F.lower(name), F.lower(F.coalesce(description, F.lit("")))
     out = F.lit(False)
     for protocol, words in fixed.PROTOCOLS.items():
         out = out | ((F.contains(n, F.lit(protocol)) | F.contains(d, F.lit(protocol))) & ~any_of(low, words))
@@ -37,30 +37,39 @@ def keep_related(rows: DataFrame, mismatch: Column, *by: str) -> DataFrame:
     return rows.withColumn("_all", F.min(F.col("_bad").cast("int")).over(whole) == 1).where("not _bad or _all").drop("_bad", "_all")
 
 
-def rule_score(text: Column, name: Column, description: Column, severity: Column, vector: Column) -> Column:
-    """Relevance by rules, before the pattern share: 30, name and vector, shared words, generic names, severity."""
-    low, n = F.lower(text), F.lower(name)
+def rule_score(low: Column, name: Column, description: Column, severity: Column, vector: Column) -> Column:
+    """Relevance by rules, before the pattern share: 30, name and vector, shared words, generic names, severity. low: the text in lower case."""
+    n = F.lower(name)
     whole = F.concat(n, F.lit(" "), F.lower(F.coalesce(description, F.lit(""))))
     score = F.lit(30.0) + F.when(F.contains(n, F.lower(vector)), 40.0).otherwise(0.0)
     for w in fixed.IMPORTANT_WORDS:
-        score = score + F.when(F.contains(low, F.lit(w)) & F.contains(whole, F.lit(w)), 3.0).otherwise(0.0)
+        score = score + F.when(F.contains(whole, F.lit(w)) & F.contains(low, F.lit(w)), 3.0).otherwise(0.0)
     score = score + F.when(any_of(n, fixed.GENERIC_NAMES), 10.0).otherwise(0.0)
     return score + F.when(severity.isin("High", "Very High") & any_of(low, fixed.SEVERE_WORDS), 5.0).otherwise(0.0)
 
 
+def judged(rows: DataFrame) -> DataFrame:
+    """rows(low, vector, capec, name, description, severity and others) with `mismatch` and `rules` in place of the text.
+
+    What needs the text is settled here, where it lies; windows and joins after this move short rows.
+    """
+    found = rows.withColumns({"mismatch": mismatched(*map(F.col, ("low", "name", "description"))), "rules": rule_score(*map(F.col, ("low", "name", "description", "severity", "vector")))})
+    return found.drop("low")
+
+
 def ranked(rows: DataFrame, taxonomy: DataFrame, n: int = 5) -> DataFrame:
-    """rows(item, text, vector, capec, name, description, severity) with probability, confidence and rank, the first n of each item.
+    """rows(item, vector, capec, name, description, rules) with probability, confidence and rank, the first n of each item.
 
     Patterns of the vector add half their boost for the part of their keywords that the attack pattern has.
     """
     whole = F.concat(F.lower("name"), F.lit(" "), F.lower(F.coalesce("description", F.lit(""))))
-    pairs = rows.select("capec", "vector", whole.alias("whole")).distinct().join(F.broadcast(taxonomy.select("vector", "keywords", "boost")), "vector")
+    pairs = rows.select("capec", "vector", whole.alias("whole")).distinct().join(taxonomy.select("vector", "keywords", "boost"), "vector")
     hits = F.size(F.filter("keywords", lambda k: F.contains(F.col("whole"), F.lower(k))))
     share = pairs.groupBy("capec", "vector").agg(F.sum(hits / F.size("keywords") * F.col("boost") * 0.5).alias("share"))
-    scored = rows.join(share, ["capec", "vector"], "left").withColumn("score", F.least(rule_score(*map(F.col, ("text", "name", "description", "severity", "vector"))) + F.coalesce("share", F.lit(0.0)), F.lit(100.0)))
+    scored = rows.join(share, ["capec", "vector"], "left").withColumn("score", F.least(F.col("rules") + F.coalesce("share", F.lit(0.0)), F.lit(100.0)))
     order = Window.partitionBy("item").orderBy(F.desc("score"), "capec")
     scored = scored.withColumns({"probability": F.col("score") / 100, "confidence": confidence(F.col("score"), 70, 50), "rank": F.row_number().over(order).cast("long")})
-    return scored.where(F.col("rank") <= n).drop("share")
+    return scored.where(F.col("rank") <= n).drop("share", "rules")
 
 
 def techniques_of(items: DataFrame, mapping: DataFrame, techniques: DataFrame, fallback: list = fixed.FALLBACK_TECHNIQUES) -> DataFrame:

@@ -59,10 +59,16 @@ def taxonomy(learned_rows: DataFrame, df: DataFrame, n: int, manual: list = fixe
 def matches(docs: DataFrame, candidates: DataFrame, patterns: DataFrame) -> DataFrame:
     """item, vector and each pattern of the vector whose keywords the lower-case text all holds.
 
-    The join is on the vector; the search in the text is what remains after it.
+    A document meets the list of its vectors and the catalogue as one row, so its text is copied for no vector
+    and no pattern; only what matches becomes rows.
     """
-    rows = candidates.join(docs.select(F.col("id").alias("item"), F.lower("text").alias("low")), "item").join(F.broadcast(patterns), "vector")
-    return rows.where(F.forall("keywords", lambda k: F.contains(F.col("low"), k))).drop("low")
+    others = [c for c in patterns.columns if c != "vector"]
+    wanted = candidates.groupBy("item").agg(F.collect_list("vector").alias("wanted"))
+    catalogue = patterns.groupBy("vector").agg(F.collect_list(F.struct(*others)).alias("of")).agg(F.map_from_entries(F.collect_list(F.struct("vector", "of"))).alias("all"))
+    rows = docs.select(F.col("id").alias("item"), F.lower("text").alias("low")).join(wanted, "item").join(F.broadcast(catalogue))
+    of = lambda v: F.filter(F.coalesce(F.element_at("all", v), F.array()), lambda p: F.forall(p["keywords"], lambda k: F.contains(F.col("low"), k)))
+    found = F.flatten(F.transform("wanted", lambda v: F.transform(of(v), lambda p: F.struct(v.alias("vector"), *[p[c].alias(c) for c in others]))))
+    return rows.select("item", found.alias("found")).select("item", F.inline("found"))
 
 
 def boosts(found: DataFrame) -> DataFrame:

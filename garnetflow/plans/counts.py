@@ -86,11 +86,16 @@ def nb_likelihood(spark, sf_dir):
     return bayes.likelihood(model(spark, sf_dir)).select("label", "word", "cnt", F.round("likelihood", 9).alias("likelihood"))
 
 
-@query(f"WITH {sql_model('train')} SELECT label, word, cnt, row_number() OVER (PARTITION BY label ORDER BY cnt DESC, word) AS rank FROM c QUALIFY rank <= 15")
+@query(f"WITH {sql_model('train')} SELECT label, word, cnt, row_number() OVER (PARTITION BY label ORDER BY cnt DESC, word) AS rank FROM c WHERE cnt >= 3 QUALIFY rank <= 15")
 def nb_top_words(spark, sf_dir):
     return bayes.top_words(model(spark, sf_dir, "train"))
 
 
+@query(f"WITH {sql_model('train')} SELECT CAST(coalesce(sum(cnt), 0) AS BIGINT) AS total_words, count(DISTINCT label) AS labels FROM c")
+def total_words(spark, sf_dir):
+    return bayes.total_words(model(spark, sf_dir, "train"))
+
+
 @query(
     f"""WITH {sql_model()}, {sql_scores()}, p AS (SELECT doc_id, label, exp(score - max(score) OVER (PARTITION BY doc_id)) AS e FROM s),
 r AS (SELECT doc_id, label, e / sum(e) OVER (PARTITION BY doc_id) AS probability FROM p)
@@ -116,7 +121,7 @@ tl AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY vector ORDER BY ro
 
 
 def scores(spark, sf_dir):
-    docs = records(spark, sf_dir, "taxonomy").persist()
+    docs = records(spark, sf_dir, "taxonomy")
     return patterns.term_scores(docs, docs, docs.count()), docs
 
 

@@ -25,10 +25,21 @@ def query(sql: str | None = None, name: str | None = None):
     return add
 
 
+#: Columns whose work is worth a shuffle where a file is one split.
+HEAVY = {"text", "html", "embedding"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """A table with the columns that a query needs."""
+    """A table with the columns that a query needs, heavy ones on all cores."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return spread(df) if HEAVY & {*df.columns} else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores if its scan has fewer splits than these; a larger table stays as it is read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores else df.repartition(cores)
 
 
 # --- SQL of the tokenisers, written apart from the Spark expressions ---

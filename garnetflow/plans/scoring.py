@@ -21,11 +21,12 @@ _ROWS = [(k, c, _NAMES.get(c, f"Improper weakness {c}") if c != "703" else None,
 
 
 def weak(spark, sf_dir):
-    """item, pos, cwe, name, vectors and said: three weaknesses for each document."""
+    """item, pos, cwe, name, vectors, hits and flags: three weaknesses for each document, without its text."""
     n = len(_CWES)
-    names = spark.createDataFrame(_ROWS, "k long, cwe string, name string, vectors long")
-    docs = table(spark, sf_dir, "documents", "doc_id", "text").select(F.col("doc_id").alias("item"), said().alias("said"), F.posexplode(F.array(*[(F.col("doc_id") * m + m) % n for m in (1, 5, 7)])).alias("pos", "k"))
-    return docs.join(F.broadcast(names), "k")
+    names = spark.createDataFrame(_ROWS, "k long, cwe string, name string, vectors long").agg(F.array_sort(F.collect_list(F.struct("k", "cwe", "name", "vectors"))).alias("names"))
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").select(F.col("doc_id").alias("item"), F.lower(said()).alias("low")).join(F.broadcast(names))
+    at = lambda pos, m: F.get("names", ((F.col("item") * m + m) % n).cast("int")).withField("pos", F.lit(pos))
+    return classify.weighed(docs, F.array(at(0, 1), at(1, 5), at(2, 7))).drop("names")
 
 
 _SQL_WEAK = f"""(SELECT doc_id AS item, pos, cwe, name, vectors, said FROM (SELECT doc_id, {SQL_SAID} AS said, unnest([(doc_id + 1) % {len(_CWES)}, (doc_id * 5 + 5) % {len(_CWES)}, (doc_id * 7 + 7) % {len(_CWES)}]) AS k, unnest([0, 1, 2]) AS pos FROM documents)
@@ -45,12 +46,12 @@ def _sql_relevance(commands: bool) -> str:
 
 
 def _relevance(spark, sf_dir, commands=True):
-    return weak(spark, sf_dir).withColumn("score", classify.relevance(*map(F.col, ("said", "cwe", "name", "vectors")), commands))
+    return weak(spark, sf_dir).withColumn("score", classify.relevance(*map(F.col, ("cwe", "name", "vectors", "hits", "flags")), commands))
 
 
 @query(f"SELECT item, CAST(pos AS INTEGER) AS pos, cwe, {_sql_relevance(True)} AS score, {_sql_relevance(False)} AS score_batch FROM {_SQL_WEAK}")
 def cwe_relevance(spark, sf_dir):
-    rows = _relevance(spark, sf_dir).withColumn("score_batch", classify.relevance(*map(F.col, ("said", "cwe", "name", "vectors")), False))
+    rows = _relevance(spark, sf_dir).withColumn("score_batch", classify.relevance(*map(F.col, ("cwe", "name", "vectors", "hits", "flags")), False))
     return rows.select("item", "pos", "cwe", "score", "score_batch")
 
 
@@ -125,7 +126,7 @@ hy AS MATERIALIZED (SELECT doc_id, vector, layers, e / sum(e) OVER (PARTITION BY
 
 
 def hybrid_rows(spark, sf_dir):
-    docs = records(spark, sf_dir).persist()
+    docs = records(spark, sf_dir)
     cwes = items(spark, sf_dir).withColumnRenamed("node", "cwe")
     return classify.hybrid(docs, bayes.train(docs.drop("text")), candidates(spark, sf_dir), cwes, full_taxonomy(spark, sf_dir), lists(spark, sf_dir))
 
@@ -152,7 +153,7 @@ tr AS (SELECT doc_id, label FROM tt QUALIFY row_number() OVER (PARTITION BY doc_
 SELECT d.doc_id, coalesce((SELECT string_agg(label, ',' ORDER BY x DESC, label) FROM (SELECT tt.label, tt.x FROM tt JOIN tr ON tr.doc_id = tt.doc_id AND tr.label = tt.label WHERE tt.doc_id = d.doc_id)), 'unknown') AS vectors FROM d"""
 )
 def hybrid_batch(spark, sf_dir):
-    docs = records(spark, sf_dir).persist()
+    docs = records(spark, sf_dir)
     rows = classify.hybrid_batch(docs, bayes.train(docs.drop("text")), candidates(spark, sf_dir), full_taxonomy(spark, sf_dir))
     return rows.select(F.col("id").alias("doc_id"), F.array_join("vectors", ",").alias("vectors"))
 
@@ -182,9 +183,8 @@ sc AS (SELECT doc_id, capec, least({_SQL_RULES} + coalesce(share, 0), 100.0) AS
 SELECT doc_id, capec, round(score / 100, 6) AS probability, CASE WHEN score >= 70 THEN 'high' WHEN score >= 50 THEN 'medium' ELSE 'low' END AS confidence, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, capec) AS rank FROM sc QUALIFY rank <= 5"""
 )
 def capec_rank(spark, sf_dir):
-    rows = capec_links(spark, sf_dir)
-    rows = linking.keep_related(rows, linking.mismatched(*map(F.col, ("said", "name", "description"))), "doc_id")
-    rows = rows.select(F.col("doc_id").alias("item"), F.col("said").alias("text"), F.col("lang").alias("vector"), "capec", "name", "description", "severity")
+    rows = capec_links(spark, sf_dir).select(F.col("doc_id").alias("item"), "low", F.col("lang").alias("vector"), "capec", "name", "description", "severity")
+    rows = linking.keep_related(linking.judged(rows), F.col("mismatch"), "item").drop("mismatch")
     rows = linking.ranked(rows, full_taxonomy(spark, sf_dir))
     return rows.select(F.col("item").alias("doc_id"), "capec", F.round("probability", 6).alias("probability"), "confidence", "rank")
 
@@ -217,7 +217,7 @@ wq AS (SELECT item_id, term, qtf / len * ln(n / (df + 1.0)) AS x FROM rq JOIN rd
 
 @query(f"WITH {_SQL_BAGS}, {_SQL_WEIGHTS} SELECT item_id, doc_id, score FROM (SELECT item_id, doc_id, round(sum(a.w * b.w) * 100, 6) AS score FROM wqn a JOIN wdn b USING (term) GROUP BY item_id, doc_id) QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10")
 def tfidf_cosine(spark, sf_dir):
-    docs = _bag(spark, sf_dir, "documents", "doc_id").persist()
+    docs = _bag(spark, sf_dir, "documents", "doc_id")
     n, df = docs.count(), patterns.document_frequency(docs)
     rows = retrieval.sparse_cosine(retrieval.tfidf(_bag(spark, sf_dir, "benchmark", "item_id"), n, df), retrieval.tfidf(docs, n, df))
     rows = rows.select(F.col("query").alias("item_id"), F.col("id").alias("doc_id"), F.round("score", 6).alias("score"))
@@ -227,45 +227,25 @@ def tfidf_cosine(spark, sf_dir):
 _SQL_COS = "list_aggregate(list_transform(list_zip(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), lambda p: p[1] * p[2]), 'sum') / (sqrt(list_aggregate(list_transform(CAST(a.embedding AS DOUBLE[]), lambda x: x * x), 'sum')) * sqrt(list_aggregate(list_transform(CAST(b.embedding AS DOUBLE[]), lambda x: x * x), 'sum')))"
 
 
-@query(f"SELECT a.vec_id AS query, b.vec_id, round({_SQL_COS}, 6) AS cosine FROM embeddings a JOIN embeddings b ON a.vec_id % 100 = 0 AND a.label = b.label")
-def embedding_cosine(spark, sf_dir):
-    rows = table(spark, sf_dir, "embeddings")
-    queries = rows.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query"), "label", F.col("embedding").alias("q"))
-    return rows.join(queries, "label").select("query", "vec_id", F.round(retrieval.dense_cosine(F.col("q"), F.col("embedding")), 6).alias("cosine"))
-
-
 @query(f"SELECT a.vec_id AS query, b.vec_id, round({_SQL_COS}, 6) AS cosine FROM embeddings a JOIN embeddings b ON a.vec_id % 100 = 0")
-def embedding_cosine_whole(spark, sf_dir):
-    """The queries against all vectors, where `embedding_cosine` and its SQL take those of the same label."""
-    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding").withColumn("n", retrieval.dense_norm(F.col("embedding")))
-    queries = F.broadcast(rows.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query"), F.col("embedding").alias("q"), F.col("n").alias("qn")))
-    return rows.crossJoin(queries).select("query", "vec_id", F.round(retrieval.dense_cosine(F.col("q"), F.col("embedding"), F.col("qn") * F.col("n")), 6).alias("cosine"))
-
-
-_SQL_JAC = f"""jd AS MATERIALIZED (SELECT doc_id, doc_id % 40 AS k, {sql_words('ranking')} AS w FROM documents), jq AS MATERIALIZED (SELECT item_id, item_id % 40 AS k, {sql_words('ranking')} AS w FROM benchmark),
-j AS (SELECT item_id, doc_id, len(list_intersect(jq.w, jd.w)) AS i, len(list_distinct(jq.w)) AS nq, len(list_distinct(jd.w)) AS nd, len(list_filter(jd.w, lambda x: list_contains(jq.w, x))) AS o FROM jq JOIN jd USING (k))"""
-
-
-@query(f"WITH {_SQL_JAC} SELECT item_id, doc_id, round(CASE WHEN nq + nd - i > 0 THEN i / (nq + nd - i) ELSE 0 END * CASE WHEN doc_id % 2 = 0 THEN 1.2 ELSE 1 END, 6) AS jaccard, round(o / (nq + nd - o + 1), 6) AS jaccard_repeats FROM j")
-def jaccard(spark, sf_dir):
-    docs = _bag(spark, sf_dir, "documents", "doc_id", "ranking").select(F.col("id").alias("doc_id"), (F.col("id") % 40).alias("k"), F.col("words").alias("d"))
-    queries = _bag(spark, sf_dir, "benchmark", "item_id", "ranking").select(F.col("id").alias("item_id"), (F.col("id") % 40).alias("k"), F.col("words").alias("q"))
-    severity = F.when(F.col("doc_id") % 2 == 0, "High").otherwise("Low")
-    rows = docs.join(F.broadcast(queries), "k")
-    return rows.select("item_id", "doc_id", F.round(retrieval.severe(retrieval.jaccard(F.col("q"), F.col("d")), severity), 6).alias("jaccard"), F.round(retrieval.jaccard_repeats(F.col("q"), F.col("d")), 6).alias("jaccard_repeats"))
+def embedding_cosine(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    found = retrieval.dense_search(rows.select(F.col("vec_id").alias("id"), "embedding"), rows.where("vec_id % 100 = 0").select(F.col("vec_id").alias("id"), "embedding"))
+    return found.select("query", F.col("id").alias("vec_id"), F.round("cosine", 6).alias("cosine"))
 
 
 @query(
     f"""WITH jd AS MATERIALIZED (SELECT doc_id, {sql_words('ranking')} AS w FROM documents), jq AS MATERIALIZED (SELECT item_id, {sql_words('ranking')} AS w FROM benchmark),
-j AS (SELECT item_id, doc_id, len(list_intersect(jq.w, jd.w)) AS i, len(list_distinct(jq.w)) AS nq, len(list_distinct(jd.w)) AS nd, len(list_filter(jd.w, lambda x: list_contains(jq.w, x))) AS o FROM jq, jd)
-SELECT item_id, doc_id, round(i / (nq + nd - i) * CASE WHEN doc_id % 2 = 0 THEN 1.2 ELSE 1 END, 6) AS jaccard, round(o / (nq + nd - o + 1), 6) AS jaccard_repeats FROM j WHERE i > 0"""
+j AS (SELECT item_id, doc_id, CASE WHEN doc_id % 2 = 0 THEN 1.2::DOUBLE ELSE 1 END AS f, len(list_intersect(jq.w, jd.w)) AS i, len(list_distinct(jq.w)) AS nq, len(list_distinct(jd.w)) AS nd, len(list_filter(jd.w, lambda x: list_contains(jq.w, x))) AS o FROM jq, jd)
+SELECT item_id, doc_id, round(i / (nq + nd - i) * f, 6) AS jaccard, round(o / (nq + nd - o + 1), 6) AS jaccard_repeats, CASE WHEN o / (nq + nd - o + 1) * f > 0.15 THEN 'high' WHEN o / (nq + nd - o + 1) * f > 0.08 THEN 'medium' ELSE 'low' END AS confidence FROM j WHERE i > 0"""
 )
-def jaccard_whole(spark, sf_dir):
-    """All items against all documents, where `jaccard` and its SQL take the pairs whose ids agree modulo 40."""
+def jaccard(spark, sf_dir):
+    """All items against all documents; pairs without a shared term have 0 in both scores and give no row."""
     rows = retrieval.jaccard_search(_bag(spark, sf_dir, "documents", "doc_id", "ranking"), _bag(spark, sf_dir, "benchmark", "item_id", "ranking"))
     rows = rows.select(F.col("query").alias("item_id"), F.col("id").alias("doc_id"), "jaccard", "jaccard_repeats")
     severity = F.when(F.col("doc_id") % 2 == 0, "High").otherwise("Low")
-    return rows.select("item_id", "doc_id", F.round(retrieval.severe(F.col("jaccard"), severity), 6).alias("jaccard"), F.round("jaccard_repeats", 6).alias("jaccard_repeats"))
+    confidence = retrieval.overlap_confidence(retrieval.severe(F.col("jaccard_repeats"), severity))
+    return rows.select("item_id", "doc_id", F.round(retrieval.severe(F.col("jaccard"), severity), 6).alias("jaccard"), F.round("jaccard_repeats", 6).alias("jaccard_repeats"), confidence.alias("confidence"))
 
 
 _SQL_KEYWORDS = " UNION ALL ".join(f"SELECT doc_id, '{v}' AS vector, 90 AS c FROM sd WHERE {sql_any('lower(said)', w)}" for v, w in fixed.VECTOR_KEYWORDS.items())
@@ -276,8 +256,8 @@ _SQL_BY_CWE = " UNION ALL ".join(f"SELECT doc_id, '{v}', 100 FROM sd WHERE doc_i
 @query(f"WITH sd AS MATERIALIZED (SELECT doc_id, {SQL_SAID} AS said FROM documents) SELECT doc_id, vector, CAST(max(c) AS INTEGER) AS confidence FROM ({_SQL_KEYWORDS} UNION ALL {_SQL_REGEX} UNION ALL {_SQL_BY_CWE}) GROUP BY ALL HAVING max(c) >= 70")
 def keyword_layers(spark, sf_dir):
     by_cwe = spark.createDataFrame([(int(c), v) for c, v in fixed.REPORT_CWE_VECTORS], "cwe long, vectors array<string>")
-    docs = table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", said().alias("said"), (F.col("doc_id") % 100).alias("cwe")).join(F.broadcast(by_cwe), "cwe", "left")
-    found = retrieval.keyword_layers(F.col("said"), F.coalesce("vectors", F.array().cast("array<string>")))
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", said().alias("said"), F.lower(said()).alias("low"), (F.col("doc_id") % 100).alias("cwe")).join(F.broadcast(by_cwe), "cwe", "left")
+    found = retrieval.keyword_layers(F.col("said"), F.col("low"), F.coalesce("vectors", F.array().cast("array<string>")))
     return docs.select("doc_id", F.explode(found).alias("f")).select("doc_id", "f.vector", "f.confidence")
 
 
@@ -290,8 +270,8 @@ _CONTEXT = ["with", "eau", "por", "und", "the of", "enthe"]
 FROM (SELECT doc_id, coalesce(list_sum(list_transform(list_filter([{sql_list(_CONTEXT)}], lambda k: contains(lower(text), k)), lambda k: greatest(strlen(k) / 10.0, 1.0))), 0) AS total, {" + ".join(f"CAST(contains(lower(text), '{w}') AS INTEGER)" for w in _IMPACT)} AS hits FROM documents)"""
 )
 def context_penalty(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents", "doc_id", "text")
-    return rows.select("doc_id", retrieval.context_boost(F.col("text"), F.array(*map(F.lit, _CONTEXT))).alias("boost"), retrieval.impact_penalty(F.col("text"), _IMPACT).alias("penalty"))
+    rows = table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.lower("text").alias("low"))
+    return rows.select("doc_id", retrieval.context_boost(F.col("low"), F.array(*map(F.lit, _CONTEXT))).alias("boost"), retrieval.impact_penalty(F.col("low"), _IMPACT).alias("penalty"))
 
 
 _SUBTYPES = [("en", "short", ["the", "of"]), ("en", "long", ["with", "ing", "zzz"]), ("fr", "de", ["eau", "de la"]), ("es", "por", ["ción", "por"])]
@@ -331,7 +311,7 @@ r AS (SELECT doc_id, label, e / sum(e) OVER (PARTITION BY doc_id) AS probability
 SELECT doc_id, label, round(probability, 6) AS probability FROM r WHERE probability >= 1e-4 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY probability DESC, label) <= 5"""
 )
 def report_detect(spark, sf_dir):
-    docs = records(spark, sf_dir, "report").persist()
+    docs = records(spark, sf_dir, "report")
     rows = bayes.posterior(docs, bayes.train(docs.drop("text")), candidates(spark, sf_dir)).where(F.col("probability") >= classify.FLOOR)
     return classify.first_by(rows, "id", 5, F.desc("probability"), "label").select(F.col("id").alias("doc_id"), "label", F.round("probability", 6).alias("probability"))
 

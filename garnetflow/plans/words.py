@@ -31,15 +31,8 @@ def clean_html(spark, sf_dir):
     return rows.select("page_id", F.md5("c").alias("clean_md5"), F.length("c").cast("long").alias("n_chars"))
 
 
-@query(f"SELECT page_id, md5(array_to_string(list_filter([{_SQL_CLEAN.format('url')}, {_SQL_CLEAN.format('left(html, 300)')}], lambda x: x <> ''), ' ')) AS text_md5 FROM pages")
-def description_parts(spark, sf_dir):
-    rows = table(spark, sf_dir, "pages", "page_id", "url", "html")
-    return rows.select("page_id", F.md5(tx.described(F.col("url"), F.substring("html", 1, 300))).alias("text_md5"))
-
-
 @query(f"SELECT page_id, md5(array_to_string(list_filter([{_SQL_CLEAN.format('url')}, {_SQL_CLEAN.format('html')}], lambda x: x <> ''), ' ')) AS text_md5 FROM pages")
-def description_parts_whole(spark, sf_dir):
-    """Whole pages, where `description_parts` and its SQL take the first 300 characters."""
+def description_parts(spark, sf_dir):
     rows = table(spark, sf_dir, "pages", "page_id", "url", "html")
     return rows.select("page_id", F.md5(tx.described(F.col("url"), F.col("html"))).alias("text_md5"))
 
@@ -52,8 +45,14 @@ def strip_prefix(spark, sf_dir):
 
 @query("SELECT conv_id, arg_min(text, turn) AS value FROM conversations WHERE role = 'user' GROUP BY conv_id HAVING arg_min(text, turn) <> ''")
 def first_match(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.col("role").alias("lang"), F.col("text").alias("value")))).alias("d"))
-    return turns.select("conv_id", tx.first_in_language(F.col("d"), "user").alias("value")).where("value <> ''")
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return tx.first_of(turns, "conv_id", "role", "user", "turn", "text").where("value <> ''")
+
+
+@query("SELECT p_partkey, array_to_string(list_sort(list_distinct([substr(v, 7) FOR v IN [p_brand, 'none', 'Brand#7', p_brand, 'Brand#' || p_size] IF starts_with(v, 'Brand#')])), ',') AS ids FROM part")
+def cwe_set(spark, sf_dir):
+    values = F.array(F.col("p_brand"), F.lit("none"), F.lit("Brand#7"), F.col("p_brand"), F.concat(F.lit("Brand#"), F.col("p_size").cast("string")))
+    return table(spark, sf_dir, "part", "p_partkey", "p_brand", "p_size").select("p_partkey", F.array_join(tx.id_set(tx.stripped_ids(values, "Brand#")), ",").alias("ids"))
 
 
 @query(f"SELECT p_partkey, array_to_string({sql_words('cwe_name', 'p_name')}, ',') AS keywords FROM part")
@@ -88,19 +87,14 @@ def any_pattern(spark, sf_dir):
     return table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", tx.any_of(F.lower("text"), _ANY).alias("hit"))
 
 
-@query("SELECT doc_id, p_type FROM documents JOIN (SELECT DISTINCT p_type FROM part) ON contains(lower(text), lower(left(p_type, 2))) AND contains(lower(text), lower(right(p_type, 1))) AND doc_id % 6 = ascii(p_type) % 6")
-def all_pattern(spark, sf_dir):
-    types = table(spark, sf_dir, "part", "p_type").distinct().select("p_type", F.array(F.lower(F.substring("p_type", 1, 2)), F.lower(F.expr("right(p_type, 1)"))).alias("keywords"), (F.ascii("p_type") % 6).cast("long").alias("k"))
-    docs = table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.lower("text").alias("low"), (F.col("doc_id") % 6).alias("k"))
-    return docs.join(F.broadcast(types), "k").where(tx.all_of(F.col("low"), F.col("keywords"))).select("doc_id", "p_type")
-
-
 @query("SELECT doc_id, p_type FROM documents JOIN (SELECT DISTINCT p_type FROM part) ON contains(lower(text), lower(left(p_type, 2))) AND contains(lower(text), lower(right(p_type, 1)))")
-def all_pattern_whole(spark, sf_dir):
-    """All patterns on every document, where `all_pattern` and its SQL take those of its residue modulo 6."""
+def all_pattern(spark, sf_dir):
     types = table(spark, sf_dir, "part", "p_type").distinct().select("p_type", F.array(F.lower(F.substring("p_type", 1, 2)), F.lower(F.expr("right(p_type, 1)"))).alias("keywords"))
     docs = table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.lower("text").alias("low"))
-    return docs.crossJoin(F.broadcast(types)).where(tx.all_of(F.col("low"), F.col("keywords"))).select("doc_id", "p_type")
+    # the catalogue is one row with a list, so the text stays where it is and is copied for no pattern
+    catalogue = types.agg(F.collect_list(F.struct("p_type", "keywords")).alias("all"))
+    found = docs.join(F.broadcast(catalogue)).select("doc_id", F.filter("all", lambda p: tx.all_of(F.col("low"), p["keywords"]))["p_type"].alias("found"))
+    return found.select("doc_id", F.explode("found").alias("p_type"))
 
 
 _LAYERS = ["er.*(?:th|an)", r"(?:en|es)\s+de", "ch(?:er|en)"]
@@ -140,11 +134,11 @@ def capecs(spark):
 
 
 def capec_links(spark, sf_dir):
-    """item, said and three attack patterns for each document."""
+    """item, said, low (said in lower case) and three attack patterns for each document."""
     order = [c for c, *_ in CAPECS]
     at = lambda k: F.array(*map(F.lit, order))[((F.col("doc_id") * k + k) % len(order)).cast("int")]
-    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang").select("doc_id", "lang", said().alias("said"), F.explode(F.array_distinct(F.array(at(1), at(3), at(5)))).alias("capec"))
-    return docs.join(F.broadcast(capecs(spark)), "capec")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang").select("doc_id", "lang", said().alias("said"), F.lower(said()).alias("low"))
+    return docs.select("*", F.explode(F.array_distinct(F.array(at(1), at(3), at(5)))).alias("capec")).join(F.broadcast(capecs(spark)), "capec")
 
 
 SQL_LINKS = f"""(SELECT doc_id, lang, said, capec, name, description, severity FROM
@@ -155,7 +149,8 @@ JOIN {SQL_CAPECS} USING (capec))"""
 @query(f"SELECT doc_id, capec FROM (SELECT doc_id, capec, ({SQL_MISMATCH}) AS bad FROM {SQL_LINKS}) QUALIFY NOT bad OR bool_and(bad) OVER (PARTITION BY doc_id)")
 def mismatch_filter(spark, sf_dir):
     rows = capec_links(spark, sf_dir)
-    return linking.keep_related(rows, linking.mismatched(*map(F.col, ("said", "name", "description"))), "doc_id").select("doc_id", "capec")
+    rows = rows.select("doc_id", "capec", linking.mismatched(*map(F.col, ("low", "name", "description"))).alias("mismatch"))
+    return linking.keep_related(rows, F.col("mismatch"), "doc_id").select("doc_id", "capec")
 
 
 @query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS d1, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000') AS d2 FROM orders")
@@ -165,14 +160,8 @@ def format_date(spark, sf_dir):
     return rows.select("o_orderkey", tx.day_of(F.concat(stamp, F.lit("Z"))).alias("d1"), tx.day_of(F.concat(stamp, F.lit(".000"))).alias("d2"))
 
 
-@query("SELECT page_id, md5(replace(replace(replace(replace(replace(url || left(html, 200), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#39;')) AS escaped_md5 FROM pages")
+@query("SELECT page_id, md5(replace(replace(replace(replace(replace(url || html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#39;')) AS escaped_md5 FROM pages")
 def escape_html(spark, sf_dir):
-    return table(spark, sf_dir, "pages", "page_id", "url", "html").select("page_id", F.md5(tx.escaped(F.concat("url", F.substring("html", 1, 200)))).alias("escaped_md5"))
-
-
-@query("SELECT page_id, md5(replace(replace(replace(replace(replace(url || html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''''', '&#39;')) AS escaped_md5 FROM pages")
-def escape_html_whole(spark, sf_dir):
-    """Whole pages, where `escape_html` and its SQL take the first 200 characters."""
     return table(spark, sf_dir, "pages", "page_id", "url", "html").select("page_id", F.md5(tx.escaped(F.concat("url", "html"))).alias("escaped_md5"))
 
 

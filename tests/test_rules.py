@@ -145,12 +145,17 @@ def test_batch(spark, corpus, model, taxonomy, edges):
     ],
 )
 def test_relevance(spark, text, cwe, name, vectors, score):
-    assert one(spark, classify.relevance(F.lit(text), F.lit(cwe), F.lit(name).cast("string"), F.lit(vectors))) == score
+    assert one(spark, relevance_of(text, cwe, name, vectors)) == score
+
+
+def relevance_of(text, cwe, name, vectors, commands=True):
+    low, name = F.lower(F.lit(text)), F.lit(name).cast("string")
+    return classify.relevance(F.lit(cwe), name, F.lit(vectors), classify.name_hits(low, name), classify.triggers(low), commands)
 
 
 def test_relevance_without_commands(spark):
-    args = (F.lit("inject a command"), F.lit("78"), F.lit("OS Thing"), F.lit(0))
-    assert one(spark, classify.relevance(*args)) - one(spark, classify.relevance(*args, commands=False)) == 80
+    args = ("inject a command", "78", "OS Thing", 0)
+    assert one(spark, relevance_of(*args)) - one(spark, relevance_of(*args, commands=False)) == 80
 
 
 @pytest.mark.parametrize(("p", "kept"), [([0.55, 0.40, 0.05], 3), ([0.95, 0.80, 0.10], 2), ([0.70, 0.45, 0.30, 0.29], 2), ([0.3], 1)])
