@@ -7,8 +7,11 @@ insult beside a mention of a group, is learned though each alone may mean little
 learned with a proximal step that leaves most at zero, factors with a penalty; terms that keep neither are
 dropped, so a scoring task holds a table of bits and a few thousand rows.
 
-Learning takes at most TRAIN_ROWS labelled rows, the first in the order of a hash of doc_id, on the driver;
-every document is scored, whole.
+Learning takes at most TRAIN_ROWS labelled rows, the first in the order of a hash of doc_id. Their terms are counted
+where they are; the driver gets the counts, picks the terms that tell most of the label while their pairs of row and term
+are within PLACES, and only then gets the pairs of these. So both its rows and its bytes are bounded,
+however long the texts are. Two models of half of the rows each score the other half, and the cut that parts the labels best
+in these scores becomes 0.5. Every document is scored, whole.
 
 Cases: null counts as empty text and gets the score of the bias; labels that are null are no labels; of
 repeated labels of a doc_id the largest counts; without labels of both classes each score is the
@@ -26,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, tidy
+from .common import discard, slices, tidy, written
 from .decontaminate import Words, _B, _buffer, _runs
 
 BITS = 20
 TRAIN_ROWS = 16_000
+#: Pairs of row and term that go to the driver: 4 bytes each.
+PLACES = 8_000_000
 FACTORS = 4
 EPOCHS = 6
 BATCH = 256
@@ -73,11 +78,13 @@ class Model:
         self.active[self.places] = True
 
     def scores(self, column: pa.Array) -> np.ndarray:
-        w = Words(*_buffer(column))
-        docs, places = terms_of(w)
+        docs, places = terms_of(Words(*_buffer(column)))
         keep = self.active[places]
-        docs, places = distinct(docs[keep], places[keep])
-        at, n = np.searchsorted(self.places, places), len(column)
+        return self.scored(*distinct(docs[keep], places[keep]), len(column))
+
+    def scored(self, docs: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
+        """The scores of n texts from their distinct active places."""
+        at = np.searchsorted(self.places, places)
         z = self.bias + np.bincount(docs, self.weights[at], n)
         for f in range(self.factors.shape[1]):
             v = self.factors[at, f]
@@ -162,6 +169,37 @@ def _refit(bias: float, places: np.ndarray, w: np.ndarray, v: np.ndarray, counts
     return Model(bias, places, w, v)
 
 
+def chosen(places: np.ndarray, seen: np.ndarray, toxic: np.ndarray, rows: int, share: float, most: int = PLACES) -> np.ndarray:
+    """Of the places with their numbers of rows and of toxic rows, those that tell most of the label, while these rows sum up to `most`."""
+    keep = seen >= LEAST_DOCS
+    places, seen, toxic = places[keep], seen[keep], toxic[keep]
+    strays = (toxic - seen * share) ** 2 / np.maximum(seen * share * (1 - share) * (1 - seen / (rows + 1)), 1e-9)
+    order = np.lexsort((places, -strays))
+    return np.sort(places[order[np.cumsum(seen[order]) <= most]])
+
+
+def calibrated(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
+    """A model of all rows whose 0.5 is the cut that parts the labels best when each half is scored by a model of the other."""
+    model = fit(texts, labels, seed)
+    half = np.random.default_rng(seed).permutation(len(labels)) % 2 == 0
+    if any(len(np.unique(labels[h])) < 2 for h in (half, ~half)):
+        return model
+    out = np.empty(len(labels))
+    for h in (half, ~half):
+        other, rows = fit([texts[k] for k in np.flatnonzero(~h)], labels[~h], seed), [texts[k] for k in np.flatnonzero(h)]
+        docs, places = np.repeat(np.arange(len(rows)), [len(t) for t in rows]), np.concatenate(rows).astype(np.int64)
+        keep = other.active[places]
+        out[h] = other.scored(docs[keep], places[keep], len(rows))
+    # F2 for a cut after each row: a miss weighs more than a false alarm
+    order = np.argsort(-out, kind="stable")
+    toxic = labels[order] > 0
+    k = int(np.argmax(5 * np.cumsum(toxic) / (np.arange(1, len(order) + 1) + 4 * toxic.sum())))
+    low = out[order[k + 1]] if k + 1 < len(order) else 0.0
+    cut = np.clip((out[order[k]] + low) / 2, 0.02, 0.98)
+    model.bias -= float(np.log(cut / (1 - cut)))
+    return model
+
+
 def held_out(doc_id):
     return F.crc32(doc_id.cast("string")) % 5 == 0
 
@@ -174,19 +212,45 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS, doc_id: st
     rows = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()  # `most` rows at most
     if not rows:
         return fit([], np.empty(0))
-    chosen = spark.createDataFrame(rows, "doc_id long, toxic int")
+    known = spark.createDataFrame(rows, "doc_id long, toxic int")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             d, p = distinct(*terms_of(Words(*_buffer(batch.column(2)))))
             cuts = np.searchsorted(d, np.arange(batch.num_rows + 1))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([p[a:b].astype("<i4").tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())], ["doc_id", "toxic", "places"])
 
-    found = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")
-    found = found.mapInArrow(tidy(run), "doc_id long, toxic int, places binary")
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, toxic = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
+        for batch in batches:
+            for t, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                at = np.frombuffer(blob, "<i4")
+                seen[at] += 1
+                if t:
+                    toxic[at] += 1
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(seen[at]), pa.array(toxic[at])], ["place", "seen", "toxic"])
+
+    found = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(known), "doc_id").select("doc_id", F.col("toxic").alias("toxic"), "text")
+    found = found.mapInArrow(tidy(terms), "doc_id long, toxic int, places binary")
     # repeated rows of a document would lift the bound: the first of equal ids is taken
-    found = found.groupBy("doc_id", "toxic").agg(F.min("places").alias("places")).toArrow().sort_by("doc_id")
-    return fit([np.frombuffer(b, "<i4") for b in found["places"].to_pylist()], (np.asarray(found["toxic"]) > 0).astype(float))
+    found = written(found.groupBy("doc_id", "toxic").agg(F.min("places").alias("places")), "terms")
+    counts = found.mapInArrow(tidy(count), "place int, seen long, toxic long").groupBy("place").agg(F.sum("seen").alias("seen"), F.sum("toxic").alias("toxic"))
+    counts = counts.where(F.col("seen") >= LEAST_DOCS).toArrow()  # 2**BITS rows at most
+    labels = found.agg(F.count("*"), F.sum((F.col("toxic") > 0).cast("int"))).first()
+    take = np.zeros(1 << BITS, bool)
+    take[chosen(*(np.asarray(counts[c]) for c in ("place", "seen", "toxic")), labels[0], (labels[1] or 0) / max(1, labels[0]))] = True
+    shared = spark.sparkContext.broadcast(np.packbits(take))
+
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.unpackbits(shared.value).astype(bool)
+        for batch in batches:
+            blobs = [at[own[at]].tobytes() for at in (np.frombuffer(b, "<i4") for b in batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(blobs, pa.binary())], batch.schema.names)
+
+    got = found.mapInArrow(tidy(narrow), found.schema).toArrow().sort_by("doc_id")  # TRAIN_ROWS rows and PLACES places at most
+    discard(found)
+    return calibrated([np.frombuffer(b, "<i4") for b in got["places"].to_pylist()], (np.asarray(got["toxic"]) > 0).astype(float))
 
 
 def _scored(docs: DataFrame, model: Model, text: str, keep: bool, schema) -> DataFrame:
