@@ -1,10 +1,10 @@
 """Benchmark decontamination: a broadcast set of hashed test windows, scanned over whole documents.
 
 A benchmark item gives its windows of N consecutive words (one window of all its words if it has fewer). The
-windows' 64-bit hashes and their words are broadcast in blocks of a stated number; a benchmark beyond one
-block is scanned block after block, with the hits kept beside each document between the scans. A scan
-hashes the words of many documents at once, finds the windows whose hash is in the block and compares their
-words, so that a hash alone decides nothing.
+windows' 64-bit hashes and their words are broadcast in blocks of a stated number, which the driver gathers and sends one
+by one. One scan of the documents goes through the blocks: a task holds GROUP slices of texts and, beyond one block, one
+block at a time. The scan hashes the words of many documents at once, finds the windows whose hash is in the
+block and compares their words, so that a hash alone decides nothing.
 
 Cases: null texts have no words; an item without words has no window; equal items each count under their own
 id, repeated rows once; a null item_id is called "null"; each row of docs gives one row, repeated ones
@@ -15,19 +15,21 @@ remove_leaks() as they are.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import slices, tidy, written
 
 N = 10
 #: Windows in a broadcast block: about 60 MB in a worker.
 BLOCK = 200_000
+#: Slices of texts that meet a block before the next one is loaded.
+GROUP = 24
 
 _B, _C = 0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93 | 1
 _MASK = (1 << 64) - 1
@@ -155,57 +157,41 @@ def _blocks(benchmark: DataFrame, n: int, most: int, item_id: str, text: str) ->
 
 
 def _scan(docs: DataFrame, benchmark: DataFrame, emit: str, n: int, most: int, doc_id: str, text: str, item_id: str, item_text: str) -> DataFrame:
-    """One pass over docs for each block. emit: report, documents (those without hits) or spans (texts without hit words)."""
+    """One pass over docs. emit: report, documents (those without hits) or spans (texts without hit words)."""
     spark, schema = docs.sparkSession, docs.schema
     report = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-    # names of ours that no column of docs has, so that hits of earlier blocks travel beside the row
-    spare = "hits_" + "_" * max(len(c) for c in docs.columns)
-    carried = T.StructType([*schema.fields, T.StructField(spare, T.ArrayType(T.LongType())), T.StructField(spare + "i", T.ArrayType(T.StringType()))])
-    blocks = list(_blocks(benchmark, n, most, item_id, item_text))
-    for k, block in enumerate(blocks):
-        shared, last = spark.sparkContext.broadcast(block), k == len(blocks) - 1
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, last=last) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches, text):
-                names = batch.schema.names
-                column = batch.column(names.index(text))
-                w = Words(*_buffer(column))
-                items: dict[int, set] = {}
-                words: dict[int, set] = {}
-                if spare in names:
-                    for d, (old, was) in enumerate(zip(batch.column(names.index(spare)).to_pylist(), batch.column(names.index(spare + "i")).to_pylist(), strict=True)):
-                        if old:
-                            words[d] = {int(w.first[d]) + x for x in old}
-                            items[d] = set(was)
-                for at, size, found in shared.value.hits(w):
-                    d = int(w.doc[at])
-                    items.setdefault(d, set()).update(found)
-                    words.setdefault(d, set()).update(range(at, at + size))
-                m = batch.num_rows
-                if not last:
-                    kept = [c for c in names if not c.startswith(spare)]
-                    extra = [pa.array([sorted(x - int(w.first[d]) for x in words.get(d, ())) for d in range(m)], pa.list_(pa.int64())), pa.array([sorted(items.get(d, ())) for d in range(m)], pa.list_(pa.string()))]
-                    yield pa.RecordBatch.from_arrays([batch.column(names.index(c)) for c in kept] + extra, [*kept, spare, spare + "i"])
-                elif emit == "report":
-                    shas = [hashlib.sha256(",".join(sorted(items.get(d, ()))).encode()).hexdigest() for d in range(m)]
-                    hit = [len(words.get(d, ())) for d in range(m)]
-                    yield pa.RecordBatch.from_arrays([batch.column(names.index(doc_id)).cast(pa.int64()), pa.array(np.diff(w.first).astype(np.int64)), pa.array(hit, pa.int64()), pa.array([len(items.get(d, ())) for d in range(m)], pa.int64()), pa.array(shas), pa.array([h > 0 for h in hit])], [c.split()[0] for c in report.split(", ")])
-                else:
-                    kept = pa.RecordBatch.from_arrays([batch.column(names.index(c)) for c in names if not c.startswith(spare)], [c for c in names if not c.startswith(spare)])
-                    if emit == "documents":
-                        yield kept.filter(pa.array([d not in words for d in range(m)]))
-                    else:
-                        texts = column.to_pylist()
-                        begin = np.concatenate([[0], np.cumsum([len((t or "").encode()) for t in texts])])
-                        for d, found in words.items():
-                            texts[d] = _without(texts[d].encode(), sorted((int(w.starts[x] - begin[d]), int(w.ends[x] - begin[d])) for x in found))
-                        yield kept.set_column(names.index(text), batch.schema.field(text), pa.array(texts, batch.schema.field(text).type))
-
-        if not last:
-            docs = written(docs.mapInArrow(tidy(run), carried), f"hits-{k}")
-        else:
-            docs = docs.mapInArrow(tidy(run), report if emit == "report" else schema)
-    return docs
+    shared = [spark.sparkContext.broadcast(block) for block in _blocks(benchmark, n, most, item_id, item_text)]
+
+    def made(batch: pa.RecordBatch, w: Words, words: dict[int, set], items: dict[int, set]) -> pa.RecordBatch:
+        m, k = batch.num_rows, batch.schema.get_field_index(text)
+        if emit == "report":
+            shas = [hashlib.sha256(",".join(sorted(items.get(d, ()))).encode()).hexdigest() for d in range(m)]
+            hit = [len(words.get(d, ())) for d in range(m)]
+            ids = batch.column(batch.schema.get_field_index(doc_id)).cast(pa.int64())
+            return pa.RecordBatch.from_arrays([ids, pa.array(np.diff(w.first).astype(np.int64)), pa.array(hit, pa.int64()), pa.array([len(items.get(d, ())) for d in range(m)], pa.int64()), pa.array(shas, pa.string()), pa.array([h > 0 for h in hit])], [c.split()[0] for c in report.split(", ")])
+        if emit == "documents":
+            return batch.filter(pa.array([d not in words for d in range(m)]))
+        texts = batch.column(k).to_pylist()
+        begin = np.concatenate([[0], np.cumsum([len((t or "").encode()) for t in texts])])
+        for d, found in words.items():
+            texts[d] = _without(texts[d].encode(), sorted((int(w.starts[x] - begin[d]), int(w.ends[x] - begin[d])) for x in found))
+        return batch.set_column(k, batch.schema.field(text), pa.array(texts, batch.schema.field(text).type))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = slices(batches, text)
+        while group := list(itertools.islice(parts, GROUP if len(shared) > 1 else 1)):
+            scanned = [(Words(*_buffer(b.column(b.schema.get_field_index(text)))), {}, {}) for b in group]
+            for one in shared:
+                # a lone block stays with the worker; of several, only the one in use is held
+                block = one.value if len(shared) == 1 else one.load_from_path(one._path)
+                for w, words, items in scanned:
+                    for at, size, found in block.hits(w):
+                        d = int(w.doc[at])
+                        items.setdefault(d, set()).update(found)
+                        words.setdefault(d, set()).update(range(at, at + size))
+            yield from (made(b, *s) for b, s in zip(group, scanned, strict=True))
+
+    return docs.mapInArrow(tidy(run), report if emit == "report" else schema)
 
 
 def _without(data: bytes, spans: list[tuple[int, int]]) -> str:
