@@ -11,8 +11,8 @@ whose pair is unique drop out. A cut stops when its ranks span its core, the n p
 contain; if n is no power of two, the last step overlaps its halves (the ranks at i and i + n - h).
 
 What is left are cuts whose core occurs again. A string is then its core's rank with the bytes before and after the core:
-the starts of a cut are settled together if the whole span of their strings is equal to another's, and one
-by one in the kinds of span that differ under one core.
+the starts of a cut are settled together if the whole span of their strings is equal to another's; where spans differ under one
+core, one of each kind goes on, by CHUNK starts in the same way and then one by one.
 
 The method per key: pairs are counted by partial aggregation before they move, and the ranks come back by joins whose
 skewed partitions Spark splits, so a passage that a third of all documents share makes no heavy task. Pieces and
@@ -39,7 +39,12 @@ from .decontaminate import _B, _buffer, _C, _runs
 LENGTH = 400
 ANCHOR = 24
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-CUTS = "row long, k int, name long, n int, top int, head int, tail int, lo int, hi int, edge long"
+#: Starts that are looked at together where spans differ.
+CHUNK = 8
+CUTS = "row long, k int, name long, n int, top int, head int, shape long, edge long"
+#: What a cut takes along: the shape holds how far from the head the first and the last start are and the core's end, each in SHAPE bits.
+OWN = ["row", "k", "n", "top", "head", "shape", "edge"]
+SHAPE = 20
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -48,7 +53,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def _window(length: int) -> int:
-    return max(1, length // 6)
+    return max(1, length // 4)
 
 
 def _named(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -58,11 +63,11 @@ def _named(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
 
 def cuts_of(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int) -> dict[str, np.ndarray]:
     """The cuts of all texts of a buffer that have a piece: text, number within it, name of the piece, pieces of the core (0
-    without starts), the most of any core of the text, and from the text's begin the core, the first and last start; the name of what lies
+    without starts), the most of any core of the text, where the core begins in the text, the shape, and the name of what lies
     beside the core in the span of the starts."""
     window = _window(length)
     wide = window + anchor - 1
-    kinds = {"doc": np.int64, "k": np.int32, "name": np.uint64, "n": np.int32, "top": np.int32, "head": np.int32, "tail": np.int32, "lo": np.int32, "hi": np.int32, "edge": np.uint64}
+    kinds = {"doc": np.int64, "k": np.int32, "name": np.uint64, "n": np.int32, "top": np.int32, "head": np.int32, "shape": np.int64, "edge": np.uint64}
     none = {k: np.empty(0, t) for k, t in kinds.items()}
     if len(data) < length:
         return none
@@ -103,8 +108,8 @@ def cuts_of(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int) ->
     edge[s] = _beside(values, lo[s], cut[s], tail[s], hi[s] + length) + (hi[s] - lo[s]).astype(np.uint64)
     docs, firsts = np.unique(doc, return_index=True)
     top = np.maximum.reduceat(n, firsts)[np.searchsorted(docs, doc)]
-    base = offsets[doc]
-    out = {"doc": doc, "k": np.arange(len(cut)) - first, "name": name, "n": n, "top": top, "head": cut - base, "tail": np.where(starts, tail - base, 0), "lo": lo - base, "hi": hi - base, "edge": edge}
+    shape = np.where(starts, (cut - lo) << 2 * SHAPE | (cut - hi) << SHAPE | (tail - cut), 0)
+    out = {"doc": doc, "k": np.arange(len(cut)) - first, "name": name, "n": n, "top": top, "head": cut - offsets[doc], "shape": shape, "edge": edge}
     return {k: v[~last].astype(kinds[k]) for k, v in out.items()}
 
 
@@ -135,83 +140,104 @@ def _cut(rows: DataFrame, length: int, anchor: int) -> DataFrame:
 def reranked(pairs: DataFrame) -> DataFrame:
     """The rows of `pairs` whose (kind, r1, r2) occurs again, with its rank in the sorted order of these."""
     key = ["kind", "r1", "r2"]
-    again = pairs.groupBy(*key).agg(F.count("*").alias("times")).where("times > 1")
+    again = written(pairs.groupBy(*key).agg(F.count("*").alias("times")).where("times > 1").drop("times"), "again")
     ranks = again.orderBy(*key).select(*key, F.monotonically_increasing_id().alias("rank"))
-    return pairs.join(ranks, key).select("row", "k", "n", "top", "kind", "rank")
+    out = written(pairs.join(ranks, key).select(*OWN, "kind", "rank"), "ranks")
+    discard(again)
+    return out
 
 
 def _asked(live: DataFrame, h: int) -> DataFrame:
     """Round h: for each cut the rank of its h pieces with that at k + h, and of cores of h to 2h - 1 pieces with that of the last h."""
     on = F.when(F.col("top") >= 2 * h, F.struct(F.lit(0).alias("kind"), (F.col("k") + h).alias("at")))
     end = F.when((F.col("n") >= h) & (F.col("n") < 2 * h), F.struct(F.col("n").alias("kind"), (F.col("k") + F.col("n") - h).alias("at")))
-    asks = live.select("row", "k", "n", "top", "rank", F.explode(F.filter(F.array(on, end), lambda x: x.isNotNull())).alias("a"))
-    asks = asks.select("row", "k", "n", "top", F.col("rank").alias("r1"), "a.kind", "a.at")
+    asks = live.select(*OWN, F.col("rank").alias("r1"), F.explode(F.filter(F.array(on, end), lambda x: x.isNotNull())).alias("a"))
     told = live.groupBy("row", F.col("k").alias("at")).agg(F.max("rank").alias("r2"))  # equal rows have equal ranks
-    return asks.join(told, ["row", "at"]).select("row", "k", "n", "top", "kind", "r1", "r2")
+    return asks.select(*OWN, "r1", "a.kind", "a.at").join(told, ["row", "at"]).select(*OWN, "kind", "r1", "r2")
 
 
 def cores(cuts: DataFrame) -> DataFrame:
-    """row, k and the rank of each cut whose core occurs again, by prefix doubling. cuts: row, k, name, n, top."""
-    pairs = cuts.select("row", "k", "n", "top", F.lit(0).alias("kind"), F.col("name").alias("r1"), F.lit(0).cast("long").alias("r2"))
-    live = written(reranked(pairs), "ranks-1")
-    h, tables, found = 1, [live], []
+    """row, head, shape, n, rank and edge of each cut with starts whose core occurs again, by prefix doubling."""
+    live = reranked(cuts.select(*OWN, F.lit(0).alias("kind"), F.col("name").alias("r1"), F.lit(0).cast("long").alias("r2")))
+    h, tables, out = 1, [live], None
     while True:
         most = live.agg(F.max("top")).first()[0]
         if most is None or most < h:
             break
-        ranked = written(reranked(_asked(live, h)), f"ranks-{2 * h}")
-        found.append(ranked.where("kind > 0").select("row", "k", "rank"))
+        pairs = written(_asked(live, h), f"pairs-{h}")
+        ranked = reranked(pairs)
+        discard(pairs)
+        ended = ranked.where("kind > 0").select("row", "head", "shape", "n", "rank", "edge")
+        out = ended if out is None else out.union(ended)
         tables.append(ranked)
         live = ranked.where("kind = 0")
         h *= 2
-    out = found[0] if found else live.select("row", "k", "rank").limit(0)
-    for f in found[1:]:
-        out = out.union(f)
-    out = written(out.groupBy("row", "k").agg(F.max("rank").alias("rank")), "cores")
+    out = written(live.select("row", "head", "shape", "n", "rank", "edge").limit(0) if out is None else out, "cores")
     discard(*tables)
     return out
 
 
-def repeated_spans(rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
-    """row and its spans (los and his, not merged) of what repeats, for documents that have any. rows: row, text."""
-    if length - 2 * _window(length) - anchor + 2 < 1 or anchor < 1:
-        raise ValueError(f"strings of {length} bytes have no core for anchors of {anchor}")
-    cuts = written(_cut(rows, length, anchor), "cuts")
-    core = cores(cuts)
-    heads = cuts.where("n > 0").drop("name", "top").join(core, ["row", "k"]).drop("k")
-    heads = written(heads, "heads")
-    discard(cuts, core)
-    # spans of one kind are equal; of each kind the first stands for all
-    kinds = heads.groupBy("n", "rank", "edge").agg(F.count("*").alias("times"), *(F.first(c).alias(c) for c in ("row", "head", "tail", "lo", "hi")))
-    kinds = written(kinds, "kinds")
-    settled = heads.join(kinds.where("times > 1").select("n", "rank", "edge"), ["n", "rank", "edge"]).select("row", "lo", (F.col("hi") + length).alias("hi"))
-    settled = written(settled, "settled")
-    discard(heads)
-    several = kinds.groupBy("n", "rank").agg(F.count("*").alias("kinds")).where("kinds > 1").drop("kinds")
-    apart = kinds.join(several, ["n", "rank"]).groupBy("row").agg(F.collect_list(F.struct("rank", "n", "head", "tail", "lo", "hi")).alias("heads"))
+def _sorted_out(rows: DataFrame, group: list[str], kind: str, place: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The places whose kind occurs again within its group; and of groups with several kinds one place of each kind, with its core. Both are written."""
+    kinds = written(rows.groupBy(*group, kind).agg(F.count("*").alias("times"), *(F.first(c).alias(c) for c in place)), "kinds")
+    settled = written(rows.join(kinds.where("times > 1").select(*group, kind), [*group, kind]).select(*place), "settled")
+    several = kinds.groupBy(*group).agg(F.count("*").alias("kinds")).where("kinds > 1").drop("kinds")
+    apart = written(kinds.join(several, group).select(*place, "n", "rank"), "apart")
+    discard(kinds)
+    return settled, apart
+
+
+def _beside_cores(rows: DataFrame, apart: DataFrame, length: int, chunk: int) -> DataFrame:
+    """The starts of some cuts by chunks: row, rank, n, head, shape (of the chunk), whole and edge.
+
+    whole names the bytes beside the core that all starts of a chunk share, and the chunk; edge those that any of them has.
+    """
 
-    def starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 18):
             data, offsets = _buffer(batch.column(1))
             heads = batch.column(2)
             flat, per = heads.flatten(), np.diff(np.asarray(heads.offsets))
             doc = np.repeat(np.arange(batch.num_rows), per)
-            rank, n, head, tail, lo, hi = (np.asarray(flat.field(k)) for k in range(6))
-            many = (hi - lo + 1).astype(np.int64)
+            rank, n, head, shape = (np.asarray(flat.field(k)) for k in range(4))
+            far, near, core = (shape >> 2 * SHAPE), shape >> SHAPE & (1 << SHAPE) - 1, shape & (1 << SHAPE) - 1
+            many = far // chunk - near // chunk + 1
             of = np.repeat(np.arange(len(doc)), many)
-            at = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many) + lo[of]
-            base = offsets[doc[of]]
-            name = _beside(data.astype(np.uint64) + np.uint64(1), base + at, base + head[of], base + tail[of], base + at + length)
-            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (rank[of], n[of], name.view(np.int64), np.asarray(batch.column(0))[doc[of]], at.astype(np.int32))], ["rank", "n", "name", "row", "at"])
+            c = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many) + (near // chunk)[of]
+            a1, a2 = np.maximum(near[of], c * chunk), np.minimum(far[of], c * chunk + chunk - 1)
+            at = offsets[doc[of]] + head[of]
+            tail, values = at + core[of], data.astype(np.uint64) + np.uint64(1)
+            whole = _beside(values, at - c * chunk, at, tail, np.maximum(tail, at - c * chunk - chunk + 1 + length))
+            edge = _beside(values, at - a2, at, tail, at - a1 + length)
+            shapes = a2 << 2 * SHAPE | a1 << SHAPE | core[of]
+            out = (np.asarray(batch.column(0))[doc[of]], rank[of], n[of], head[of], shapes, (whole + c.astype(np.uint64)).view(np.int64), (edge + (a2 - a1).astype(np.uint64)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in out], ["row", "rank", "n", "head", "shape", "whole", "edge"])
 
-    texts = rows.select("row", "text").join(apart.hint("merge"), "row").select("row", "text", "heads")
-    each = written(texts.mapInArrow(tidy(starts), "rank long, n int, name long, row long, at int"), "starts")
-    discard(kinds)
-    key = ["rank", "n", "name"]
-    again = each.groupBy(*key).agg(F.count("*").alias("times")).where("times > 1").drop("times")
-    single = each.join(again, key).select("row", F.col("at").alias("lo"), (F.col("at") + length).alias("hi"))
-    spans = written(settled.union(single).groupBy("row").agg(F.collect_list("lo").alias("los"), F.collect_list("hi").alias("his")), "spans")
-    discard(settled, each)
+    listed = apart.groupBy("row").agg(F.collect_list(F.struct("rank", "n", "head", "shape")).alias("heads"))
+    texts = rows.select("row", "text").join(listed.hint("merge"), "row").select("row", "text", "heads")
+    return texts.mapInArrow(tidy(run), "row long, rank long, n int, head int, shape long, whole long, edge long")
+
+
+def repeated_spans(rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
+    """row and its spans (los and his, not merged) of what repeats, for documents that have any. rows: row, text."""
+    if length - 2 * _window(length) - anchor + 2 < 1 or anchor < 1 or length >= 1 << SHAPE:
+        raise ValueError(f"strings of {length} bytes have no core for anchors of {anchor}")
+    place = ["row", "head", "shape"]
+    cuts = written(_cut(rows, length, anchor), "cuts")
+    heads = cores(cuts)
+    discard(cuts)
+    by_cut, apart = _sorted_out(heads, ["n", "rank"], "edge", place)
+    discard(heads)
+    chunks = written(_beside_cores(rows, apart, length, CHUNK), "chunks")
+    by_chunk, left = _sorted_out(chunks, ["n", "rank", "whole"], "edge", place)
+    discard(apart, chunks)
+    starts = written(_beside_cores(rows, left, length, 1), "starts")
+    again = starts.groupBy("n", "rank", "edge", "shape").agg(F.count("*").alias("times")).where("times > 1").drop("times")
+    alone = starts.join(again, ["n", "rank", "edge", "shape"]).select(*place)
+    far, near = F.shiftright("shape", 2 * SHAPE).cast("int"), F.shiftright("shape", SHAPE).bitwiseAND((1 << SHAPE) - 1).cast("int")
+    found = by_cut.union(by_chunk).union(alone).select("row", (F.col("head") - far).alias("lo"), (F.col("head") - near + length).alias("hi"))
+    spans = written(found.groupBy("row").agg(F.collect_list("lo").alias("los"), F.collect_list("hi").alias("his")), "spans")
+    discard(by_cut, by_chunk, left, starts)
     return spans
 
 
