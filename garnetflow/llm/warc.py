@@ -381,13 +381,20 @@ def records(source, tests: list[Filter] = (), payload: str = "full", name: str =
 
 
 def records_of(pages: DataFrame, least: int = LEAST_REVISIT, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """The rows to write: of equal payloads of `least` bytes or more the smallest page_id is the response."""
+    """The rows to write: of equal payloads of `least` bytes or more the smallest page_id is the response.
+
+    Which pages revisit another is settled on ids and digests; payloads then meet these by page, never by digest, so many
+    equal or empty pages do not come to one task.
+    """
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumns({"payload_digest": F.sha2("payload", 256), "payload_bytes": F.octet_length("payload").cast("long")})
-    copies = rows.where(F.col("payload_bytes") >= least).groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    rows = rows.join(copies, "payload_digest", "left")
-    again = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
-    return rows.select("page_id", "url", F.when(again, F.lit(b"")).otherwise(F.col("payload")).alias("payload"), "payload_digest", "payload_bytes", F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("first")).alias("refers_to"))
+    large = rows.where(F.col("payload_bytes") >= least).select("page_id", "payload_digest")
+    copies = large.groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").drop("n")
+    marks = large.join(copies, "payload_digest").where(~F.col("first").eqNullSafe(F.col("page_id"))).distinct()
+    marks = marks.select(F.col("page_id").alias("again_id"), F.col("payload_digest").alias("again_digest"), "first")
+    rows = rows.join(marks, F.col("page_id").eqNullSafe(F.col("again_id")) & (F.col("payload_digest") == F.col("again_digest")), "left")
+    again = F.col("first").isNotNull()
+    return rows.select("page_id", "url", F.when(again, F.lit(b"")).otherwise(F.col("payload")).alias("payload"), "payload_digest", "payload_bytes", F.when(again, "revisit").otherwise("response").alias("record_type"), F.col("first").alias("refers_to"))
 
 
 def register(spark: SparkSession) -> None:

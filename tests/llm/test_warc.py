@@ -62,3 +62,13 @@ def test_damage_is_told(spark, tmp_path):
 
 def test_empty(pages):
     assert op.archive(pages.limit(0)).count() == 0
+
+
+def test_other_columns_and_many_equal_pages(spark, tmp_path):
+    """Columns named like a record's own change nothing; null ids revisit, and half of all pages are equal."""
+    same = "equal " * 40
+    rows = [(k, "u", same if k % 2 else f"page {k} " * 30) for k in range(1, 41)] + [(None, "u", same), (None, "u", same), (50, "u", None), (51, "u", ""), (52, "u", "short"), (53, "u", "short")]
+    df = spark.createDataFrame([(*r, "f", 7, "d", 9) for r in rows], "page_id long, url string, html string, file string, offset long, first string, payload_digest int").repartition(3)
+    got = [(r["page_id"], r["record_type"], r["refers_to"], r["payload_bytes"]) for r in op.archive(df, str(tmp_path / "w")).collect()]
+    want = [(d, *(("revisit", 1) if h == same and d != 1 else ("response", None)), len((h or "").encode())) for d, _, h in rows]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
