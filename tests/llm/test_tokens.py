@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import math
 import random
 import zlib
 
@@ -85,6 +86,53 @@ def test_fingerprints(spark):
     assert sum(r["near_edited"] > r["near_next"] for r in long) > 0.95 * len(long)
 
 
+def plain_fingerprint(data: bytes) -> tuple[int, list[int]]:
+    """The length code and the digits, one byte triplet at a time, without the module's arithmetic."""
+    counts = [0] * 256
+    for k, (p, q) in enumerate(((4, 9), (7, 13))):
+        for i in range(len(data) - q):
+            x = (data[i] * 0x9E3779B1 ^ data[i + p] * 0x85EBCA6B ^ data[i + q] * 0xC2B2AE35) & 0xFFFFFFFF
+            x = x + 1 + 7919 * k & 0xFFFFFFFF
+            x = (x ^ x >> 15) * 0x2C1B3C6D & 0xFFFFFFFF
+            counts[x >> 13 & 255] += 1
+    ranked = sorted(counts)
+    cuts = ranked[63], ranked[127], ranked[191]
+    return round(math.log(1 + len(data)) / math.log(1.1)), [sum(c > cut for cut in cuts) for c in counts]
+
+
+def plain_likeness(a, b) -> float:
+    apart = [abs(x - y) for x, y in zip(a[1], b[1], strict=True)]
+    return 1 - min(384, sum(apart) + 3 * apart.count(3) + 8 * max(0, abs(a[0] - b[0]) - 5)) / 384
+
+
+def test_fingerprints_against_a_plain_version(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("length(text) < 6000 or text is null")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.select("doc_id", "text").collect()}
+    order = sorted(texts, reverse=True)
+    got = {r["doc_id"]: r for r in fingerprint.fingerprints(docs).collect()}
+    assert sorted(got) == sorted(texts)
+    shown = lambda d: f"{d[0]:03x}" + bytes(d[1][k] << 6 | d[1][k + 1] << 4 | d[1][k + 2] << 2 | d[1][k + 3] for k in range(0, 256, 4)).hex()
+    plain = {d: plain_fingerprint(t.encode()) for d, t in texts.items()}
+    for k, d in enumerate(order):
+        t, following = texts[d], texts[order[(k + 1) % len(order)]]
+        cut = len(t) // 3
+        e = (t[: len(t) - cut] + following[:cut]).encode()
+        changed, r = plain_fingerprint(e), got[d]
+        assert (r["n_chars"], r["edited_sha256"], r["fingerprint"], r["edited_fingerprint"]) == (len(t), digest(e), shown(plain[d]), shown(changed))
+        assert abs(r["near_edited"] - plain_likeness(plain[d], changed)) < 1e-12 and abs(r["near_next"] - plain_likeness(plain[d], plain[order[(k + 1) % len(order)]])) < 1e-12
+
+
+def test_edits_match_sql(spark):
+    """n_chars and edited_sha256, which SQL can say, over a whole table."""
+    import duckdb
+
+    sql = """WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM '/root/testdata/sf0.01/documents.parquet'),
+    n AS (SELECT doc_id, t, coalesce(lead(t) OVER (ORDER BY doc_id DESC), first_value(t) OVER (ORDER BY doc_id DESC)) AS f FROM d)
+    SELECT doc_id, length(t) AS n_chars, sha256(left(t, length(t) - length(t) // 3) || left(f, length(t) // 3)) AS edited_sha256 FROM n"""
+    rows = fingerprint.fingerprints(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).select("doc_id", "n_chars", "edited_sha256").collect()
+    assert sorted(map(tuple, rows)) == sorted(duckdb.sql(sql).fetchall())
+
+
 def test_fingerprint_edges(spark):
     edges = edge_table(spark)
     assert fingerprint.fingerprints(edges).count() == edges.count()
