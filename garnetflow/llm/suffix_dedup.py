@@ -33,8 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, slices, texts_of, tidy, written
-from .decontaminate import _B, _buffer, _C, _runs
+from .common import discard, setting, slices, texts_of, tidy, written
+from .decontaminate import _B, _buffer, _C, _power
 
 LENGTH = 400
 ANCHOR = 24
@@ -53,71 +53,82 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def _window(length: int) -> int:
-    return max(1, length // 4)
+    return max(1, length // 3)
 
 
-def _named(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit names of strings of a buffer."""
-    return _mixed(_runs(values, _B, starts, ends) + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+class Names:
+    """64-bit names of the strings of a buffer, from one pass over its bytes."""
+
+    def __init__(self, data: np.ndarray):
+        n = len(data)
+        values = (data.astype(np.uint64) + np.uint64(1)) * _power(_B, n)[:n]
+        self.total = np.zeros(n + 1, np.uint64)
+        np.cumsum(values, out=self.total[1:])
+        self.back = _power(pow(_B, -1, 1 << 64), n)
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return _mixed((self.total[ends] - self.total[starts]) * self.back[starts] + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+    def pieces(self, size: int) -> np.ndarray:
+        """The names of all strings of a size."""
+        return _mixed((self.total[size:] - self.total[:-size]) * self.back[: len(self.total) - size])
+
+    def beside(self, lo: np.ndarray, head: np.ndarray, tail: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Names of the bytes from lo to head with those from tail to hi."""
+        return _mixed(self(lo, head) * np.uint64(0x9E3779B97F4A7C15) + self(tail, hi))
 
 
 def cuts_of(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int) -> dict[str, np.ndarray]:
     """The cuts of all texts of a buffer that have a piece: text, number within it, name of the piece, pieces of the core (0
-    without starts), the most of any core of the text, where the core begins in the text, the shape, and the name of what lies
+    without starts), the most pieces of a rank that is asked of the cut, where the core begins in the text, the shape, and the name of what lies
     beside the core in the span of the starts."""
     window = _window(length)
     wide = window + anchor - 1
     kinds = {"doc": np.int64, "k": np.int32, "name": np.uint64, "n": np.int32, "top": np.int32, "head": np.int32, "shape": np.int64, "edge": np.uint64}
     none = {k: np.empty(0, t) for k, t in kinds.items()}
-    if len(data) < length:
+    long = np.flatnonzero(np.diff(offsets) >= length)
+    if not len(long):
         return none
-    values = data.astype(np.uint64) + np.uint64(1)
-    at = np.arange(len(data) - anchor + 1)
-    least = (_mixed(_runs(values, _B, at, at + anchor)) & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)
+    names = Names(data)
+    least = names.pieces(anchor)
+    least &= np.uint64(0xFFFFFFFF00000000)
+    least |= np.arange(len(least), dtype=np.uint64)
     have = 1
     while have < window:  # least[i]: of the positions from i on, `have` many
         step = min(have, window - have)
         least = np.minimum(least[:-step], least[step:])
         have += step
-    mark = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    begin = np.arange(len(mark))
-    doc = np.searchsorted(offsets, begin, side="right") - 1
-    long = (offsets[1:] - offsets[:-1]) >= length
-    inside = (begin + wide <= offsets[doc + 1]) & long[doc]
-    begin, doc, mark = begin[inside], doc[inside], mark[inside]
-    if not len(begin):
-        return none
-    new = np.flatnonzero(np.concatenate([[True], (mark[1:] != mark[:-1]) | (doc[1:] != doc[:-1])]))
-    cut, doc, lo = mark[new], doc[new], begin[new]
-    first = np.searchsorted(doc, doc)  # of the text's cuts
-    hi = np.minimum(begin[np.append(new[1:], len(begin)) - 1], offsets[doc + 1] - length)
+    mark = least.astype(np.uint32)  # the position in the lower half
+    # windows with the same cut stand together; a text's windows go from its begin to its end less `wide`
+    begins, ends = offsets[long], offsets[long + 1] - wide
+    lo = np.unique(np.concatenate([np.flatnonzero(mark[1:] != mark[:-1]) + 1, begins]))
+    of = np.searchsorted(begins, lo, side="right") - 1
+    inside = (of >= 0) & (lo <= ends[np.maximum(of, 0)])
+    lo, of = lo[inside], of[inside]
+    doc, cut = long[of], mark[lo].astype(np.int64)
+    last = np.append(of[1:] != of[:-1], True)  # the last cut of a text begins no piece
+    after = np.append(lo[1:], 0)
+    hi = np.minimum(np.where(last, ends[of], after - 1), offsets[doc + 1] - length)
     starts = lo <= hi
     # the core ends with the cut that the window at cut + reach has, whatever start of the cut a string has
     reach = length - 2 * window - anchor + 2
-    ends = np.full(len(cut), -1, np.int64)
-    of_begin = np.cumsum(np.concatenate([[0], (np.diff(mark) != 0) | (np.diff(begin) != 1)]))  # each window's cut
-    where = np.searchsorted(begin, cut[starts] + reach)
-    ends[starts] = of_begin[where]
-    n = np.where(starts, ends - np.arange(len(cut)), 0)
-    last = np.append(doc[1:] != doc[:-1], True)  # the last cut of a text begins no piece
-    after = np.append(cut[1:], 0)
-    name = _named(values, cut, np.where(last, cut, after) + anchor)
-    tail = np.where(starts, cut[np.maximum(ends, 0)] + anchor, 0)
+    at = np.arange(len(cut))
+    stop = np.where(starts, np.searchsorted(lo, cut + reach, side="right") - 1, at)
+    n = stop - at
+    tail = np.where(starts, cut[stop] + anchor, cut)
+    first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+    k = at - np.repeat(first, np.diff(np.append(first, len(at))))
+    name = names(cut, np.where(last, cut, np.append(cut[1:], 0)) + anchor)
     edge = np.zeros(len(cut), np.uint64)
     s = np.flatnonzero(starts)
-    edge[s] = _beside(values, lo[s], cut[s], tail[s], hi[s] + length) + (hi[s] - lo[s]).astype(np.uint64)
-    docs, firsts = np.unique(doc, return_index=True)
-    top = np.maximum.reduceat(n, firsts)[np.searchsorted(docs, doc)]
+    edge[s] = names.beside(lo[s], cut[s], tail[s], hi[s] + length) + (hi[s] - lo[s]).astype(np.uint64)
     shape = np.where(starts, (cut - lo) << 2 * SHAPE | (cut - hi) << SHAPE | (tail - cut), 0)
-    out = {"doc": doc, "k": np.arange(len(cut)) - first, "name": name, "n": n, "top": top, "head": cut - offsets[doc], "shape": shape, "edge": edge}
+    # ranks are asked up to the core's end of the cuts before; these ends ascend, and a text begins after all of the one before
+    top = np.maximum(np.maximum.accumulate(stop) - at, 0)
+    out = {"doc": doc, "k": k, "name": name, "n": n, "top": top, "head": cut - offsets[doc], "shape": shape, "edge": edge}
     return {k: v[~last].astype(kinds[k]) for k, v in out.items()}
 
 
-def _beside(values: np.ndarray, lo: np.ndarray, head: np.ndarray, tail: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """Names of the bytes from lo to head with those from tail to hi."""
-    return _mixed(_named(values, lo, head) * np.uint64(0x9E3779B97F4A7C15) + _named(values, tail, hi))
-
-
 def merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal spans of [lo, hi) in ascending order; touching ones join."""
     order = np.argsort(lo, kind="stable")
@@ -137,6 +148,10 @@ def _cut(rows: DataFrame, length: int, anchor: int) -> DataFrame:
     return rows.select("row", "text").mapInArrow(tidy(run), CUTS)
 
 
+def _parts(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def reranked(pairs: DataFrame) -> DataFrame:
     """The rows of `pairs` whose (kind, r1, r2) occurs again, with its rank in the sorted order of these."""
     key = ["kind", "r1", "r2"]
@@ -151,7 +166,9 @@ def _asked(live: DataFrame, h: int) -> DataFrame:
     """Round h: for each cut the rank of its h pieces with that at k + h, and of cores of h to 2h - 1 pieces with that of the last h."""
     on = F.when(F.col("top") >= 2 * h, F.struct(F.lit(0).alias("kind"), (F.col("k") + h).alias("at")))
     end = F.when((F.col("n") >= h) & (F.col("n") < 2 * h), F.struct(F.col("n").alias("kind"), (F.col("k") + F.col("n") - h).alias("at")))
-    asks = live.select(*OWN, F.col("rank").alias("r1"), F.explode(F.filter(F.array(on, end), lambda x: x.isNotNull())).alias("a"))
+    # a text's cuts come to one place, where both sides of the join are
+    live = live.repartition(_parts(live), "row")
+    asks = live.select(*OWN, F.col("rank").alias("r1"), F.coalesce(end, on).alias("a")).where("a is not null")
     told = live.groupBy("row", F.col("k").alias("at")).agg(F.max("rank").alias("r2"))  # equal rows have equal ranks
     return asks.select(*OWN, "r1", "a.kind", "a.at").join(told, ["row", "at"]).select(*OWN, "kind", "r1", "r2")
 
@@ -164,7 +181,8 @@ def cores(cuts: DataFrame) -> DataFrame:
         most = live.agg(F.max("top")).first()[0]
         if most is None or most < h:
             break
-        pairs = written(_asked(live, h), f"pairs-{h}")
+        with setting(cuts.sparkSession, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+            pairs = written(_asked(live, h), f"pairs-{h}")
         ranked = reranked(pairs)
         discard(pairs)
         ended = ranked.where("kind > 0").select("row", "head", "shape", "n", "rank", "edge")
@@ -206,9 +224,9 @@ def _beside_cores(rows: DataFrame, apart: DataFrame, length: int, chunk: int) ->
             c = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many) + (near // chunk)[of]
             a1, a2 = np.maximum(near[of], c * chunk), np.minimum(far[of], c * chunk + chunk - 1)
             at = offsets[doc[of]] + head[of]
-            tail, values = at + core[of], data.astype(np.uint64) + np.uint64(1)
-            whole = _beside(values, at - c * chunk, at, tail, np.maximum(tail, at - c * chunk - chunk + 1 + length))
-            edge = _beside(values, at - a2, at, tail, at - a1 + length)
+            tail, names = at + core[of], Names(data)
+            whole = names.beside(at - c * chunk, at, tail, np.maximum(tail, at - c * chunk - chunk + 1 + length))
+            edge = names.beside(at - a2, at, tail, at - a1 + length)
             shapes = a2 << 2 * SHAPE | a1 << SHAPE | core[of]
             out = (np.asarray(batch.column(0))[doc[of]], rank[of], n[of], head[of], shapes, (whole + c.astype(np.uint64)).view(np.int64), (edge + (a2 - a1).astype(np.uint64)).view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(v) for v in out], ["row", "rank", "n", "head", "shape", "whole", "edge"])
