@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import json
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.text import cve_name, tokenize, weakness_list
+from . import streaming
+from .functions.text import cut_bytes, cve_name, titled, tokenize, weakness_list
 from .operators import bayes, classify, collect, frequency, hierarchy, knowledge, linking, patterns, relabel, report
 from .sources import artifacts, feeds
 
@@ -39,6 +42,8 @@ def update(store: Store, cwe: str, capec: str, stix: dict[str, str]) -> None:
         store.write(name, knowledge.routed(objects, *types))
     edges = knowledge.typed_edges(objects, objects.where("type = 'relationship'").select("domain_ord", "source_ref", "target_ref", "relationship_type"))
     store.write("edges", edges)
+    for name, listed in knowledge.fan_out(edges).items():
+        store.write(name, listed)
     for name, e in knowledge.relationship_maps(store.read("cwe"), store.read("capec")).items():
         store.write(name, e)
     artifacts.write_metadata(spark, f"{store.home}/metadata")
@@ -133,26 +138,74 @@ def relabelled(store: Store) -> None:
     artifacts.replace_table(both.select("cve_id", "description", "cwes", F.col("new").alias("attack_vectors"), "published_date"), f"{store.home}/training")
 
 
-def _report(store: Store, rows: DataFrame, top: int, html: str | None) -> str:
+def _around(store: Store, techniques: list[str]) -> dict[str, list[tuple]]:
+    """Groups, software and mitigations of a few techniques, with their names."""
+    wanted = store.spark.createDataFrame([(t,) for t in techniques], "id string")
+    out = {}
+    for title, table, lists in (("Actors", "groups", "group_techniques"), ("Software", "software", "software_techniques"), ("Mitigations", "mitigations", "mitigation_techniques")):
+        ids = store.read(f"{lists}_reverse").join(wanted, "id", "left_semi").select(F.explode("ids").alias("ext_id")).distinct()
+        out[title] = [tuple(r) for r in ids.join(store.read(table).select("ext_id", "name"), "ext_id", "left").orderBy("ext_id").limit(20).collect()]
+    return out
+
+
+def _report(store: Store, rows: DataFrame, a: argparse.Namespace) -> str:
+    one = rows.first()  # a report is about one record
+    if one is None:
+        return f"{a.cve}: no such record"
     found = classified(store, rows).persist()
     ranked, techniques = linked(store, rows, found)
-    one = rows.first()  # a report is about one record
-    listed = classify.named(classify.gap_filter(found.where("label is not null")), "label").orderBy("rank").limit(top).collect()
+    listed = classify.named(classify.gap_filter(found.where("label is not null")), "label").orderBy("rank").limit(a.top).collect()
     capecs = ranked.orderBy("rank").limit(5).collect()
+    used = [r["technique"] for r in techniques.orderBy("technique").limit(5).collect()]
+    names = store.read("techniques").where(F.col("ext_id").isin(used)).select("ext_id", "name", "url").orderBy("ext_id").collect() if used else []
+    texts = {t: Path(a.atomics, t, f"{t}.yaml") for t in used} if a.atomics else {}
+    tests = feeds.atomic_tests(store.spark, {t: p.read_text(encoding="utf-8") for t, p in texts.items() if p.is_file()}).collect() if texts else []
+    cards = {"weaknesses": ", ".join(one["cwes"])}
+    if one["cvss"]:
+        cards |= {"CVSS": f"{one['cvss']['baseScore']} {one['cvss']['baseSeverity'] or ''} ({one['cvss']['version']})".replace(" ()", ""), "CVSS vector": one["cvss"]["vectorString"] or "-"}
+    days = feeds.epss(store.spark, a.epss).where(F.col("cve") == one["id"]).where("epss is not null").orderBy("day").collect() if a.epss else []
+    if days:
+        cards["EPSS"] = f"{days[-1]['epss']} on {days[-1]['day']}"
     data = {
-        "id": one["id"], "description": one["text"], "cards": {"weaknesses": ", ".join(one["cwes"])},
+        "id": one["id"], "description": one["text"], "cards": cards, "epss": {"days": [r["day"] for r in days], "values": [r["epss"] for r in days]},
         "sections": {
-            "Attack vectors": [(r["name"], f"{r['probability']:.4f}", r["confidence"], ", ".join(r["layers"])) for r in listed],
-            "Attack patterns": [(r["capec"], r["name"], f"{r['probability']:.2f}", r["confidence"]) for r in capecs],
-            "Techniques": [(r["technique"],) for r in techniques.orderBy("technique").limit(5).collect()],
+            "Attack vectors": [(r["name"], f"{r['probability']:.4f}", r["confidence"], *([", ".join(r["layers"])] if a.verbose else [])) for r in listed],
+            "Weaknesses": [(r["id"], r["name"]) for r in store.read("cwe").where(F.col("id").isin(one["cwes"])).select("id", "name").orderBy("id").collect()] if one["cwes"] else [],
+            "Attack patterns": [(r["capec"], r["name"], f"{r['probability']:.2f}", r["confidence"], r["severity"] or "-") for r in capecs],
+            "Techniques": [tuple(r) for r in names],
+            **(_around(store, used) if used else {}),
+            "Atomic tests": [(r["technique"], r["name"], ", ".join(r["platforms"] or []), r["executor"] or "-", r["command"] or "-") for r in tests],
         },
     }
-    if html:
-        with open(html, "w", encoding="utf-8") as out:
+    found.unpersist()
+    if a.html:
+        with open(a.html, "w", encoding="utf-8") as out:
             out.write(report.page(data))
     return report.console(data)
 
 
+def statistics(store: Store, rows: int = 20) -> None:
+    """What the tables hold: vectors and their frequent weaknesses, the taxonomy, the model, the hierarchy's coverage."""
+    n = store.read("training").count()
+    print(f"{n} training rows")
+    vectors = store.read("training").select(F.explode("attack_vectors").alias("vector")).groupBy("vector").agg(F.count("*").alias("records")).orderBy(F.desc("records"), "vector")
+    vectors.withColumn("share", F.round(F.col("records") * 100.0 / F.lit(max(n, 1)), 2)).show(rows, False)
+    store.read("frequency").where("rank <= 5").orderBy("vector", "rank").show(rows, False)
+    store.read("taxonomy").groupBy("vector").agg(F.count("*").alias("patterns"), F.round(F.avg("specificity"), 3).alias("specificity"), F.round(F.max("boost"), 3).alias("best")).orderBy(F.desc("patterns"), "vector").show(rows, False)
+    bayes.total_words(_model(store)).show()
+    frequency.coverage(store.read("hierarchy"), "attack_vectors").show()
+
+
+def exported(store: Store, out: str, embed: str, pause: float) -> int:
+    """Embeddings of the training rows and catalogues that `out` has not; embed names a function as module:name."""
+    module, _, name = embed.partition(":")
+    metadata = lambda name, published, severity, likelihood: F.struct(name.alias("name"), published.alias("published"), F.lit(None).cast("double").alias("cvss"), severity.alias("severity"), likelihood.alias("likelihood"))
+    none = F.lit(None).cast("string")
+    cves = store.read("training").select(F.col("cve_id").alias("id"), F.lit("CVE").alias("type"), cut_bytes(F.col("description")).alias("text"), metadata(F.col("cve_id"), F.col("published_date"), none, none).alias("metadata"))
+    capecs = store.read("capec").select(F.concat(F.lit("CAPEC-"), "id").alias("id"), F.lit("CAPEC").alias("type"), cut_bytes(titled(F.col("name"), F.col("description"))).alias("text"), metadata(F.col("name"), none, F.col("severity"), F.col("likelihood")).alias("metadata"))
+    return streaming.export_embeddings(cves.unionByName(capecs), out, getattr(importlib.import_module(module), name), pause=pause)
+
+
 def main(args: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="garnetflow", description=__doc__)
     p.add_argument("--home", default="resources", help="folder of the tables")
@@ -165,6 +218,11 @@ def main(args: list[str] | None = None) -> None:
     steps.add_parser("collect").add_argument("feed")
     steps.add_parser("train")
     steps.add_parser("relabel")
+    steps.add_parser("stats")
+    e = steps.add_parser("export")
+    e.add_argument("out")
+    e.add_argument("--embed", required=True, help="module:function that adds the column embedding to a frame")
+    e.add_argument("--pause", type=float, default=0.0, help="seconds between batches, for services with a rate limit")
     c = steps.add_parser("classify")
     c.add_argument("--cve", default="CVE-0-0")
     c.add_argument("--feed", help="landed feed that has the record")
@@ -172,6 +230,9 @@ def main(args: list[str] | None = None) -> None:
     c.add_argument("-c", "--cwes", default="")
     c.add_argument("--top", type=int, default=3)
     c.add_argument("--html")
+    c.add_argument("--epss", help="landed EPSS series")
+    c.add_argument("--atomics", help="folder of atomic tests by technique")
+    c.add_argument("-v", "--verbose", action="store_true", help="name the layers that found a vector")
     c.add_argument("--json", action="store_true")
     a = p.parse_args(args)
     spark = SparkSession.builder.appName("garnetflow").getOrCreate()
@@ -184,16 +245,19 @@ def main(args: list[str] | None = None) -> None:
         learn(store)
     elif a.step == "relabel":
         relabelled(store)
+    elif a.step == "stats":
+        statistics(store)
+    elif a.step == "export":
+        print(exported(store, a.out, a.embed, a.pause))
     else:
         typed = spark.createDataFrame([(a.cve, a.description, a.cwes)], "id string, text string, typed string")
-        rows = typed.select(cve_name(F.col("id")).alias("id"), "text", F.filter(weakness_list(F.col("typed")), lambda c: c != "").alias("cwes"))
+        rows = typed.select(cve_name(F.col("id")).alias("id"), "text", F.filter(weakness_list(F.col("typed")), lambda c: c != "").alias("cwes"), F.lit(None).cast("struct<version: string, vectorString: string, baseScore: double, baseSeverity: string>").alias("cvss"))
         if a.feed:
-            cves = feeds.nvd_any(spark, a.feed)
-            rows = collect.training_data(cves).select(F.col("cve_id").alias("id"), F.col("description").alias("text"), "cwes").join(rows.select("id"), "id", "left_semi")
+            rows = collect.lookup(feeds.nvd_any(spark, a.feed), rows)
         if a.json:
             print(json.dumps([r.asDict(recursive=True) for r in classified(store, rows).orderBy(F.desc("probability"), "label").limit(a.top).collect()]))
         else:
-            print(_report(store, rows, a.top, a.html))
+            print(_report(store, rows, a))
 
 
 if __name__ == "__main__":

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.text import first_in_language, weakness_ids
+from ..functions.text import first_in_language, id_set, weakness_ids
+from .report import cvss
 
 
 def training_data(feed: DataFrame) -> DataFrame:
@@ -27,6 +28,17 @@ def training_data(feed: DataFrame) -> DataFrame:
     return rows.withColumn("attack_vectors", vectors).where("size(attack_vectors) > 0").select("cve_id", "description", "cwes", "attack_vectors", "published_date")
 
 
+def lookup(feed: DataFrame, ids: DataFrame) -> DataFrame:
+    """id, text, cwes and cvss of the records with the ids, whatever they are like.
+
+    The text is the English description, else the first one; the weaknesses are a sorted set and may be none or
+    unmapped ones. cvss is the newest version's data, or null.
+    """
+    text = F.coalesce(first_in_language(F.col("cve.descriptions")), F.get("cve.descriptions.value", F.lit(0)), F.lit(""))
+    rows = feed.select(F.col("cve.id").alias("id"), text.alias("text"), id_set(weakness_ids(F.coalesce("cve.weaknesses", F.array()))).alias("cwes"), cvss("cve.metrics").alias("cvss"))
+    return rows.join(ids.select("id").distinct(), "id", "left_semi")
+
+
 def newest(feed: DataFrame) -> DataFrame:
     """One row for each cve_id, the latest published, for feeds that overlap."""
     return feed.groupBy("cve_id").agg(F.max_by(F.struct(*[c for c in feed.columns if c != "cve_id"]), "published_date").alias("r")).select("cve_id", "r.*")

@@ -78,11 +78,28 @@ def _links(spark, sf_dir):
     return lines.join(table(spark, sf_dir, "part", "p_partkey", "p_type", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
 
 
-@query("SELECT p_type AS id, p_brand AS kind, count(DISTINCT l_suppkey) AS n, min(l_suppkey) AS first, max(l_suppkey) AS last FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL")
+_SQL_ENDS = """SELECT s_suppkey AS id, 'G' || s_suppkey AS ext, ['intrusion-set', 'malware', 'course-of-action'][s_suppkey % 3 + 1] AS type FROM supplier"""
+_SQL_TYPED = f"""SELECT DISTINCT e.ext AS src, 'T' || l_partkey AS dst, e.type, CASE WHEN l_linenumber = 7 THEN 'other' WHEN e.type = 'course-of-action' THEN 'mitigates' ELSE 'uses' END AS rel
+FROM lineitem JOIN ({_SQL_ENDS}) e ON e.id = l_suppkey WHERE l_orderkey % 2 = 0 OR (l_suppkey % 2 = 0 AND l_partkey % 2 = 0)"""
+_SQL_KINDS = f"""SELECT 'group_techniques' AS kind, src, dst FROM ({_SQL_TYPED}) WHERE type = 'intrusion-set' AND rel = 'uses' UNION SELECT 'software_techniques', src, dst FROM ({_SQL_TYPED}) WHERE type = 'malware' AND rel = 'uses'
+UNION SELECT 'mitigation_techniques', src, dst FROM ({_SQL_TYPED}) WHERE type = 'course-of-action' AND rel = 'mitigates'"""
+
+
+@query(f"SELECT kind, src AS id, count(DISTINCT dst) AS n, min(dst) AS first, max(dst) AS last FROM ({_SQL_KINDS}) GROUP BY ALL UNION ALL SELECT kind || '_reverse', dst, count(DISTINCT src), min(src), max(src) FROM ({_SQL_KINDS}) GROUP BY ALL")
 def edge_fanout(spark, sf_dir):
-    rows = _links(spark, sf_dir)
-    e = rows.select(F.col("l_suppkey").alias("src"), F.col("p_type").alias("dst"), F.col("p_brand").alias("relationship")).distinct()
-    return e.groupBy(F.col("dst").alias("id"), F.col("relationship").alias("kind")).agg(F.count("*").alias("n"), F.min("src").alias("first"), F.max("src").alias("last"))
+    """Suppliers as groups, software and mitigations, parts as techniques; the second domain has every second one only."""
+    kind = F.array(*map(F.lit, ("intrusion-set", "malware", "course-of-action")))[(F.col("s_suppkey") % 3).cast("int")]
+    ends = table(spark, sf_dir, "supplier", "s_suppkey").select(F.col("s_suppkey").alias("key"), F.concat(F.lit("s"), "s_suppkey").alias("id"), F.concat(F.lit("G"), "s_suppkey").alias("ext_id"), kind.alias("type"))
+    ends = ends.union(table(spark, sf_dir, "part", "p_partkey").select("p_partkey", F.concat(F.lit("p"), "p_partkey"), F.concat(F.lit("T"), "p_partkey"), F.lit("attack-pattern")))
+    objects = ends.withColumn("domain_ord", F.lit(0)).union(ends.where("key % 2 = 0").withColumn("domain_ord", F.lit(1)))
+    lines = table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey", "l_partkey", "l_linenumber")
+    said = F.when(F.col("l_linenumber") == 7, "other").when(F.col("l_suppkey") % 3 == 2, "mitigates").otherwise("uses")
+    relationships = lines.select((F.col("l_orderkey") % 2).cast("int").alias("domain_ord"), F.concat(F.lit("s"), "l_suppkey").alias("source_ref"), F.concat(F.lit("p"), "l_partkey").alias("target_ref"), said.alias("relationship_type"))
+    out = None
+    for name, rows in knowledge.fan_out(knowledge.typed_edges(objects, relationships)).items():
+        part = rows.select(F.lit(name).alias("kind"), "id", F.size("ids").cast("long").alias("n"), F.array_min("ids").alias("first"), F.array_max("ids").alias("last"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 _SQL_REL = """SELECT 'cwe_to_capec' AS map, CAST(l_suppkey AS VARCHAR) AS src, CAST(l_partkey AS VARCHAR) AS dst FROM lineitem

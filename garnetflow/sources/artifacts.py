@@ -80,6 +80,14 @@ def vector_lists(spark: SparkSession, path) -> DataFrame:
     return _text(spark, path).select(F.explode(F.from_json("value", "map<string,array<string>>")).alias("vector", "l")).select("vector", F.posexplode("l").alias("pos", "cwe"))
 
 
+def frequencies(spark: SparkSession, path) -> DataFrame:
+    """vector, total_cves, cwe, cnt, percentage and rank of the full frequency map."""
+    one = "struct<cwe_id: string, count: long, percentage: double, rank: long>"
+    rows = _text(spark, path).select(F.explode(F.from_json("value", f"struct<attack_vectors: map<string,struct<total_cves: long, cwe_frequencies: array<{one}>>>>")["attack_vectors"]).alias("vector", "s"))
+    rows = rows.select("vector", F.col("s.total_cves").alias("total_cves"), F.explode("s.cwe_frequencies").alias("w"))
+    return rows.select("vector", "total_cves", F.col("w.cwe_id").alias("cwe"), F.col("w.count").alias("cnt"), "w.percentage", "w.rank")
+
+
 def pattern_taxonomy(spark: SparkSession, path) -> DataFrame:
     """vector, pattern_id, keywords, specificity, boost, support of a taxonomy file."""
     rows = _text(spark, path).select(F.explode(F.from_json("value", "struct<patterns: map<string,array<struct<keywords: array<string>, specificity: double, boost: double, support: long>>>>")["patterns"]).alias("vector", "l"))
@@ -91,7 +99,7 @@ def naive_bayes(spark: SparkSession, path):
     from ..operators.bayes import Model
 
     schema = "struct<word_counts: map<string,map<string,long>>, total_words: map<string,long>, vector_doc_counts: map<string,long>, total_documents: long, vocabulary: array<string>>"
-    m = _text(spark, path).select(F.from_json("value", schema).alias("m")).select("m.*").persist()
+    m = _text(spark, path).select(F.from_json("value", schema).alias("m")).select("m.*")
     head = m.select("total_documents", F.size("vocabulary").alias("v")).first()
     counts = m.select(F.explode("word_counts").alias("label", "w")).select("label", F.explode("w").alias("word", "cnt"))
     docs = m.select(F.explode("vector_doc_counts").alias("label", "docs"))
@@ -121,18 +129,37 @@ def write_json(df: DataFrame, path: str, key: str | None = None) -> None:
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Overwrites a table that df may itself read: written beside it, then exchanged by renames."""
+    """Overwrites a table that df may itself read: written beside it, then exchanged by renames.
+
+    If the second rename fails the old table comes back; if the driver dies between the two, it lies beside the path
+    as `.old`, and restored() brings it back.
+    """
     spark = df.sparkSession
     new, old = f"{path}.{uuid.uuid4().hex}", f"{path}.{uuid.uuid4().hex}.old"
     df.write.parquet(new)
     p = spark._jvm.org.apache.hadoop.fs.Path
     fs = p(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(p(path)):
-        fs.rename(p(path), p(old))
-    fs.rename(p(new), p(path))
+    had = fs.exists(p(path))
+    if had and not fs.rename(p(path), p(old)):
+        fs.delete(p(new), True)
+        raise OSError(f"{path} cannot be moved aside")
+    if not fs.rename(p(new), p(path)):
+        if had:
+            fs.rename(p(old), p(path))
+        raise OSError(f"the new table cannot be moved to {path}")
     fs.delete(p(old), True)
 
 
+def restored(spark: SparkSession, path: str) -> bool:
+    """Brings back what an exchange that broke off has left beside the path; False if nothing is to be done."""
+    p = spark._jvm.org.apache.hadoop.fs.Path
+    fs = p(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(p(path)):
+        return False
+    left = fs.globStatus(p(f"{path}.*.old"))
+    return bool(left) and fs.rename(left[0].getPath(), p(path))
+
+
 def write_metadata(spark: SparkSession, path: str, **versions: str) -> None:
     """When the artifacts were made, in UTC, and their versions."""
     stamp = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")

@@ -5,10 +5,11 @@ from __future__ import annotations
 import re
 import shutil
 import urllib.request
+import warnings
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas
@@ -66,14 +67,22 @@ def nvd_v11(spark: SparkSession, path) -> DataFrame:
     rows = _json(spark, path, schemas.NVD_FEED_V11).select(F.explode("CVE_Items").alias("i"))
     cve = F.struct(
         F.col("i.cve.CVE_data_meta.ID").alias("id"), F.col("i.publishedDate").alias("published"), F.col("i.cve.description.description_data").alias("descriptions"),
-        F.col("i.cve.problemtype.problemtype_data").alias("weaknesses"), F.col("i.impact.baseMetricV3.cvssV3.baseScore").alias("base_score"),
+        F.col("i.cve.problemtype.problemtype_data").alias("weaknesses"), F.col("i.impact.baseMetricV3.cvssV3.baseScore").alias("base_score"), _metrics(F.col("i.impact.baseMetricV3.cvssV3")).alias("metrics"),
     )
     return rows.select(cve.alias("cve"))
 
 
+def _metrics(v3: Column) -> Column:
+    """Version 3 of a 1.1 feed where 2.0 feeds have it."""
+    one = F.array(F.struct(F.struct(v3["version"].alias("version"), v3["vectorString"].alias("vectorString"), v3["baseScore"].alias("baseScore"), v3["baseSeverity"].alias("baseSeverity")).alias("cvssData")))
+    none = F.lit(None).cast("array<struct<cvssData: struct<version: string, vectorString: string, baseScore: double, baseSeverity: string>>>")
+    newer = F.coalesce(v3["version"] == "3.1", F.lit(False))
+    return F.struct(F.when(v3.isNotNull() & newer, one).alias("cvssMetricV31"), F.when(v3.isNotNull() & ~newer, one).alias("cvssMetricV30"), none.alias("cvssMetricV2"))
+
+
 def nvd_any(spark: SparkSession, path) -> DataFrame:
     """Whichever of the two layouts a feed has: the columns that both give."""
-    common = lambda df: df.select(F.struct("cve.id", "cve.published", "cve.descriptions", "cve.weaknesses").alias("cve"))
+    common = lambda df: df.select(F.struct("cve.id", "cve.published", "cve.descriptions", "cve.weaknesses", "cve.metrics").alias("cve"))
     return common(nvd(spark, path)).unionByName(common(nvd_v11(spark, path)))
 
 
@@ -107,11 +116,13 @@ def epss(spark: SparkSession, path) -> DataFrame:
 def atomic_tests(spark: SparkSession, files: dict[str, str]) -> DataFrame:
     """Tests of techniques from YAML texts by technique; a text that cannot be read has no tests.
 
-    Needs PyYAML; without it, there are no tests.
+    Needs PyYAML; without it, there are no tests, and a warning says so.
     """
     try:
         import yaml
     except ImportError:
+        if files:
+            warnings.warn("PyYAML is not installed: no atomic tests are read", stacklevel=2)
         return spark.createDataFrame([], schemas.ATOMIC)
     rows = []
     for technique, text in files.items():

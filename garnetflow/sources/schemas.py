@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 NVD_FEED = "vulnerabilities array<struct<cve: struct<id: string, published: string, lastModified: string, descriptions: array<struct<lang: string, value: string>>, weaknesses: array<struct<description: array<struct<lang: string, value: string>>>>, metrics: struct<cvssMetricV31: array<struct<cvssData: struct<version: string, vectorString: string, baseScore: double, baseSeverity: string>>>, cvssMetricV30: array<struct<cvssData: struct<version: string, vectorString: string, baseScore: double, baseSeverity: string>>>, cvssMetricV2: array<struct<cvssData: struct<version: string, vectorString: string, baseScore: double, baseSeverity: string>>>>, references: array<struct<url: string, source: string, tags: array<string>>>>>>"
-NVD_FEED_V11 = "CVE_Items array<struct<cve: struct<CVE_data_meta: struct<ID: string>, problemtype: struct<problemtype_data: array<struct<description: array<struct<lang: string, value: string>>>>>, description: struct<description_data: array<struct<lang: string, value: string>>>>, publishedDate: string, impact: struct<baseMetricV3: struct<cvssV3: struct<baseScore: double>>>>>"
+NVD_FEED_V11 = "CVE_Items array<struct<cve: struct<CVE_data_meta: struct<ID: string>, problemtype: struct<problemtype_data: array<struct<description: array<struct<lang: string, value: string>>>>>, description: struct<description_data: array<struct<lang: string, value: string>>>>, publishedDate: string, impact: struct<baseMetricV3: struct<cvssV3: struct<version: string, vectorString: string, baseScore: double, baseSeverity: string>>>>>"
 TRAINING = "cve_id string, description string, cwes array<string>, attack_vectors array<string>, published_date string"
 EPSS = "data array<struct<cve: string, epss: string, percentile: string, date: string, `time-series`: array<struct<epss: string, percentile: string, date: string>>>>"
 STIX = "objects array<struct<type: string, id: string, name: string, description: string, external_references: array<struct<source_name: string, external_id: string, url: string, description: string>>, kill_chain_phases: array<struct<kill_chain_name: string, phase_name: string>>, x_mitre_platforms: array<string>, x_mitre_tactics: array<string>, x_mitre_data_sources: array<string>, x_mitre_shortname: string, aliases: array<string>, source_ref: string, target_ref: string, relationship_type: string, x_mitre_version: string>>"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,11 +34,13 @@ def ingest(spark: SparkSession, folder: str, out: str, checkpoint: str) -> Strea
     return feed_stream(spark, folder).writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def export_embeddings(rows: DataFrame, out: str, embed: Callable[[DataFrame], DataFrame], batch: int = 100_000) -> int:
+def export_embeddings(rows: DataFrame, out: str, embed: Callable[[DataFrame], DataFrame], batch: int = 100_000, pause: float = 0.0) -> int:
     """Appends embeddings of rows (id, type, text, metadata) that `out` has not; returns how many were due.
 
     The output is its own progress: ids that are in it are done. embed takes and returns a frame and adds
-    the column embedding; text that is longer than a service takes is cut by embed, not here.
+    the column embedding; text that is longer than a service takes is cut by embed, not here. Between batches
+    the export waits `pause` seconds. Rows whose embedding is null or empty, or holds something that is no number, are not
+    written, and so are due again.
     """
     spark = rows.sparkSession
     done = artifacts.optional(spark, out, schemas.EMBEDDINGS, lambda s, p: s.read.schema(schemas.EMBEDDINGS).parquet(p))
@@ -46,7 +49,10 @@ def export_embeddings(rows: DataFrame, out: str, embed: Callable[[DataFrame], Da
     parts = -(-n // batch)
     for k in range(parts):
         part = todo.where(F.pmod(F.xxhash64("id"), F.lit(parts)) == k)
-        embed(part).select("id", "type", "text", "embedding", "metadata").write.mode("append").parquet(out)
+        if k and pause:
+            time.sleep(pause)
+        made = embed(part).where(F.size("embedding") > 0).where(~F.exists("embedding", lambda x: x.isNull() | F.isnan(x)))
+        made.select("id", "type", "text", "embedding", "metadata").write.mode("append").parquet(out)
     return n
 
 

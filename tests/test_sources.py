@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import gzip
+import http.server
 import json
+import sys
+import threading
 import zipfile
 
 import pytest
@@ -132,6 +136,8 @@ def test_sinks(spark, tmp_path):
     artifacts.replace_table(df, path)
     artifacts.replace_table(spark.read.parquet(path).withColumn("n", F.col("n") + 1), path)
     assert sorted(r["n"] for r in spark.read.parquet(path).collect()) == [2, 3]
+    (tmp_path / "t").rename(tmp_path / "t.0.old")  # the driver died between the two renames
+    assert artifacts.restored(spark, path) and not artifacts.restored(spark, path) and spark.read.parquet(path).count() == 2
     artifacts.write_metadata(spark, str(tmp_path / "m"), cwe="4.1")
     assert spark.read.json(str(tmp_path / "m")).first()["cwe"] == "4.1"
 
@@ -152,6 +158,63 @@ def test_export_resumes(spark, tmp_path):
     assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "e")).collect()) == ["a", "c"]
 
 
+def test_full_frequency_map(spark, tmp_path):
+    doc = {"total_cves": 3, "attack_vectors": {"xss": {"total_cves": 2, "cwe_frequencies": [{"cwe_id": "79", "count": 2, "percentage": 100.0, "rank": 1}, {"cwe_id": "80", "count": 1, "percentage": 50.0, "rank": 2}]}}}
+    (tmp_path / "f.json").write_text(json.dumps(doc))
+    assert sorted(map(tuple, artifacts.frequencies(spark, str(tmp_path / "f.json")).collect())) == [("xss", 2, "79", 2, 100.0, 1), ("xss", 2, "80", 1, 50.0, 2)]
+
+
+def test_land_and_vector_lists(spark, tmp_path):
+    (tmp_path / "source.json").write_text(json.dumps({"xss": ["79", "80"]}))
+    served = http.server.ThreadingHTTPServer(("127.0.0.1", 0), functools.partial(http.server.SimpleHTTPRequestHandler, directory=str(tmp_path)))
+    threading.Thread(target=served.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{served.server_port}"
+    path = feeds.land_first([f"{base}/none.json", f"{base}/source.json"], str(tmp_path / "in" / "lists.json"))
+    with pytest.raises(OSError):
+        feeds.land(f"{base}/none.json", str(tmp_path / "in" / "none.json"))
+    served.shutdown()
+    assert not (tmp_path / "in" / "none.json").exists()
+    assert [(r["vector"], r["cwe"]) for r in artifacts.vector_lists(spark, path).orderBy("pos").collect()] == [("xss", "79"), ("xss", "80")]
+
+
+def test_lookup_drops_nothing(spark, files):
+    """A record without English text, without a weakness or with unmapped ones is found."""
+    rows = feeds.nvd_any(spark, [str(files / "feeds/2024.json.gz"), str(files / "v11.json")])
+    ids = spark.createDataFrame([(c,) for c in ("CVE-0-B", "CVE-0-C", "CVE-0-D", "CVE-0-E", "CVE-0-Z", "CVE-0-none")], "id string")
+    got = {r["id"]: (r["text"], r["cwes"], r["cvss"] and r["cvss"]["baseScore"]) for r in collect.lookup(rows, ids).collect()}
+    assert got == {"CVE-0-B": ("no", ["89"], None), "CVE-0-C": ("none", [], None), "CVE-0-D": ("odd", ["9999"], None), "CVE-0-E": ("script", ["79"], None), "CVE-0-Z": ("old", ["22"], 7.5)}
+
+
+def test_report_has_every_section(spark, files, tmp_path, capsys):
+    """The whole chain of a record: vectors, weaknesses, attack patterns, techniques, actors, CVSS and the EPSS series, on both pages."""
+    home, page = ["--home", str(tmp_path / "kb")], tmp_path / "r.html"
+    full = feed(*CVES, ("CVE-0-F", "SQL injection in a <b>query</b>", ["CWE-89", "CWE-943"]))
+    full["vulnerabilities"][-1]["cve"]["metrics"] = {"cvssMetricV31": [{"cvssData": {"version": "3.1", "vectorString": "CVSS:3.1/AV:N", "baseScore": 9.8, "baseSeverity": "CRITICAL"}}]}
+    (tmp_path / "feed.json").write_text(json.dumps(full))
+    (tmp_path / "epss.json").write_text(json.dumps({"data": [{"cve": "CVE-0-F", "time-series": [{"epss": "0.4", "percentile": "0.8", "date": "2024-01-02"}, {"epss": "0.2", "percentile": "0.7", "date": "2024-01-01"}]}]}))
+    cli.main([*home, "update", "--cwe", str(files / "cwe.xml"), "--capec", str(files / "capec.xml"), "--enterprise", str(files / "enterprise.json"), "--mobile", str(files / "mobile.json")])
+    cli.main([*home, "collect", str(files / "feeds")])
+    cli.main([*home, "train"])
+    capsys.readouterr()
+    cli.main([*home, "classify", "--cve", "0-F", "--feed", str(tmp_path / "feed.json"), "--epss", str(tmp_path / "epss.json"), "--html", str(page), "-v"])
+    text, html = capsys.readouterr().out, page.read_text()
+    for part in ("CVE-0-F", "9.8 CRITICAL (3.1)", "CVSS:3.1/AV:N", "0.4 on 2024-01-02", "Attack vectors", "CWE Hierarchy", "Weaknesses", "Query Logic", "Attack patterns", "66", "Techniques", "T1190", "First", "Actors", "G1", "Group"):
+        assert part in text and part in html, part
+    assert "Exploit prediction" in html and html.index("2024-01-01: 0.2") < html.index("2024-01-02: 0.4") and "<b>query" not in html and "&lt;b&gt;query" in html
+    for cve in ("CVE-0-D", "CVE-0-C", "CVE-0-none"):  # an unmapped weakness, none at all, no record
+        cli.main([*home, "classify", "--cve", cve, "--feed", str(tmp_path / "feed.json")])
+        assert cve in capsys.readouterr().out
+    cli.main([*home, "stats"])
+    out = capsys.readouterr().out
+    assert "2 training rows" in out and "total_words" in out and "sql_injection" in out
+    (tmp_path / "own_embedder.py").write_text("from pyspark.sql import functions as F\ndef embed(df):\n    return df.withColumn('embedding', F.when(F.col('type') == 'CVE', F.array(F.lit(1.0))).otherwise(F.array().cast('array<double>')))\n")
+    sys.path.insert(0, str(tmp_path))
+    cli.main([*home, "export", str(tmp_path / "emb"), "--embed", "own_embedder:embed", "--pause", "0.01"])
+    assert capsys.readouterr().out.strip() == "3" and {r["id"] for r in spark.read.parquet(str(tmp_path / "emb")).collect()} == {"CVE-0-A", "CVE-0-E"}
+    cli.main([*home, "export", str(tmp_path / "emb"), "--embed", "own_embedder:embed"])
+    assert capsys.readouterr().out.strip() == "1"  # an empty embedding is no embedding: it is due again
+
+
 def test_command_line(spark, files, tmp_path, capsys):
     home = ["--home", str(tmp_path / "kb")]
     cli.main([*home, "update", "--cwe", str(files / "cwe.xml"), "--capec", str(files / "capec.xml"), "--enterprise", str(files / "enterprise.json"), "--mobile", str(files / "mobile.json")])
