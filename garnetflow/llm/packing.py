@@ -4,11 +4,12 @@ Each document's ids fill whole windows of the longest context first; what is lef
 context size (a power of two) that holds it. Windows are then filled from the longest tier down: a window
 takes one remainder of its tier, and its gap takes the longest remainders of shorter tiers that fit; the last
 gap is closed by cutting one remainder. What cannot fill a window waits for the next documents of the task,
-and what waits at a task's end is cut at powers of two, so no sequence is padded. Sequences of equal length
-are dealt to step groups of about STEP tokens.
+and what waits at a task's end is cut at powers of two, so no sequence is padded.
 
-Documents are packed within a task, in the order that the task reads them: no shuffle, and memory is bound by
-WORK ids and one document. sequence_id holds the task's number above 2**32 and a count below.
+Documents are packed within a task, in the order that the task reads them: texts and ids are not shuffled, and memory is bound by
+WORK ids and one document. sequence_id holds the task's number above 2**32 and a count below. Step groups are balanced over
+all tasks: the sequences of a context are numbered through by the tasks' counts, a row for each task and context, and
+dealt to as many groups as STEP tokens ask for; groups of a context differ by one sequence at most.
 
 Cases: a null text counts as empty; with an end id each document has one id at least, without one an empty
 document has no piece; repeated rows are packed each on its own; other columns are ignored; an empty
@@ -25,17 +26,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, texts_of, tidy
+from .common import slices, texts_of, tidy, written
 from .subwords import words
 
 LONGEST = 2048
 SHORTEST = 64
 WORK = 2 << 20
 STEP = 1 << 19
-SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, context long, step_group long"
+SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, context long, place long"
 
 
 class Packer:
@@ -105,8 +106,26 @@ def pack_documents(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", end_i
     """A row for each piece: the document, the piece's place in it, its sequence and its place there.
 
     context is the sequence's length, step_group the group of sequences of that length that are
-    trained together.
+    trained together: the binary logarithm of the length above 2**40, and a count below.
     """
+    return balanced(written(_packed(docs, vocabulary, end_id, longest, doc_id, text), "packed"))
+
+
+def balanced(packed: DataFrame) -> DataFrame:
+    """The pieces with the step group of their sequence in place of its place in the task."""
+    task = F.shiftright("sequence_id", 32)
+    counts = packed.where("offset = 0").groupBy(task.alias("task"), "context").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("context").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("context")
+    counts = counts.select("task", "context", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"), F.sum("n").over(whole).alias("all"))
+    rows = packed.withColumn("task", task).join(counts, ["task", "context"])
+    groups = F.ceil(F.col("all") * F.col("context") / STEP)
+    group = F.floor((F.col("first") + F.col("place")).cast("double") * groups / F.col("all")) + F.shiftleft(F.log2("context").cast("long"), 40)
+    return rows.select(*[c.split()[0] for c in SCHEMA.split(", ")[:-1]], group.cast("long").alias("step_group"))
+
+
+def _packed(docs: DataFrame, vocabulary: str, end_id: int | None, longest: int, doc_id: str, text: str) -> DataFrame:
+    """The pieces by task; place counts the sequences of a context in the task."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     names = [c.split()[0] for c in SCHEMA.split(", ")]
 
@@ -123,11 +142,11 @@ def pack_documents(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", end_i
             nonlocal sequences
             for window in windows:
                 size, offset = sum(w[2] for w in window), 0
-                group = in_step[size] * size // STEP
+                place = in_step[size]
                 in_step[size] += 1
                 for key, at, n in window:
                     d, ids, left = held[key]
-                    yield d, at, n, zlib.crc32(ids[4 * at : 4 * (at + n)]), len(ids) // 4, task + sequences, offset, size, (task << 4) + (size.bit_length() << 24) + group
+                    yield d, at, n, zlib.crc32(ids[4 * at : 4 * (at + n)]), len(ids) // 4, task + sequences, offset, size, place
                     offset += n
                     if left == n:
                         del held[key]

@@ -44,7 +44,30 @@ def test_pieces(spark, work):
     by_step = defaultdict(set)
     for r in rows:
         by_step[r["step_group"]].add((r["sequence_id"], r["context"]))
-    assert all(len({c for _, c in s}) == 1 and sum(c for _, c in s) <= op.STEP + 2048 for s in by_step.values())
+    assert all(len({c for _, c in s}) == 1 and sum(c for _, c in s) <= op.STEP for s in by_step.values())
+
+
+def test_step_groups_are_balanced_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(op, "STEP", 8192)
+    texts = {k: prose(k, 40 + 37 * k % 900) for k in range(150)}
+    rows = op.pack_documents(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)).collect()
+    check(rows, texts)
+    groups, tasks = defaultdict(lambda: defaultdict(set)), defaultdict(set)
+    for r in rows:
+        groups[r["context"]][r["step_group"]].add(r["sequence_id"])
+        tasks[r["step_group"]].add(r["sequence_id"] >> 32)
+    for context, of in groups.items():
+        sizes, n = [len(s) for s in of.values()], len({q for s in of.values() for q in s})
+        assert sum(sizes) == n and max(sizes) - min(sizes) <= 1 and len(sizes) == -(-n * context // 8192)
+        assert {g >> 40 for g in of} == {context.bit_length() - 1}
+    assert max(map(len, tasks.values())) > 1  # a group takes sequences of several tasks
+
+
+def test_null_ids_in_several_tasks(spark):
+    texts = [prose(k, 300) for k in range(12)]
+    rows = op.pack_documents(spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string").repartition(4)).collect()
+    tokenizer = Words("word_bpe_49k.json").tokenizer
+    assert sum(r["length"] for r in rows) == sum(len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for t in texts) and {r["doc_id"] for r in rows} == {None}
 
 
 def test_packer_keeps_every_id():
