@@ -1,4 +1,9 @@
-"""The corpus pipeline: documents to packed training sequences, in five stages."""
+"""The corpus pipeline: documents to packed training sequences, in five stages.
+
+Cases, in every stage: null and empty texts stay rows, and of rows without words none is a copy; equal rows and near copies leave
+one, whether their ids are null, equal or repeated; a null doc_id is a value like any other; very long texts are taken whole;
+further columns pass through, whatever their names; an empty table gives an empty one, with the same columns.
+"""
 
 from __future__ import annotations
 
