@@ -66,3 +66,30 @@ def test_entry_lists_them():
 
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
     assert os.path.exists(os.path.join(os.path.dirname(entry.__file__), "corpus_pipeline.py"))
+
+
+CASES = [(1, None), (2, ""), (3, "x"), (3, "x"), (None, "null id here " * 20), (4, " \n\t "), (6, "a" * 5000), (6, "other text, same id"), (7, "<|endoftext|> 漢字 \U0001f600 é İ")]
+
+
+def through(spark, docs):
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, docs, SF)
+        assert now.columns == docs.columns
+        docs = now
+    return docs, corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+
+
+def test_stages_take_any_row(spark):
+    """Nulls, empty and long texts, ties, repeated rows and columns that are named like the operators' own."""
+    docs = spark.createDataFrame([(d, t, "en", "s", None, 1, "k", 2, 3) for d, t in CASES], "doc_id long, text string, lang string, source string, n_chars long, row int, key string, rank int, shape long").repartition(3)
+    kept, packed = through(spark, docs)
+    rows = {(r["doc_id"], r["text"] or "") for r in kept.collect()}
+    # one of the equal rows stays; rows without words all do; the periodic texts repeat within themselves
+    assert rows == {(1, ""), (2, ""), (3, "x"), (None, ""), (4, " \n\t "), (6, ""), (6, "other text, same id"), (7, "<|endoftext|> 漢字 \U0001f600 é İ")} and kept.count() == 8
+    assert {r["doc_id"] for r in packed.collect()} == {d for d, _ in rows}
+
+
+def test_stages_take_an_empty_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    kept, packed = through(spark, docs)
+    assert kept.count() == 0 and packed.count() == 0 and "sequence_id" in packed.columns
