@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import tidy, written
+from .common import discard, tidy, written
 
 
 #: Edges that one task takes: 16 bytes each, and about ten times that while it works.
@@ -77,7 +77,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     while (mark := _mark(now)) != was:
         was = mark
         if mark[0] <= LOCAL:
-            now = written(now.coalesce(1).mapInArrow(tidy(_contract), "u long, v long"), "stars")
+            last, now = now, written(now.coalesce(1).mapInArrow(tidy(_contract), "u long, v long"), "stars")
+            discard(last)
             break
         # large star: neighbours above u go to the least neighbour of u, or u itself
         both = now.select("u", "v").union(now.select(F.col("v"), F.col("u")))
@@ -86,6 +87,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         # small star: u and its neighbours below go to the least of them
         m = _least(large)
         small = large.join(m, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(m.select("u", F.col("m").alias("v")))
-        now = written(small.where("u <> v").distinct(), "edges")
+        last, now = now, written(small.where("u <> v").distinct(), "edges")
+        discard(last)
     tops = now.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(tops)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, tidy, written
+from .common import discard, slices, tidy, written
 from .components import components
 from .decontaminate import _B, _buffer, _C, _runs
 
@@ -206,7 +206,9 @@ def linked_at_all(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     lists = written(rows.mapInArrow(tidy(emit), f"{columns}, hashes binary, counted binary, done boolean"), "lists")
     counts = lists.where("not done").drop("done").repartition(parts, "part").mapInArrow(tidy(count), columns)
     counts = lists.where("done").select("part", "rows", "sizes", "least").union(counts).repartition(parts, "part")
-    return counts.mapInArrow(tidy(judge), "row long")
+    out = written(counts.mapInArrow(tidy(judge), "row long"), "some")
+    discard(lists)
+    return out
 
 
 def chains(sets: DataFrame) -> DataFrame:
@@ -304,20 +306,21 @@ class Lists:
         return found[100 * common >= PERCENT * (s + self.sizes[found] - common)]
 
 
-def links(sets: DataFrame, blocks: DataFrame) -> DataFrame:
-    """a, b: links within blocks; of sets that several links join, a spanning part for each pair of chunks."""
-    sized = sets.select("row", "n").join(blocks.select(F.col("node").alias("row"), F.col("component").alias("block")), "row")
-    sized = sized.withColumn("range", F.floor(F.log2("n") * 4).cast("int"))
-    cuts = sized.groupBy("block", "range").agg(F.ceil(F.greatest(F.count("*") / CHUNK_SETS, F.sum("n") / CHUNK_SHINGLES)).alias("cuts"))
-    placed = sized.join(cuts, ["block", "range"])
-    placed = placed.select("row", "n", "block", F.struct("range", F.pmod(F.xxhash64("row"), F.col("cuts")).alias("k")).alias("chunk"))
-    placed = written(placed, "chunks")
-    chunks = placed.groupBy("block", "chunk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    left, right = chunks.select("block", F.col("chunk").alias("x"), F.col("hi").alias("xhi")), chunks.select("block", F.col("chunk").alias("y"), F.col("lo").alias("ylo"))
-    pairs = left.join(right, "block").where((F.col("x") <= F.col("y")) & (F.col("ylo") * PERCENT <= F.col("xhi") * 100))
+def _chunked(rows: DataFrame, *by: str) -> DataFrame:
+    """rows(row, n, block and others) with `chunk`: sets of a block and of `by` with like sizes, about CHUNK_SETS sets or CHUNK_SHINGLES shingles."""
+    rows = rows.withColumn("range", F.floor(F.log2("n") * 4).cast("int"))
+    key = ["block", *by, "range"]
+    cuts = rows.groupBy(*key).agg(F.ceil(F.greatest(F.count("*") / CHUNK_SETS, F.sum("n") / CHUNK_SHINGLES)).alias("cuts"))
+    cuts = written(cuts, "cuts")  # a table, so that the join can split a large block
+    chunk = F.struct(*by, "range", F.pmod(F.xxhash64("row"), F.col("cuts")).alias("k"))
+    return rows.join(cuts, key).select("row", "n", "block", *by, chunk.alias("chunk"))
+
+
+def _search(sets: DataFrame, placed: DataFrame, pairs: DataFrame) -> DataFrame:
+    """a, b: links of the sets of pairs of chunks (block, x, y); of sets that several links join, a spanning part for each pair."""
     ends = F.explode(F.array(F.struct(F.col("x").alias("chunk"), F.lit(False).alias("index")), F.struct(F.col("y").alias("chunk"), F.lit(True).alias("index"))))
     sides = pairs.select("block", F.xxhash64("block", "x", "y").alias("task"), ends.alias("e")).select("block", "task", "e.chunk", "e.index")
-    dealt = placed.join(sides, ["block", "chunk"]).select("row", "task", "index").join(sets.select("row", "hashes"), "row")
+    dealt = placed.select("row", "block", "chunk").join(sides, ["block", "chunk"]).select("row", "task", "index").join(sets.select("row", "hashes"), "row")
     dealt = dealt.select("task", "index", "row", "hashes").repartition(_parts(sets), "task").sortWithinPartitions("task", F.desc("index"), "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -340,6 +343,46 @@ def links(sets: DataFrame, blocks: DataFrame) -> DataFrame:
     return dealt.mapInArrow(tidy(run), "a long, b long")
 
 
+def _pairs(placed: DataFrame, *kept: str) -> DataFrame:
+    """block, x, y and `kept` of both sides: chunks of a block whose sizes allow a link, each pair once."""
+    chunks = placed.groupBy("block", "chunk", *kept).agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    side = lambda s: chunks.select("block", F.col("chunk").alias(s), *[F.col(c).alias(s + c) for c in ("lo", "hi", *kept)])
+    fits = (F.col("ylo") * PERCENT <= F.col("xhi") * 100) & (F.col("xlo") * PERCENT <= F.col("yhi") * 100)
+    return side("x").join(side("y"), "block").where((F.col("x") <= F.col("y")) & fits)
+
+
+def links(sets: DataFrame, blocks: DataFrame) -> DataFrame:
+    """a, b: links within blocks; of sets that several links join, a spanning part.
+
+    Each chunk of a block is first joined within itself. A block of several chunks then goes on: one set of each class so
+    far meets one of each other class, and what joins there joins the classes. Only sets of different classes are left to
+    be compared, and of these only pairs with a set that did not stand for its class. A class that fills chunks of its own is
+    not compared with itself again, so a family of near copies, however large, takes work in proportion to its sets.
+    """
+    sized = sets.select("row", "n").join(blocks.select(F.col("node").alias("row"), F.col("component").alias("block")), "row")
+    first = written(_chunked(sized), "chunks")
+    inner = first.select("block", F.col("chunk").alias("x"), F.col("chunk").alias("y")).distinct()
+    found = written(_search(sets, first, inner), "links-within")
+    many = written(first.select("block", "chunk").distinct().groupBy("block").agg(F.count("*").alias("m")).where("m > 1").select("block"), "many")
+    rest = first.select("row", "n", "block").join(many, "block")
+    rest = written(rest, "rest")
+    discard(first, many)
+    if rest.isEmpty():
+        return found
+    classes = components(found, "a", "b").select(F.col("node").alias("row"), "component")
+    heads = rest.join(classes, "row", "left").where("component is null or component = row").select("row", "n", "block")
+    heads = written(_chunked(heads), "heads")
+    found = written(found.union(_search(sets, heads, _pairs(heads).select("block", "x", "y"))), "links-heads")
+    classes = written(components(found, "a", "b").select(F.col("node").alias("row"), "component"), "classes")
+    rest = rest.join(classes, "row", "left").withColumn("class", F.coalesce("component", "row"))
+    # a class fills chunks of its own from CHUNK_SETS sets on; smaller ones share chunks, and so do sets without links
+    sizes = written(rest.groupBy("block", "class").agg(F.count("*").alias("size")), "sizes")
+    rest = rest.join(sizes, ["block", "class"]).withColumn("own", F.when(F.col("size") >= CHUNK_SETS, F.col("class"))).withColumn("lone", F.col("size") == 1)
+    placed = written(_chunked(rest.select("row", "n", "block", F.coalesce("own", F.lit(0)).alias("own"), F.col("own").isNotNull().alias("large"), "lone"), "lone", "large", "own"), "placed")
+    met = _pairs(placed, "lone", "large", "own").where("not (xlone and ylone) and not (xlarge and ylarge and xown = yown)")
+    return written(found.union(_search(sets, placed, met.select("block", "x", "y"))), "links-across")
+
+
 def _spanning(lists: Lists, query: np.ndarray) -> list[int]:
     """Of the sets that link with the query, those that earlier queries of the task have not joined already, and one of each joined group."""
     found = lists.search(query)
@@ -355,15 +398,17 @@ def _spanning(lists: Lists, query: np.ndarray) -> list[int]:
 def _placed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """row, doc_id, n and component (the least row of its sets) of each document."""
     rows = written(sets_of(docs, doc_id, text, False), "rows")
-    some = written(linked_at_all(docs, doc_id, text), "some")
+    some = linked_at_all(docs, doc_id, text)
     # always a sort-merge join: the ids that are left grow with the documents
     left = _rows(docs, doc_id, text).join(some.hint("merge"), "row", "left_semi").select("doc_id", "text")
     sets = sets_of(left, "doc_id", "text", True).where("n > 0").groupBy("digest").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("hashes").alias("hashes"))
     sets = written(sets, "sets")
-    found = written(links(sets, components(chains(sets), "a", "b")), "links")
+    discard(some)
+    found = links(sets, components(chains(sets), "a", "b"))
     joined = components(found, "a", "b").select(F.col("node").alias("row"), "component")
     # a class of equal sets goes where its set goes
     classes = written(sets.select("digest", "row").join(joined, "row", "left").select("digest", F.coalesce("component", "row").alias("component")), "classes")
+    discard(sets, found)
     return rows.join(classes, "digest", "left").withColumn("component", F.when(F.col("n") > 0, F.coalesce("component", "row")).otherwise(F.col("row")))
 
 

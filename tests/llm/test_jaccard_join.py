@@ -124,3 +124,26 @@ def test_keep_one_leaves_one_row_of_each_component(spark):
     assert sorted(got, key=str) == sorted(again, key=str)
     equal = spark.createDataFrame([(1, a)] * 50, "doc_id long, text string")
     assert [tuple(r) for r in op.keep_one(equal.repartition(4)).collect()] == [(1, a)]
+
+
+def test_a_family_is_not_compared_with_itself_again(spark, monkeypatch):
+    """A large family of near copies, a chain of others, and texts of their own in one block: all links are found, and sets do not move for each pair of chunks."""
+    monkeypatch.setattr(op, "CHUNK_SETS", 16)
+    r = random.Random(4)
+    base, tail = prose(31, 120).split(" "), prose(32, 40)
+    docs = []
+    for k in range(200):
+        w = list(base)
+        w[r.randrange(len(w))] = f"own{k}"
+        docs.append((k, " ".join(w)))
+    chain = prose(33, 120).split(" ")
+    for k in range(40):  # each links with the next few, the ends do not
+        chain = [*chain[3:], *prose(500 + k, 3).split(" ")]
+        docs.append((300 + k, " ".join(chain)))
+    docs += [(400 + k, tail + " " + prose(800 + k, r.randrange(5, 90))) for k in range(60)]
+    dealt = []
+    search = op._search
+    monkeypatch.setattr(op, "_search", lambda sets, placed, pairs: (dealt.append(pairs.count()), search(sets, placed, pairs))[1])
+    got = op.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((g["doc_id"], g["n_shingles"], g["component_id"]) for g in got) == sorted(brute(docs))
+    assert len(dealt) == 3 and sum(dealt) < 100  # 13 chunks of the family alone would be 91 pairs
