@@ -199,9 +199,10 @@ def _sorted_out(rows: DataFrame, group: list[str], kind: str, place: list[str])
     """The places whose kind occurs again within its group; and of groups with several kinds one place of each kind, with its core. Both are written."""
     kinds = written(rows.groupBy(*group, kind).agg(F.count("*").alias("times"), *(F.first(c).alias(c) for c in place)), "kinds")
     settled = written(rows.join(kinds.where("times > 1").select(*group, kind), [*group, kind]).select(*place), "settled")
-    several = kinds.groupBy(*group).agg(F.count("*").alias("kinds")).where("kinds > 1").drop("kinds")
+    # written, as the ranks are, so that Spark can split a group that many kinds share
+    several = written(kinds.groupBy(*group).agg(F.count("*").alias("kinds")).where("kinds > 1").drop("kinds"), "several")
     apart = written(kinds.join(several, group).select(*place, "n", "rank"), "apart")
-    discard(kinds)
+    discard(kinds, several)
     return settled, apart
 
 
@@ -251,11 +252,12 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
     discard(apart, chunks)
     starts = written(_beside_cores(rows, left, length, 1), "starts")
     again = starts.groupBy("n", "rank", "edge", "shape").agg(F.count("*").alias("times")).where("times > 1").drop("times")
+    again = written(again, "again")
     alone = starts.join(again, ["n", "rank", "edge", "shape"]).select(*place)
     far, near = F.shiftright("shape", 2 * SHAPE).cast("int"), F.shiftright("shape", SHAPE).bitwiseAND((1 << SHAPE) - 1).cast("int")
     found = by_cut.union(by_chunk).union(alone).select("row", (F.col("head") - far).alias("lo"), (F.col("head") - near + length).alias("hi"))
     spans = written(found.groupBy("row").agg(F.collect_list("lo").alias("los"), F.collect_list("hi").alias("his")), "spans")
-    discard(by_cut, by_chunk, left, starts)
+    discard(by_cut, by_chunk, left, starts, again)
     return spans
 
 
