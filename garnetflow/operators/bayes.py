@@ -48,7 +48,7 @@ def train(records: DataFrame, documents: int | None = None) -> Model:
 
 def likelihood(model: Model) -> DataFrame:
     """label, word and smoothed likelihood of the pairs that occur; any other word of a label has 1 / (total + vocabulary)."""
-    rows = model.counts.join(F.broadcast(model.labels.select("label", "total")), "label")
+    rows = model.counts.join(model.labels.select("label", "total"), "label")
     return rows.select("label", "word", "cnt", ((F.col("cnt") + 1) / (F.col("total") + F.lit(model.vocabulary))).alias("likelihood"))
 
 

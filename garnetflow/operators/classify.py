@@ -60,8 +60,8 @@ def frequency_matches(pairs: DataFrame, cwes: DataFrame, lists: DataFrame) -> Da
     pairs: item, vector; cwes: item, cwe; lists: vector, cwe. matches is null where the vector has no list.
     """
     listed = lists.select("vector").distinct().withColumn("listed", F.lit(True))
-    hits = pairs.join(cwes, "item").join(F.broadcast(lists), ["vector", "cwe"]).groupBy("item", "vector").agg(F.count("*").alias("matches"))
-    rows = pairs.join(F.broadcast(listed), "vector", "left").join(hits, ["item", "vector"], "left")
+    hits = pairs.join(cwes, "item").join(lists, ["vector", "cwe"]).groupBy("item", "vector").agg(F.count("*").alias("matches"))
+    rows = pairs.join(listed, "vector", "left").join(hits, ["item", "vector"], "left")
     return rows.select("item", "vector", F.when(F.col("listed"), F.coalesce("matches", F.lit(0))).alias("matches"))
 
 

@@ -24,7 +24,7 @@ def term_scores(records: DataFrame, docs: DataFrame, n: int) -> DataFrame:
     """vector, term, tf, df, idf, tfidf and specificity. records: vector, words (a row for each label); docs: id, words; n documents."""
     tf = records.select("label", F.explode("words").alias("term")).groupBy("label", "term").agg(F.count("*").alias("tf"))
     size = records.groupBy("label").agg(F.count("*").alias("docs"))
-    rows = tf.join(document_frequency(docs), "term").join(F.broadcast(size), "label")
+    rows = tf.join(document_frequency(docs), "term").join(size, "label")
     # occurrences over documents: may pass 1
     rows = rows.withColumns({"idf": idf(n, F.col("df")), "specificity": F.col("tf") / F.col("df")})
     return rows.withColumn("tfidf", F.col("tf") / F.col("docs") * F.col("idf")).withColumnRenamed("label", "vector")

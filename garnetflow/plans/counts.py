@@ -23,7 +23,7 @@ def pairs(spark, sf_dir):
 @query(f"SELECT vector, cwe, cnt, round(cnt * 100.0 / total, 6) AS percentage, row_number() OVER (PARTITION BY vector ORDER BY cnt DESC, cwe) AS rank FROM ({_COUNTS}) JOIN (SELECT o_orderpriority AS vector, count(*) AS total FROM orders GROUP BY 1) USING (vector)")
 def freq_vector_cwe(spark, sf_dir):
     totals = table(spark, sf_dir, "orders", "o_orderpriority").groupBy(F.col("o_orderpriority").alias("vector")).agg(F.count("*").alias("total"))
-    rows = frequency.ranked(frequency.pair_counts(pairs(spark, sf_dir)), F.broadcast(totals))
+    rows = frequency.ranked(frequency.pair_counts(pairs(spark, sf_dir)), totals)
     return rows.select("vector", "cwe", "cnt", F.round("percentage", 6).alias("percentage"), "rank")
 
 

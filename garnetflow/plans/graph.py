@@ -32,7 +32,7 @@ def node_vectors(spark, sf_dir):
 
 @query(f"SELECT DISTINCT doc_id AS item, vector FROM (SELECT doc_id, unnest({SQL_CWES}) AS node FROM documents) JOIN ({SQL_NODE_VECTOR}) USING (node)")
 def map_vectors(spark, sf_dir):
-    return hierarchy.mapped(items(spark, sf_dir), "item", "node", F.broadcast(node_vectors(spark, sf_dir)))
+    return hierarchy.mapped(items(spark, sf_dir), "item", "node", node_vectors(spark, sf_dir))
 
 
 def edges(spark, sf_dir):

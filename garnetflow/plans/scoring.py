@@ -68,7 +68,7 @@ _SQL_CAND = f"SELECT DISTINCT doc_id, vector AS label FROM (SELECT doc_id, unnes
 def candidates(spark, sf_dir):
     """item, vector; every eleventh document has no mapped weakness, as some records have none."""
     rows = items(spark, sf_dir).where("item % 11 <> 0")
-    return hierarchy.mapped(rows, "item", "node", F.broadcast(node_vectors(spark, sf_dir)))
+    return hierarchy.mapped(rows, "item", "node", node_vectors(spark, sf_dir))
 
 
 def lists(spark, sf_dir):

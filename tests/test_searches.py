@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 
+import pytest
 from compare import cell
 from pyspark.sql import functions as F
 
@@ -48,7 +49,9 @@ def test_embedding_cosine_scores_every_vector(spark):
     assert {(q, v) for q, v, _ in rows_of(spark, "embedding_cosine")} == {(q, v) for q in ids if q % 100 == 0 for v in ids}
 
 
-def test_dense_search_by_blocks(spark):
+@pytest.mark.parametrize("most", [4096, 0])
+def test_dense_search_by_blocks(spark, monkeypatch, most):
+    monkeypatch.setattr(retrieval, "BROADCAST_QUERIES", most)
     rows = [(k, [float(k % 5), float(k % 3), 1.0]) for k in range(20)] + [(20, [0.0, 0.0, 0.0]), (21, [1.0]), (22, None)]
     df = spark.createDataFrame(rows, "id long, embedding array<double>").repartition(3)
     got = {(r["query"], r["id"]): r["cosine"] for r in retrieval.dense_search(df, df.where("id < 7 or id = 20"), block=3).collect()}
