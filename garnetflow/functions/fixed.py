@@ -52,82 +52,87 @@ STOP_WORDS = {k: v.split() for k, v in STOP_WORDS.items()}
 
 # --- fixed values: attack vectors (name, weaknesses, description, priority) ---
 
-VECTOR_CATALOG = """
-xss | 79 80 83 | Cross-Site Scripting | 1
-sql_injection | 89 | SQL Injection | 1
-rce | 94 95 | Remote Code Execution | 1
-command_injection | 77 78 | OS Command Injection | 1
-path_traversal | 22 23 36 | Path Traversal | 1
-ssrf | 918 | Server-Side Request Forgery | 1
-deserialization | 502 | Deserialization Vulnerabilities | 1
-auth_bypass | 287 288 290 302 306 | Authentication Bypass | 1
-authz_bypass | 285 639 | Authorization Bypass | 1
-file_upload | 434 | File Upload Vulnerabilities | 1
-csrf | 352 | Cross-Site Request Forgery | 2
-xxe | 611 | XML External Entity | 2
-ldap_injection | 90 | LDAP Injection | 2
-jndi_injection | 917 | JNDI/Expression Language Injection | 2
-privilege_escalation | 269 274 266 250 | Privilege Escalation | 2
-buffer_overflow | 119 120 121 122 787 788 | Buffer Overflow | 2
-idor | 639 284 | Insecure Direct Object Reference | 2
-http_desync | 444 | HTTP Request Smuggling | 2
-hardcoded_credentials | 798 259 321 | Hard-coded Credentials | 2
-info_disclosure | 200 209 213 215 532 | Information Disclosure | 2
-dos | 400 770 400 835 674 | Denial of Service | 3
-nosql_injection | 943 | NoSQL Injection | 3
-xpath_injection | 643 | XPath Injection | 3
-open_redirect | 601 | Open Redirect | 3
-session_fixation | 384 | Session Fixation | 3
-crypto_failure | 327 328 329 326 | Cryptographic Failures | 3
-integer_overflow | 190 191 | Integer Overflow | 3
-use_after_free | 416 | Use After Free | 3
-null_pointer | 476 | NULL Pointer Dereference | 3
-format_string | 134 | Format String Vulnerability | 3
-email_injection | 93 | Email Header Injection | 3
-race_condition | 362 366 367 | Race Condition | 3
-ssti | 1336 | Server-Side Template Injection | 3
-input_validation | 20 1284 | Improper Input Validation | 3
-code_injection | 94 95 | Code Injection | 3
-"""
-VECTOR_CATALOG = [(n, c.split(), d, int(p)) for n, c, d, p in (tuple(x.strip() for x in r.split("|")) for r in VECTOR_CATALOG.strip().split("\n"))]
+VECTOR_CATALOG = [
+    ("xss", ["79", "80", "83"], "Cross-Site Scripting", 1),
+    ("sql_injection", ["89"], "SQL Injection", 1),
+    ("rce", ["94", "95"], "Remote Code Execution", 1),
+    ("command_injection", ["77", "78"], "OS Command Injection", 1),
+    ("path_traversal", ["22", "23", "36"], "Path Traversal", 1),
+    ("ssrf", ["918"], "Server-Side Request Forgery", 1),
+    ("deserialization", ["502"], "Deserialization Vulnerabilities", 1),
+    ("auth_bypass", ["287", "288", "290", "302", "306"], "Authentication Bypass", 1),
+    ("authz_bypass", ["285", "639"], "Authorization Bypass", 1),
+    ("file_upload", ["434"], "File Upload Vulnerabilities", 1),
+    ("csrf", ["352"], "Cross-Site Request Forgery", 2),
+    ("xxe", ["611"], "XML External Entity", 2),
+    ("ldap_injection", ["90"], "LDAP Injection", 2),
+    ("jndi_injection", ["917"], "JNDI/Expression Language Injection", 2),
+    ("privilege_escalation", ["269", "274", "266", "250"], "Privilege Escalation", 2),
+    ("buffer_overflow", ["119", "120", "121", "122", "787", "788"], "Buffer Overflow", 2),
+    ("idor", ["639", "284"], "Insecure Direct Object Reference", 2),
+    ("http_desync", ["444"], "HTTP Request Smuggling", 2),
+    ("hardcoded_credentials", ["798", "259", "321"], "Hard-coded Credentials", 2),
+    ("info_disclosure", ["200", "209", "213", "215", "532"], "Information Disclosure", 2),
+    ("dos", ["400", "770", "400", "835", "674"], "Denial of Service", 3),
+    ("nosql_injection", ["943"], "NoSQL Injection", 3),
+    ("xpath_injection", ["643"], "XPath Injection", 3),
+    ("open_redirect", ["601"], "Open Redirect", 3),
+    ("session_fixation", ["384"], "Session Fixation", 3),
+    ("crypto_failure", ["327", "328", "329", "326"], "Cryptographic Failures", 3),
+    ("integer_overflow", ["190", "191"], "Integer Overflow", 3),
+    ("use_after_free", ["416"], "Use After Free", 3),
+    ("null_pointer", ["476"], "NULL Pointer Dereference", 3),
+    ("format_string", ["134"], "Format String Vulnerability", 3),
+    ("email_injection", ["93"], "Email Header Injection", 3),
+    ("race_condition", ["362", "366", "367"], "Race Condition", 3),
+    ("ssti", ["1336"], "Server-Side Template Injection", 3),
+    ("input_validation", ["20", "1284"], "Improper Input Validation", 3),
+    ("code_injection", ["94", "95"], "Code Injection", 3),
+]
 
 #: The display name of hard-coded credentials is kept under a shorter key, so the vector's own id has none.
 VECTOR_NAMES = {("hardcoded_creds" if n == "hardcoded_credentials" else n): d for n, _, d, _ in VECTOR_CATALOG}
 
 # --- fixed values: vectors of each weakness in the hierarchy ---
 
-CWE_VECTORS = """
-20 input_validation; 22 path_traversal; 23 path_traversal; 36 path_traversal; 73 path_traversal; 74 injection; 77 command_injection; 78 command_injection;
-79 xss; 89 sql_injection; 90 ldap_injection; 91 xml_injection xxe; 93 crlf_injection http_desync; 94 code_injection rce; 95 code_injection rce;
-96 code_injection; 98 file_upload rce; 99 rce; 113 http_desync; 119 buffer_overflow rce; 120 buffer_overflow; 121 buffer_overflow; 122 buffer_overflow;
-125 buffer_overflow; 129 input_validation; 134 format_string rce; 190 integer_overflow; 191 integer_overflow; 200 info_disclosure; 201 info_disclosure;
-209 info_disclosure; 213 info_disclosure; 215 info_disclosure; 250 privilege_escalation; 259 hardcoded_credentials; 266 privilege_escalation;
-268 privilege_escalation; 269 privilege_escalation; 274 privilege_escalation; 284 authz_bypass; 285 authz_bypass; 287 auth_bypass; 288 auth_bypass;
-290 auth_bypass; 294 auth_bypass session_fixation; 295 auth_bypass crypto_failure; 306 auth_bypass; 307 auth_bypass; 321 hardcoded_credentials;
-326 crypto_failure; 327 crypto_failure; 328 crypto_failure; 330 crypto_failure; 331 crypto_failure; 346 csrf; 352 csrf; 359 info_disclosure;
-362 race_condition; 366 race_condition; 367 race_condition; 384 session_fixation; 400 dos; 404 dos; 415 use_after_free; 416 use_after_free rce;
-425 authz_bypass; 434 file_upload rce; 472 session_fixation; 476 null_pointer; 502 deserialization rce; 532 info_disclosure; 538 info_disclosure;
-601 open_redirect; 611 xxe; 613 session_fixation; 616 file_upload; 639 authz_bypass; 674 dos; 690 null_pointer; 770 dos; 787 buffer_overflow rce;
-798 hardcoded_credentials; 827 xxe; 835 dos; 862 authz_bypass; 863 idor; 917 jndi_injection rce; 918 ssrf; 943 nosql_injection; 1284 input_validation; 1336 ssti
-"""
+CWE_VECTORS = [
+    ("20", ["input_validation"]), ("22", ["path_traversal"]), ("23", ["path_traversal"]), ("36", ["path_traversal"]), ("73", ["path_traversal"]),
+    ("74", ["injection"]), ("77", ["command_injection"]), ("78", ["command_injection"]), ("79", ["xss"]), ("89", ["sql_injection"]),
+    ("90", ["ldap_injection"]), ("91", ["xml_injection", "xxe"]), ("93", ["crlf_injection", "http_desync"]), ("94", ["code_injection", "rce"]),
+    ("95", ["code_injection", "rce"]), ("96", ["code_injection"]), ("98", ["file_upload", "rce"]), ("99", ["rce"]), ("113", ["http_desync"]),
+    ("119", ["buffer_overflow", "rce"]), ("120", ["buffer_overflow"]), ("121", ["buffer_overflow"]), ("122", ["buffer_overflow"]),
+    ("125", ["buffer_overflow"]), ("129", ["input_validation"]), ("134", ["format_string", "rce"]), ("190", ["integer_overflow"]),
+    ("191", ["integer_overflow"]), ("200", ["info_disclosure"]), ("201", ["info_disclosure"]), ("209", ["info_disclosure"]),
+    ("213", ["info_disclosure"]), ("215", ["info_disclosure"]), ("250", ["privilege_escalation"]), ("259", ["hardcoded_credentials"]),
+    ("266", ["privilege_escalation"]), ("268", ["privilege_escalation"]), ("269", ["privilege_escalation"]), ("274", ["privilege_escalation"]),
+    ("284", ["authz_bypass"]), ("285", ["authz_bypass"]), ("287", ["auth_bypass"]), ("288", ["auth_bypass"]), ("290", ["auth_bypass"]),
+    ("294", ["auth_bypass", "session_fixation"]), ("295", ["auth_bypass", "crypto_failure"]), ("306", ["auth_bypass"]), ("307", ["auth_bypass"]),
+    ("321", ["hardcoded_credentials"]), ("326", ["crypto_failure"]), ("327", ["crypto_failure"]), ("328", ["crypto_failure"]),
+    ("330", ["crypto_failure"]), ("331", ["crypto_failure"]), ("346", ["csrf"]), ("352", ["csrf"]), ("359", ["info_disclosure"]),
+    ("362", ["race_condition"]), ("366", ["race_condition"]), ("367", ["race_condition"]), ("384", ["session_fixation"]), ("400", ["dos"]),
+    ("404", ["dos"]), ("415", ["use_after_free"]), ("416", ["use_after_free", "rce"]), ("425", ["authz_bypass"]), ("434", ["file_upload", "rce"]),
+    ("472", ["session_fixation"]), ("476", ["null_pointer"]), ("502", ["deserialization", "rce"]), ("532", ["info_disclosure"]),
+    ("538", ["info_disclosure"]), ("601", ["open_redirect"]), ("611", ["xxe"]), ("613", ["session_fixation"]), ("616", ["file_upload"]),
+    ("639", ["authz_bypass"]), ("674", ["dos"]), ("690", ["null_pointer"]), ("770", ["dos"]), ("787", ["buffer_overflow", "rce"]),
+    ("798", ["hardcoded_credentials"]), ("827", ["xxe"]), ("835", ["dos"]), ("862", ["authz_bypass"]), ("863", ["idor"]),
+    ("917", ["jndi_injection", "rce"]), ("918", ["ssrf"]), ("943", ["nosql_injection"]), ("1284", ["input_validation"]), ("1336", ["ssti"]),
+]
 
 # --- fixed values: vectors of each weakness in reports ---
 
-REPORT_CWE_VECTORS = """
-22 path_traversal; 23 path_traversal; 77 command_injection; 78 command_injection; 79 xss; 80 xss; 89 sql_injection; 90 ldap_injection; 93 crlf_injection;
-119 buffer_overflow; 120 buffer_overflow; 121 buffer_overflow; 122 buffer_overflow; 250 privilege_escalation; 266 privilege_escalation; 269 privilege_escalation;
-284 authentication; 285 authz_bypass authorization; 287 auth_bypass authentication; 288 auth_bypass authentication; 290 auth_bypass authentication;
-306 auth_bypass authentication; 352 csrf; 444 http_smuggling; 501 trust_boundary; 502 deserialization; 611 xxe; 639 authentication; 643 xpath_injection;
-652 xml_injection; 665 privilege_escalation; 732 privilege_escalation; 787 buffer_overflow; 798 authentication; 862 authz_bypass authorization;
-863 authz_bypass idor; 917 code_injection jndi_injection; 918 ssrf
-"""
-
-
-def _pairs(table: str) -> list[tuple[str, list[str]]]:
-    return [(r.split()[0], r.split()[1:]) for r in table.replace("\n", " ").split(";") if r.strip()]
+REPORT_CWE_VECTORS = [
+    ("22", ["path_traversal"]), ("23", ["path_traversal"]), ("77", ["command_injection"]), ("78", ["command_injection"]), ("79", ["xss"]),
+    ("80", ["xss"]), ("89", ["sql_injection"]), ("90", ["ldap_injection"]), ("93", ["crlf_injection"]), ("119", ["buffer_overflow"]),
+    ("120", ["buffer_overflow"]), ("121", ["buffer_overflow"]), ("122", ["buffer_overflow"]), ("250", ["privilege_escalation"]),
+    ("266", ["privilege_escalation"]), ("269", ["privilege_escalation"]), ("284", ["authentication"]), ("285", ["authz_bypass", "authorization"]),
+    ("287", ["auth_bypass", "authentication"]), ("288", ["auth_bypass", "authentication"]), ("290", ["auth_bypass", "authentication"]),
+    ("306", ["auth_bypass", "authentication"]), ("352", ["csrf"]), ("444", ["http_smuggling"]), ("501", ["trust_boundary"]),
+    ("502", ["deserialization"]), ("611", ["xxe"]), ("639", ["authentication"]), ("643", ["xpath_injection"]), ("652", ["xml_injection"]),
+    ("665", ["privilege_escalation"]), ("732", ["privilege_escalation"]), ("787", ["buffer_overflow"]), ("798", ["authentication"]),
+    ("862", ["authz_bypass", "authorization"]), ("863", ["authz_bypass", "idor"]), ("917", ["code_injection", "jndi_injection"]), ("918", ["ssrf"]),
+]
 
 
-CWE_VECTORS, REPORT_CWE_VECTORS = _pairs(CWE_VECTORS), _pairs(REPORT_CWE_VECTORS)
 
 # --- fixed values: relevance of a weakness to a description ---
 
