@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions.text import any_of
 from .bayes import confidence
+from .retrieval import jaccard_repeats, overlap_confidence, severe
 
 
 def bare(key: Column) -> Column:
@@ -72,6 +73,18 @@ def ranked(rows: DataFrame, taxonomy: DataFrame, n: int = 5) -> DataFrame:
     return scored.where(F.col("rank") <= n).drop("share", "rules")
 
 
+def overlap_ranked(rows: DataFrame, n: int = 5) -> DataFrame:
+    """The older ranking: rows(item, words, capec, own, severity) by the overlap with repeats and severity, the first n of each item.
+
+    words are the record's, own those of the attack pattern's description and name.
+    """
+    score = severe(jaccard_repeats(F.col("words"), F.col("own")), F.col("severity"))
+    scored = rows.select("item", "capec", score.alias("probability"))
+    order = Window.partitionBy("item").orderBy(F.desc("probability"), "capec")
+    scored = scored.withColumns({"confidence": overlap_confidence(F.col("probability")), "rank": F.row_number().over(order).cast("long")})
+    return scored.where(F.col("rank") <= n)
+
+
 def techniques_of(items: DataFrame, mapping: DataFrame, techniques: DataFrame, fallback: list = fixed.FALLBACK_TECHNIQUES) -> DataFrame:
     """item and technique; items with attack patterns but no mapped technique get the fallback ones that exist.
 

@@ -189,6 +189,24 @@ def capec_rank(spark, sf_dir):
     return rows.select(F.col("item").alias("doc_id"), "capec", F.round("probability", 6).alias("probability"), "confidence", "rank")
 
 
+_SQL_OWN = f"(SELECT capec, severity, (row_number() OVER () - 1) % 4 AS cwe, {sql_words('serving', "(description || ' ' || name)")} AS own FROM {SQL_CAPECS})"
+
+
+@query(
+    f"""WITH dw AS MATERIALIZED (SELECT doc_id, {sql_words('serving', 'said')} AS w FROM (SELECT doc_id, {SQL_SAID} AS said FROM documents)),
+sc AS (SELECT doc_id, capec, o / (len(list_distinct(w)) + len(list_distinct(own)) - o + 1) * CASE WHEN severity IN ('High', 'Very High') THEN 1.2::DOUBLE ELSE 1 END AS p
+FROM (SELECT *, len(list_filter(own, lambda x: list_contains(w, x))) AS o FROM dw JOIN {_SQL_OWN} ON cwe = doc_id % 4))
+SELECT doc_id, capec, round(p, 6) AS probability, CASE WHEN p > 0.15 THEN 'high' WHEN p > 0.08 THEN 'medium' ELSE 'low' END AS confidence, row_number() OVER (PARTITION BY doc_id ORDER BY p DESC, capec) AS rank FROM sc"""
+)
+def capec_overlap(spark, sf_dir):
+    """The older ranking of attack patterns, with prefixed keys on one side of the map."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").select(F.col("doc_id").alias("item"), (F.col("doc_id") % 4).cast("string").alias("cwe"), tokenize(said(), "serving").alias("words"))
+    edges = spark.createDataFrame([(f"CWE-{k % 4}", f"CAPEC-{c}") for k, (c, *_) in enumerate(CAPECS)], "src string, dst string")
+    own = capecs(spark).select("capec", "severity", tokenize(F.concat_ws(" ", "description", "name"), "serving").alias("own"))
+    found = linking.overlap_ranked(linking.patterns_of(docs, edges).join(own, "capec"))
+    return found.select(F.col("item").alias("doc_id"), "capec", F.round("probability", 6).alias("probability"), "confidence", "rank")
+
+
 # --- retrieval ---
 
 
