@@ -6,6 +6,7 @@ import functools
 import gzip
 import http.server
 import json
+import os
 import sys
 import threading
 import zipfile
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from garnetflow import cli, streaming
 from garnetflow.operators import collect, knowledge
-from garnetflow.sources import artifacts, feeds
+from garnetflow.sources import artifacts, feeds, schemas
 
 CWE = """<?xml version="1.0"?><Weakness_Catalog><Weaknesses>
 <Weakness ID="89" Name="SQL Injection" Abstraction="Base"><Description>Bad  query</Description><Extended_Description><p>More</p><p>text</p></Extended_Description>
@@ -158,6 +159,37 @@ def test_export_resumes(spark, tmp_path):
     assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "e")).collect()) == ["a", "c"]
 
 
+def test_readers_of_training_taxonomy_and_techniques(spark, tmp_path):
+    (tmp_path / "t.json").write_text(json.dumps([{"cve_id": "CVE-1", "description": "d", "cwes": ["79"], "attack_vectors": None, "published_date": "2024"}, {"cve_id": "CVE-2", "description": None}]))
+    rows = {r["cve_id"]: (r["cwes"], r["attack_vectors"]) for r in artifacts.training(spark, str(tmp_path / "t.json")).collect()}
+    assert rows == {"CVE-1": (["79"], []), "CVE-2": ([], [])}
+    artifacts.training(spark, str(tmp_path / "t.json")).write.parquet(str(tmp_path / "t"))
+    assert artifacts.training(spark, str(tmp_path / "t")).count() == 2
+    (tmp_path / "p.json").write_text(json.dumps({"patterns": {"xss": [{"keywords": ["script", "tag"], "specificity": 0.9, "boost": 2.5, "support": 4}, {"keywords": ["dom"], "specificity": 0.7, "boost": 1.0, "support": 3}]}}))
+    got = artifacts.pattern_taxonomy(spark, str(tmp_path / "p.json")).orderBy("pattern_id").collect()
+    assert [(r["vector"], r["pattern_id"], r["keywords"], r["boost"]) for r in got] == [("xss", 1, ["script", "tag"], 2.5), ("xss", 2, ["dom"], 1.0)]
+    (tmp_path / "k.json").write_text(json.dumps({"T1": {"name": "n", "platforms": ["Linux"], "url": "u"}}))
+    (r,) = artifacts.keyed(spark, str(tmp_path / "k.json"), schemas.TECHNIQUE_NODE).collect()
+    assert (r["id"], r["name"], r["platforms"], r["tactics"]) == ("T1", "n", ["Linux"], None)
+    assert artifacts.optional(spark, str(tmp_path / "k.json"), "a int", lambda s, p: artifacts.keyed(s, p, schemas.TECHNIQUE_NODE)).count() == 1
+
+
+def test_windows_of_event_time(spark, tmp_path):
+    """As a stream: late events within the bound count in their window, later ones do not."""
+    schema = "ts timestamp, event_type string, value double"
+    folder = tmp_path / "events"
+    folder.mkdir()
+    query = streaming.event_windows(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(folder)))
+    batches = [["2024-01-01T00:01:00Z", "2024-01-01T00:04:00Z", "2024-01-01T00:20:00Z"], ["2024-01-01T00:02:00Z", "2024-01-01T00:12:00Z"], ["2024-01-01T00:03:00Z", "2024-01-01T01:00:00Z"]]
+    for k, times in enumerate(batches):
+        (folder / f"{k}.json").write_text("\n".join(json.dumps({"ts": t, "event_type": "a", "value": 1.5}) for t in times))
+        os.utime(folder / f"{k}.json", (1_700_000_000 + k, 1_700_000_000 + k))
+    query.writeStream.format("memory").queryName("windows_of_events").outputMode("append").option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start().awaitTermination(120)
+    got = [(str(r["start"])[11:16], r["n"], r["total"]) for r in spark.table("windows_of_events").orderBy("start").collect()]
+    # the first file moves the watermark to 00:10, which holds against late events one batch on: 00:02 counts, 00:03 doesn't
+    assert got == [("00:00", 3, 4.5), ("00:10", 1, 1.5), ("00:20", 1, 1.5)]
+
+
 def test_full_frequency_map(spark, tmp_path):
     doc = {"total_cves": 3, "attack_vectors": {"xss": {"total_cves": 2, "cwe_frequencies": [{"cwe_id": "79", "count": 2, "percentage": 100.0, "rank": 1}, {"cwe_id": "80", "count": 1, "percentage": 50.0, "rank": 2}]}}}
     (tmp_path / "f.json").write_text(json.dumps(doc))
