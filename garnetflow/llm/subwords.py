@@ -43,6 +43,7 @@ class Words:
         if not self.byte_level and name != "word_bpe_49k.json":
             raise ValueError(f"no splitting rule is known for {name}")
         self.known = _Known(self._chunk, most)
+        self.counts = _Known(lambda chunk: len(self._chunk(chunk)) // 4, most)
 
     def _pieces(self, pieces: list[str]) -> bytes:
         ids: list[int] = []
@@ -67,12 +68,22 @@ class Words:
         return self._pieces(BYTE_SPLIT.findall(first)) + b"".join(map(self.known.__getitem__, rest))
 
 
+    def count(self, text: str) -> int:
+        """How many ids a text has; what is remembered of a chunk is a number."""
+        if OUTSIDE.search(text) or self.byte_level and TWO_SPACES.search(text):
+            return len(self.encode(text)) // 4
+        if not self.byte_level:
+            return sum(map(self.counts.__getitem__, text.lower().split()))
+        first, *rest = text.replace("\n", " \n").split(" ")
+        return len(self._pieces(BYTE_SPLIT.findall(first))) // 4 + sum(map(self.counts.__getitem__, rest))
+
+
 class _Known(dict):
     def __init__(self, make, most):
         super().__init__()
         self.make, self.most = make, most
 
-    def __missing__(self, chunk: str) -> bytes:
+    def __missing__(self, chunk: str) -> bytes | int:
         ids = self.make(chunk)
         if len(self) < self.most and len(chunk) <= 64:
             self[chunk] = ids
