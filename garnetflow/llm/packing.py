@@ -102,13 +102,15 @@ class Packer:
             total -= size
 
 
-def pack_documents(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", end_id: int | None = 1, longest: int = LONGEST, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", end_id: int | None = 1, longest: int = LONGEST, doc_id: str = "doc_id", text: str = "text", remembered: int = 900_000) -> DataFrame:
     """A row for each piece: the document, the piece's place in it, its sequence and its place there.
 
+    remembered: chunks whose ids a worker keeps, about 200 bytes each; fewer save memory and cost time.
+
     context is the sequence's length, step_group the group of sequences of that length that are
     trained together: the binary logarithm of the length above 2**40, and a count below.
     """
-    return balanced(written(_packed(docs, vocabulary, end_id, longest, doc_id, text), "packed"))
+    return balanced(written(_packed(docs, vocabulary, end_id, longest, doc_id, text, remembered), "packed"))
 
 
 def balanced(packed: DataFrame) -> DataFrame:
@@ -124,13 +126,13 @@ def balanced(packed: DataFrame) -> DataFrame:
     return rows.select(*[c.split()[0] for c in SCHEMA.split(", ")[:-1]], group.cast("long").alias("step_group"))
 
 
-def _packed(docs: DataFrame, vocabulary: str, end_id: int | None, longest: int, doc_id: str, text: str) -> DataFrame:
+def _packed(docs: DataFrame, vocabulary: str, end_id: int | None, longest: int, doc_id: str, text: str, remembered: int) -> DataFrame:
     """The pieces by task; place counts the sequences of a context in the task."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     names = [c.split()[0] for c in SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer = words(vocabulary), Packer(longest)
+        encoder, packer = words(vocabulary, remembered), Packer(longest)
         context = TaskContext.get()
         task = (context.partitionId() if context else 0) << 32
         end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
