@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprint, html_extract, jaccard_join, packing, suffix_dedup, token_binary, token_rollup, toxicity, warc
+from . import decontaminate, fingerprint, html_extract, jaccard_join, packing, periodic_runs, rank_queue, suffix_dedup, token_binary, token_rollup, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,7 +52,21 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeats(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_toxicity, op3_warc, op4_packing, op5_html_text, op6_jaccard_join, op7_token_rollup, op8_token_files, op9_fingerprint, op10_suffix_dedup)}
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.word_runs(_table(spark, sf_dir, "documents"), plant=True)
+
+
+def op13_rank_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_queue.encode_decode(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_decontamination, op2_toxicity, op3_warc, op4_packing, op5_html_text, op6_jaccard_join, op7_token_rollup, op8_token_files, op9_fingerprint, op10_suffix_dedup,
+        op11_periodic_runs, op13_rank_queue,
+    )
+}
 
 _WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
