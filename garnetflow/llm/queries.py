@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprint, html_extract, jaccard_join, packing, periodic_runs, rank_queue, suffix_dedup, token_binary, token_rollup, toxicity, warc
+from . import decontaminate, fingerprint, html_extract, jaccard_join, packing, periodic_runs, rank_queue, suffix_dedup, token_alignment, token_binary, token_rollup, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.word_runs(_table(spark, sf_dir, "documents"), plant=True)
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(_table(spark, sf_dir, "documents"))
+
+
 def op13_rank_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_queue.encode_decode(_table(spark, sf_dir, "documents"))
 
@@ -64,7 +68,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_toxicity, op3_warc, op4_packing, op5_html_text, op6_jaccard_join, op7_token_rollup, op8_token_files, op9_fingerprint, op10_suffix_dedup,
-        op11_periodic_runs, op13_rank_queue,
+        op11_periodic_runs, op12_token_alignment, op13_rank_queue,
     )
 }
 

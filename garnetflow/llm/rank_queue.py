@@ -33,80 +33,84 @@ from .common import slices, texts_of, tidy
 # The characters of Unicode's White_Space.
 SPACES = "\t-\r \u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CHUNK = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
+NARROW = "\u024f"
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
 class RankQueue:
-    """Places by rank. pop() gives the least rank that holds any, with its leftmost place."""
+    """Places by rank. pop() gives the least rank that holds any, or -1; `place` is then its leftmost place."""
 
     def __init__(self, ranks: int):
-        self.buckets: list[list[int] | None] = [None] * ranks
+        self.buckets: list[list[int]] = [[] for _ in range(ranks)]
         self.low = [0] * (ranks + 63 >> 6)
         self.mid = [0] * (len(self.low) + 63 >> 6)
         self.top = 0  # a word of as many bits as `mid` has words: 64 for up to 262,144 ranks
-
-    def fill(self, places: dict[int, list[int]]) -> None:
-        """Many places at once, in ascending order for each rank."""
-        for rank, at in places.items():
-            self._mark(rank)
-            self.buckets[rank] = at
-
-    def _mark(self, rank: int) -> None:
-        a, b = rank >> 6, rank >> 12
-        self.low[a] |= 1 << (rank & 63)
-        self.mid[b] |= 1 << (a & 63)
-        self.top |= 1 << b
+        self.place = -1
 
     def push(self, rank: int, place: int) -> None:
         bucket = self.buckets[rank]
-        if bucket is None:
-            self._mark(rank)
-            self.buckets[rank] = [place]
-        else:
+        if bucket:
             heappush(bucket, place)
-
-    def pop(self) -> tuple[int, int] | None:
-        if not self.top:
-            return None
-        b = (self.top & -self.top).bit_length() - 1
-        word = self.mid[b]
-        a = (b << 6) + (word & -word).bit_length() - 1
-        word = self.low[a]
-        rank = (a << 6) + (word & -word).bit_length() - 1
-        bucket = self.buckets[rank]
-        place = heappop(bucket)
-        if not bucket:
-            self.buckets[rank] = None
-            self.low[a] &= ~(1 << (rank & 63))
+        else:
+            bucket.append(place)
+            a = rank >> 6
             if not self.low[a]:
-                self.mid[b] &= ~(1 << (a & 63))
-                if not self.mid[b]:
-                    self.top &= ~(1 << b)
-        return rank, place
+                self.mid[a >> 6] |= 1 << (a & 63)
+                self.top |= 1 << (a >> 6)
+            self.low[a] |= 1 << (rank & 63)
+
+    def pop(self) -> int:
+        top = self.top
+        if not top:
+            return -1
+        b = (top & -top).bit_length() - 1
+        mid = self.mid[b]
+        first = mid & -mid
+        a = (b << 6) + first.bit_length() - 1
+        low = self.low[a]
+        rank = (a << 6) + (low & -low).bit_length() - 1
+        bucket = self.buckets[rank]
+        if len(bucket) > 1:
+            self.place = heappop(bucket)
+            return rank
+        self.place = bucket.pop()
+        self.low[a] = low = low & (low - 1)
+        if not low:
+            self.mid[b] = mid = mid ^ first
+            if not mid:
+                self.top = top & (top - 1)
+        return rank
 
 
 def library_class(kind: str) -> str:
-    """The characters of a Unicode class as the library's version of Unicode has them, as ranges of a set of `re`."""
+    """All characters of a Unicode class as the library's version of Unicode has it."""
     points = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
     singles = {bytes([b]): b for b in range(256)}
     probe = tiktoken.Encoding("probe", pat_str=kind, mergeable_ranks=singles, special_tokens={})
-    codes, out = list(map(ord, bytes(probe.encode_ordinary(points)).decode())), []
-    first = last = codes[0]
-    for c in [*codes[1:], None]:
-        if c != last + 1:
-            out.append(re.escape(chr(first)) + (f"-{re.escape(chr(last))}" if last > first else ""))
+    return bytes(probe.encode_ordinary(points)).decode()
+
+
+def as_ranges(characters: str) -> str:
+    """Ascending characters as ranges of a set of `re`."""
+    out, first, last = [], None, None
+    for c in [*map(ord, characters), None]:
+        if first is not None and c != last + 1:
+            out.append(f"{re.escape(chr(first))}-{re.escape(chr(last))}")
             first = c
-        last = c
-        if c is None:
-            break
+        first, last = c if first is None else first, c
     return "".join(out)
 
 
-def pattern(own: str) -> re.Pattern:
-    """public_tokenizers.PATTERN for `re`, with the classes spelled out."""
+def patterns(own: str, narrow: str = NARROW) -> tuple[re.Pattern, re.Pattern]:
+    """public_tokenizers.PATTERN for `re`, with the classes spelled out: for all texts, and a quicker one for characters up to `narrow`."""
     letters, numbers = library_class(r"\p{L}"), library_class(r"\p{N}")
-    own = own.replace(r"[^\s\p{L}\p{N}]", f"[^{SPACES}{letters}{numbers}]").replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{numbers}]")
-    return re.compile(own.replace(r"\S", f"[^{SPACES}]").replace(r"\s", f"[{SPACES}]"))
+
+    def spelled(most: str) -> re.Pattern:
+        a, b = (as_ranges("".join(c for c in kind if c <= most)) for kind in (letters, numbers))
+        out = own.replace(r"[^\s\p{L}\p{N}]", f"[^{SPACES}{a}{b}]").replace(r"\p{L}", f"[{a}]").replace(r"\p{N}", f"[{b}]")
+        return re.compile(out.replace(r"\S", f"[^{SPACES}]").replace(r"\s", f"[{SPACES}]"))
+
+    return spelled(chr(0x10FFFF)), spelled(narrow)
 
 
 class Bpe:
@@ -117,43 +121,51 @@ class Bpe:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.queue = RankQueue(max(self.tokens) + 1)
-        self.pattern, self.most, self.known = pattern(pat), most, {}
+        (self.wide, self.narrow), self.most, self.known = patterns(pat), most, {}
 
     def piece(self, data: bytes) -> list[int]:
         """The ids of one pre-token."""
-        if (whole := self.ranks.get(data)) is not None:
+        find = self.ranks.get
+        if (whole := find(data)) is not None:
             return [whole]
-        ranks, queue, n = self.ranks, self.queue, len(data)
-        stops, left = list(range(1, n + 1)), list(range(-1, n - 1))  # a token at place i goes up to stops[i]; 0 once it is merged away
-        pairs, places = [-1] * n, {}
-        for i in range(n - 1):
-            if (rank := ranks.get(data[i : i + 2])) is not None:
-                pairs[i] = rank
-                places.setdefault(rank, []).append(i)
-        queue.fill(places)
-        while (next_pair := queue.pop()) is not None:
-            rank, i = next_pair
+        queue, n = self.queue, len(data)
+        push, pop = queue.push, queue.pop
+        stops, left = [*range(1, n + 1)], [*range(-1, n - 1)]  # a token at place i goes up to stops[i]; 0 once it is merged away
+        pairs = [find(data[i : i + 2], -1) for i in range(n - 1)]
+        pairs.append(-1)
+        for i, rank in enumerate(pairs):
+            if rank >= 0:
+                push(rank, i)
+        while (rank := pop()) >= 0:
+            i = queue.place
             if pairs[i] != rank:
                 continue  # the pair is gone
             j = stops[i]
-            stop = stops[j]
-            stops[i], stops[j], pairs[j] = stop, 0, -1
+            stops[i] = stop = stops[j]
+            stops[j] = 0
+            pairs[j] = -1
             if stop < n:
                 left[stop] = i
-            for a, b in ((i, stops[stop] if stop < n else 0), (left[i], stop)):
-                if a >= 0:
-                    pairs[a] = new = ranks.get(data[a:b], -1) if b else -1
-                    if new >= 0:
-                        queue.push(new, a)
-        out, i = [], 0
+                pairs[i] = rank = find(data[i : stops[stop]], -1)
+                if rank >= 0:
+                    push(rank, i)
+            else:
+                pairs[i] = -1
+            if i:
+                i = left[i]
+                pairs[i] = rank = find(data[i:stop], -1)
+                if rank >= 0:
+                    push(rank, i)
+        ranks, out, i = self.ranks, [], 0
         while i < n:
-            out.append(ranks[data[i : stops[i]]])
-            i = stops[i]
+            stop = stops[i]
+            out.append(ranks[data[i:stop]])
+            i = stop
         return out
 
     def _chunk(self, chunk: str) -> bytes:
         ids = array("I")
-        for p in self.pattern.findall(chunk):
+        for p in (self.narrow if max(chunk) <= NARROW else self.wide).findall(chunk):
             ids.extend(self.piece(p.encode()))
         out = ids.tobytes()
         if len(chunk) <= 64 and len(self.known) < self.most:

@@ -59,7 +59,7 @@ def test_the_queue_merges_as_the_plain_version(coder):
     for _ in range(3000):
         data = bytes(r.choice(r.choice([b"ab", b"etaoin", bytes(range(256))])) for _ in range(r.randrange(1, 60)))
         assert coder.piece(data) == ([coder.ranks[data]] if data in coder.ranks else plain_merge(data, coder.ranks))
-    assert coder.queue.top == 0 and not any(coder.queue.buckets)  # nothing is left for the next piece
+    assert coder.queue.top == 0 and not any(coder.queue.buckets + coder.queue.low + coder.queue.mid)  # nothing is left for the next piece
 
 
 def test_ranks_that_fall_and_equal_ranks_in_two_ways():
@@ -78,12 +78,13 @@ def test_ranks_come_in_order_from_the_queue():
     for _ in range(5000):
         if held and r.random() < 0.5:
             held.sort()
-            assert queue.pop() == held.pop(0)
+            assert (queue.pop(), queue.place) == held.pop(0)
         else:
             item = (r.choice([r.randrange(200_000), r.randrange(70)]), r.randrange(1000))
             queue.push(*item)
             held.append(item)
-    assert [queue.pop() for _ in range(len(held) + 1)] == [*sorted(held), None]
+    assert [(queue.pop(), queue.place) for _ in range(len(held))] == sorted(held)
+    assert queue.pop() == -1
 
 
 @pytest.mark.parametrize("text", ["a" * 60_000, "漢字" * 20_000, "xyZ" * 30_000, "\n" * 40_000, "=-" * 40_000])
