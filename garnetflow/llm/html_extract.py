@@ -33,7 +33,7 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 SKIPPED = set("form button select option datalist object canvas audio video map applet fieldset label head".split())
 NAMED = set("nav footer aside dialog menu".split())
 BLOCKS = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead title tr ul".split())
-CONTAINERS = set("article aside body center dd div footer form header main nav section table td th".split())
+CONTAINERS = set("article aside center dd div footer form header main nav section table td th".split())
 SELF_CLOSING = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 NOT_MAIN = set(
     "ad ads adv advert adverts advertisement advertising adsense adbox banner billboard sponsor sponsored sponsors promo promos promotion promoted outbrain taboola "
@@ -54,10 +54,11 @@ STOP_WORDS = set(
     "el los las y del una unos por con para su sus al lo como más pero o este esta estos entre cuando muy sin sobre también me hay donde quien desde todo nos "
     "il gli di che è non per una sono con del della da dei nel alla o e i os um uma não com em na no se het een van niet zijn op te dat voor met".split()
 )
-#: Characters, shares of characters and of words; how many containers around a block the second pass looks at.
-SHORT, LONG, LINKED, STOPPED, AROUND = 70, 200, 0.33, 0.08, 8
+#: Characters, shares of characters and of words.
+SHORT, LONG, LINKED, STOPPED = 70, 200, 0.33, 0.08
 
-_tag = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?:svg|math)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>|<({RAW})(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S | re.I)
+_tag = re.compile(rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?:svg|math)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>|<({RAW})(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)>|<[!?/][^>]*>", re.S | re.I)
+_unfinished = re.compile(r"<[a-zA-Z!?/]")
 _attribute = re.compile(r"(class|id|role|itemtype|hidden|aria-label|style)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\s(hidden)(?=[\s/>]|\Z)", re.I)
 _part = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _word = re.compile(r"\w+")
@@ -69,7 +70,9 @@ class Block:
     own: bool = False  # within an article that the page marks
     other: bool = False  # within a part that names itself as something else
     heading: bool = False
-    path: tuple[int, ...] = (0,)  # the containers around it, the page first
+    place: int = 0  # the smallest container around it; 0 is the page
+    depth: int = 0  # how many containers are around it, without the page
+    low: int = 0  # the least number of containers that were open since the block before it: those that hold both
     parts: list[str] = field(default_factory=list)
     links: list[str] = field(default_factory=list)
     text: str = ""
@@ -104,24 +107,27 @@ def blocks_of(html: str) -> list[Block]:
     """The page's blocks outside scripts, styles, forms and hidden parts."""
     out, stack, at = [], [], 0  # stack: name, skipped, other, article
     skipped = other = article = linked = 0
-    places, seen = [0], 0  # the containers that are open, and how many there have been
+    places, seen, low = [0], 0, 0  # the containers that are open, how many there have been, the least since the last block
     block = Block()
 
     def close() -> None:
-        nonlocal block
+        nonlocal block, low
         block.text = _space.sub(" ", unescape("".join(block.parts))).strip()
         if block.text:
+            block.low = min(low, block.depth)
+            low = block.depth
             out.append(block)
         block = Block(article > 0, other > 0)
 
     def pop(k: int) -> None:
-        nonlocal skipped, other, article
+        nonlocal skipped, other, article, low
         for n, s, o, a in stack[k:]:
             skipped -= s
             other -= o
             article -= a
             if n in CONTAINERS:
                 places.pop()
+        low = min(low, len(places) - 1)
         del stack[k:]
 
     breaks = 0
@@ -132,7 +138,7 @@ def blocks_of(html: str) -> list[Block]:
             if linked:
                 block.links.append(piece)
             if not piece.isspace():
-                block.path = tuple(places[-AROUND:])
+                block.place, block.depth = places[-1], len(places) - 1
                 breaks = 0
         at = m.end()
         if m[4] is None:
@@ -177,19 +183,20 @@ def blocks_of(html: str) -> list[Block]:
             close()  # an inline part that names itself is a block of its own
         if name in BLOCKS or says or skipped or main:
             stack.append((name, int(says == "skip"), int(says == "other"), int(main and not says and not skipped and not other)))
-            if name in CONTAINERS and name != "body":
-                seen += 1
             if name in CONTAINERS:
-                places.append(seen if name != "body" else 0)
+                seen += 1
+                places.append(seen)
             _, s, o, a = stack[-1]
             skipped, other, article = skipped + s, other + o, article + a
         block.own, block.other = article > 0, other > 0
         block.heading = name in ("h1", "h2", "h3", "h4", "h5", "h6") or block.heading
     if not skipped:
-        rest = html[at:].split("<", 1)[0]
+        rest = _unfinished.split(html[at:], maxsplit=1)[0]  # a tag that the page's end cuts off is no text
         if rest and not rest.isspace():
-            block.path = tuple(places[-AROUND:])
+            block.place, block.depth = places[-1], len(places) - 1
         block.parts.append(rest)
+        if linked:
+            block.links.append(rest)
     close()
     return out
 
@@ -229,45 +236,52 @@ def second_pass(blocks: list[Block]) -> None:
     if not any(b.label == "good" for b in blocks):
         # no long block of prose: the container with the most text that may be some stands for it
         may = max((b.score for b in blocks if b.label == "unsure" and not b.heading), default=0)
-        most: dict[tuple[int, ...], int] = {}
+        most: dict[int, int] = {}
         for b in blocks:
             if b.label == "unsure" and b.score == may and not _links(b):
-                most[b.path] = most.get(b.path, 0) + len(b.text)
+                most[b.place] = most.get(b.place, 0) + len(b.text)
         best = max(most, key=lambda p: most[p], default=None)
         for b in blocks:
-            if b.path == best and b.label == "unsure" and b.score == may and not _links(b):
+            if b.place == best and b.label == "unsure" and b.score == may and not _links(b):
                 b.label, b.rule = "good", "words"
-    near: list[list[dict[tuple[int, bool], tuple[int, str]]]] = [[] for _ in blocks]
-    for order in (range(len(blocks)), range(len(blocks) - 1, -1, -1)):
-        last: dict[tuple[int, bool], tuple[int, str]] = {}  # by container, and whether as its own block
-        for k in order:
-            b = blocks[k]
-            if b.label == "unsure":
-                near[k].append({key: last[key] for key in _scopes(b) if key in last})
-            elif b.rule == "words":
-                for key in _scopes(b):
-                    last[key] = k, b.label
-    for k, (b, sides) in enumerate(zip(blocks, near, strict=True)):
+    sides = _nearest(blocks), _nearest(blocks, -1)
+    for k, b in enumerate(blocks):
         if b.label != "unsure":
             continue
         b.rule = "neighbours"
-        for key in _scopes(b):
-            found = [side[key] for side in sides if key in side]
-            if key == (0, False):
-                if b.score >= 0 and len(found) == 2 and found[0][1] == found[1][1] == "good":
-                    b.label = "good"
-            elif found:
-                ahead = sides[1].get(key)
-                b.label = ahead[1] if b.heading and ahead else min(found, key=lambda x: (abs(x[0] - k), x[1] == "bad"))[1]
-            if b.label != "unsure":
-                break
+        own, around = [side[k][0] for side in sides], [side[k][1] for side in sides]
+        held = max((depth for depth, _, _ in filter(None, around)), default=0)
+        # the blocks of its own container, else of the smallest container around it that has one
+        ahead, behind = own if any(own) else [x[1:] if x and x[0] == held else None for x in around]
+        found = [x for x in (ahead, behind) if x]
+        if any(own) or held:
+            b.label = behind[1] if b.heading and behind else min(found, key=lambda x: (abs(x[0] - k), x[1] == "bad"))[1]
+        elif b.score >= 0 and len(found) == 2 and ahead[1] == behind[1] == "good":
+            b.label = "good"
         else:
             b.label, b.rule = ("good", "article") if b.own and not _links(b) else ("bad", "neighbours")
 
 
-def _scopes(b: Block) -> list[tuple[int, bool]]:
-    """Where to look for neighbours: among the blocks of its own container, then in each container around it, last in the page."""
-    return [(b.path[-1], True), *((c, False) for c in reversed(b.path) if c), (0, False)]
+def _nearest(blocks: list[Block], step: int = 1) -> list[tuple]:
+    """For each block that is unsure, the last decided block of its own container (place, label), and the last of all with the
+    number of containers that hold both (containers, place, label). A container is a stretch of the page, so if it holds any
+    decided block on this side, it holds the last one.
+    """
+    out: list[tuple] = [()] * len(blocks)
+    own: dict[int, tuple[int, str]] = {}
+    last, shared = None, 0
+    for k in range(len(blocks))[::step]:
+        b = blocks[k]
+        if step > 0:
+            shared = min(shared, b.low)
+        elif k + 1 < len(blocks):
+            shared = min(shared, blocks[k + 1].low)
+        if b.label == "unsure":
+            out[k] = own.get(b.place), last and (min(shared, b.depth), *last)
+        elif b.rule == "words":
+            own[b.place] = last = k, b.label
+            shared = b.depth
+    return out
 
 
 def labelled(html: str) -> list[Block]:

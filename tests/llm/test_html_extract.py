@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import collections
 import html as ent
+import random
 import re
+import time
 
 import duckdb
 import pytest
@@ -50,12 +52,93 @@ def test_second_pass_takes_the_nearest():
     assert [b.label for b in blocks] == ["good", "good", "good", "bad", "bad", "good", "good", "good"]
 
 
+def by_paths(rows):
+    """Blocks with the containers around each, outermost first."""
+    out, was = [], ()
+    for label, score, heading, path in rows:
+        both = next((k for k, (a, b) in enumerate(zip(was, path, strict=False)) if a != b), min(len(was), len(path)))
+        out.append(op.Block(place=path[-1] if path else 0, depth=len(path), low=both, label=label, score=score, heading=heading, rule="words" if label != "unsure" else ""))
+        was = path
+    return out
+
+
 def test_own_container_comes_first():
-    mk = lambda label, *path: op.Block(path=(0, *path), label=label, rule="words")
-    blocks = [mk("good", 1), mk("unsure", 1), mk("unsure", 1), mk("bad", 2), mk("unsure", 2), mk("unsure", 1, 3), mk("unsure", 4), mk("good", 5)]
+    rows = [("good", 1), ("unsure", 1), ("unsure", 1), ("unsure", 1, 3), ("bad", 2), ("unsure", 2), ("unsure", 4), ("good", 5)]
+    blocks = by_paths([(label, 0, False, path) for label, *path in rows])
     op.second_pass(blocks)
     # what only has its own kind around it goes by both sides of the page
-    assert [b.label for b in blocks] == ["good", "good", "good", "bad", "bad", "good", "bad", "good"]
+    assert [b.label for b in blocks] == ["good", "good", "good", "good", "bad", "bad", "bad", "good"]
+
+
+def plain_labels(rows):
+    """The rule of the second pass read literally: look at every block of each container around."""
+    out = []
+    for k, (label, score, heading, path) in enumerate(rows):
+        if label != "unsure":
+            out.append(label)
+            continue
+        decided = [(i, r) for i, r in enumerate(rows) if r[0] != "unsure"]
+        scopes = [[(i, r) for i, r in decided if (r[3][-1:] == path[-1:])]] + [[(i, r) for i, r in decided if c in r[3]] for c in reversed(path)]
+        scope = next((s for s in scopes if s), [])
+        before, after = [(i, r[0]) for i, r in scope if i < k], [(i, r[0]) for i, r in scope if i > k]
+        sides = [*before[-1:], *after[:1]]
+        if scope:
+            out.append(after[0][1] if heading and after else min(sides, key=lambda x: (abs(x[0] - k), x[1] == "bad"))[1])
+        else:
+            before, after = [r[0] for i, r in decided if i < k], [r[0] for i, r in decided if i > k]
+            out.append("good" if score >= 0 and before and after and before[-1] == after[0] == "good" else "bad")
+    return out
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_second_pass_matches_the_plain_version_at_any_depth(seed):
+    r, seen = random.Random(seed), 0
+    for _ in range(300):
+        rows, path = [], []
+        for _ in range(r.randrange(1, 40)):
+            for _ in range(r.choice([0, 0, 1, 2, 15])):
+                if r.random() < 0.5 and path:
+                    path = path[:-1]
+                else:
+                    seen += 1
+                    path = [*path, seen]
+            rows.append((r.choice(["good", "bad", *["unsure"] * 4]), r.choice([-1, 0, 1]), r.random() < 0.2, tuple(path)))
+        rows.append(("good", 2, False, ()))
+        blocks = by_paths(rows)
+        op.second_pass(blocks)
+        assert [b.label for b in blocks] == plain_labels(rows)
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f"<article><p>{P}</p><p>When x < 5 the rule holds, and 3 << 2 too", f"{P}\nWhen x < 5 the rule holds, and 3 << 2 too"),
+        (f"<article><p>{P}</p><p>Cut off by the <a href='x", f"{P}\nCut off by the"),
+        (f"<article><p>{P}</p><p><!-->Seen<!---> too<!-- not --><!--x--!> at all</p>", f"{P}\nSeen too at all"),
+        (f"<article><p>{P}</p><p>a <b title=\"it's>bold</b> word</p></article>", f"{P}\na bold word"),
+        *((f"<div><p>{P}{P}</p>{'<div>' * k}<p>Short but real.</p>{'</div>' * k}</div>", f"{P}{P}\nShort but real.") for k in (7, 8, 9, 20, 300)),
+    ],
+)
+def test_no_text_is_lost(html, text):
+    assert op.main_text(html) == text
+
+
+def test_deep_and_long_pages_take_time_in_proportion():
+    began = time.process_time()
+    op.main_text("<div><p>x</p>" * 20_000 + f"<p>{P}{P}</p>" + "<p>y</p></div>" * 20_000)
+    assert time.process_time() - began < 20
+
+
+@pytest.mark.parametrize("text", [None, "", "<", "<a", "&", "<p>" * 5])
+def test_pages_without_text(text):
+    assert op.main_text(text or "") in ("", "<", "&")
+
+
+def test_columns_that_clash(spark):
+    rows = [(1, "u", "<article>one</article>", 7, "k"), (1, "u", "<article>one</article>", 7, "k"), (None, None, None, 1, "x"), (2, "v", "", 1, "t")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int, text string")
+    assert sorted(map(tuple, op.extract(pages).collect()), key=str) == sorted([(1, "u", "one", 3)] * 2 + [(None, None, "", 0), (2, "v", "", 0)], key=str)
+    assert op.extract(pages.limit(0)).count() == 0
 
 
 def test_names_and_links_tell_nothing_of_neighbours():
