@@ -116,7 +116,7 @@ def patterns(own: str, narrow: str = NARROW) -> tuple[re.Pattern, re.Pattern]:
 class Bpe:
     """Encodes and decodes with the ranks of a file; ids are ranks."""
 
-    def __init__(self, path: str, pat: str, most: int = 400_000):
+    def __init__(self, path: str, pat: str, most: int = 1_000_000):
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
