@@ -1,10 +1,11 @@
 """Benchmark decontamination: a broadcast set of hashed test windows, scanned over whole documents.
 
-A benchmark item gives its windows of N consecutive words (one window of all its words if it has fewer). The
-windows' 64-bit hashes and their words are broadcast in blocks of a stated number, which the driver gathers and sends one
-by one. One scan of the documents goes through the blocks: a task holds GROUP slices of texts and, beyond one block, one
+A benchmark item gives its windows of N consecutive words (one window of all its words if it has fewer). The distinct
+windows' 64-bit hashes and their words are broadcast in blocks of a stated number and size, however many items share a window;
+the driver gathers and sends them one by one. One scan of the documents goes through the blocks: a task holds GROUP slices of texts and, beyond one block, one
 block at a time. The scan hashes the words of many documents at once, finds the windows whose hash is in the
-block and compares their words, so that a hash alone decides nothing.
+block and compares their words, so that a hash alone decides nothing. Which items the hit windows belong to is joined after the scan,
+once for each distinct set of hit windows, so copies of a document cost nothing more.
 
 Cases: null texts have no words; an item without words has no window; equal items each count under their own
 id, repeated rows once; a null item_id is called "null"; each row of docs gives one row, repeated ones
@@ -20,14 +21,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices, tidy, written
 
 N = 10
-#: Windows in a broadcast block: about 60 MB in a worker.
+#: Windows in a broadcast block, about 60 MB in a worker, and bytes of their words.
 BLOCK = 200_000
+BLOCK_BYTES = 32 << 20
 #: Slices of texts that meet a block before the next one is loaded.
 GROUP = 24
 
@@ -121,10 +125,10 @@ class Block:
     """A bounded part of the windows, laid out for the scan."""
 
     def __init__(self, rows: list):
-        self.items: dict[bytes, list[str]] = {}
+        self.numbers: dict[bytes, int] = {}
         by_size: dict[int, list[int]] = {}
         for r in rows:
-            self.items.setdefault(bytes(r["words"]), []).append(r["item"])
+            self.numbers[bytes(r["words"])] = r["number"]
             by_size.setdefault(r["n_words"], []).append(r["hash"])
         self.hashes = {n: np.unique(np.array(h, np.int64).astype(np.uint64)) for n, h in by_size.items()}
         self.seen = {}
@@ -132,43 +136,55 @@ class Block:
             self.seen[n] = np.zeros(1 << 20, bool)
             self.seen[n][h >> np.uint64(44)] = True
 
-    def hits(self, w: Words) -> Iterator[tuple[int, int, list[str]]]:
-        """First word, number of words and items of each occurrence."""
+    def hits(self, w: Words) -> Iterator[tuple[int, int, int]]:
+        """First word, number of words and the window's number of each occurrence."""
         for n, hashes in self.hashes.items():
             at, found = w.windows(n)
             keep = np.flatnonzero(self.seen[n][found >> np.uint64(44)])
             at, found = at[keep], found[keep]
             near = np.minimum(np.searchsorted(hashes, found), len(hashes) - 1)
             for k in at[hashes[near] == found].tolist():
-                if items := self.items.get(w.text(k, n)):
-                    yield k, n, items
+                if (number := self.numbers.get(w.text(k, n))) is not None:
+                    yield k, n, number
 
 
-def _blocks(benchmark: DataFrame, n: int, most: int, item_id: str, text: str) -> Iterator[Block]:
-    found = written(windows_of(benchmark, n, item_id, text), "windows")
-    count = -(-found.count() // most) or 1
-    if count == 1:
-        yield Block(found.collect())  # `most` windows at most
-        return
-    count = -(-3 * count // 2)  # hashing is uneven
-    dealt = found.withColumn("block", F.pmod(F.xxhash64("words"), F.lit(count)))
-    for k in range(count):
-        yield Block(dealt.where(F.col("block") == k).collect())
+def numbered(windows: DataFrame, most: int, most_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """n_words, hash, words of the distinct windows with a number and the block of each: at most `most` windows and `most_bytes` of words a block, or one window."""
 
-
-def _scan(docs: DataFrame, benchmark: DataFrame, emit: str, n: int, most: int, doc_id: str, text: str, item_id: str, item_text: str) -> DataFrame:
-    """One pass over docs. emit: report, documents (those without hits) or spans (texts without hit words)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 32
+        count = block = held = size = 0
+        for batch in batches:
+            blocks = []
+            for n in pc.binary_length(batch.column(2)).to_pylist():
+                if held and (held == most or size + n > most_bytes):
+                    block, held, size = block + 1, 0, 0
+                held, size = held + 1, size + n
+                blocks.append(first + block)
+            numbers = range(first + count, first + count + len(blocks))
+            count += len(blocks)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64()), pa.array(blocks, pa.int64())], [*batch.schema.names, "number", "block"])
+
+    distinct = written(windows.select("n_words", "hash", "words").distinct(), "distinct")
+    parts = -(-distinct.count() // most) or 1
+    return written(distinct.repartition(parts, "words").mapInArrow(tidy(run), "n_words int, hash long, words binary, number long, block long"), "numbered")
+
+
+def _scan(docs: DataFrame, windows: DataFrame, emit: str, text: str) -> DataFrame:
+    """One pass over docs. emit: hits (words, hit words and numbers of the windows), documents (those without hits) or spans (texts without hit words)."""
     spark, schema = docs.sparkSession, docs.schema
-    report = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-    shared = [spark.sparkContext.broadcast(block) for block in _blocks(benchmark, n, most, item_id, item_text)]
+    blocks = [r[0] for r in windows.select("block").distinct().orderBy("block").collect()] or [0]
+    # a block at a time goes through the driver
+    shared = [spark.sparkContext.broadcast(Block(windows.where(F.col("block") == b).collect())) for b in blocks]
+    names = ["n_words", "n_hit", "windows"]
 
-    def made(batch: pa.RecordBatch, w: Words, words: dict[int, set], items: dict[int, set]) -> pa.RecordBatch:
+    def made(batch: pa.RecordBatch, w: Words, words: dict[int, set], found: dict[int, set]) -> pa.RecordBatch:
         m, k = batch.num_rows, batch.schema.get_field_index(text)
-        if emit == "report":
-            shas = [hashlib.sha256(",".join(sorted(items.get(d, ()))).encode()).hexdigest() for d in range(m)]
+        if emit == "hits":
             hit = [len(words.get(d, ())) for d in range(m)]
-            ids = batch.column(batch.schema.get_field_index(doc_id)).cast(pa.int64())
-            return pa.RecordBatch.from_arrays([ids, pa.array(np.diff(w.first).astype(np.int64)), pa.array(hit, pa.int64()), pa.array([len(items.get(d, ())) for d in range(m)], pa.int64()), pa.array(shas, pa.string()), pa.array([h > 0 for h in hit])], [c.split()[0] for c in report.split(", ")])
+            numbers = pa.array([sorted(found.get(d, ())) for d in range(m)], pa.list_(pa.int64()))
+            rest = [batch.column(c) for c in range(batch.num_columns) if c != k]
+            return pa.RecordBatch.from_arrays([*rest, pa.array(np.diff(w.first).astype(np.int64)), pa.array(hit, pa.int64()), numbers], [n for n in batch.schema.names if n != text] + names)
         if emit == "documents":
             return batch.filter(pa.array([d not in words for d in range(m)]))
         texts = batch.column(k).to_pylist()
@@ -180,18 +196,21 @@ def _scan(docs: DataFrame, benchmark: DataFrame, emit: str, n: int, most: int, d
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = slices(batches, text)
         while group := list(itertools.islice(parts, GROUP if len(shared) > 1 else 1)):
-            scanned = [(Words(*_buffer(b.column(b.schema.get_field_index(text)))), {}, {}) for b in group]
+            scanned = [(Words(*_buffer(b.column(b.schema.get_field_index(text)))), {}, {}) for b in group]  # hit words and windows by text
             for one in shared:
                 # a lone block stays with the worker; of several, only the one in use is held
                 block = one.value if len(shared) == 1 else one.load_from_path(one._path)
-                for w, words, items in scanned:
-                    for at, size, found in block.hits(w):
+                for w, words, found in scanned:
+                    for at, size, number in block.hits(w):
                         d = int(w.doc[at])
-                        items.setdefault(d, set()).update(found)
+                        found.setdefault(d, set()).add(number)
                         words.setdefault(d, set()).update(range(at, at + size))
             yield from (made(b, *s) for b, s in zip(group, scanned, strict=True))
 
-    return docs.mapInArrow(tidy(run), report if emit == "report" else schema)
+    if emit == "hits":
+        kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name != text)
+        return docs.mapInArrow(tidy(run), f"{kept}, n_words long, n_hit long, windows array<long>")
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def _without(data: bytes, spans: list[tuple[int, int]]) -> str:
@@ -206,9 +225,19 @@ def _without(data: bytes, spans: list[tuple[int, int]]) -> str:
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = N, most: int = BLOCK, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """For each document its words, hit words, items with occurring windows, and whether it is contaminated."""
-    return _scan(docs.select(F.col(doc_id).cast("long").alias(doc_id), text), benchmark, "report", n, most, doc_id, text, item_id, item_text)
-
-
-def remove_leaks(docs: DataFrame, benchmark: DataFrame, whole: bool = True, n: int = N, most: int = BLOCK, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    found = written(windows_of(benchmark, n, item_id, item_text), "windows")
+    windows = numbered(found, most)
+    rows = written(_scan(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), windows, "hits", "text"), "hits")
+    sets = rows.where("n_hit > 0").select("windows").distinct().select("windows", F.explode("windows").alias("number"))
+    items = found.join(windows.select("words", "number"), "words").select("number", "item")
+    items = sets.join(items, "number").groupBy("windows").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    items = items.select("windows", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"))
+    counts = rows.select("doc_id", "n_words", "n_hit", "windows")
+    hit = counts.where("n_hit > 0").join(items, "windows")
+    clean = counts.where("n_hit = 0").withColumns({"n_items": F.lit(0).cast("long"), "items_sha256": F.lit(hashlib.sha256(b"").hexdigest())})
+    return hit.unionByName(clean).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def remove_leaks(docs: DataFrame, benchmark: DataFrame, whole: bool = True, n: int = N, most: int = BLOCK, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """docs without the contaminated documents, or (whole=False) with the hit words cut out of their texts."""
-    return _scan(docs, benchmark, "documents" if whole else "spans", n, most, doc_id, text, item_id, item_text)
+    return _scan(docs, numbered(windows_of(benchmark, n, item_id, item_text), most), "documents" if whole else "spans", text)

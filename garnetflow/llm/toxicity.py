@@ -7,10 +7,9 @@ insult beside a mention of a group, is learned though each alone may mean little
 learned with a proximal step that leaves most at zero, factors with a penalty; terms that keep neither are
 dropped, so a scoring task holds a table of bits and a few thousand rows.
 
-Learning takes at most TRAIN_ROWS labelled rows, the first in the order of a hash of doc_id. Their terms are counted
-where they are; the driver gets the counts, picks the terms that tell most of the label while their pairs of row and term
-are within PLACES, and only then gets the pairs of these. So both its rows and its bytes are bounded,
-however long the texts are. Two models of half of the rows each score the other half, and the cut that parts the labels best
+Learning takes labelled rows in the order of a hash of doc_id: at most TRAIN_ROWS, and no more than hold PLACES pairs of row and
+term. Terms are counted where they are, and the driver gets the pairs of all terms that LEAST_DOCS of these rows share, so
+both its rows and its bytes are bounded, however long the texts are, and no term that may tell something is left out. Two models of half of the rows each score the other half, and the cut that parts the labels best
 in these scores becomes 0.5, the nearer the more toxic rows there are (TRUST). Every document is scored, whole.
 
 Cases: null counts as empty text and gets the score of the bias; labels that are null are no labels; of
@@ -34,8 +33,8 @@ from .decontaminate import Words, _B, _buffer, _runs
 
 BITS = 20
 TRAIN_ROWS = 16_000
-#: Pairs of row and term that go to the driver: 4 bytes each.
-PLACES = 8_000_000
+#: Pairs of row and term of the labelled rows that are learned from: the driver holds 4 bytes for each whose term several rows share.
+PLACES = 16_000_000
 FACTORS = 4
 EPOCHS = 6
 BATCH = 256
@@ -100,7 +99,9 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
     if len(labels) == 0 or labels.min() == labels.max():
         none.bias = 35.0 if len(labels) and labels[0] else -35.0
         return none
-    seen = np.bincount(np.concatenate(texts), minlength=1 << BITS)
+    seen = np.zeros(1 << BITS, np.int64)
+    for t in texts:
+        seen[t] += 1  # the places of a text are distinct
     kept = np.flatnonzero(seen >= LEAST_DOCS)
     m, of = len(kept), np.full(1 << BITS, -1, np.int32)
     of[kept] = np.arange(m)
@@ -171,13 +172,9 @@ def _refit(bias: float, places: np.ndarray, w: np.ndarray, v: np.ndarray, counts
     return Model(bias, places, w, v)
 
 
-def chosen(places: np.ndarray, seen: np.ndarray, toxic: np.ndarray, rows: int, share: float, most: int = PLACES) -> np.ndarray:
-    """Of the places with their numbers of rows and of toxic rows, those that tell most of the label, while these rows sum up to `most`."""
-    keep = seen >= LEAST_DOCS
-    places, seen, toxic = places[keep], seen[keep], toxic[keep]
-    strays = (toxic - seen * share) ** 2 / np.maximum(seen * share * (1 - share) * (1 - seen / (rows + 1)), 1e-9)
-    order = np.lexsort((places, -strays))
-    return np.sort(places[order[np.cumsum(seen[order]) <= most]])
+def within(sizes: np.ndarray, most: int) -> int:
+    """How many rows are learned from: as many as hold `most` pairs, one at least."""
+    return max(1, int(np.searchsorted(np.cumsum(sizes), most, side="right")))
 
 
 def calibrated(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
@@ -206,8 +203,8 @@ def held_out(doc_id):
     return F.crc32(doc_id.cast("string")) % 5 == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> Model:
-    """A model from at most `most` labelled rows that are not held out."""
+def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS, places: int = PLACES, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> Model:
+    """A model from at most `most` labelled rows that are not held out, and no more than hold `places` pairs of row and term."""
     spark = docs.sparkSession
     known = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(toxic).cast("int").alias("toxic")).dropna()
     known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -223,25 +220,24 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS, doc_id: st
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([p[a:b].astype("<i4").tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())], ["doc_id", "toxic", "places"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, toxic = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
+        seen = np.zeros(1 << BITS, np.int64)
         for batch in batches:
-            for t, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                at = np.frombuffer(blob, "<i4")
-                seen[at] += 1
-                if t:
-                    toxic[at] += 1
+            for blob in batch.column(0).to_pylist():
+                seen[np.frombuffer(blob, "<i4")] += 1
         at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(seen[at]), pa.array(toxic[at])], ["place", "seen", "toxic"])
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(seen[at])], ["place", "seen"])
 
     found = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(known), "doc_id").select("doc_id", F.col("toxic").alias("toxic"), "text")
     found = found.mapInArrow(tidy(terms), "doc_id long, toxic int, places binary")
     # repeated rows of a document would lift the bound: the first of equal ids is taken
-    found = written(found.groupBy("doc_id", "toxic").agg(F.min("places").alias("places")), "terms")
-    counts = found.mapInArrow(tidy(count), "place int, seen long, toxic long").groupBy("place").agg(F.sum("seen").alias("seen"), F.sum("toxic").alias("toxic"))
-    counts = counts.where(F.col("seen") >= LEAST_DOCS).toArrow()  # 2**BITS rows at most
-    labels = found.agg(F.count("*"), F.sum((F.col("toxic") > 0).cast("int"))).first()
+    table = found = written(found.groupBy("doc_id", "toxic").agg(F.min("places").alias("places")), "terms")
+    sizes = found.orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id", (F.length("places") / 4).cast("long").alias("n")).toArrow()  # `most` rows
+    last = sizes["doc_id"][within(np.asarray(sizes["n"]), places) - 1].as_py() if sizes.num_rows else 0
+    rank = F.struct(F.xxhash64("doc_id").alias("h"), F.col("doc_id").alias("d"))
+    found = found.where(rank <= F.struct(F.xxhash64(F.lit(last).cast("long")).alias("h"), F.lit(last).cast("long").alias("d")))
+    counts = found.select("places").mapInArrow(tidy(count), "place int, seen long").groupBy("place").agg(F.sum("seen").alias("seen"))
     take = np.zeros(1 << BITS, bool)
-    take[chosen(*(np.asarray(counts[c]) for c in ("place", "seen", "toxic")), labels[0], (labels[1] or 0) / max(1, labels[0]))] = True
+    take[np.asarray(counts.where(F.col("seen") >= LEAST_DOCS).toArrow()["place"])] = True  # 2**BITS rows at most
     shared = spark.sparkContext.broadcast(np.packbits(take))
 
     def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,8 +246,8 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS, doc_id: st
             blobs = [at[own[at]].tobytes() for at in (np.frombuffer(b, "<i4") for b in batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(blobs, pa.binary())], batch.schema.names)
 
-    got = found.mapInArrow(tidy(narrow), found.schema).toArrow().sort_by("doc_id")  # TRAIN_ROWS rows and PLACES places at most
-    discard(found)
+    got = found.mapInArrow(tidy(narrow), found.schema).toArrow().sort_by("doc_id")  # `most` rows and `places` pairs at most
+    discard(table)
     return calibrated([np.frombuffer(b, "<i4") for b in got["places"].to_pylist()], (np.asarray(got["toxic"]) > 0).astype(float))
 
 

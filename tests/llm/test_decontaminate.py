@@ -61,3 +61,24 @@ def test_edges(spark):
     assert op.remove_leaks(docs, bench).columns == docs.columns and op.remove_leaks(docs, bench).count() == docs.count()
     assert op.find_leaks(empty_table(spark), bench).count() == 0
     assert op.find_leaks(docs, bench.limit(0)).where("contaminated").count() == 0
+
+
+def test_a_window_that_many_items_share_is_in_one_block_once(spark):
+    """10,000 items with one text: its windows are broadcast once, and the items come from the join."""
+    bench = spark.range(10_000).selectExpr("id AS item_id", f"'{prose(1, 12)}' AS text").union(spark.createDataFrame([(20_000 + k, prose(50 + k, 30)) for k in range(20)], "item_id long, text string"))
+    windows = op.numbered(op.windows_of(bench), 50)
+    sizes = [r["count"] for r in windows.groupBy("block").count().collect()]
+    distinct = {tuple(w[i : i + 10]) for w in (words(prose(1, 12)), *(words(prose(50 + k, 30)) for k in range(20))) for i in range(len(w) - 9)}
+    assert max(sizes) <= 50 and sum(sizes) == len(distinct) and windows.select("number").distinct().count() == sum(sizes)
+    docs = spark.createDataFrame([(1, prose(1, 12)), (2, prose(53, 30)), (3, "clean"), (4, "x " + prose(1, 12))], "doc_id long, text string")
+    got = {r["doc_id"]: tuple(r)[2:] for r in op.find_leaks(docs, bench, most=50).collect()}
+    every = digest(",".join(sorted(map(str, range(10_000)))).encode())
+    n = len(words(prose(1, 12)))
+    assert got == {1: (n, 10_000, every, True), 2: (len(words(prose(53, 30))), 1, digest(b"20003"), True), 3: (0, 0, digest(b""), False), 4: (n, 10_000, every, True)}
+
+
+def test_blocks_are_bounded_by_bytes_too(spark):
+    bench = spark.createDataFrame([(k, f"{'long' * 100}{k}") for k in range(9)] + [(99, "w" * 5000)], "item_id long, text string")
+    windows = op.numbered(op.windows_of(bench), 1000, 1000)
+    sizes = windows.groupBy("block").agg({"words": "count", "number": "count"}).count()
+    assert sizes >= 5 and windows.count() == 10

@@ -83,12 +83,29 @@ def test_scores_are_sums_over_pairs():
         assert abs(g - 1 / (1 + np.exp(-z))) < 1e-9
 
 
-def test_places_are_bounded():
-    """The terms that tell most come first, and their rows stay within the bound."""
-    places, seen, toxic = np.arange(6), np.array([100, 50, 50, 40, 2, 30]), np.array([10, 50, 0, 4, 2, 3])
-    assert op.chosen(places, seen, toxic, 300, 0.1, 1000).tolist() == [0, 1, 2, 3, 5]  # in two rows only: no term
-    assert op.chosen(places, seen, toxic, 300, 0.1, 100).tolist() == [1, 2]
-    assert op.chosen(places, seen, toxic, 300, 0.1, 60).tolist() == [1] and op.chosen(places[:0], seen[:0], toxic[:0], 0, 0.0).tolist() == []
+def test_rows_are_bounded_and_no_term_is_left_out(spark, monkeypatch):
+    """The bound on pairs takes fewer rows, the first by hash; of these every term that three rows share is learned."""
+    assert [op.within(np.array([5, 5, 5]), m) for m in (4, 5, 14, 15, 99)] == [1, 1, 2, 3, 3]
+    docs = [(k, f"word{k % 7} other{k % 5} stem{'ming' * (k % 3)} both " + ("bad thing" if k % 4 == 0 else "fine")) for k in range(80)]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(80)], "doc_id long, toxic int")
+    order = [r["doc_id"] for r in table.where(~op.held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id")).select("doc_id").collect()]
+    places = {k: op.distinct(*op.terms_of(op.Words(*op._buffer(pa.array([t])))))[1] for k, t in docs}
+    got = []
+    monkeypatch.setattr(op, "calibrated", lambda texts, labels: got.append((texts, labels)))
+    for bound in (10**6, 300, 1):
+        op.train(table, labels, places=bound)
+        rows, held = [], 0
+        for k in order:
+            held += len(places[k])
+            if rows and held > bound:
+                break
+            rows.append(k)
+        seen = np.bincount(np.concatenate([places[k] for k in rows]), minlength=1 << op.BITS)
+        texts, toxic = got.pop()
+        assert toxic.tolist() == [float(k % 4 == 0) for k in sorted(rows)]
+        assert [t.tolist() for t in texts] == [[p for p in places[k].tolist() if seen[p] >= op.LEAST_DOCS] for k in sorted(rows)]
+        assert bound > 300 or len(rows) < len(order)
 
 
 def labelled(sf):
