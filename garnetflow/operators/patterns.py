@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
+from . import keywords
 
 LEAST_TF, LEAST_SPECIFICITY, LEAST_LENGTH, MOST = 3, 0.6, 3, 15
 
@@ -56,12 +57,15 @@ def taxonomy(learned_rows: DataFrame, df: DataFrame, n: int, manual: list = fixe
     return first.select("vector", F.row_number().over(order).cast("long").alias("pattern_id"), "keywords", "specificity", "support", boost(F.col("specificity"), idf(n, known), F.col("support")).alias("boost"))
 
 
-def matches(docs: DataFrame, candidates: DataFrame, patterns: DataFrame) -> DataFrame:
+def matches(docs: DataFrame, candidates: DataFrame, patterns: DataFrame, indexed: bool = False) -> DataFrame:
     """item, vector and each pattern of the vector whose keywords the lower-case text all holds.
 
     A document meets the list of its vectors and the catalogue as one row, so its text is copied for no vector
-    and no pattern; only what matches becomes rows.
+    and no pattern; only what matches becomes rows. indexed: a large catalogue is met through its index of rare q-grams.
     """
+    if indexed:
+        docs, wanted = docs.select(F.col("id").alias("item"), F.lower("text").alias("low")), candidates.select("item", "vector").distinct()
+        return keywords.match(docs, patterns, keywords.index(patterns, docs)).join(wanted, ["item", "vector"], "left_semi").select("item", *patterns.drop("keywords").columns)
     others = [c for c in patterns.columns if c != "vector"]
     wanted = candidates.groupBy("item").agg(F.collect_list("vector").alias("wanted"))
     catalogue = patterns.groupBy("vector").agg(F.collect_list(F.struct(*others)).alias("of")).agg(F.map_from_entries(F.collect_list(F.struct("vector", "of"))).alias("all"))

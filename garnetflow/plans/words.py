@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions import text as tx
-from ..operators import linking
+from ..operators import keywords, linking
 from .registry import query, sql_any, sql_list, sql_words, table
 
 
@@ -90,11 +90,26 @@ def any_pattern(spark, sf_dir):
 @query("SELECT doc_id, p_type FROM documents JOIN (SELECT DISTINCT p_type FROM part) ON contains(lower(text), lower(left(p_type, 2))) AND contains(lower(text), lower(right(p_type, 1)))")
 def all_pattern(spark, sf_dir):
     types = table(spark, sf_dir, "part", "p_type").distinct().select("p_type", F.array(F.lower(F.substring("p_type", 1, 2)), F.lower(F.expr("right(p_type, 1)"))).alias("keywords"))
-    docs = table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.lower("text").alias("low"))
-    # the catalogue is one row with a list, so the text stays where it is and is copied for no pattern
-    catalogue = types.agg(F.collect_list(F.struct("p_type", "keywords")).alias("all"))
-    found = docs.join(F.broadcast(catalogue)).select("doc_id", F.filter("all", lambda p: tx.all_of(F.col("low"), p["keywords"]))["p_type"].alias("found"))
-    return found.select("doc_id", F.explode("found").alias("p_type"))
+    return keywords.match(table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.lower("text").alias("low")), types)
+
+
+_SQL_ITEM_WORDS = "list_distinct(regexp_extract_all(lower(text), '[a-z]{3,}'))"
+
+
+@query(
+    f"""WITH w AS (SELECT item_id, {_SQL_ITEM_WORDS} AS w FROM benchmark), u AS (SELECT item_id, w, unnest(range(1, len(w) + 1)) AS place FROM w),
+p AS MATERIALIZED (SELECT DISTINCT left(w[place], 5) AS head, substring(coalesce(w[place + 1], 'there'), 2, 4) AS inner_part FROM u), d AS MATERIALIZED (SELECT doc_id, lower(text) AS low FROM documents)
+SELECT doc_id, count(*) AS patterns, min(head || '+' || inner_part) AS first FROM d JOIN p ON contains(low, head) AND contains(low, inner_part) GROUP BY doc_id"""
+)
+def keyword_index(spark, sf_dir):
+    """A large catalogue, two keywords for each pair of neighbouring words of the benchmark, against all documents."""
+    found = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{3,})"), 1))
+    pairs = table(spark, sf_dir, "benchmark", "item_id", "text").select(found.alias("w")).select("w", F.posexplode("w").alias("place", "word"))
+    after = F.substring(F.coalesce(F.get("w", F.col("place") + 1), F.lit("there")), 2, 4)
+    pairs = pairs.select(F.substring("word", 1, 5).alias("head"), after.alias("inner_part")).distinct()
+    catalogue = pairs.select(F.concat_ws("+", "head", "inner_part").alias("name"), F.array("head", "inner_part").alias("keywords"))
+    rows = keywords.match(table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.lower("text").alias("low")), catalogue)
+    return rows.groupBy("doc_id").agg(F.count("*").alias("patterns"), F.min("name").alias("first"))
 
 
 _LAYERS = ["er.*(?:th|an)", r"(?:en|es)\s+de", "ch(?:er|en)"]
