@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from . import streaming
 from .functions.text import cut_bytes, cve_name, titled, tokenize, weakness_list
-from .operators import bayes, classify, collect, frequency, hierarchy, knowledge, linking, patterns, relabel, report
-from .sources import artifacts, feeds
+from .operators import bayes, classify, collect, embedding, frequency, hierarchy, knowledge, linking, patterns, relabel, report
+from .sources import artifacts, feeds, versions
 
 
 class Store:
@@ -23,10 +23,12 @@ class Store:
         self.spark, self.home = spark, home.rstrip("/")
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.home}/{name}")
+        """The last version; the frame stays with it while others write."""
+        return versions.Table(self.spark, f"{self.home}/{name}").read()
 
     def write(self, name: str, df: DataFrame) -> None:
-        artifacts.write_table(df, f"{self.home}/{name}")
+        """A new version, which df may be made of the last for. Older ones stay until vacuum()."""
+        versions.Table(self.spark, f"{self.home}/{name}").replace(df)
 
 
 def update(store: Store, cwe: str, capec: str, stix: dict[str, str]) -> None:
@@ -127,7 +129,7 @@ def linked(store: Store, rows: DataFrame, found: DataFrame) -> tuple[DataFrame,
 
 
 def relabelled(store: Store) -> None:
-    """All training rows again by the batch rules; the table is exchanged for the new one, and what changed is printed."""
+    """All training rows again by the batch rules; they become a new version of the table, and what changed is printed."""
     rows = store.read("training")
     docs = rows.select(F.col("cve_id").alias("id"), F.col("description").alias("text"), "cwes", tokenize("description", "batch").alias("words"))
     candidates = _candidates(store, _best(store, docs, commands=False), 1)
@@ -135,7 +137,8 @@ def relabelled(store: Store) -> None:
     both = rows.join(new.select(F.col("id").alias("cve_id"), F.col("vectors").alias("new")), "cve_id").persist()
     relabel.changes(both, "attack_vectors", "new").show()
     relabel.added(both, "attack_vectors", "new").show()
-    artifacts.replace_table(both.select("cve_id", "description", "cwes", F.col("new").alias("attack_vectors"), "published_date"), f"{store.home}/training")
+    store.write("training", both.select("cve_id", "description", "cwes", F.col("new").alias("attack_vectors"), "published_date"))
+    both.unpersist()
 
 
 def _around(store: Store, techniques: list[str]) -> dict[str, list[tuple]]:
@@ -196,14 +199,14 @@ def statistics(store: Store, rows: int = 20) -> None:
     frequency.coverage(store.read("hierarchy"), "attack_vectors").show()
 
 
-def exported(store: Store, out: str, embed: str, pause: float) -> int:
-    """Embeddings of the training rows and catalogues that `out` has not; embed names a function as module:name."""
+def exported(store: Store, out: str, embed: str, per_second: float | None) -> int:
+    """Embeddings of the training rows and catalogues that `out` has not; embed names a function as module:name: of a frame, or with per_second of one text, called no oftener."""
     module, _, name = embed.partition(":")
     metadata = lambda name, published, severity, likelihood: F.struct(name.alias("name"), published.alias("published"), F.lit(None).cast("double").alias("cvss"), severity.alias("severity"), likelihood.alias("likelihood"))
     none = F.lit(None).cast("string")
     cves = store.read("training").select(F.col("cve_id").alias("id"), F.lit("CVE").alias("type"), cut_bytes(F.col("description")).alias("text"), metadata(F.col("cve_id"), F.col("published_date"), none, none).alias("metadata"))
     capecs = store.read("capec").select(F.concat(F.lit("CAPEC-"), "id").alias("id"), F.lit("CAPEC").alias("type"), cut_bytes(titled(F.col("name"), F.col("description"))).alias("text"), metadata(F.col("name"), none, F.col("severity"), F.col("likelihood")).alias("metadata"))
-    return streaming.export_embeddings(cves.unionByName(capecs), out, getattr(importlib.import_module(module), name), pause=pause)
+    return streaming.export_embeddings(cves.unionByName(capecs), out, getattr(importlib.import_module(module), name) if per_second is None else embedding.service(getattr(importlib.import_module(module), name), per_second))
 
 
 def main(args: list[str] | None = None) -> None:
@@ -221,8 +224,8 @@ def main(args: list[str] | None = None) -> None:
     steps.add_parser("stats")
     e = steps.add_parser("export")
     e.add_argument("out")
-    e.add_argument("--embed", required=True, help="module:function that adds the column embedding to a frame")
-    e.add_argument("--pause", type=float, default=0.0, help="seconds between batches, for services with a rate limit")
+    e.add_argument("--embed", required=True, help="module:function that adds the column embedding to a frame, or with --per-second gives the vector of one text")
+    e.add_argument("--per-second", type=float, help="calls a second, over all tasks")
     c = steps.add_parser("classify")
     c.add_argument("--cve", default="CVE-0-0")
     c.add_argument("--feed", help="landed feed that has the record")
@@ -248,7 +251,7 @@ def main(args: list[str] | None = None) -> None:
     elif a.step == "stats":
         statistics(store)
     elif a.step == "export":
-        print(exported(store, a.out, a.embed, a.pause))
+        print(exported(store, a.out, a.embed, a.per_second))
     else:
         typed = spark.createDataFrame([(a.cve, a.description, a.cwes)], "id string, text string, typed string")
         rows = typed.select(cve_name(F.col("id")).alias("id"), "text", F.filter(weakness_list(F.col("typed")), lambda c: c != "").alias("cwes"), F.lit(None).cast("struct<version: string, vectorString: string, baseScore: double, baseSeverity: string>").alias("cvss"))

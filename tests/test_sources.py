@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from garnetflow import cli, streaming
 from garnetflow.operators import collect, knowledge
-from garnetflow.sources import artifacts, feeds, schemas
+from garnetflow.sources import artifacts, feeds, schemas, versions
 
 CWE = """<?xml version="1.0"?><Weakness_Catalog><Weaknesses>
 <Weakness ID="89" Name="SQL Injection" Abstraction="Base"><Description>Bad  query</Description><Extended_Description><p>More</p><p>text</p></Extended_Description>
@@ -147,7 +147,7 @@ def test_stream_of_feeds(spark, files, tmp_path):
     args = (spark, str(files / "feeds"), str(tmp_path / "out"), str(tmp_path / "check"))
     for _ in range(2):  # the second run finds nothing new
         streaming.ingest(*args).awaitTermination(120)
-        assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+        assert versions.Table(spark, str(tmp_path / "out")).read().count() == 2
 
 
 def test_export_resumes(spark, tmp_path):
@@ -241,7 +241,7 @@ def test_report_has_every_section(spark, files, tmp_path, capsys):
     assert "2 training rows" in out and "total_words" in out and "sql_injection" in out
     (tmp_path / "own_embedder.py").write_text("from pyspark.sql import functions as F\ndef embed(df):\n    return df.withColumn('embedding', F.when(F.col('type') == 'CVE', F.array(F.lit(1.0))).otherwise(F.array().cast('array<double>')))\n")
     sys.path.insert(0, str(tmp_path))
-    cli.main([*home, "export", str(tmp_path / "emb"), "--embed", "own_embedder:embed", "--pause", "0.01"])
+    cli.main([*home, "export", str(tmp_path / "emb"), "--embed", "own_embedder:embed"])
     assert capsys.readouterr().out.strip() == "3" and {r["id"] for r in spark.read.parquet(str(tmp_path / "emb")).collect()} == {"CVE-0-A", "CVE-0-E"}
     cli.main([*home, "export", str(tmp_path / "emb"), "--embed", "own_embedder:embed"])
     assert capsys.readouterr().out.strip() == "1"  # an empty embedding is no embedding: it is due again
@@ -259,4 +259,4 @@ def test_command_line(spark, files, tmp_path, capsys):
     cli.main([*home, "classify", "-d", "SQL injection in a query", "-c", "89,943", "--html", str(tmp_path / "r.html")])
     assert "T1190" in capsys.readouterr().out and "SQL Injection" in (tmp_path / "r.html").read_text()
     cli.main([*home, "relabel"])
-    assert {r["cve_id"]: r["attack_vectors"] for r in spark.read.parquet(str(tmp_path / "kb/training")).collect()}["CVE-0-A"][0] == "sql_injection"
+    assert {r["cve_id"]: r["attack_vectors"] for r in versions.Table(spark, str(tmp_path / "kb/training")).read().collect()}["CVE-0-A"][0] == "sql_injection"
