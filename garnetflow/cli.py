@@ -256,7 +256,8 @@ def main(args: list[str] | None = None) -> None:
         typed = spark.createDataFrame([(a.cve, a.description, a.cwes)], "id string, text string, typed string")
         rows = typed.select(cve_name(F.col("id")).alias("id"), "text", F.filter(weakness_list(F.col("typed")), lambda c: c != "").alias("cwes"), F.lit(None).cast("struct<version: string, vectorString: string, baseScore: double, baseSeverity: string>").alias("cvss"))
         if a.feed:
-            rows = collect.lookup(feeds.nvd_any(spark, a.feed), rows)
+            found = collect.lookup(feeds.nvd_any(spark, a.feed), rows)
+            rows = spark.createDataFrame(found.collect(), found.schema)  # the one record: the feed is read once
         if a.json:
             print(json.dumps([r.asDict(recursive=True) for r in classified(store, rows).orderBy(F.desc("probability"), "label").limit(a.top).collect()]))
         else:

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import schemas
+from . import bigjson, schemas
 
 
 def _text(spark: SparkSession, path) -> DataFrame:
@@ -26,8 +26,8 @@ def optional(spark: SparkSession, path: str, schema: str, read) -> DataFrame:
 
 
 def keyed(spark: SparkSession, path, node: str) -> DataFrame:
-    """id and fields of a JSON object whose keys are ids."""
-    rows = _text(spark, path).select(F.explode(F.from_json("value", f"map<string,{node}>")).alias("key", "n"))
+    """id and fields of a JSON object whose keys are ids, read by many tasks."""
+    rows = bigjson.elements(spark, path).select("key", F.from_json("value", node).alias("n"))
     inner = [f for f in rows.select("n.*").columns if f != "id"]
     return rows.select(F.col("key").alias("id"), *[F.col(f"n.{f}").alias(f) for f in inner])
 
@@ -35,7 +35,7 @@ def keyed(spark: SparkSession, path, node: str) -> DataFrame:
 def training(spark: SparkSession, path) -> DataFrame:
     """Training rows from a JSON array or from Parquet; null lists become empty ones."""
     if re.search(r"\.json(\.gz)?$", str(path)):
-        rows = spark.read.option("multiLine", True).schema(schemas.TRAINING).json(path)
+        rows = bigjson.parsed(spark, path, schemas.TRAINING).drop("key")
     else:
         rows = spark.read.schema(schemas.TRAINING).parquet(path)
     return rows.withColumns({c: F.coalesce(c, F.array()) for c in ("cwes", "attack_vectors")})
@@ -43,7 +43,7 @@ def training(spark: SparkSession, path) -> DataFrame:
 
 def cwe_hierarchy(spark: SparkSession, path) -> DataFrame:
     """Nodes of a hierarchy file: id, name, abstraction, parents, children, attack_vectors."""
-    rows = _text(spark, path).select(F.explode(F.from_json("value", f"struct<cwes: map<string,{schemas.CWE_NODE}>>")["cwes"]).alias("key", "n"))
+    rows = bigjson.elements(spark, path, "cwes").select("key", F.from_json("value", schemas.CWE_NODE).alias("n"))
     return rows.select(F.col("key").alias("id"), "n.name", "n.abstraction", *[F.coalesce(f"n.{c}", F.array()).alias(c) for c in ("parents", "children", "attack_vectors")])
 
 

@@ -12,7 +12,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import schemas
+from . import bigjson, schemas
 
 DOMAINS = ("enterprise", "mobile", "ics")
 
@@ -58,8 +58,9 @@ def _json(spark: SparkSession, path, schema: str) -> DataFrame:
 
 
 def nvd(spark: SparkSession, path) -> DataFrame:
-    """A row (cve) for each vulnerability of 2.0 feeds, gzipped or not; yearly files are read in parallel."""
-    return _json(spark, path, schemas.NVD_FEED).select(F.explode("vulnerabilities").alias("v")).select("v.cve")
+    """A row (cve) for each vulnerability of 2.0 feeds, gzipped or not; a file that is not gzipped is read by many tasks."""
+    one = schemas.NVD_FEED.removeprefix("vulnerabilities array<").removesuffix(">")
+    return bigjson.parsed(spark, path, one, "vulnerabilities").select("cve")
 
 
 def nvd_v11(spark: SparkSession, path) -> DataFrame:

@@ -49,7 +49,11 @@ class Table:
         version = version or max(self.versions(), default=None)
         if version is None:
             return None
-        return json.loads(self.spark.read.option("wholetext", True).text(f"{self.path}/versions/{version}.json").first()[0])
+        source = self.fs.open(self._at(f"versions/{version}.json"))
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8"))
+        finally:
+            source.close()
 
     def read(self, version: int | None = None) -> DataFrame:
         """The rows of a version, by default of the last. The frame stays with it."""
