@@ -12,10 +12,13 @@ from .words import SQL_LINKS, capec_links
 _SQL_CATALOG = "(VALUES " + ", ".join(f"('{v}', [{sql_list(c)}])" for v, c, _, _ in fixed.VECTOR_CATALOG) + ") AS catalog(vector, cwes)"
 
 
-@query(f"SELECT cwe, string_agg(vector, ',' ORDER BY vector) AS vectors FROM (SELECT vector, unnest(cwes) AS cwe FROM {_SQL_CATALOG}) GROUP BY cwe")
+@query(f"WITH m AS (SELECT cwe, string_agg(vector, ',' ORDER BY vector) AS vectors FROM (SELECT vector, unnest(cwes) AS cwe FROM {_SQL_CATALOG}) GROUP BY cwe) SELECT doc_id, cwe, vectors FROM documents JOIN m ON cwe = CAST(doc_id % 1000 AS VARCHAR)")
 def map_invert(spark, sf_dir):
+    """The catalogue by weakness, for the documents whose number is one."""
     catalog = spark.createDataFrame([(v, c) for v, c, _, _ in fixed.VECTOR_CATALOG], "vector string, cwes array<string>")
-    return hierarchy.inverted(catalog, "vector", "cwes").groupBy(F.col("value").alias("cwe")).agg(F.array_join(F.array_sort(F.collect_list("key")), ",").alias("vectors"))
+    vectors = hierarchy.inverted(catalog, "vector", "cwes").groupBy(F.col("value").alias("cwe")).agg(F.array_join(F.array_sort(F.collect_list("key")), ",").alias("vectors"))
+    docs = table(spark, sf_dir, "documents", "doc_id").select("doc_id", (F.col("doc_id") % 1000).cast("string").alias("cwe"))
+    return docs.join(F.broadcast(vectors), "cwe").select("doc_id", "cwe", "vectors")  # a fixed catalogue of some hundred ids
 
 
 def items(spark, sf_dir):

@@ -381,37 +381,37 @@ _SQL_WEAK_NAME = f"([{sql_list(_WEAK_NAMES)}])[CAST(doc_id % 3 AS INTEGER) + 1]"
 
 @query(
     f"""WITH sd AS MATERIALIZED (SELECT doc_id, {SQL_SAID} AS said FROM documents), cp AS (SELECT * FROM {SQL_CAPECS}),
-cw AS MATERIALIZED (SELECT capec, {sql_words('retrieval', "(name || ' ' || description)")} AS w FROM cp), ct AS MATERIALIZED (SELECT capec, len(w) AS len, term, count(*) AS tf FROM (SELECT capec, w, unnest(w) AS term FROM cw) GROUP BY ALL),
+cw AS MATERIALIZED (SELECT capec, {sql_words('retrieval', "(name || ' ' || description)")} AS w FROM cp WHERE capec <> '250'), ct AS MATERIALIZED (SELECT capec, len(w) AS len, term, count(*) AS tf FROM (SELECT capec, w, unnest(w) AS term FROM cw) GROUP BY ALL),
 cdf AS MATERIALIZED (SELECT term, count(*) AS df FROM ct GROUP BY term), cn AS (SELECT count(*) AS n, avg(len(w)) AS avgdl FROM cw),
 sw AS MATERIALIZED (SELECT doc_id, {sql_words('retrieval', 'said')} AS w, list_distinct({sql_words('retrieval', _SQL_WEAK_NAME)}) AS x FROM sd),
-aq AS MATERIALIZED (SELECT doc_id, term, count(*) AS qtf FROM (SELECT doc_id, unnest(list_concat(w, list_concat(x, x))) AS term FROM sw WHERE doc_id % 4 = 0) GROUP BY ALL),
+aq AS MATERIALIZED (SELECT doc_id, term, count(*) AS qtf FROM (SELECT doc_id, unnest(list_concat(w, list_concat(x, x))) AS term FROM sw) GROUP BY ALL),
 bm AS (SELECT doc_id, capec, least(2 * sum(ln((n - df + 0.5) / (df + 0.5) + 1) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * len / avgdl)) * qtf), 100.0) AS score FROM ct JOIN cdf USING (term) JOIN aq USING (term), cn GROUP BY ALL),
 dx AS (SELECT capec, term, tf / len * ln(n / (df + 1.0)) AS x FROM ct JOIN cdf USING (term), cn), dn AS (SELECT capec, term, x / norm AS w FROM dx JOIN (SELECT capec, sqrt(sum(x * x)) AS norm FROM dx GROUP BY capec) USING (capec) WHERE norm > 0),
-qx AS MATERIALIZED (SELECT doc_id, term, count(*) / max(len) * max(ln(n / (df + 1.0))) AS x FROM (SELECT doc_id, len(w) AS len, unnest(w) AS term FROM sw WHERE doc_id % 4 = 1) JOIN cdf USING (term), cn GROUP BY ALL),
+qx AS MATERIALIZED (SELECT doc_id, term, count(*) / max(len) * max(ln(n / (df + 1.0))) AS x FROM (SELECT doc_id, len(w) AS len, unnest(w) AS term FROM sw) JOIN cdf USING (term), cn GROUP BY ALL),
 qn AS (SELECT doc_id, term, x / norm AS w FROM qx JOIN (SELECT doc_id, sqrt(sum(x * x)) AS norm FROM qx GROUP BY doc_id) USING (doc_id) WHERE norm > 0),
 tf AS (SELECT doc_id, capec, sum(qn.w * dn.w) * 100 AS score FROM qn JOIN dn USING (term) GROUP BY ALL),
 jq AS MATERIALIZED (SELECT doc_id, {sql_words('ranking', 'said')} AS w FROM sd), jc AS MATERIALIZED (SELECT capec, CASE WHEN severity IN ('High', 'Very High') THEN 1.2::DOUBLE ELSE 1 END AS f, {sql_words('ranking', "(name || ' ' || name || ' ' || name || ' ' || description || ' needs ' || severity)")} AS w FROM cp),
 jj AS (SELECT doc_id, capec, len(list_intersect(jq.w, jc.w)) / (len(list_distinct(jq.w)) + len(list_distinct(jc.w)) - len(list_intersect(jq.w, jc.w))) * f AS score FROM jq, jc)
-SELECT doc_id, capec, round(CASE WHEN doc_id % 4 = 0 THEN coalesce(bm.score, 0) WHEN capec <> '250' THEN 100 * CASE WHEN coalesce(tf.score, 0) > 0 THEN tf.score / 100 ELSE jj.score END
+SELECT doc_id, capec, round(CASE WHEN bm.score IS NOT NULL THEN bm.score WHEN capec <> '250' THEN 100 * CASE WHEN coalesce(tf.score, 0) > 0 THEN tf.score / 100 ELSE jj.score END
 ELSE {_SQL_RULE} + CASE WHEN doc_id % 8 >= 4 THEN (doc_id % 8) * 10.0 ELSE 50.0 END END, 4) AS score
 FROM (SELECT *, {_SQL_VECTORS} FROM {SQL_LINKS}) LEFT JOIN bm USING (doc_id, capec) LEFT JOIN tf USING (doc_id, capec) LEFT JOIN jj USING (doc_id, capec)"""
 )
 def report_cascade(spark, sf_dir):
-    """Of each fourth document BM25 with the weakness's name decides, then TF-IDF (in the next fourth) or Jaccard, and for attack pattern 250, which no catalogue knows, the rules."""
+    """BM25 with the weakness's name decides where there is a score, else TF-IDF or Jaccard, and for attack pattern 250, which no catalogue knows, the rules."""
     links = capec_links(spark, sf_dir)
     known = capecs(spark).where("capec <> '250'").withColumn("prerequisites", F.array(F.concat(F.lit("needs "), "severity")))
     texts = table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", said().alias("said"))
-    bags = capecs(spark).select(F.col("capec").alias("id"), tokenize(F.concat_ws(" ", "name", "description"), "retrieval").alias("words"))
+    bags = known.select(F.col("capec").alias("id"), tokenize(F.concat_ws(" ", "name", "description"), "retrieval").alias("words"))
     names = F.array(*map(F.lit, _WEAK_NAMES))[(F.col("doc_id") % 3).cast("int")]
     words = texts.select(F.col("doc_id").alias("id"), tokenize("said", "retrieval").alias("words"), tokenize(names, "retrieval").alias("extra"))
-    ranked = retrieval.bm25(bags, words.where("id % 4 = 0").select("id", retrieval.augmented(F.col("words"), F.col("extra")).alias("words")))
+    ranked = retrieval.bm25(bags, words.select("id", retrieval.augmented(F.col("words"), F.col("extra")).alias("words")))
     ranked = ranked.select(F.col("query").alias("doc_id"), F.col("id").alias("capec"), F.col("normal").alias("bm25"))
-    n, df = len(CAPECS), patterns.document_frequency(bags)
-    cosine = retrieval.sparse_cosine(retrieval.tfidf(words.where("id % 4 = 1").select("id", "words"), n, df), retrieval.tfidf(bags, n, df))
+    n, df = len(CAPECS) - 1, patterns.document_frequency(bags)
+    cosine = retrieval.sparse_cosine(retrieval.tfidf(words.select("id", "words"), n, df), retrieval.tfidf(bags, n, df))
     cosine = cosine.select(F.col("query").alias("doc_id"), F.col("id").alias("capec"), F.col("score").alias("tfidf"))
     whole = known.select("capec", tokenize(retrieval.pattern_text(*map(F.col, ("name", "description", "prerequisites"))), "ranking").alias("own"))
     rows = links.join(whole, "capec", "left").join(ranked, ["doc_id", "capec"], "left").join(cosine, ["doc_id", "capec"], "left")
-    first = F.when(F.col("doc_id") % 4 == 0, F.coalesce("bm25", F.lit(0.0)))
+    first = F.col("bm25")
     second = F.when(F.col("own").isNotNull(), retrieval.similarity(F.col("tfidf"), tokenize("said", "ranking"), F.col("own"), F.col("severity")) * 100)
     granular = F.array(F.struct(F.array(F.lit("66"), F.lit("250")).alias("capecs"), F.lit(0.5).alias("confidence")), F.struct(F.array(F.lit("250")).alias("capecs"), ((F.col("doc_id") % 8) / 10.0).alias("confidence")))
     third = _rules(retrieval.granular_boost(F.col("capec"), granular))

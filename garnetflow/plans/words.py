@@ -187,12 +187,17 @@ def id_normalise(spark, sf_dir):
     return rows.select("s_suppkey", tx.cve_name(F.concat(F.when(F.col("s_suppkey") % 2 == 0, F.lit("cve-")).otherwise(F.lit("")), F.col("s_suppkey").cast("string"))).alias("cve"), F.array_join(tx.weakness_list(typed), ",").alias("cwes"))
 
 
-@query("SELECT vector, coalesce(name, vector) AS name FROM (SELECT DISTINCT unnest(string_split(v, ' ')) AS vector FROM (VALUES " + ", ".join(f"({sql_list([' '.join(v)])})" for _, v in fixed.CWE_VECTORS) + ") AS m(v)) LEFT JOIN (VALUES " + ", ".join(f"({sql_list(x)})" for x in fixed.VECTOR_NAMES.items()) + ") AS n(id, name) ON id = vector")
+@query(
+    "WITH m(cwe, vectors) AS (VALUES " + ", ".join(f"('{c}', [{sql_list(v)}])" for c, v in fixed.CWE_VECTORS) + "), n(id, name) AS (VALUES " + ", ".join(f"({sql_list(x)})" for x in fixed.VECTOR_NAMES.items()) + ") "
+    "SELECT doc_id, vector, coalesce(name, vector) AS name FROM (SELECT DISTINCT doc_id, unnest(vectors) AS vector FROM documents JOIN m ON cwe = CAST(doc_id % 1000 AS VARCHAR)) LEFT JOIN n ON id = vector"
+)
 def vector_names(spark, sf_dir):
+    """The vectors of the documents' weaknesses, with their display names."""
     from ..operators.classify import named
 
-    rows = spark.createDataFrame(fixed.CWE_VECTORS, "cwe string, vectors array<string>").select(F.explode("vectors").alias("vector")).distinct()
-    return named(rows)
+    vectors = spark.createDataFrame(fixed.CWE_VECTORS, "cwe string, vectors array<string>")
+    docs = table(spark, sf_dir, "documents", "doc_id").select("doc_id", (F.col("doc_id") % 1000).cast("string").alias("cwe"))
+    return named(docs.join(F.broadcast(vectors), "cwe").select("doc_id", F.explode("vectors").alias("vector")).distinct())
 
 
 @query("SELECT p_partkey, p_name || ': ' || p_type AS text FROM part")
