@@ -39,7 +39,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, packed into sequences. Workers also serve the other stages, so they remember fewer chunks."""
-    return packing.pack_documents(docs, remembered=150_000)
+    return packing.pack_documents(docs, remembered=100_000)
 
 
 STAGES = [

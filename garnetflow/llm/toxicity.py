@@ -28,13 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, slices, tidy, written
+from .common import discard, give_back, slices, tidy, written
 from .decontaminate import Words, _B, _buffer, _runs
 
 BITS = 20
 TRAIN_ROWS = 16_000
 #: Pairs of row and term of the labelled rows that are learned from: the driver holds 4 bytes for each whose term several rows share.
-PLACES = 16_000_000
+PLACES = 12_000_000
 FACTORS = 4
 EPOCHS = 6
 BATCH = 256
@@ -248,7 +248,12 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS, places: in
 
     got = found.mapInArrow(tidy(narrow), found.schema).toArrow().sort_by("doc_id")  # `most` rows and `places` pairs at most
     discard(table)
-    return calibrated([np.frombuffer(b, "<i4") for b in got["places"].to_pylist()], (np.asarray(got["toxic"]) > 0).astype(float))
+    texts, toxic = [np.frombuffer(b, "<i4") for b in got["places"].to_pylist()], (np.asarray(got["toxic"]) > 0).astype(float)
+    del got
+    model = calibrated(texts, toxic)
+    del texts
+    give_back()  # the driver goes on to other stages
+    return model
 
 
 def _scored(docs: DataFrame, model: Model, text: str, keep: bool, schema) -> DataFrame:
