@@ -128,6 +128,69 @@ def write_json(df: DataFrame, path: str, key: str | None = None) -> None:
     doc.select(F.to_json("d", {"pretty": "true", "ignoreNullFields": "false"}).alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
+def write_document(df: DataFrame, path: str, key: str | None = None, append: bool = False) -> int:
+    """One JSON document in one file: an object by `key`, or an array; append adds to the document that is there. Returns the bytes of it.
+
+    The rows become fragments that tasks write; these are joined as streams of bytes, so no memory grows with the document. An older document
+    is taken over up to its closing bracket. The new one is written beside the path and renamed, so a document is never seen half
+    written; what a run that broke off has left has another name. The order of rows is that of df; keys that repeat stay.
+    """
+    spark = df.sparkSession
+    jvm, (first, last) = spark._jvm, ("[", "]") if key is None else ("{", "}")
+    p, copy = jvm.org.apache.hadoop.fs.Path, jvm.org.apache.commons.io.IOUtils.copyLarge
+    fs = p(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    row = F.to_json(F.struct(*[c for c in df.columns if c != key]), {"ignoreNullFields": "false"})
+    if key is not None:
+        # a JSON array of the key alone, without its brackets
+        name = F.to_json(F.array(F.col(key).cast("string")))
+        row = F.concat(F.substring(name, F.lit(2), F.length(name) - 2), F.lit(": "), row)
+    folder, new = f"{path}.{uuid.uuid4().hex}.parts", p(f"{path}.{uuid.uuid4().hex}.new")
+    df.select(row.alias("value")).write.option("lineSep", ",\n").text(folder)
+    parts = [(f.getPath(), f.getLen()) for f in fs.listStatus(p(folder)) if f.getPath().getName().startswith("part-") and f.getLen()]
+    out = fs.create(new)
+    put = lambda text: out.write(bytearray(text.encode()))
+    keep = _up_to_end(spark, fs, p(path), first, last) if append and fs.exists(p(path)) else None
+    if keep is None:
+        put(f"{first}\n")
+    else:
+        size, empty = keep
+        source = fs.open(p(path))
+        copy(source, out, 0, size)
+        source.close()
+        put("\n" if empty or not parts else ",\n")
+    for k, (part, size) in enumerate(sorted(parts, key=lambda x: x[0].getName())):
+        source = fs.open(part)
+        copy(source, out, 0, size - (2 if k == len(parts) - 1 else 0))  # the last row has no separator
+        source.close()
+    put(f"\n{last}\n")
+    out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(new.toUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = getattr(jvm, "org.apache.hadoop.fs.Options$Rename").OVERWRITE
+    context.rename(new, p(path), options)
+    fs.delete(p(folder), True)
+    return fs.getFileStatus(p(path)).getLen()
+
+
+def _up_to_end(spark: SparkSession, fs, path, first: str, last: str) -> tuple[int, bool]:
+    """How many bytes stand before a document's closing bracket and the white space around it, and whether nothing is in it."""
+    end, tail = fs.getFileStatus(path).getLen(), b""
+    source = fs.open(path)
+    try:
+        while end and len(tail.rstrip()) < 2 or tail.rstrip()[:-1].strip() == b"" and end:
+            step = min(end, 4096)
+            end -= step
+            source.seek(end)
+            tail = bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(source, step)) + tail
+    finally:
+        source.close()
+    body = tail.rstrip()
+    if not body.endswith(last.encode()):
+        raise ValueError(f"{path.toString()} does not end with {last}")
+    body = body[:-1].rstrip()
+    return end + len(body), body.endswith(first.encode()) and end + len(body) <= 4 + len(tail)
+
+
 def replace_table(df: DataFrame, path: str) -> None:
     """Overwrites a table that df may itself read: written beside it, then exchanged by renames.
 

@@ -143,6 +143,34 @@ def test_sinks(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "m")).first()["cwe"] == "4.1"
 
 
+def test_one_document_grows(spark, tmp_path):
+    """Arrays and objects, appended to whatever layout is there; no row at all; a document that is none."""
+    path, rows = tmp_path / "d.json", [(f"id {k} \"q\"", k, "é\n}]") for k in range(40)]
+    df = spark.createDataFrame(rows, "id string, n int, t string").repartition(5)
+    plain = lambda part: [{"id": a, "n": b, "t": c} for a, b, c in part]
+    order = lambda found: sorted(found, key=lambda x: x["n"])
+    assert artifacts.write_document(df.where("n < 10"), str(path)) == path.stat().st_size
+    assert order(json.loads(path.read_text())) == plain(rows[:10])
+    artifacts.write_document(df.where("n >= 10 AND n < 20"), str(path), append=True)
+    artifacts.write_document(df.where("n < 0"), str(path), append=True)
+    assert order(json.loads(path.read_text())) == plain(rows[:20])
+    for k, start in enumerate(("[]", "[ ]\n\n", json.dumps(plain(rows[:3])), json.dumps(plain(rows[:3]), indent=2) + " " * 5000)):
+        path = tmp_path / f"other{k}.json"  # not the writer's own
+        path.write_text(start)
+        artifacts.write_document(df.where("n >= 3"), str(path), append=True)
+        assert order(json.loads(path.read_text())) == plain(rows[3:] if len(start) < 8 else rows)
+    artifacts.write_document(df.limit(0), str(tmp_path / "none.json"))
+    assert json.loads((tmp_path / "none.json").read_text()) == []
+    for part in ("n < 7", "n >= 7"):
+        artifacts.write_document(df.where(part), str(tmp_path / "k.json"), "id", append=True)
+    assert json.loads((tmp_path / "k.json").read_text()) == {a: {"n": b, "t": c} for a, b, c in rows}
+    path = tmp_path / "no_array.json"
+    path.write_text('{"a": 1}')
+    with pytest.raises(ValueError, match="does not end"):
+        artifacts.write_document(df, str(path), append=True)
+    assert path.read_text() == '{"a": 1}'
+
+
 def test_stream_of_feeds(spark, files, tmp_path):
     args = (spark, str(files / "feeds"), str(tmp_path / "out"), str(tmp_path / "check"))
     for _ in range(2):  # the second run finds nothing new
