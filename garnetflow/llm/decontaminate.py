@@ -130,8 +130,17 @@ class Block:
         for r in rows:
             self.numbers[bytes(r["words"])] = r["number"]
             by_size.setdefault(r["n_words"], []).append(r["hash"])
-        self.hashes = {n: np.unique(np.array(h, np.int64).astype(np.uint64)) for n, h in by_size.items()}
-        self.seen = {}
+        self._lay_out({n: np.unique(np.array(h, np.int64).astype(np.uint64)) for n, h in by_size.items()})
+
+    def __getstate__(self):
+        return self.numbers, self.hashes  # tables of bits are made anew where they are used
+
+    def __setstate__(self, state):
+        self.numbers, hashes = state
+        self._lay_out(hashes)
+
+    def _lay_out(self, hashes: dict[int, np.ndarray]) -> None:
+        self.hashes, self.seen = hashes, {}
         for n, h in self.hashes.items():
             self.seen[n] = np.zeros(1 << 20, bool)
             self.seen[n][h >> np.uint64(44)] = True
@@ -167,7 +176,8 @@ def numbered(windows: DataFrame, most: int, most_bytes: int = BLOCK_BYTES) -> Da
 
     distinct = written(windows.select("n_words", "hash", "words").distinct(), "distinct")
     parts = -(-distinct.count() // most) or 1
-    return written(distinct.repartition(parts, "words").mapInArrow(tidy(run), "n_words int, hash long, words binary, number long, block long"), "numbered")
+    # `most` windows or so a task, whatever the number of partitions: few windows are one block
+    return written(distinct.coalesce(parts).mapInArrow(tidy(run), "n_words int, hash long, words binary, number long, block long"), "numbered")
 
 
 def _scan(docs: DataFrame, windows: DataFrame, emit: str, text: str) -> DataFrame:
