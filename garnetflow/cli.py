@@ -14,6 +14,7 @@ from . import streaming
 from .functions.text import cut_bytes, cve_name, titled, tokenize, weakness_list
 from .operators import bayes, classify, collect, embedding, frequency, hierarchy, knowledge, linking, patterns, relabel, report
 from .sources import artifacts, feeds, versions
+from .sources.shared import shared_path
 
 
 class Store:
@@ -141,11 +142,14 @@ def relabelled(store: Store) -> None:
     both.unpersist()
 
 
+AROUND = [("Actors", "groups", "group_techniques"), ("Software", "software", "software_techniques"), ("Mitigations", "mitigations", "mitigation_techniques")]
+
+
 def _around(store: Store, techniques: list[str]) -> dict[str, list[tuple]]:
     """Groups, software and mitigations of a few techniques, with their names."""
     wanted = store.spark.createDataFrame([(t,) for t in techniques], "id string")
     out = {}
-    for title, table, lists in (("Actors", "groups", "group_techniques"), ("Software", "software", "software_techniques"), ("Mitigations", "mitigations", "mitigation_techniques")):
+    for title, table, lists in AROUND:
         ids = store.read(f"{lists}_reverse").join(wanted, "id", "left_semi").select(F.explode("ids").alias("ext_id")).distinct()
         out[title] = [tuple(r) for r in ids.join(store.read(table).select("ext_id", "name"), "ext_id", "left").orderBy("ext_id").limit(20).collect()]
     return out
@@ -155,8 +159,8 @@ def _report(store: Store, rows: DataFrame, a: argparse.Namespace) -> str:
     one = rows.first()  # a report is about one record
     if one is None:
         return f"{a.cve}: no such record"
-    found = classified(store, rows).persist()
-    ranked, techniques = linked(store, rows, found)
+    found = _landed(classified(store, rows))
+    ranked, techniques = map(_landed, linked(store, rows, found))
     listed = classify.named(classify.gap_filter(found.where("label is not null")), "label").orderBy("rank").limit(a.top).collect()
     capecs = ranked.orderBy("rank").limit(5).collect()
     used = [r["technique"] for r in techniques.orderBy("technique").limit(5).collect()]
@@ -180,13 +184,46 @@ def _report(store: Store, rows: DataFrame, a: argparse.Namespace) -> str:
             "Atomic tests": [(r["technique"], r["name"], ", ".join(r["platforms"] or []), r["executor"] or "-", r["command"] or "-") for r in tests],
         },
     }
-    found.unpersist()
     if a.html:
         with open(a.html, "w", encoding="utf-8") as out:
             out.write(report.page(data))
     return report.console(data)
 
 
+def _landed(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder."""
+    path = shared_path(df.sparkSession, "reports")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def reports(store: Store, rows: DataFrame, top: int = 3, epss: DataFrame | None = None) -> DataFrame:
+    """id and page of every record of rows(id, text, cwes, cvss): the report of one record, for all of them by joins, without a collect."""
+    parts = report.section
+    rows = _landed(rows)
+    found = _landed(classified(store, rows))
+    ranked, techniques = map(_landed, linked(store, rows, found))  # every section reads these
+    listed = classify.named(classify.gap_filter(found.where("label is not null")), "label").where(F.col("rank") <= top).withColumnRenamed("id", "item")
+    weak = rows.select(F.col("id").alias("item"), F.explode(F.array_distinct("cwes")).alias("cwe")).join(store.read("cwe").select(F.col("id").alias("cwe"), "name"), "cwe")
+    used = classify.first_by(techniques.select("item", "technique").distinct(), "item", 5, "technique").drop("rank")
+    names = store.read("techniques").select(F.col("ext_id").alias("technique"), "name", "url")
+    sections = [
+        parts(0, "Attack vectors", listed, ["rank"], ["name", F.format_string("%.4f", "probability"), "confidence"]),
+        parts(1, "Weaknesses", weak, ["cwe"], ["cwe", "name"]),
+        parts(2, "Attack patterns", ranked.where("rank <= 5"), ["rank"], ["capec", "name", F.format_string("%.2f", "probability"), "confidence", F.coalesce(F.nullif("severity", F.lit("")), F.lit("-"))]),
+        parts(3, "Techniques", used.join(names, "technique"), ["technique"], ["technique", "name", "url"]),
+    ]
+    for k, (title, table, lists) in enumerate(AROUND):
+        near = used.join(store.read(f"{lists}_reverse").withColumnRenamed("id", "technique"), "technique").select("item", F.explode("ids").alias("ext_id")).distinct()
+        near = classify.first_by(near, "item", 20, "ext_id").join(store.read(table).select("ext_id", "name"), "ext_id", "left")
+        sections.append(parts(4 + k, title, near, ["ext_id"], ["ext_id", "name"]))
+    score = F.concat_ws(" ", F.col("cvss.baseScore").cast("string"), F.nullif("cvss.baseSeverity", F.lit("")), F.concat(F.lit("("), "cvss.version", F.lit(")")))
+    cards = [("weaknesses", F.array_join("cwes", ", ")), ("CVSS", F.when(F.col("cvss").isNotNull(), score)), ("CVSS vector", F.when(F.col("cvss").isNotNull(), F.coalesce(F.nullif("cvss.vectorString", F.lit("")), F.lit("-"))))]
+    cards = F.filter(F.array(*[F.struct(F.lit(name).alias("name"), value.alias("value")) for name, value in cards]), lambda c: c["value"].isNotNull())
+    days = None if epss is None else epss.where("epss is not null").select(F.col("cve").alias("item"), "day", "epss")
+    return report.pages(rows.select("id", F.col("text").alias("description"), cards.alias("cards")), sections, days)
+
+
 def statistics(store: Store, rows: int = 20) -> None:
     """What the tables hold: vectors and their frequent weaknesses, the taxonomy, the model, the hierarchy's coverage."""
     n = store.read("training").count()
@@ -226,6 +263,11 @@ def main(args: list[str] | None = None) -> None:
     e.add_argument("out")
     e.add_argument("--embed", required=True, help="module:function that adds the column embedding to a frame, or with --per-second gives the vector of one text")
     e.add_argument("--per-second", type=float, help="calls a second, over all tasks")
+    r = steps.add_parser("reports")
+    r.add_argument("feed", help="landed feed whose records get a page each")
+    r.add_argument("out", help="folder of a table of id and page")
+    r.add_argument("--epss", help="landed EPSS series")
+    r.add_argument("--top", type=int, default=3)
     c = steps.add_parser("classify")
     c.add_argument("--cve", default="CVE-0-0")
     c.add_argument("--feed", help="landed feed that has the record")
@@ -250,6 +292,10 @@ def main(args: list[str] | None = None) -> None:
         relabelled(store)
     elif a.step == "stats":
         statistics(store)
+    elif a.step == "reports":
+        feed = feeds.nvd_any(spark, a.feed)
+        rows = collect.lookup(feed, feed.select("cve.id"))
+        reports(store, rows, a.top, feeds.epss(spark, a.epss) if a.epss else None).write.mode("overwrite").parquet(a.out)
     elif a.step == "export":
         print(exported(store, a.out, a.embed, a.per_second))
     else:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from html import escape
 from string import Template
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,6 +72,41 @@ def page(report: dict) -> str:
     return _PAGE.substitute(title=e(report.get("id")), description=e(report.get("description")), sections="".join(parts), generated=e(report.get("generated")))
 
 
+def section(place: int, title: str, rows: DataFrame, order: list, fields: list) -> DataFrame:
+    """item and one section of its report: its rows (arrays of fields as text) in an order."""
+    text = F.array(*[F.col(f).cast("string") if isinstance(f, str) else f.cast("string") for f in fields])
+    listed = rows.select("item", F.struct(*order, text.alias("fields")).alias("r")).groupBy("item").agg(F.array_sort(F.collect_list("r")).alias("rows"))
+    return listed.select("item", F.struct(F.lit(place).alias("place"), F.lit(title).alias("title"), F.transform("rows", lambda r: r["fields"]).alias("rows")).alias("section"))
+
+
+def pages(records: DataFrame, sections: list[DataFrame], days: DataFrame | None = None) -> DataFrame:
+    """id and page of each record, however many there are: sections meet their record by id, and a task writes the pages of its rows.
+
+    records: id, description, cards (array of structs of name and value); sections: item, section; days: item, day, epss. Records with the same id share their sections.
+    """
+    every = sections[0]
+    for other in sections[1:]:
+        every = every.unionByName(other)
+    parts = every.groupBy(F.col("item").alias("id")).agg(F.array_sort(F.collect_list("section")).alias("sections"))
+    rows = records.select("id", "description", "cards").join(parts, "id", "left")
+    if days is None:
+        rows = rows.withColumn("days", F.lit(None).cast("array<struct<day: string, epss: double>>"))
+    else:
+        rows = rows.join(days.groupBy(F.col("item").alias("id")).agg(F.array_sort(F.collect_list(F.struct("day", "epss"))).alias("days")), "id", "left")
+
+    def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for r in batch.to_pylist():
+                cards, days = {c["name"]: c["value"] for c in r["cards"] or []}, r["days"] or []
+                if days:
+                    cards["EPSS"] = f"{days[-1]['epss']} on {days[-1]['day']}"
+                made.append(page({"id": r["id"], "description": r["description"], "cards": cards, "epss": {"days": [d["day"] for d in days], "values": [d["epss"] for d in days]}, "sections": {s["title"]: s["rows"] for s in r["sections"] or []}}))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.string())], ["id", "page"])
+
+    return rows.select("id", "description", "cards", "sections", "days").mapInArrow(render, "id string, page string")
+
+
 def console(report: dict, most: int = 10, preview: int = 100) -> str:
     """The same report as lines of text: at most `most` rows of a section, long fields cut after `preview` bytes."""
     lines = [str(report.get("id")), str(report.get("description") or "")]

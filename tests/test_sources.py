@@ -261,6 +261,12 @@ def test_report_has_every_section(spark, files, tmp_path, capsys):
     for part in ("CVE-0-F", "9.8 CRITICAL (3.1)", "CVSS:3.1/AV:N", "0.4 on 2024-01-02", "Attack vectors", "CWE Hierarchy", "Weaknesses", "Query Logic", "Attack patterns", "66", "Techniques", "T1190", "First", "Actors", "G1", "Group"):
         assert part in text and part in html, part
     assert "Exploit prediction" in html and html.index("2024-01-01: 0.2") < html.index("2024-01-02: 0.4") and "<b>query" not in html and "&lt;b&gt;query" in html
+    cli.main([*home, "classify", "--cve", "0-F", "--feed", str(tmp_path / "feed.json"), "--epss", str(tmp_path / "epss.json"), "--html", str(page)])
+    cli.main([*home, "reports", str(tmp_path / "feed.json"), str(tmp_path / "pages"), "--epss", str(tmp_path / "epss.json")])
+    pages = {r["id"]: r["page"] for r in spark.read.parquet(str(tmp_path / "pages")).collect()}
+    assert pages["CVE-0-F"] == page.read_text() and pages.keys() == {v["cve"]["id"] for v in full["vulnerabilities"]}
+    assert all(k in v and v.endswith("</html>") for k, v in pages.items())
+    capsys.readouterr()
     for cve in ("CVE-0-D", "CVE-0-C", "CVE-0-none"):  # an unmapped weakness, none at all, no record
         cli.main([*home, "classify", "--cve", cve, "--feed", str(tmp_path / "feed.json")])
         assert cve in capsys.readouterr().out
