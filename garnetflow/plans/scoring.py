@@ -219,7 +219,7 @@ _indexes: dict[tuple, postings.Index] = {}
 
 
 def stored_index(spark, sf_dir):
-    """The index of the documents: built at first use, then probed by every search of the session."""
+    """The index of the documents: built at first use, then probed by every search of the session, in which the table is taken not to change."""
     key = spark.sparkContext.applicationId, sf_dir
     if key not in _indexes:
         _indexes[key] = postings.build(_bag(spark, sf_dir, "documents", "doc_id"), shared_path(spark, "postings"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -9,11 +10,21 @@ from pyspark.sql import SparkSession
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path under spark.checkpoint.dir; on one machine, where that is unset, under a temporary folder."""
+    """A new path under spark.checkpoint.dir; on one machine, where that is unset, under a temporary folder. It goes when the driver ends."""
     sc = spark.sparkContext
     told = sc.getConf().get("spark.checkpoint.dir", None)
     if not told:
         if not sc.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir names no folder that all machines share")
         told = "file://" + tempfile.mkdtemp(prefix="garnetflow-")
-    return f"{told.rstrip('/')}/garnetflow-{uuid.uuid4().hex}/{name}"
+    folder = f"{told.rstrip('/')}/garnetflow-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, folder)
+    return f"{folder}/{name}"
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    try:
+        p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # the JVM may be gone at exit; what is left is scratch
+        pass
