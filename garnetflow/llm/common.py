@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.shared import importable
 
 BATCH_BYTES = 8 << 20
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
@@ -102,14 +103,6 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20)
             at = to
 
 
-def importable(spark: SparkSession) -> None:
-    """Workers find this package where the driver found it, from whatever folder the driver was started."""
-    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
-    paths = env.get("PYTHONPATH", "").split(":")
-    if root not in paths:
-        env["PYTHONPATH"] = ":".join([root, *filter(None, paths)])
-
-
 def tidy(function):
     """A function for mapInArrow whose batches are bounded and whose worker gives memory back after a task.
 
