@@ -92,3 +92,14 @@ def test_patterns_of_vectors_and_layers_by_the_index(spark, monkeypatch):
     shown = spark.createDataFrame([(v, p, None) for v, ps in fixed.VECTOR_PATTERNS.items() for p in ps], "vector string, expression string, word string")
     indexed = retrieval.indexed_layers(table.select(F.col("id").alias("item"), "text", of.alias("vectors")), by_word, shown)
     assert {tuple(x) for x in indexed.collect()} == {tuple(x) for x in plain_layers.collect()}
+
+
+def test_no_text_is_copied_for_its_runs(spark):
+    """Keywords of any length, across the ends of texts, and beyond ASCII; the catalogue in a task needs no join by run."""
+    docs = spark.createDataFrame([(1, "xxabcdefghij"), (2, "klm éàü abcdefghiz"), (3, ""), (4, "klm")], "doc_id long, low string").coalesce(1)
+    rows = [("a", ["abcdefghij"]), ("b", ["klm", "éàü"]), ("c", ["ijklm"]), ("d", [""]), ("e", []), ("f", ["abcdefgh", "z"]), ("g", ["abcdefghijk"])]
+    patterns = spark.createDataFrame(rows + [(f"n{k}", [f"none{k}"]) for k in range(600)], "name string, keywords array<string>")
+    found = keywords.match(docs, patterns)
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    every = {(d, p) for d in (1, 2, 3, 4) for p in "de"}
+    assert {tuple(r) for r in found.collect()} == every | {(1, "a"), (2, "b"), (2, "f")}
