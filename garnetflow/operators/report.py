@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Edges from techniques to groups that go to every task.
+BROADCAST_GROUPS = 500_000
+
+
 def best_weaknesses(vectors: DataFrame, cwes: DataFrame, mapping: DataFrame, n: int = 2, repeats: bool = True) -> DataFrame:
     """item, cwe, pos: the first n weaknesses, in the order of vectors, whose vectors include one of the item's.
 
@@ -25,11 +29,15 @@ def best_weaknesses(vectors: DataFrame, cwes: DataFrame, mapping: DataFrame, n:
 
 
 def chain(items: DataFrame, cwe_capec: DataFrame, capec_technique: DataFrame, technique_group: DataFrame) -> DataFrame:
-    """item, capec, technique and group of every path from an item's weaknesses, without repeats. Edges: src, dst."""
-    rows = items.select("item", "cwe").distinct().join(cwe_capec.select(F.col("src").alias("cwe"), F.col("dst").alias("capec")).distinct(), "cwe")
+    """item, capec, technique and group of every path from an item's weaknesses, without repeats. Edges: src, dst.
+
+    Techniques are few and the paths through one many, so up to BROADCAST_GROUPS edges to groups go to every task.
+    """
+    rows = items.select("item", "cwe").distinct().join(cwe_capec.select(F.col("src").alias("cwe"), F.col("dst").alias("capec")).distinct(), "cwe").select("item", "capec").distinct()
     rows = rows.join(capec_technique.select(F.col("src").alias("capec"), F.col("dst").alias("technique")).distinct(), "capec", "left")
-    rows = rows.join(technique_group.select(F.col("src").alias("technique"), F.col("dst").alias("group")).distinct(), "technique", "left")
-    return rows.select("item", "capec", "technique", "group").distinct()
+    groups = technique_group.select(F.col("src").alias("technique"), F.col("dst").alias("group")).distinct()
+    rows = rows.join(F.broadcast(groups) if groups.count() <= BROADCAST_GROUPS else groups, "technique", "left")
+    return rows.select("item", "capec", "technique", "group")  # each step's edges are distinct, so paths are
 
 
 def nested(rows: DataFrame) -> DataFrame:
