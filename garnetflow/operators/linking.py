@@ -16,10 +16,10 @@ def bare(key: Column) -> Column:
     return F.regexp_replace(key, "^(CWE|CAPEC)-", "")
 
 
-def patterns_of(items: DataFrame, edges: DataFrame) -> DataFrame:
-    """items(item, cwe) with the attack patterns (capec) of its weakness; edges: src, dst."""
+def patterns_of(items: DataFrame, edges: DataFrame, small: bool = False) -> DataFrame:
+    """items(item, cwe) with the attack patterns (capec) of its weakness; edges: src, dst. small: a catalogue that goes to every task, so that items do not move."""
     e = edges.select(bare(F.col("src")).alias("key"), bare(F.col("dst")).alias("capec")).distinct()
-    return items.withColumn("key", bare(F.col("cwe"))).join(e, "key").drop("key")
+    return items.withColumn("key", bare(F.col("cwe"))).join(F.broadcast(e) if small else e, "key").drop("key")
 
 
 def mismatched(low: Column, name: Column, description: Column) -> Column:
