@@ -7,6 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import stored
+from . import counting
+
 #: Occurrences in a label from which a word counts as one of its top words.
 LEAST_COUNT = 3
 #: Words up to which the vocabulary goes to every task; a larger one is joined by word.
@@ -31,14 +34,9 @@ class Model:
         self.counts.unpersist()
 
 
-def word_counts(tokens: DataFrame) -> DataFrame:
-    """tokens(label, words) to label, word, cnt."""
-    return tokens.select("label", F.explode("words").alias("word")).groupBy("label", "word").agg(F.count("*").alias("cnt"))
-
-
 def train(records: DataFrame, documents: int | None = None) -> Model:
     """records: id, label, words; a record with several labels has a row for each, and `documents` then is the number of records."""
-    counts = word_counts(records).persist()
+    counts = stored(counting.word_counts(records).drop("rows"), "counts")
     n = records.select("id").distinct().count() if documents is None else documents
     totals = counts.groupBy("label").agg(F.sum("cnt").alias("total"))
     labels = records.groupBy("label").agg(F.count("*").alias("docs")).join(totals, "label", "left")
