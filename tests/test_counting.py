@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
+import pytest
+
 from garnetflow.functions.text import tokenize
-from garnetflow.operators import counting
+from garnetflow.operators import bayes, counting
 
 
 def plan(df) -> str:
@@ -16,3 +20,31 @@ def test_words_are_found_once_to_count_them(spark):
     assert plan(counted).count("regexp_extract_all(") == 1
     got = {(r["label"], r["word"]): (r["cnt"], r["rows"]) for r in counted.collect()}
     assert got == {("a", "alpha"): (2, 1), ("a", "beta"): (1, 1), ("b", "beta"): (1, 1), ("b", "xcve"): (1, 1), (None, "beta"): (1, 1)}
+
+
+@pytest.mark.parametrize("most", [0, 2, 100])
+def test_only_rare_words_leave_the_task(spark, monkeypatch, most):
+    """Words of all, some and no documents, ids that come twice, unknown and no words: the scores are those of the formula, however many words go to every task."""
+    monkeypatch.setattr(bayes, "BROADCAST_WORDS", most)
+    monkeypatch.setattr(bayes, "CELLS", 3)
+    rows = [(k, f"l{k % 3}", ["w", "w", f"u{k % 4}", f"v{k}"]) for k in range(12)]
+    model = bayes.train(spark.createDataFrame(rows, "id long, label string, words array<string>"))
+    asked = [*[(k, w) for k, _, w in rows], (3, ["w", "v5"]), (90, ["new", "u1"]), (91, []), (92, None)]
+    docs = spark.createDataFrame(asked, "id long, words array<string>").repartition(2)
+    found = bayes.log_scores(docs, model)
+    assert "explode(words" not in plan(found)
+    if most == 2:
+        words = [r[0] for r in bayes._scored(docs, model)[0].where("word is not null").select("word").collect()]
+        assert "w" not in words and "v5" in words and "new" in words
+    cnt = {(r["label"], r["word"]): r["cnt"] for r in model.counts.collect()}
+    vocabulary = {w for _, w in cnt}
+    said = {}
+    for k, w in asked:
+        said.setdefault(k, []).extend(x for x in w or [] if x in vocabulary)
+    got = {(r["id"], r["label"]): r["score"] for r in found.collect()}
+    for k, words in said.items():
+        for label in ("l0", "l1", "l2"):
+            total = sum(n for (of, _), n in cnt.items() if of == label)
+            want = math.log(4 / 12) + sum(math.log((cnt.get((label, w), 0) + 1) / (total + len(vocabulary))) for w in words)
+            assert math.isclose(got.pop((k, label)), want, abs_tol=1e-9)
+    assert not got
