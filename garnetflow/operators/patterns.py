@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from . import keywords
+from ..sources.shared import stored
+from . import counting, keywords
 
 LEAST_TF, LEAST_SPECIFICITY, LEAST_LENGTH, MOST = 3, 0.6, 3, 15
 
@@ -21,11 +22,22 @@ def idf(n: Column | int, df: Column) -> Column:
     return F.ln((F.lit(n) if isinstance(n, int) else n) / (df + 1.0))
 
 
+def term_counts(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """label, term, tf, and term, df, of records(label, words) with one label each, from one pass over these."""
+    counted = stored(counting.word_counts(records).withColumnRenamed("word", "term"), "terms")
+    return counted.select("label", "term", F.col("cnt").alias("tf")), counted.groupBy("term").agg(F.sum("rows").alias("df"))
+
+
 def term_scores(records: DataFrame, docs: DataFrame, n: int) -> DataFrame:
     """vector, term, tf, df, idf, tfidf and specificity. records: vector, words (a row for each label); docs: id, words; n documents."""
-    tf = records.select("label", F.explode("words").alias("term")).groupBy("label", "term").agg(F.count("*").alias("tf"))
+    tf = counting.word_counts(records).select("label", F.col("word").alias("term"), F.col("cnt").alias("tf"))
+    return scored(tf, document_frequency(docs), records, n)
+
+
+def scored(tf: DataFrame, df: DataFrame, records: DataFrame, n: int) -> DataFrame:
+    """term_scores() from counts that are known: tf(label, term, tf) and df(term, df)."""
     size = records.groupBy("label").agg(F.count("*").alias("docs"))
-    rows = tf.join(document_frequency(docs), "term").join(size, "label")
+    rows = tf.join(df, "term").join(F.broadcast(size), "label")
     # occurrences over documents: may pass 1
     rows = rows.withColumns({"idf": idf(n, F.col("df")), "specificity": F.col("tf") / F.col("df")})
     return rows.withColumn("tfidf", F.col("tf") / F.col("docs") * F.col("idf")).withColumnRenamed("label", "vector")
@@ -72,7 +84,8 @@ def matches(docs: DataFrame, candidates: DataFrame, patterns: DataFrame, indexed
     rows = docs.select(F.col("id").alias("item"), F.lower("text").alias("low")).join(wanted, "item").join(F.broadcast(catalogue))
     of = lambda v: F.filter(F.coalesce(F.element_at("all", v), F.array()), lambda p: F.forall(p["keywords"], lambda k: F.contains(F.col("low"), k)))
     found = F.flatten(F.transform("wanted", lambda v: F.transform(of(v), lambda p: F.struct(v.alias("vector"), *[p[c].alias(c) for c in others]))))
-    return rows.select("item", found.alias("found")).select("item", F.inline("found"))
+    # inline() would have its lists made again for a filter on empty ones
+    return rows.select("item", found.alias("found")).select("item", F.inline_outer("found")).where(F.col("vector").isNotNull())
 
 
 def boosts(found: DataFrame) -> DataFrame:

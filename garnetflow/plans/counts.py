@@ -121,25 +121,28 @@ tl AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY vector ORDER BY ro
 
 
 def scores(spark, sf_dir):
+    """Scores of terms, their document frequencies and the number of documents."""
     docs = records(spark, sf_dir, "taxonomy")
-    return patterns.term_scores(docs, docs, docs.count()), docs
+    tf, df = patterns.term_counts(docs)
+    n = docs.count()
+    return patterns.scored(tf, df, docs, n), df, n
 
 
 def ranked_scores(spark, sf_dir):
     """Rounded, so that ties are ties on every engine."""
-    rows, docs = scores(spark, sf_dir)
-    return rows.withColumn("tfidf", F.round("tfidf", 9)), docs
+    rows, df, n = scores(spark, sf_dir)
+    return rows.withColumn("tfidf", F.round("tfidf", 9)), df, n
 
 
 @query(f"WITH {SQL_TERMS} SELECT vector, term, tf, df, round(idf, 6) AS idf, round(tfidf, 6) AS tfidf, round(specificity, 6) AS specificity FROM ts WHERE tf >= 3")
 def tfidf_terms(spark, sf_dir):
-    rows, _ = scores(spark, sf_dir)
+    rows, *_ = scores(spark, sf_dir)
     return rows.where("tf >= 3").select("vector", "term", "tf", "df", *[F.round(c, 6).alias(c) for c in ("idf", "tfidf", "specificity")])
 
 
 @query(f"WITH {SQL_TERMS} SELECT vector, rank, term, df, tf AS support, round(specificity, 6) AS specificity FROM tl")
 def pattern_taxonomy(spark, sf_dir):
-    rows, _ = ranked_scores(spark, sf_dir)
+    rows, *_ = ranked_scores(spark, sf_dir)
     return patterns.learned(rows).select("vector", "rank", "term", "df", F.col("tf").alias("support"), F.round("specificity", 6).alias("specificity"))
 
 
@@ -154,8 +157,8 @@ least(greatest(CASE WHEN specificity >= 0.9 THEN 5.0 WHEN specificity >= 0.8 THE
 
 
 def full_taxonomy(spark, sf_dir):
-    rows, docs = ranked_scores(spark, sf_dir)
-    return patterns.taxonomy(patterns.learned(rows), patterns.document_frequency(docs), docs.count())
+    rows, df, n = ranked_scores(spark, sf_dir)
+    return patterns.taxonomy(patterns.learned(rows), df, n)
 
 
 @query(f"WITH {SQL_TERMS}, {SQL_TAXONOMY} SELECT vector, pattern_id, array_to_string(keywords, '+') AS keywords, CAST(support AS BIGINT) AS support, round(boost, 6) AS boost FROM tx")

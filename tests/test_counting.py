@@ -7,7 +7,8 @@ import math
 import pytest
 
 from garnetflow.functions.text import tokenize
-from garnetflow.operators import bayes, counting
+from garnetflow.operators import bayes, counting, patterns
+from garnetflow.plans import counts
 
 
 def plan(df) -> str:
@@ -48,3 +49,17 @@ def test_only_rare_words_leave_the_task(spark, monkeypatch, most):
             want = math.log(4 / 12) + sum(math.log((cnt.get((label, w), 0) + 1) / (total + len(vocabulary))) for w in words)
             assert math.isclose(got.pop((k, label)), want, abs_tol=1e-9)
     assert not got
+
+
+def test_the_taxonomy_reads_the_texts_once(spark):
+    found = counts.full_taxonomy(spark, "/root/testdata/sf0.001")
+    assert "regexp_extract_all(" not in plan(found)  # counts and document frequencies come from one stored table
+
+
+def test_patterns_are_matched_once(spark):
+    docs = spark.createDataFrame([(1, "A b"), (2, "c"), (3, "b"), (4, None)], "id long, text string")
+    wanted = spark.createDataFrame([(1, "x"), (1, "y"), (2, "x"), (3, "z"), (4, "x")], "item long, vector string")
+    rows = spark.createDataFrame([("x", 1, ["a", "b"], 1.0), ("x", 2, ["c"], 2.0), ("y", 1, ["b"], 3.0)], "vector string, pattern_id int, keywords array<string>, boost double")
+    found = patterns.matches(docs, wanted, rows)
+    assert plan(found).count("forall(") == 1
+    assert sorted((r["item"], r["vector"], r["pattern_id"]) for r in found.collect()) == [(1, "x", 1), (1, "y", 1), (2, "x", 2)]
