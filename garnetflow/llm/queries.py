@@ -49,7 +49,7 @@ def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.repeats(_table(spark, sf_dir, "documents"))
+    return suffix_dedup.repeats(_table(spark, sf_dir, "documents"), passage=suffix_dedup.PASSAGE)
 
 
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,10 @@ What is left are cuts whose core occurs again. A string is then its core's rank
 the starts of a cut are settled together if the whole span of their strings is equal to another's; where spans differ under one
 core, one of each kind goes on, by CHUNK starts in the same way and then one by one.
 
+Passages of fewer bytes than LENGTH can be counted beside it (repeats(passage=...), n_passage_bytes). Their head is a long anchor that every such
+string holds whole, so its name is the core's rank and no rounds are needed; what is beside it is settled in the same way. A string of LENGTH
+bytes that repeats consists of passages that repeat, so the rounds then run only over the stretches of passages that are as long as that.
+
 The method per key: pairs are counted by partial aggregation before they move, and the ranks come back by joins whose
 skewed partitions Spark splits, so a passage that a third of all documents share makes no heavy task. Pieces and
 the bytes beside a core are compared by 64-bit hashes; results are exact up to collisions of these.
@@ -39,9 +43,13 @@ from .decontaminate import _B, _buffer, _C, _power
 LENGTH = 400
 ANCHOR = 24
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-#: Starts that are looked at together where spans differ.
+#: Starts that are looked at together where spans differ; more where the core is a long anchor, as few are left then.
 CHUNK = 8
+PASSAGE_CHUNK = 32
+#: Bytes of a passage, of which 51 words of prose in the languages of the corpus take more. Not the length at which bytes are removed.
+PASSAGE = 240
 CUTS = "row long, k int, name long, n int, top int, head int, shape long, edge long"
+HEADS = "row long, head int, shape long, n int, rank long, edge long"
 #: What a cut takes along: the shape holds how far from the head the first and the last start are and the core's end, each in SHAPE bits.
 OWN = ["row", "k", "n", "top", "head", "shape", "edge"]
 SHAPE = 20
@@ -78,18 +86,9 @@ class Names:
         return _mixed(self(lo, head) * np.uint64(0x9E3779B97F4A7C15) + self(tail, hi))
 
 
-def cuts_of(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int) -> dict[str, np.ndarray]:
-    """The cuts of all texts of a buffer that have a piece: text, number within it, name of the piece, pieces of the core (0
-    without starts), the most pieces of a rank that is asked of the cut, where the core begins in the text, the shape, and the name of what lies
-    beside the core in the span of the starts."""
-    window = _window(length)
+def _heads(names: Names, offsets: np.ndarray, long: np.ndarray, anchor: int, window: int) -> tuple[np.ndarray, ...]:
+    """The cuts of some texts of a buffer: first window that has the cut, which of the texts, the cut, and the last window of each text."""
     wide = window + anchor - 1
-    kinds = {"doc": np.int64, "k": np.int32, "name": np.uint64, "n": np.int32, "top": np.int32, "head": np.int32, "shape": np.int64, "edge": np.uint64}
-    none = {k: np.empty(0, t) for k, t in kinds.items()}
-    long = np.flatnonzero(np.diff(offsets) >= length)
-    if not len(long):
-        return none
-    names = Names(data)
     least = names.pieces(anchor)
     least &= np.uint64(0xFFFFFFFF00000000)
     least |= np.arange(len(least), dtype=np.uint64)
@@ -105,7 +104,36 @@ def cuts_of(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int) ->
     of = np.searchsorted(begins, lo, side="right") - 1
     inside = (of >= 0) & (lo <= ends[np.maximum(of, 0)])
     lo, of = lo[inside], of[inside]
-    doc, cut = long[of], mark[lo].astype(np.int64)
+    return lo, of, mark[lo].astype(np.int64), ends
+
+
+def passages_of(data: np.ndarray, offsets: np.ndarray, length: int) -> dict[str, np.ndarray]:
+    """The cuts of all texts of a buffer whose anchor, half as long as a passage, is the core: text, where it begins, shape, name, and the name of what lies beside it."""
+    anchor = length // 2
+    long = np.flatnonzero(np.diff(offsets) >= length)
+    if not len(long):
+        return {"doc": long, "head": np.empty(0, np.int32), "shape": long, "rank": np.empty(0, np.uint64), "edge": np.empty(0, np.uint64)}
+    names = Names(data)
+    lo, of, cut, ends = _heads(names, offsets, long, anchor, length - anchor + 1)
+    hi = np.where(np.append(of[1:] != of[:-1], True), ends[of], np.append(lo[1:], 0) - 1)
+    edge = names.beside(lo, cut, cut + anchor, hi + length) + (hi - lo).astype(np.uint64)
+    shape = (cut - lo) << 2 * SHAPE | (cut - hi) << SHAPE | anchor
+    return {"doc": long[of], "head": (cut - offsets[long[of]]).astype(np.int32), "shape": shape, "rank": names(cut, cut + anchor), "edge": edge}
+
+
+def cuts_of(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int) -> dict[str, np.ndarray]:
+    """The cuts of all texts of a buffer that have a piece: text, number within it, name of the piece, pieces of the core (0
+    without starts), the most pieces of a rank that is asked of the cut, where the core begins in the text, the shape, and the name of what lies
+    beside the core in the span of the starts."""
+    window = _window(length)
+    kinds = {"doc": np.int64, "k": np.int32, "name": np.uint64, "n": np.int32, "top": np.int32, "head": np.int32, "shape": np.int64, "edge": np.uint64}
+    none = {k: np.empty(0, t) for k, t in kinds.items()}
+    long = np.flatnonzero(np.diff(offsets) >= length)
+    if not len(long):
+        return none
+    names = Names(data)
+    lo, of, cut, ends = _heads(names, offsets, long, anchor, window)
+    doc = long[of]
     last = np.append(of[1:] != of[:-1], True)  # the last cut of a text begins no piece
     after = np.append(lo[1:], 0)
     hi = np.minimum(np.where(last, ends[of], after - 1), offsets[doc + 1] - length)
@@ -137,15 +165,31 @@ def merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lo[new], hi[np.append(np.flatnonzero(new)[1:], len(hi)) - 1]
 
 
+def _signed(v: np.ndarray) -> pa.Array:
+    return pa.array(v.view(np.int64) if v.dtype == np.uint64 else v)
+
+
 def _cut(rows: DataFrame, length: int, anchor: int) -> DataFrame:
+    """The cuts of texts, or where rows have los and his, those of the stretches that these span."""
+    within = "los" in rows.columns
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            c = cuts_of(*_buffer(batch.column(1)), length, anchor)
-            row = np.asarray(batch.column(0))[c.pop("doc")]
-            columns = [row, *(v.view(np.int64) if v.dtype == np.uint64 else v for v in c.values())]
-            yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns], [f.split()[0] for f in CUTS.split(", ")])
-
-    return rows.select("row", "text").mapInArrow(tidy(run), CUTS)
+            row, (data, offsets) = np.asarray(batch.column(0)), _buffer(batch.column(1))
+            if within:
+                los, his = batch.column(2), batch.column(3)
+                doc = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(los.offsets)))
+                lo, hi = np.asarray(los.flatten()), np.asarray(his.flatten())
+                doc, lo, hi = (v[hi - lo >= length] for v in (doc, lo, hi))
+                data = np.concatenate([data[:0], *(data[offsets[d] + x : offsets[d] + y] for d, x, y in zip(doc, lo, hi, strict=True))])
+                row, offsets = row[doc], np.append(0, np.cumsum(hi - lo, dtype=np.int64))
+            c = cuts_of(data, offsets, length, anchor)
+            at = c.pop("doc")
+            if within:  # where the stretch begins is below the numbers of its cuts and above all before
+                c |= {"k": c["k"] + lo[at].astype(np.int32), "head": c["head"] + lo[at].astype(np.int32)}
+            yield pa.RecordBatch.from_arrays([pa.array(row[at]), *map(_signed, c.values())], [f.split()[0] for f in CUTS.split(", ")])
+
+    return rows.select("row", "text", *["los", "his"] * within).mapInArrow(tidy(run), CUTS)
 
 
 def _parts(df: DataFrame) -> int:
@@ -237,17 +281,12 @@ def _beside_cores(rows: DataFrame, apart: DataFrame, length: int, chunk: int) ->
     return texts.mapInArrow(tidy(run), "row long, rank long, n int, head int, shape long, whole long, edge long")
 
 
-def repeated_spans(rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
-    """row and its spans (los and his, not merged) of what repeats, for documents that have any. rows: row, text."""
-    if length - 2 * _window(length) - anchor + 2 < 1 or anchor < 1 or length >= 1 << SHAPE:
-        raise ValueError(f"strings of {length} bytes have no core for anchors of {anchor}")
+def _settled(rows: DataFrame, heads: DataFrame, length: int, chunk: int) -> DataFrame:
+    """row and its spans (los and his, not merged) of the strings at `heads` that repeat, for rows that have any. heads is a scratch table, which goes."""
     place = ["row", "head", "shape"]
-    cuts = written(_cut(rows, length, anchor), "cuts")
-    heads = cores(cuts)
-    discard(cuts)
     by_cut, apart = _sorted_out(heads, ["n", "rank"], "edge", place)
     discard(heads)
-    chunks = written(_beside_cores(rows, apart, length, CHUNK), "chunks")
+    chunks = written(_beside_cores(rows, apart, length, chunk), "chunks")
     by_chunk, left = _sorted_out(chunks, ["n", "rank", "whole"], "edge", place)
     discard(apart, chunks)
     starts = written(_beside_cores(rows, left, length, 1), "starts")
@@ -261,11 +300,69 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
     return spans
 
 
+def repeated_spans(rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
+    """row and its spans (los and his, not merged) of what repeats, for documents that have any. rows: row, text, and maybe los and his, outside which nothing repeats."""
+    if length - 2 * _window(length) - anchor + 2 < 1 or anchor < 1 or length >= 1 << SHAPE:
+        raise ValueError(f"strings of {length} bytes have no core for anchors of {anchor}")
+    cuts = written(_cut(rows, length, anchor), "cuts")
+    heads = cores(cuts)
+    discard(cuts)
+    return _settled(rows, heads, length, CHUNK)
+
+
+def passages(rows: DataFrame, length: int = PASSAGE) -> DataFrame:
+    """row, the merged spans (los and his) of strings of `length` bytes that repeat, and the bytes of the longest, for documents that have any."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            c = passages_of(*_buffer(batch.column(1)), length)
+            n = np.zeros(len(c["doc"]), np.int32)
+            out = (np.asarray(batch.column(0))[c["doc"]], c["head"], c["shape"], n, c["rank"], c["edge"])
+            yield pa.RecordBatch.from_arrays([*map(_signed, out)], [f.split()[0] for f in HEADS.split(", ")])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = [merged(np.asarray(lo.values), np.asarray(hi.values)) for lo, hi in zip(batch.column(1), batch.column(2), strict=True)]
+            los, his = (pa.array([s[k] for s in spans], pa.list_(pa.int32())) for k in (0, 1))
+            most = pa.array([int((hi - lo).max()) for lo, hi in spans], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), los, his, most], ["row", "los", "his", "most"])
+
+    cuts = written(rows.select("row", "text").mapInArrow(tidy(cut), HEADS), "passages")
+    again = written(cuts.groupBy("rank").agg(F.count("*").alias("times")).where("times > 1").drop("times"), "again")
+    heads = written(cuts.join(again, "rank").select(*(f.split()[0] for f in HEADS.split(", "))), "heads")
+    discard(cuts, again)
+    spans = _settled(rows, heads, length, PASSAGE_CHUNK)
+    out = written(spans.mapInArrow(tidy(merge), "row long, los array<int>, his array<int>, most int"), "merged")
+    discard(spans)
+    return out
+
+
+def _keyed(docs: DataFrame, key: str, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """docs with `key`, and their rows and texts."""
+    marked = docs.withColumn(key, F.xxhash64(F.col(doc_id), F.col(text)))
+    return marked, marked.select(F.col(key).alias("row"), F.col(text).alias("text")).dropna()
+
+
+def _with(marked: DataFrame, spans: DataFrame, key: str, to: str) -> DataFrame:
+    """The spans beside the rows of `marked`, in `to`l and `to`h; the text stays as it is."""
+    return marked.join(spans.select(F.col("row").alias(key), F.col("los").alias(to + "l"), F.col("his").alias(to + "h")).hint("merge"), key, "left")
+
+
 def _with_spans(docs: DataFrame, key: str, doc_id: str, text: str, length: int, anchor: int) -> DataFrame:
     """docs with `key` and the spans in `key`l and `key`h; the text stays as it is."""
-    marked = docs.withColumn(key, F.xxhash64(F.col(doc_id), F.col(text)))
-    spans = repeated_spans(marked.select(F.col(key).alias("row"), F.col(text).alias("text")).dropna(), length, anchor)
-    return marked.join(spans.select(F.col("row").alias(key), F.col("los").alias(key + "l"), F.col("his").alias(key + "h")).hint("merge"), key, "left")
+    marked, rows = _keyed(docs, key, doc_id, text)
+    return _with(marked, repeated_spans(rows, length, anchor), key, key)
+
+
+def _with_passages(docs: DataFrame, length: int, anchor: int, passage: int) -> DataFrame:
+    """docs with the spans of `length` in keyl and keyh and those of passages in nearl and nearh."""
+    marked, rows = _keyed(docs, "key", "doc_id", "text")
+    short = passages(rows, passage)
+    # equal rows have one key; their spans are the same
+    long = written(rows.join(short.where(F.col("most") >= length).drop("most").hint("merge"), "row"), "stretches")
+    spans = repeated_spans(long, length, anchor)
+    discard(long)
+    return _with(_with(marked, spans, "key", "key"), short, "key", "near")
 
 
 def _spans(batch: pa.RecordBatch, at: int) -> Iterator[list[list[int]]]:
@@ -274,23 +371,31 @@ def _spans(batch: pa.RecordBatch, at: int) -> Iterator[list[list[int]]]:
         yield np.stack(merged(np.asarray(lo.values), np.asarray(hi.values))).T.tolist() if lo.is_valid and len(lo.values) else []
 
 
-def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
-    """For each document its bytes, the bytes and spans that go, and the digest of what is left."""
+def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, anchor: int = ANCHOR, passage: int | None = None) -> DataFrame:
+    """For each document its bytes, the bytes and spans that go, and the digest of what is left. With `passage`, fewer bytes than length, also
+    n_passage_bytes: how many bytes lie in strings of that many bytes that start anywhere else too; these are counted only."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    if passage is not None and not 2 <= passage < length:
+        raise ValueError(f"a passage has 2 to {length - 1} bytes, not {passage}")
+    schema = SCHEMA + (", n_passage_bytes long" if passage else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             out = []
-            for d, t, spans in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), _spans(batch, 2), strict=True):
+            near = _spans(batch, 4) if passage else iter([[]] * batch.num_rows)
+            for d, t, spans, short in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), _spans(batch, 2), near, strict=True):
                 data, at, kept = t.encode(), 0, hashlib.sha256()
                 for lo, hi in spans:
                     kept.update(data[at:lo])
                     at = hi
                 kept.update(data[at:])
-                out.append((d, len(data), sum(hi - lo for lo, hi in spans), len(spans), kept.hexdigest()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (*[pa.int64()] * 4, pa.string()), strict=True)], [c.split()[0] for c in SCHEMA.split(", ")])
+                out.append((d, len(data), sum(hi - lo for lo, hi in spans), len(spans), kept.hexdigest(), *[sum(hi - lo for lo, hi in short)] * bool(passage)))
+            kinds = [pa.string() if f.endswith("string") else pa.int64() for f in schema.split(", ")]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], [c.split()[0] for c in schema.split(", ")])
 
-    return _with_spans(rows, "key", "doc_id", "text", length, anchor).select("doc_id", "text", "keyl", "keyh").mapInArrow(tidy(run), SCHEMA)
+    if passage:
+        return _with_passages(rows, length, anchor, passage).select("doc_id", "text", "keyl", "keyh", "nearl", "nearh").mapInArrow(tidy(run), schema)
+    return _with_spans(rows, "key", "doc_id", "text", length, anchor).select("doc_id", "text", "keyl", "keyh").mapInArrow(tidy(run), schema)
 
 
 def without(text: str, spans: list[list[int]]) -> str:

@@ -84,3 +84,41 @@ def test_each_round_counts(spark, monkeypatch, lost):
     asked = op._asked
     monkeypatch.setattr(op, "_asked", lambda live, h: asked(live, h).withColumn("r2", F.lit(0).cast("long")) if h == lost else asked(live, h))
     assert sorted(map(tuple, op.repeats(df).collect())) != want
+
+
+@pytest.mark.parametrize(("length", "passage"), [(400, 240), (100, 40), (250, 249), (400, 2)])
+def test_passages_are_counted_beside(spark, length, passage):
+    """Passages of fewer bytes than go are counted in a column of their own, and what goes stays the same."""
+    rows = list(enumerate(texts()))
+    df = spark.createDataFrame(rows + [(7, texts()[20]), (None, texts()[20])], "doc_id long, text string").repartition(4)
+    got = op.repeats(df, length=length, anchor=16, passage=passage)
+    assert got.columns[-1] == "n_passage_bytes"
+    all_texts = [(r["doc_id"], r["text"]) for r in df.collect()]
+    long, short = (brute([t for _, t in all_texts], n) for n in (length, passage))
+    want = [(d, *w, p[1]) for (d, _), w, p in zip(all_texts, long, short, strict=True)]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    assert passage != 240 or sum(w[2] < w[5] for w in want) > 10
+
+
+def test_passage_of_over_50_words_in_two_documents(spark):
+    """n_removed cannot tell it from no passage, as it has fewer than 400 bytes; n_passage_bytes does."""
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randrange(3, 8)))
+    some = lambda n: " ".join(word() for _ in range(n))
+    passage = some(52)
+    size = len(passage)
+    assert 240 <= size < 398
+    docs = [(1, f"{some(90)} {passage} {some(40)}"), (2, f"{some(10)} {passage} {some(200)}"), (3, some(300)), (4, ""), (5, None)]
+    got = {r["doc_id"]: r for r in op.repeats(spark.createDataFrame(docs, "doc_id long, text string"), passage=op.PASSAGE).collect()}
+    assert all(r["n_removed"] == 0 for r in got.values())
+    assert all(size <= got[d]["n_passage_bytes"] <= size + 8 for d in (1, 2))
+    assert all(got[d]["n_passage_bytes"] == 0 for d in (3, 4, 5))
+
+
+def test_passages_of_edge_tables(spark):
+    docs = edge_table(spark)
+    got = op.repeats(docs, passage=op.PASSAGE)
+    assert sorted(map(str, got.drop("n_passage_bytes").collect())) == sorted(map(str, op.repeats(docs).collect()))
+    assert op.repeats(empty_table(spark), passage=op.PASSAGE).count() == 0
+    with pytest.raises(ValueError, match="passage"):
+        op.repeats(docs, passage=op.LENGTH)
